@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.codes import ORDER_STATUS, decode
 from ..functions.text import words
 from ..functions.timefmt import age_years, ymd_from_millis
-from ..operators import joins, logs, reports, stats
+from ..operators import joins, logs, reports, routing, stats
 from ..sources import tables as T
 from .warehouse import Warehouse
 
@@ -239,7 +239,56 @@ def code_decode(spark, d):
     return g.select("order_status", decode(F.col("order_status"), ORDER_STATUS).alias("status_name"), "order_count")
 
 
+# ---- change-record layer -------------------------------------------------------------------------
+
+def _clean(spark, d):
+    return routing.clean_changes(routing.parse_changes(T.cdc_raw(spark, d)))
+
+
+def _routed(spark, d):
+    return routing.route(_clean(spark, d), T.routing_config(spark))
+
+
+def _record_view(df):
+    return df.select("seq", "table", "type", "sink_table", F.size("data").cast("bigint").alias("n_cols"),
+                     F.col("data")["id"].alias("id"))
+
+
+def cdc_clean(spark, d):
+    c = _clean(spark, d)
+    return c.select("seq", "table", "type", F.size("data").cast("bigint").alias("n_keys"), F.col("data")["id"].alias("id"))
+
+
+def cdc_route_fact(spark, d):
+    return _record_view(routing.facts(_routed(spark, d)))
+
+
+def cdc_route_dim(spark, d):
+    return _record_view(routing.dims(_routed(spark, d)))
+
+
+def cdc_unmatched(spark, d):
+    return routing.unmatched(_clean(spark, d), T.routing_config(spark)).select("seq", "table", "type")
+
+
+def cdc_column_filter(spark, d):
+    r = _routed(spark, d)
+    kept = routing.facts(r).unionByName(routing.dims(r))
+    return kept.select("seq", "table", "type", "sink_table", F.explode("data").alias("key", "value"))
+
+
+def dim_upsert_merge(spark, d):
+    """Routed user-dimension changes applied in two batches (inserts, then updates) to an empty
+    snapshot; the result is flattened."""
+    r = routing.dims(_routed(spark, d)).filter(F.col("sink_table") == "dim_user_info")
+    empty = spark.createDataFrame([], "id string, data map<string,string>")
+    snap = routing.merge_dimension(empty, r.filter(F.col("type") == "insert"))
+    snap = routing.merge_dimension(snap, r.filter(F.col("type") == "update"))
+    return snap.select("id", *[F.col("data")[c].alias(c) for c in ("name", "birthday", "gender")])
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in [
+    cdc_clean, cdc_route_fact, cdc_route_dim, cdc_unmatched, cdc_column_filter, dim_upsert_merge,
     log_split_start, log_split_page, display_explode, new_visitor_repair, session_entry, unique_visit,
     bounce_as_written, bounce_as_documented, order_interval_join, order_interval_join_30d, order_wide, user_age,
     payment_wide, visitor_union, visitor_stats, product_union, product_stats, product_stats_enriched,

@@ -8,7 +8,7 @@ does not depend on floating-point division.
 
 from __future__ import annotations
 
-from ..sources.tables import AS_OF_MS
+from ..sources.tables import AS_OF_MS, ROUTING_CONFIG
 
 FMT = "'%Y-%m-%d %H:%M:%S'"
 WORD = r"'([\p{L}\p{N}]+)'"
@@ -203,6 +203,54 @@ cte("kp", ("pse",), f"""
               FROM pse))""")
 cte("kall", ("ks", "kp"), f"SELECT *, {day_of()} AS dt FROM (SELECT * FROM ks UNION ALL SELECT * FROM kp)")
 
+# ---- change records -----------------------------------------------------------------------------
+def _map(*pairs: tuple[str, str]) -> str:
+    return ("map([" + ", ".join(f"'{k}'" for k, _ in pairs) + "], ["
+            + ", ".join(f"CAST({v} AS VARCHAR)" for _, v in pairs) + "])")
+
+
+cte("cdc", (), " UNION ALL ".join([
+    "SELECT c_custkey AS seq, 'user_info' AS tbl, 'insert' AS type, " + _map(
+        ("id", "c_custkey"), ("name", "c_name"),
+        ("birthday", "strftime(DATE '1960-01-01' + CAST(c_custkey % 15000 AS INTEGER), '%Y-%m-%d')"),
+        ("gender", "CASE WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'F' END"), ("segment", "c_mktsegment")) + " AS data FROM customer",
+    "SELECT c_custkey + 1099511627776, 'user_info', 'update', " + _map(("id", "c_custkey"), ("name", "upper(c_name)"))
+    + " FROM customer WHERE c_acctbal < 0",
+    "SELECT p_partkey, 'sku_info', 'insert', " + _map(
+        ("id", "p_partkey"), ("sku_name", "p_name"), ("price", "CAST(p_retailprice AS DECIMAL(18,2))"),
+        ("spu_id", "p_partkey // 10"), ("tm_id", "split_part(p_brand, '#', 2)"),
+        ("category3_id", "length(p_type) * 100 + ascii(p_type)"), ("size", "p_size")) + " FROM part",
+    "SELECT n_nationkey, 'base_province', 'insert', " + _map(("id", "n_nationkey"), ("name", "n_name"),
+                                                            ("region_id", "n_regionkey")) + " FROM nation",
+    "SELECT o_orderkey, 'order_info', 'insert', " + _map(
+        ("id", "o_orderkey"), ("user_id", "o_custkey"), ("order_status", "'1001'"),
+        ("total_amount", "CAST(o_totalprice AS DECIMAL(18,2))"), ("create_time", f"strftime(o_orderdate, {FMT})"),
+        ("priority", "o_orderpriority")) + " FROM orders",
+    "SELECT o_orderkey + 1099511627776, 'order_info', 'update', " + _map(("id", "o_orderkey"), ("order_status", "'1004'"))
+    + " FROM orders WHERE o_orderstatus = 'F'",
+    "SELECT l_orderkey, 'order_detail', 'insert', " + _map(
+        ("order_id", "l_orderkey"), ("sku_id", "l_partkey"), ("sku_num", "CAST(l_quantity AS BIGINT)"),
+        ("order_price", "CAST(l_extendedprice AS DECIMAL(18,2))"), ("create_time", f"strftime(l_shipdate, {FMT})"),
+        ("line", "l_linenumber")) + " FROM lineitem",
+    "SELECT o_orderkey, 'payment_info', 'insert', " + _map(
+        ("id", "o_orderkey"), ("order_id", "o_orderkey"), ("total_amount", "CAST(o_totalprice AS DECIMAL(18,2))"))
+    + " FROM orders WHERE o_orderstatus IN ('F', 'P')",
+    "SELECT s_suppkey, 'supplier_info', 'insert', " + _map(("id", "s_suppkey"), ("name", "s_name")) + " FROM supplier",
+    "SELECT r_regionkey, NULL, 'insert', " + _map(("id", "r_regionkey"), ("name", "r_name")) + " FROM region",
+    "SELECT r_regionkey, 'base_region', 'insert', map([]::VARCHAR[], []::VARCHAR[]) FROM region",
+]))
+cte("cfg", (), " UNION ALL ".join(
+    f"SELECT '{src}' AS source_table, '{op}' AS operate_type, '{st}' AS sink_type, '{tbl}' AS sink_table, "
+    f"'{cols}' AS sink_columns" for src, op, st, tbl, cols, *_ in ROUTING_CONFIG))
+cte("cln", ("cdc",), "SELECT * FROM cdc WHERE tbl IS NOT NULL AND data IS NOT NULL AND cardinality(data) > 0")
+cte("rt", ("cln", "cfg"), """
+  SELECT cln.seq, cln.tbl, cln.type, cfg.sink_type, cfg.sink_table,
+         map_from_entries(list_filter(map_entries(cln.data), lambda e: list_contains(string_split(cfg.sink_columns, ','), e.key))) AS data
+  FROM cln JOIN cfg ON cln.tbl = cfg.source_table AND cln.type = cfg.operate_type""")
+cte("um", ("cln", "cfg"), """
+  SELECT seq, tbl, type FROM cln WHERE NOT EXISTS
+    (SELECT 1 FROM cfg WHERE cfg.source_table = cln.tbl AND cfg.operate_type = cln.type)""")
+
 # ---- reports ------------------------------------------------------------------------------------
 
 
@@ -297,7 +345,23 @@ def q(body: str, *names: str) -> str:
 
 FLAT = "SELECT seq, mid, is_new, ts, dt, page_id, last_page_id FROM "
 
+RECORD = "SELECT seq, tbl AS \"table\", type, sink_table, CAST(cardinality(data) AS BIGINT) AS n_cols, data['id'] AS id FROM rt "
+
 ORACLE: dict[str, str] = {
+    "cdc_clean": q("SELECT seq, tbl AS \"table\", type, CAST(cardinality(data) AS BIGINT) AS n_keys, data['id'] AS id FROM cln",
+                   "cln"),
+    "cdc_route_fact": q(RECORD + "WHERE sink_type = 'kafka'", "rt"),
+    "cdc_route_dim": q(RECORD + "WHERE sink_type = 'hbase'", "rt"),
+    "cdc_unmatched": q("SELECT seq, tbl AS \"table\", type FROM um", "um"),
+    "cdc_column_filter": q("""SELECT seq, tbl AS "table", type, sink_table, e.key AS key, e.value AS value
+        FROM (SELECT *, unnest(map_entries(data)) AS e FROM rt WHERE sink_type IN ('kafka', 'hbase'))""", "rt"),
+    "dim_upsert_merge": q("""SELECT id, max(CASE WHEN k = 'name' THEN v END) AS name, max(CASE WHEN k = 'birthday' THEN v END) AS birthday,
+        max(CASE WHEN k = 'gender' THEN v END) AS gender
+        FROM (SELECT id, e.key AS k, arg_max(e.value, seq) AS v
+              FROM (SELECT seq, data['id'] AS id, unnest(map_entries(data)) AS e FROM rt
+                    WHERE sink_type = 'hbase' AND sink_table = 'dim_user_info' AND type IN ('insert', 'update'))
+              GROUP BY id, e.key)
+        GROUP BY id""", "rt"),
     "log_split_start": q("SELECT seq, mid, is_new, ts, 'icon' AS entry, CAST(k * 10 AS BIGINT) AS loading_time "
                          "FROM rl WHERE is_start", "rl"),
     "log_split_page": q("SELECT seq, mid, is_new, ch, ts, page_id, last_page_id, item, item_type, during_time, "

@@ -15,6 +15,8 @@ The rules below are deterministic, so each input has an exact SQL twin (``market
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -235,3 +237,88 @@ def dim_trademark(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dim_category3(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part").select("p_type").distinct()
     return p.select(_category3_id(F.col("p_type")).cast("bigint").alias("id"), F.col("p_type").alias("name"))
+
+
+# ---- change records and routing config --------------------------------------------------------
+
+# Fixed routing configuration of the driver profile: (source_table, operate_type, sink_type,
+# sink_table, sink_columns, sink_pk, sink_extend).
+ROUTING_CONFIG = [
+    ("user_info", "insert", "hbase", "dim_user_info", "id,name,birthday,gender", "id", None),
+    ("user_info", "update", "hbase", "dim_user_info", "id,name,birthday,gender", "id", None),
+    ("sku_info", "insert", "hbase", "dim_sku_info", "id,sku_name,price,spu_id,tm_id,category3_id", "id", None),
+    ("base_province", "insert", "hbase", "dim_base_province", "id,name,region_id", "id", None),
+    ("order_info", "insert", "kafka", "dwd_order_info", "id,user_id,order_status,total_amount,create_time", "id", None),
+    ("order_info", "update", "kafka", "dwd_order_info", "id, order_status", "id", None),
+    ("order_detail", "insert", "kafka", "dwd_order_detail", "order_id,sku_id,sku_num,order_price,create_time", "id", None),
+    ("payment_info", "insert", "clickhouse", "payment_stats", "id,order_id,total_amount", "id", None),
+]
+
+
+def routing_config(spark: SparkSession) -> DataFrame:
+    from ..schemas import TABLE_PROCESS
+    return spark.createDataFrame(ROUTING_CONFIG, TABLE_PROCESS)
+
+
+def _m(*pairs) -> F.Column:
+    args = []
+    for k, v in pairs:
+        args += [F.lit(k), v.cast("string")]
+    return F.create_map(*args)
+
+
+def cdc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change records ``(seq, database, table, type, data MAP<STRING,STRING>, ts)`` derived from
+    the driver tables: inserts of customers, parts, nations, orders, lineitems, payments and
+    suppliers (unconfigured); updates of customers with a negative balance (name upper-cased) and
+    of finished orders (status change); dirty records from regions (no table / empty data)."""
+    def rec(df, seq, table_name, type_, data, ts):
+        return df.select(seq.cast("bigint").alias("seq"), F.lit("shop").alias("database"),
+                         table_name.alias("table"), F.lit(type_).alias("type"), data.alias("data"), ts.cast("bigint").alias("ts"))
+
+    t = lambda n: table(spark, sf_dir, n)
+    c, p, n, o, li, s, r = (t(x) for x in ("customer", "part", "nation", "orders", "lineitem", "supplier", "region"))
+    odate = ntz_to_millis("o_orderdate")
+    ship = ntz_to_millis("l_shipdate")
+    out = [
+        rec(c, F.col("c_custkey"), F.lit("user_info"), "insert",
+            _m(("id", F.col("c_custkey")), ("name", F.col("c_name")),
+               ("birthday", F.date_format(F.date_add(F.lit("1960-01-01").cast("date"), (F.col("c_custkey") % 15000).cast("int")), DATE_FMT)),
+               ("gender", F.when(F.col("c_custkey") % 2 == 0, "M").otherwise("F")), ("segment", F.col("c_mktsegment"))),
+            F.lit(0)),
+        rec(c.filter(F.col("c_acctbal") < 0), F.col("c_custkey") + F.lit(1 << 40), F.lit("user_info"), "update",
+            _m(("id", F.col("c_custkey")), ("name", F.upper("c_name"))), F.lit(1)),
+        rec(p, F.col("p_partkey"), F.lit("sku_info"), "insert",
+            _m(("id", F.col("p_partkey")), ("sku_name", F.col("p_name")), ("price", F.col("p_retailprice").cast(AMOUNT)),
+               ("spu_id", (F.col("p_partkey") / 10).cast("bigint")), ("tm_id", F.substring_index("p_brand", "#", -1)),
+               ("category3_id", F.length("p_type") * 100 + F.ascii("p_type")), ("size", F.col("p_size"))),
+            F.lit(0)),
+        rec(n, F.col("n_nationkey"), F.lit("base_province"), "insert",
+            _m(("id", F.col("n_nationkey")), ("name", F.col("n_name")), ("region_id", F.col("n_regionkey"))), F.lit(0)),
+        rec(o, F.col("o_orderkey"), F.lit("order_info"), "insert",
+            _m(("id", F.col("o_orderkey")), ("user_id", F.col("o_custkey")), ("order_status", F.lit("1001")),
+               ("total_amount", F.col("o_totalprice").cast(AMOUNT)), ("create_time", datetime_str("o_orderdate")),
+               ("priority", F.col("o_orderpriority"))), odate),
+        rec(o.filter(F.col("o_orderstatus") == "F"), F.col("o_orderkey") + F.lit(1 << 40), F.lit("order_info"), "update",
+            _m(("id", F.col("o_orderkey")), ("order_status", F.lit("1004"))), odate),
+        rec(li, F.col("l_orderkey"), F.lit("order_detail"), "insert",
+            _m(("order_id", F.col("l_orderkey")), ("sku_id", F.col("l_partkey")), ("sku_num", F.col("l_quantity").cast("bigint")),
+               ("order_price", F.col("l_extendedprice").cast(AMOUNT)), ("create_time", datetime_str("l_shipdate")),
+               ("line", F.col("l_linenumber"))), ship),
+        rec(o.filter(F.col("o_orderstatus").isin("F", "P")), F.col("o_orderkey"), F.lit("payment_info"), "insert",
+            _m(("id", F.col("o_orderkey")), ("order_id", F.col("o_orderkey")), ("total_amount", F.col("o_totalprice").cast(AMOUNT))),
+            odate),
+        rec(s, F.col("s_suppkey"), F.lit("supplier_info"), "insert",
+            _m(("id", F.col("s_suppkey")), ("name", F.col("s_name"))), F.lit(0)),
+        rec(r, F.col("r_regionkey"), F.lit(None).cast("string"), "insert",
+            _m(("id", F.col("r_regionkey")), ("name", F.col("r_name"))), F.lit(0)),
+        rec(r, F.col("r_regionkey"), F.lit("base_region"), "insert",
+            F.create_map().cast("map<string,string>"), F.lit(0)),
+    ]
+    return reduce(lambda a, b: a.unionByName(b), out)
+
+
+def cdc_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change feed as JSON text: ``seq, value``."""
+    r = cdc_records(spark, sf_dir)
+    return r.select("seq", F.to_json(F.struct("database", "table", "type", "data", "ts")).alias("value"))
