@@ -77,8 +77,9 @@ def enrich_order_wide(wide: DataFrame, dims: dict[str, DataFrame], as_of_ms: int
                       offset_hours: int = TEXT_OFFSET_HOURS) -> DataFrame:
     """Dimension lookups of the order-wide row: user, province, sku (overwrites ``sku_name``),
     then spu / trademark / category3 keyed by the sku's values."""
-    w = enrich(wide, dims["user"], "user_id", {"_birthday": "birthday", "user_gender": "gender"})
-    w = w.withColumn("user_age", age_years(F.col("_birthday"), F.lit(as_of_ms), offset_hours)).drop("_birthday")
+    # the age is computed once per user on the dimension side, not once per order line
+    users = dims["user"].withColumn("_age", age_years(F.col("birthday"), F.lit(as_of_ms), offset_hours))
+    w = enrich(wide, users, "user_id", {"user_age": "_age", "user_gender": "gender"})
     w = enrich(w, dims["province"], "province_id",
                {"province_name": "name", "province_area_code": "area_code", "province_iso_code": "iso_code",
                 "province_3166_2_code": "iso_3166_2"}, small=100_000)
@@ -103,6 +104,7 @@ def payment_wide(payment_info: DataFrame, wide: DataFrame, *, within: str = "180
 
     Every wide column is copied, then the payment's own values win on shared names
     (``order_id``, ``user_id``, ``total_amount``); ``create_time`` is renamed on both sides.
+    ``wide`` may also be the un-enriched order lines: absent wide columns are simply not output.
     """
     p = payment_info.select(F.col("id").alias("payment_id"), "subject", "payment_type",
                             F.col("create_time").alias("payment_create_time"), "callback_time",
@@ -114,4 +116,4 @@ def payment_wide(payment_info: DataFrame, wide: DataFrame, *, within: str = "180
                       watermark=watermark)
     j = j.drop("order_id", "user_id", "total_amount").withColumnsRenamed(
         {"p_order_id": "order_id", "p_user_id": "user_id", "p_total_amount": "total_amount"})
-    return j.select(*PAYMENT_WIDE_COLUMNS, "p_ts")
+    return j.select(*[c for c in PAYMENT_WIDE_COLUMNS if c in j.columns], "p_ts")

@@ -15,11 +15,20 @@ from ..functions.timefmt import ymd_from_millis
 from ..schemas import LOG
 
 
+def parse_once(raw: DataFrame, value: str, schema) -> DataFrame:
+    """``from_json`` evaluated exactly once per row.
+
+    Filters on parsed fields would otherwise be pushed below the projection, re-inlining the
+    parse into every predicate (one JSON parse per referenced field).  ``inline`` of a one-element
+    array is a generator, which predicates on its output cannot cross.
+    """
+    carried = [c for c in raw.columns if c != value]
+    return raw.select(*carried, F.inline(F.array(F.from_json(F.col(value), schema))))
+
+
 def parse_log(raw: DataFrame, value: str = "value") -> DataFrame:
     """Raw JSON lines -> typed log rows (``common, start, page, displays, err, ts`` + carried cols)."""
-    carried = [c for c in raw.columns if c != value]
-    p = raw.select(*carried, F.from_json(F.col(value), LOG).alias("_j"), F.json_object_keys(F.col(value)).alias("_k"))
-    return p.filter(F.col("_k").isNotNull()).select(*carried, "_j.*")
+    return parse_once(raw.filter(F.json_object_keys(F.col(value)).isNotNull()), value, LOG)
 
 
 def dirty_log(raw: DataFrame, value: str = "value") -> DataFrame:

@@ -17,12 +17,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+_BOUND_CHECKS: dict[tuple[int, int], bool] = {}
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """``broadcast(df)`` when ``df`` provably has at most ``max_rows`` rows, else ``df``."""
+    """``broadcast(df)`` when ``df`` provably has at most ``max_rows`` rows, else ``df``.
+
+    The proof is a ``limit(max_rows + 1).count()`` job (reads at most that many rows); its answer
+    is remembered per semantic plan within the process, so a dimension is checked once.
+    """
     if df.isStreaming:
         return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    key = (df.semanticHash(), max_rows)
+    if key not in _BOUND_CHECKS:
+        _BOUND_CHECKS[key] = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if _BOUND_CHECKS[key] else df
 
 
 def latest_per_key(df: DataFrame, key: str | list[str], order: str) -> DataFrame:

@@ -18,13 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import CHANGE, SINK_HBASE, SINK_KAFKA
+from .logs import parse_once
 from .lookup import bounded_broadcast
 
 
 def parse_changes(raw: DataFrame, value: str = "value") -> DataFrame:
-    carried = [c for c in raw.columns if c != value]
-    p = raw.select(*carried, F.from_json(F.col(value), CHANGE).alias("_j"))
-    return p.select(*carried, "_j.*")
+    """JSON text -> ``database, table, type, data, ts`` (+ carried columns), parsed once per row."""
+    return parse_once(raw, value, CHANGE)
 
 
 def clean_changes(changes: DataFrame) -> DataFrame:

@@ -71,10 +71,15 @@ class Warehouse:
         return visitors.bounces(self.page_log, self.params.bounce_within, mode)
 
     @cached_property
-    def order_wide(self) -> DataFrame:
+    def order_lines(self) -> DataFrame:
+        """Order x detail interval join, before the dimension lookups."""
         s, d = self.spark, self.sf_dir
-        return joins.order_wide(T.order_info(s, d), T.order_detail(s, d, time="order"), self.dims,
-                                within=self.params.order_within, as_of_ms=self.params.as_of_ms)
+        return joins.order_detail_join(T.order_info(s, d), T.order_detail(s, d, time="order"),
+                                       self.params.order_within)
+
+    @cached_property
+    def order_wide(self) -> DataFrame:
+        return joins.enrich_order_wide(self.order_lines, self.dims, self.params.as_of_ms)
 
     @cached_property
     def payment_wide(self) -> DataFrame:
@@ -92,9 +97,13 @@ class Warehouse:
 
     @cached_property
     def product_measures(self) -> DataFrame:
+        """Product measures read the order lines before enrichment: the lookups are left joins on
+        unique keys, so the rows are the same and no dimension is joined twice (product stats look
+        the dimensions up after aggregating)."""
         s, d = self.spark, self.sf_dir
-        return stats.product_measures(self.page_log, T.favor_info(s, d), T.cart_info(s, d), self.order_wide,
-                                      self.payment_wide, T.order_refund_info(s, d), T.comment_info(s, d))
+        paid = joins.payment_wide(T.payment_info(s, d), self.order_lines, within=self.params.payment_within)
+        return stats.product_measures(self.page_log, T.favor_info(s, d), T.cart_info(s, d), self.order_lines,
+                                      paid, T.order_refund_info(s, d), T.comment_info(s, d))
 
     @cached_property
     def product_stats(self) -> DataFrame:

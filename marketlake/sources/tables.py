@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.timefmt import DATE_FMT, datetime_str, ntz_to_millis, text_to_millis
+from ..functions.timefmt import DATE_FMT, datetime_str, ntz_to_millis
 from ..schemas import AMOUNT
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -104,6 +104,12 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- order facts ------------------------------------------------------------------------------
 
+def _ms_of_text_time(ts: str) -> F.Column:
+    """``create_ts``: what parsing the second-resolution text time gives, computed without the
+    format/parse round trip."""
+    return ntz_to_millis(F.date_trunc("second", F.col(ts))).alias("create_ts")
+
+
 ORDER_STATUS_OF = {"F": "1004", "P": "1002"}  # anything else is unpaid (1001)
 
 
@@ -122,7 +128,7 @@ def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
         ct.alias("create_time"), F.lit(None).cast("string").alias("operate_time"),
         F.date_format("o_orderdate", DATE_FMT).alias("create_date"),
         F.date_format("o_orderdate", "HH").alias("create_hour"),
-        text_to_millis(ct).alias("create_ts"))
+        _ms_of_text_time("o_orderdate"))
 
 
 def order_detail(spark: SparkSession, sf_dir: str, time: str = "ship") -> DataFrame:
@@ -144,7 +150,7 @@ def order_detail(spark: SparkSession, sf_dir: str, time: str = "ship") -> DataFr
         _dec("l_extendedprice").alias("order_price"), F.col("l_quantity").cast("bigint").alias("sku_num"),
         F.lit(None).cast("string").alias("sku_name"), ct.alias("create_time"),
         _dec("l_extendedprice").alias("split_total_amount"), _zero().alias("split_activity_amount"),
-        _zero().alias("split_coupon_amount"), text_to_millis(ct).alias("create_ts"))
+        _zero().alias("split_coupon_amount"), _ms_of_text_time("_t"))
 
 
 PAYMENT_TYPES = ["1101", "1102", "1103"]
