@@ -296,3 +296,89 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     by_province, visitor_by_new_flag, visitor_by_hour, hour_densify, visitor_transpose, keyword_topn,
     name_value_list, table_rows, series_arrays, hour_series, scalar_envelope, code_decode,
 ]}
+
+
+# ---- streaming twins: the same operators under Structured Streaming (availableNow) ------------
+# Inputs are derived from the driver tables, staged as files, streamed, and read back; the result
+# must equal the batch query (same SQL twin).
+
+def _flat_out(df):
+    return df.filter(F.col("mid") != _jobs().SENTINEL).select("seq", "mid", "is_new", "ts", "dt", "page_id",
+                                                              "last_page_id")
+
+
+def _jobs():
+    from ..streaming import jobs
+    return jobs
+
+
+def _staged_pages(spark, d):
+    from ..streaming.processors import flatten_log
+    j = _jobs()
+    flat = flatten_log(Warehouse(spark, d).page_log)
+    return j.read_staged(spark, j.stage(j.with_sentinel(flat, "ts", "mid"), "pages", order="seq"))
+
+
+def unique_visit_stream(spark, d):
+    from ..streaming.processors import unique_visits_stream
+    return _flat_out(_jobs().run_available_now(unique_visits_stream(_staged_pages(spark, d)), "unique_visit"))
+
+
+def bounce_as_written_stream(spark, d):
+    from ..streaming.processors import bounces_stream
+    w = Warehouse(spark, d)
+    s = bounces_stream(_staged_pages(spark, d), w.params.bounce_within, "as_written")
+    return _flat_out(_jobs().run_available_now(s, "bounce"))
+
+
+def new_visitor_repair_stream(spark, d):
+    j = _jobs()
+    raw = j.read_staged(spark, j.stage(T.raw_log(spark, d), "raw_log", order="seq"))
+    out = j.run_available_now(j.detail_log_stream(raw), "repair")
+    return out.select("seq", "mid", "dt", "is_new")
+
+
+def order_interval_join_stream(spark, d):
+    j = _jobs()
+    oi = j.read_staged(spark, j.stage(T.order_info(spark, d), "order_info"))
+    od = j.read_staged(spark, j.stage(T.order_detail(spark, d, time="ship"), "order_detail"))
+    out = j.run_available_now(j.order_lines_stream(oi, od, "5 milliseconds"), "order_lines")
+    return _amounts(out.select("order_id", "sku_id", "sku_num", "split_total_amount", "province_id",
+                               "order_status", "create_time"))
+
+
+def visitor_stats_stream(spark, d):
+    j = _jobs()
+    w = Warehouse(spark, d)
+    m = j.with_sentinel(w.visitor_measures, "ts", "vc")
+    s = j.visitor_stats_stream(j.read_staged(spark, j.stage(m, "visitor_measures")), w.params.visitor_window,
+                               w.params.as_of_ms)
+    return j.run_available_now(s, "visitor_stats").filter(F.col("vc") != j.SENTINEL)
+
+
+def keyword_search_stream(spark, d):
+    j = _jobs()
+    w = Warehouse(spark, d)
+    pages = stats.search_pages(w.page_log).select("page", "ts")
+    last = pages.orderBy(F.desc("ts")).limit(1)
+    sentinel = last.select(F.col("page").withField("item", F.lit("zzendzz")).alias("page"),
+                           (F.col("ts") + F.lit(j.SENTINEL_SHIFT_MS)).alias("ts"))
+    src = j.read_staged(spark, j.stage(pages.unionByName(sentinel), "search_pages"))
+    s = stats.keyword_search_stats(src, w.params.window, as_of_ms=w.params.as_of_ms)
+    return j.run_available_now(s, "keyword_search").filter(F.col("keyword") != "zzendzz")
+
+
+def cdc_route_fact_stream(spark, d):
+    j = _jobs()
+    raw = j.read_staged(spark, j.stage(T.cdc_raw(spark, d), "cdc_raw"))
+    facts = j.routed_facts_stream(raw, T.routing_config(spark))
+
+    def write(batch, batch_id, out):
+        _record_view(batch).write.mode("append").parquet(out)
+    return j.run_available_now(facts, "cdc_facts", foreach=write)
+
+
+QUERIES.update({f.__name__: f for f in [
+    unique_visit_stream, bounce_as_written_stream, new_visitor_repair_stream, order_interval_join_stream,
+    visitor_stats_stream, keyword_search_stream, cdc_route_fact_stream,
+]})

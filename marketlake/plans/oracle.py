@@ -436,3 +436,8 @@ ORACLE: dict[str, str] = {
         WHEN '1003' THEN 'cancelled' WHEN '1004' THEN 'finished' WHEN '1005' THEN 'refunding' WHEN '1006' THEN 'refunded'
         END AS status_name, CAST(count(*) AS BIGINT) AS order_count FROM oi GROUP BY order_status""", "oi"),
 }
+
+# streaming twins answer exactly what their batch query answers
+for _name in ("unique_visit", "bounce_as_written", "new_visitor_repair", "order_interval_join", "visitor_stats",
+              "keyword_search", "cdc_route_fact"):
+    ORACLE[f"{_name}_stream"] = ORACLE[_name]
