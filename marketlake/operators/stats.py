@@ -35,6 +35,17 @@ def _a0() -> Column:
     return F.lit(0).cast(AMOUNT)
 
 
+def cents(c) -> Column:
+    """DECIMAL(18,2) amount -> exact BIGINT cents.  Sums of BIGINT stay on primitive longs (a
+    DECIMAL(18,2) sum widens to DECIMAL(28,2), accumulated as java BigDecimal); ANSI mode turns an
+    overflow into an error, never a wrong total."""
+    return ((F.col(c) if isinstance(c, str) else c) * 100).cast("bigint")
+
+
+def from_cents(c) -> Column:
+    return ((F.col(c) if isinstance(c, str) else c).cast("decimal(38,0)") / F.lit(100)).cast(AMOUNT_SUM)
+
+
 def tumble(df: DataFrame, ts_ms: str, size: str, watermark: str | None) -> DataFrame:
     """Add event time ``_et`` (watermarked when streaming) for ``window(_et, size)``."""
     d = df.withColumn("_et", event_time(F.col(ts_ms), df.isStreaming))
@@ -136,17 +147,20 @@ def product_window_sums(measures: DataFrame, size: str = "10 seconds",
     """Window aggregate by sku: 10 sums + 3 exact distinct order counts; dimension columns not yet
     filled.  Output: ``_w, sku_id`` + measures."""
     d = tumble(measures, "ts", size, watermark)
+    d = d.withColumns({c: cents(c) for c in PRODUCT_AMOUNTS})
     w = F.window("_et", size).alias("_w")
     sums = [F.sum(c).alias(c) for c in PRODUCT_COUNTS + PRODUCT_AMOUNTS]
+    back = {c: from_cents(c) for c in PRODUCT_AMOUNTS}
     if measures.isStreaming:
         sets = [F.size(F.collect_set(F.when(F.col("kind") == k, F.col("oid")))).cast("bigint").alias(n)
                 for k, n in ORDER_KINDS.items()]
-        return d.groupBy(w, "sku_id").agg(*sums, *sets)
+        return d.groupBy(w, "sku_id").agg(*sums, *sets).withColumns(back)
     # level 1: one row per (window, sku, kind, order id); non-order rows collapse per (window, sku)
     lvl1 = d.groupBy(w, "sku_id", "kind", "oid").agg(*sums)
     counts = [F.count_if((F.col("kind") == k) & F.col("oid").isNotNull()).cast("bigint").alias(n)
               for k, n in ORDER_KINDS.items()]
-    return lvl1.groupBy("_w", "sku_id").agg(*[F.sum(c).alias(c) for c in PRODUCT_COUNTS + PRODUCT_AMOUNTS], *counts)
+    lvl2 = lvl1.groupBy("_w", "sku_id").agg(*[F.sum(c).alias(c) for c in PRODUCT_COUNTS + PRODUCT_AMOUNTS], *counts)
+    return lvl2.withColumns(back)
 
 
 def product_stats(measures: DataFrame, dims: dict[str, DataFrame], size: str = "10 seconds", *,
@@ -184,7 +198,7 @@ def province_stats(order_wide: DataFrame, size: str = "10 seconds", *, as_of_ms:
     else:
         n = F.count_distinct("order_id").cast("bigint")
     g = d.groupBy(F.window("_et", size).alias("_w"), *keys).agg(
-        F.sum("split_total_amount").cast(AMOUNT_SUM).alias("order_amount"), n.alias("order_count"))
+        from_cents(F.sum(cents("split_total_amount"))).alias("order_amount"), n.alias("order_count"))
     ts = as_of_ms if isinstance(as_of_ms, Column) else F.lit(as_of_ms).cast("bigint")
     return g.select("*", *window_bounds(), ts.alias("ts")).select(*PROVINCE_STATS_COLUMNS)
 
