@@ -11,7 +11,10 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import cached_property
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import joins, logs, stats, visitors
 from ..session import new_location
@@ -36,6 +39,7 @@ class Warehouse:
     spark: SparkSession
     sf_dir: str
     params: Params = field(default_factory=Params)
+    timings: dict[str, float] = field(default_factory=dict)
 
     # ---- inputs -------------------------------------------------------------------------------
     @cached_property
@@ -131,8 +135,17 @@ class Warehouse:
         from ..operators.reports import with_day
         path = new_location(self.spark, f"tables/{name}")
         out = with_day(df) if (partition_by == "dt" and "stt" in df.columns) else df
-        w = out.write.mode("overwrite")
         if partition_by and partition_by in out.columns:
-            w = w.partitionBy(partition_by)
+            # range-partition by (day, window, first column): each task writes a contiguous run of
+            # days (few files per day instead of one per task per day) and a large day still
+            # spans several tasks
+            keys = [partition_by] + [c for c in ("stt", out.columns[0]) if c in out.columns and c != partition_by]
+            w = out.repartitionByRange(*keys).write.mode("overwrite").partitionBy(partition_by)
+        else:
+            w = out.write.mode("overwrite")
+        t0 = time.time()
         w.parquet(path)
-        return self.spark.read.parquet(path)
+        self.timings[name] = round(time.time() - t0, 3)
+        back = self.spark.read.parquet(path)
+        # partition discovery would type dt as an integer; reports compare it as yyyyMMdd text
+        return back.withColumn("dt", F.col("dt").cast("string")) if "dt" in back.columns else back
