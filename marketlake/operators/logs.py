@@ -12,28 +12,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timefmt import ymd_from_millis
+from pyspark.sql.types import StringType, StructField, StructType
+
 from ..schemas import LOG
 
 
-def parse_once(raw: DataFrame, value: str, schema) -> DataFrame:
-    """``from_json`` evaluated exactly once per row.
+CORRUPT = "_corrupt_record"
+
+
+def parse_once(raw: DataFrame, value: str, schema: StructType) -> DataFrame:
+    """``from_json`` evaluated exactly once per row, with a corrupt-record column.
 
     Filters on parsed fields would otherwise be pushed below the projection, re-inlining the
     parse into every predicate (one JSON parse per referenced field).  ``inline`` of a one-element
-    array is a generator, which predicates on its output cannot cross.
+    array is a generator, which predicates on its output cannot cross.  Malformed text lands in
+    ``_corrupt_record`` (PERMISSIVE mode), so telling good from dirty rows needs no second parse.
     """
     carried = [c for c in raw.columns if c != value]
-    return raw.select(*carried, F.inline(F.array(F.from_json(F.col(value), schema))))
+    full = StructType(schema.fields + [StructField(CORRUPT, StringType(), True)])
+    parsed = F.from_json(F.col(value), full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return raw.select(*carried, F.inline(F.array(parsed)))
 
 
 def parse_log(raw: DataFrame, value: str = "value") -> DataFrame:
     """Raw JSON lines -> typed log rows (``common, start, page, displays, err, ts`` + carried cols)."""
-    return parse_once(raw.filter(F.json_object_keys(F.col(value)).isNotNull()), value, LOG)
+    return parse_once(raw, value, LOG).filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
 def dirty_log(raw: DataFrame, value: str = "value") -> DataFrame:
-    """Lines that are not a JSON object."""
-    return raw.filter(F.json_object_keys(F.col(value)).isNull())
+    """Lines that are not a JSON object of the log schema (the dead-letter output)."""
+    p = parse_once(raw, value, LOG)
+    return p.filter(F.col(CORRUPT).isNotNull()).select(*[c for c in raw.columns if c != value],
+                                                        F.col(CORRUPT).alias(value))
 
 
 def is_start(df: DataFrame | None = None) -> Column:

@@ -18,13 +18,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import CHANGE, SINK_HBASE, SINK_KAFKA
-from .logs import parse_once
+from .logs import CORRUPT, parse_once
 from .lookup import bounded_broadcast
 
 
 def parse_changes(raw: DataFrame, value: str = "value") -> DataFrame:
-    """JSON text -> ``database, table, type, data, ts`` (+ carried columns), parsed once per row."""
-    return parse_once(raw, value, CHANGE)
+    """JSON text -> ``database, table, type, data, ts`` (+ carried columns), parsed once per row;
+    malformed records are dropped (the dead letters are ``dirty_changes``)."""
+    return parse_once(raw, value, CHANGE).filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def dirty_changes(raw: DataFrame, value: str = "value") -> DataFrame:
+    return parse_once(raw, value, CHANGE).filter(F.col(CORRUPT).isNotNull())
 
 
 def clean_changes(changes: DataFrame) -> DataFrame:
