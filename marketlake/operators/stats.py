@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import APPRAISE_GOOD, KEYWORD_SEARCH
 from ..functions.text import keyword_sources, words
-from ..functions.timefmt import DATETIME_FMT, TEXT_OFFSET_HOURS, event_time, text_to_millis
+from ..functions.timefmt import DATETIME_FMT, TEXT_OFFSET_HOURS, event_time, millis_to_ntz, text_to_millis
 from ..schemas import (AMOUNT, AMOUNT_SUM, KEYWORD_STATS_COLUMNS, PRODUCT_STATS_COLUMNS,
                        PROVINCE_STATS_COLUMNS, VISITOR_STATS_COLUMNS)
 from .lookup import enrich
@@ -54,9 +54,17 @@ def tumble(df: DataFrame, ts_ms: str, size: str, watermark: str | None) -> DataF
     return d
 
 
-def window_bounds(w: str = "_w") -> list[Column]:
-    return [F.date_format(F.col(f"{w}.start"), DATETIME_FMT).alias("stt"),
-            F.date_format(F.col(f"{w}.end"), DATETIME_FMT).alias("edt")]
+def _wall_clock(c: Column, instant: bool) -> Column:
+    """Window bound -> UTC wall-clock text.  Instant (streaming) bounds go through epoch millis so
+    the text does not depend on the session time zone; wall-clock (batch) bounds format as is."""
+    if instant:
+        c = millis_to_ntz(F.unix_millis(c))
+    return F.date_format(c, DATETIME_FMT)
+
+
+def window_bounds(w: str = "_w", instant: bool = False) -> list[Column]:
+    return [_wall_clock(F.col(f"{w}.start"), instant).alias("stt"),
+            _wall_clock(F.col(f"{w}.end"), instant).alias("edt")]
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
@@ -92,7 +100,7 @@ def visitor_stats(measures: DataFrame, size: str = "10 seconds", *, as_of_ms: Co
     g = d.groupBy(F.window("_et", size).alias("_w"), *VISITOR_KEYS).agg(
         *[F.sum(c).cast("bigint").alias(c) for c in ("uv_ct", "pv_ct", "sv_ct", "uj_ct", "dur_sum")])
     ts = as_of_ms if isinstance(as_of_ms, Column) else F.lit(as_of_ms).cast("bigint")
-    return g.select(*window_bounds(), *VISITOR_KEYS, "uv_ct", "pv_ct", "sv_ct", "uj_ct", "dur_sum",
+    return g.select(*window_bounds(instant=measures.isStreaming), *VISITOR_KEYS, "uv_ct", "pv_ct", "sv_ct", "uj_ct", "dur_sum",
                     ts.alias("ts")).select(*VISITOR_STATS_COLUMNS)
 
 
@@ -173,7 +181,7 @@ def product_stats(measures: DataFrame, dims: dict[str, DataFrame], size: str = "
     g = enrich(g, dims["trademark"], "tm_id", {"tm_name": "tm_name"}, small=100_000)
     g = enrich(g, dims["category3"], "category3_id", {"category3_name": "name"}, small=100_000)
     ts = as_of_ms if isinstance(as_of_ms, Column) else F.lit(as_of_ms).cast("bigint")
-    g = g.select("*", *window_bounds(), ts.alias("ts"))
+    g = g.select("*", *window_bounds(instant=measures.isStreaming), ts.alias("ts"))
     for c in PRODUCT_COUNTS + list(ORDER_KINDS.values()):
         g = g.withColumn(c, F.col(c).cast("bigint"))
     for c in PRODUCT_AMOUNTS:
@@ -200,7 +208,7 @@ def province_stats(order_wide: DataFrame, size: str = "10 seconds", *, as_of_ms:
     g = d.groupBy(F.window("_et", size).alias("_w"), *keys).agg(
         from_cents(F.sum(cents("split_total_amount"))).alias("order_amount"), n.alias("order_count"))
     ts = as_of_ms if isinstance(as_of_ms, Column) else F.lit(as_of_ms).cast("bigint")
-    return g.select("*", *window_bounds(), ts.alias("ts")).select(*PROVINCE_STATS_COLUMNS)
+    return g.select("*", *window_bounds(instant=order_wide.isStreaming), ts.alias("ts")).select(*PROVINCE_STATS_COLUMNS)
 
 
 # ---- keywords ---------------------------------------------------------------------------------
@@ -217,7 +225,7 @@ def keyword_search_stats(page_log: DataFrame, size: str = "10 seconds", *, as_of
     d = tumble(s, "ts", size, watermark)
     g = d.groupBy(F.window("_et", size).alias("_w"), "keyword").agg(F.count(F.lit(1)).alias("ct"))
     ts = as_of_ms if isinstance(as_of_ms, Column) else F.lit(as_of_ms).cast("bigint")
-    return g.select("keyword", "ct", F.lit(KEYWORD_SEARCH).alias("source"), *window_bounds(),
+    return g.select("keyword", "ct", F.lit(KEYWORD_SEARCH).alias("source"), *window_bounds(instant=page_log.isStreaming),
                     ts.alias("ts")).select(*KEYWORD_STATS_COLUMNS)
 
 
