@@ -16,9 +16,11 @@ Results equal the batch forms for rows whose outcome is closed by the watermark.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -26,6 +28,10 @@ from pyspark.sql.types import BooleanType, LongType, StringType, StructField, St
 
 from ..functions.timefmt import ymd_from_millis
 
+# The processors are the only Python that runs on executors.  Pickle this module by value so a
+# worker needs pandas and pyspark, not this package on its path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 S, L = StringType(), LongType()
 FLAT_LOG = StructType([StructField(n, t, True) for n, t in [
     ("seq", L), ("mid", S), ("ts", L), ("dt", S), ("is_new", S), ("vc", S), ("ch", S), ("ar", S),
@@ -181,16 +187,30 @@ class BounceDetector(StatefulProcessor):
         pass
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def ensure_state_store(df: DataFrame) -> None:
+    """The state API v2 runs on the RocksDB state store; select it for new streaming queries of
+    this session when another provider is configured (existing checkpoints keep theirs)."""
+    conf = df.sparkSession.conf
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if conf.get(key, None) != ROCKSDB:
+        conf.set(key, ROCKSDB)
+
+
 def _with_event_time(flat: DataFrame, watermark: str) -> DataFrame:
     return flat.withColumn("_et", F.timestamp_millis("ts")).withWatermark("_et", watermark)
 
 
 def repair_new_flag_stream(flat: DataFrame) -> DataFrame:
+    ensure_state_store(flat)
     return flat.groupBy("mid").transformWithStateInPandas(
         statefulProcessor=NewVisitorRepair(), outputStructType=FLAT_LOG, outputMode="Append", timeMode="None")
 
 
 def unique_visits_stream(flat_pages: DataFrame, watermark: str = "3 seconds") -> DataFrame:
+    ensure_state_store(flat_pages)
     entries = flat_pages.filter(F.coalesce(F.col("last_page_id"), F.lit("")) == "")
     return _with_event_time(entries, watermark).groupBy("mid").transformWithStateInPandas(
         statefulProcessor=DailyUniqueVisit(), outputStructType=FLAT_LOG, outputMode="Append", timeMode="EventTime")
@@ -199,6 +219,7 @@ def unique_visits_stream(flat_pages: DataFrame, watermark: str = "3 seconds") ->
 def bounces_stream(flat_pages: DataFrame, within: str = "10 seconds", mode: str = "as_written",
                    watermark: str = "0 seconds") -> DataFrame:
     from ..operators.joins import _ms
+    ensure_state_store(flat_pages)
     proc = BounceDetector(_ms(within), mode == "as_documented")
     return _with_event_time(flat_pages, watermark).groupBy("mid").transformWithStateInPandas(
         statefulProcessor=proc, outputStructType=FLAT_LOG, outputMode="Append", timeMode="EventTime")
