@@ -44,8 +44,10 @@ def _type(normalize_bootstrap: bool):
 def route(changes: DataFrame, config: DataFrame, normalize_bootstrap: bool = False,
           config_rows: int = 10_000) -> DataFrame:
     """Matched records with their config columns (``sink_type, sink_table, sink_columns, sink_pk``)."""
+    # the column list is split once per config row, not once per record and key
     cfg = bounded_broadcast(config.select("source_table", "operate_type", "sink_type", "sink_table",
-                                          "sink_columns", "sink_pk"), config_rows)
+                                          "sink_columns", "sink_pk",
+                                          F.split("sink_columns", ",").alias("_keep")), config_rows)
     c = changes.withColumn("type", _type(normalize_bootstrap))
     return c.join(cfg, (F.col("table") == F.col("source_table")) & (F.col("type") == F.col("operate_type")), "inner")
 
@@ -59,10 +61,11 @@ def unmatched(changes: DataFrame, config: DataFrame, normalize_bootstrap: bool =
 
 def filter_columns(routed: DataFrame) -> DataFrame:
     """``data`` reduced to the configured columns; NULL/empty ``sink_columns`` keeps all."""
-    keep = F.split(F.col("sink_columns"), ",")
+    keep = F.col("_keep") if "_keep" in routed.columns else F.split(F.col("sink_columns"), ",")
     filtered = F.map_filter("data", lambda k, v: F.array_contains(keep, k))
     all_cols = F.col("sink_columns").isNull() | (F.col("sink_columns") == "")
-    return routed.withColumn("data", F.when(all_cols, F.col("data")).otherwise(filtered))
+    out = routed.withColumn("data", F.when(all_cols, F.col("data")).otherwise(filtered))
+    return out.drop("_keep")
 
 
 def facts(routed: DataFrame) -> DataFrame:
