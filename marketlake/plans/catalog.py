@@ -331,6 +331,13 @@ def bounce_as_written_stream(spark, d):
     return _flat_out(_jobs().run_available_now(s, "bounce"))
 
 
+def bounce_as_documented_stream(spark, d):
+    from ..streaming.processors import bounces_stream
+    w = Warehouse(spark, d)
+    s = bounces_stream(_staged_pages(spark, d), w.params.bounce_within, "as_documented")
+    return _flat_out(_jobs().run_available_now(s, "bounce_documented"))
+
+
 def new_visitor_repair_stream(spark, d):
     j = _jobs()
     raw = j.read_staged(spark, j.stage(T.raw_log(spark, d), "raw_log", order="seq"))
@@ -379,6 +386,6 @@ def cdc_route_fact_stream(spark, d):
 
 
 QUERIES.update({f.__name__: f for f in [
-    unique_visit_stream, bounce_as_written_stream, new_visitor_repair_stream, order_interval_join_stream,
+    unique_visit_stream, bounce_as_written_stream, bounce_as_documented_stream, new_visitor_repair_stream, order_interval_join_stream,
     visitor_stats_stream, keyword_search_stream, cdc_route_fact_stream,
 ]})
