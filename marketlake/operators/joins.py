@@ -117,3 +117,21 @@ def payment_wide(payment_info: DataFrame, wide: DataFrame, *, within: str = "180
     j = j.drop("order_id", "user_id", "total_amount").withColumnsRenamed(
         {"p_order_id": "order_id", "p_user_id": "user_id", "p_total_amount": "total_amount"})
     return j.select(*[c for c in PAYMENT_WIDE_COLUMNS if c in j.columns], "p_ts")
+
+
+# the 13 order/detail fields two partial wide rows can both carry
+MERGEABLE = ["order_id", "order_status", "create_time", "user_id", "province_id", "total_amount",
+             "activity_reduce_amount", "coupon_reduce_amount", "original_total_amount", "feight_fee",
+             "sku_id", "sku_num", "sku_name"]
+
+
+def merge_first_non_null(left: DataFrame, right: DataFrame, key: str, columns: list[str] = MERGEABLE) -> DataFrame:
+    """Merge two partial wide rows per ``key``: each column takes the left value, else the right one.
+
+    The three split amounts are left-only: they are kept from ``left`` and never merged.  Only
+    columns present on both sides are merged; ``right`` must hold one row per key."""
+    columns = [c for c in columns if c != key and c in left.columns and c in right.columns]
+    r = right.select(F.col(key).alias("_r_key"), *[F.col(c).alias("_r_" + c) for c in columns])
+    j = left.join(r, F.col(key) == F.col("_r_key"), "left")
+    out = {c: F.coalesce(F.col(c), F.col("_r_" + c)) for c in columns}
+    return j.withColumns(out).drop(*[c for c in j.columns if c.startswith("_r_")])

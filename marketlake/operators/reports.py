@@ -28,6 +28,18 @@ NEW_VISITOR_SERIES = "新用户"            # series name of new visitors in the
 # -----------------------------------------------------------------------------------------------
 
 
+def report_date(date: int | str | None, as_of_ms: int | None = None) -> str | None:
+    """Dashboard date parameter: ``0`` (or ``"0"``) means today (UTC day of ``as_of_ms``, default
+    now); ``None`` means every day; anything else is a ``yyyyMMdd`` day."""
+    if date is None:
+        return None
+    if str(date) == "0":
+        import datetime as _dt
+        ms = as_of_ms if as_of_ms is not None else int(_dt.datetime.now(_dt.timezone.utc).timestamp() * 1000)
+        return _dt.datetime.fromtimestamp(ms / 1000, _dt.timezone.utc).strftime("%Y%m%d")
+    return str(date)
+
+
 def with_day(stats: DataFrame) -> DataFrame:
     """``dt`` (``yyyyMMdd``) of the window start, unless the table already carries it."""
     if "dt" in stats.columns:

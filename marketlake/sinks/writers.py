@@ -84,3 +84,30 @@ def append_report_jdbc(df: DataFrame, url: str, table: str, columns: list[str],
 def console(df: DataFrame, name: str = "debug"):
     """Opt-in debug sink."""
     return df.writeStream.format("console").option("truncate", "false").queryName(name).start()
+
+
+def dimension_schema(sink_columns: str | None, sink_pk: str | None = None):
+    """Schema of a dimension created from its routing config: every column STRING, primary key
+    ``sink_pk`` (default ``id``) first, column names split exactly on ``,``."""
+    from pyspark.sql.types import StringType, StructField, StructType
+    pk = sink_pk or "id"
+    cols = [c for c in (sink_columns or "").split(",") if c != ""]
+    ordered = [pk] + [c for c in cols if c != pk]
+    return StructType([StructField(c, StringType(), True) for c in ordered])
+
+
+def create_dimension_if_missing(spark: SparkSession, root: str, sink_columns: str | None,
+                                sink_pk: str | None = None) -> bool:
+    """Create an empty version-0 snapshot of a configured dimension; False if it already exists."""
+    if _exists(spark, root):
+        return False
+    dimension_schema(sink_columns, sink_pk)  # validates the column list
+    empty = spark.createDataFrame([], "id string, data map<string,string>")
+    empty.write.parquet(os.path.join(root, "v=0"))
+    return True
+
+
+def snapshot_columns(snapshot: DataFrame, sink_columns: str | None, sink_pk: str | None = None) -> DataFrame:
+    """A ``(id, data map)`` snapshot as one STRING column per configured dimension column."""
+    schema = dimension_schema(sink_columns, sink_pk)
+    return snapshot.select(*[F.col("data")[f.name].alias(f.name) for f in schema.fields])
