@@ -181,12 +181,13 @@ def product_stats(measures: DataFrame, dims: dict[str, DataFrame], size: str = "
     g = enrich(g, dims["trademark"], "tm_id", {"tm_name": "tm_name"}, small=100_000)
     g = enrich(g, dims["category3"], "category3_id", {"category3_name": "name"}, small=100_000)
     ts = as_of_ms if isinstance(as_of_ms, Column) else F.lit(as_of_ms).cast("bigint")
-    g = g.select("*", *window_bounds(instant=measures.isStreaming), ts.alias("ts"))
-    for c in PRODUCT_COUNTS + list(ORDER_KINDS.values()):
-        g = g.withColumn(c, F.col(c).cast("bigint"))
-    for c in PRODUCT_AMOUNTS:
-        g = g.withColumn(c, F.col(c).cast(AMOUNT_SUM))
-    return g.select(*PRODUCT_STATS_COLUMNS)
+    # one projection (every DataFrame step re-analyses the whole plan, so no withColumn loops)
+    typed = {c: F.col(c).cast("bigint") for c in PRODUCT_COUNTS + list(ORDER_KINDS.values())}
+    typed.update({c: F.col(c).cast(AMOUNT_SUM) for c in PRODUCT_AMOUNTS})
+    bounds = dict(zip(("stt", "edt"), window_bounds(instant=measures.isStreaming)))
+    out = [bounds[c] if c in bounds else ts.alias("ts") if c == "ts" else
+           typed[c].alias(c) if c in typed else F.col(c) for c in PRODUCT_STATS_COLUMNS]
+    return g.select(*out)
 
 
 # ---- provinces --------------------------------------------------------------------------------

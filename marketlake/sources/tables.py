@@ -31,8 +31,16 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 AS_OF_MS = 1735689600000  # 2025-01-01 00:00:00 UTC
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table.  Its schema is read from the parquet footer once per path and then given
+    to the reader, so building a plan does not re-read footers for every reference."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _dec(c) -> F.Column:
