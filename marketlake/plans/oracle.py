@@ -254,7 +254,7 @@ cte("um", ("cln", "cfg"), """
 # ---- reports ------------------------------------------------------------------------------------
 
 
-def _top(group: str, idc: str, name: str, n: int, extra: str = "") -> str:
+def _top(idc: str, name: str, n: int, extra: str = "") -> str:
     return f"""
   SELECT * FROM (
     SELECT dt, {idc}, {name}, sum(order_amount) AS order_amount {extra},
@@ -263,9 +263,9 @@ def _top(group: str, idc: str, name: str, n: int, extra: str = "") -> str:
   WHERE rank <= {n}"""
 
 
-cte("btm", ("pse",), _top("tm", "tm_id", "tm_name", 10))
-cte("bc3", ("pse",), _top("c3", "category3_id", "category3_name", 10))
-cte("bspu", ("pse",), _top("spu", "spu_id", "spu_name", 10, ", CAST(sum(order_ct) AS BIGINT) AS order_ct"))
+cte("btm", ("pse",), _top("tm_id", "tm_name", 10))
+cte("bc3", ("pse",), _top("category3_id", "category3_name", 10))
+cte("bspu", ("pse",), _top("spu_id", "spu_name", 10, ", CAST(sum(order_ct) AS BIGINT) AS order_ct"))
 cte("vsd", ("vs",), f"SELECT *, {day_of()} AS dt FROM vs")
 cte("vbn", ("vsd",), """
   SELECT dt, is_new, CAST(sum(uv_ct) AS BIGINT) AS uv_ct, CAST(sum(pv_ct) AS BIGINT) AS pv_ct,
