@@ -13,25 +13,32 @@ A lookup is a plain left join.  Who broadcasts:
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-_BOUND_CHECKS: dict[tuple[int, int], bool] = {}
+_BOUND_CHECKS: dict[tuple[int, int], tuple[bool, float]] = {}
+BOUND_CHECK_TTL_SEC = 600.0
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """``broadcast(df)`` when ``df`` provably has at most ``max_rows`` rows, else ``df``.
 
-    The proof is a ``limit(max_rows + 1).count()`` job (reads at most that many rows); its answer
-    is remembered per semantic plan within the process, so a dimension is checked once.
+    The proof is a ``limit(max_rows + 1).count()`` job (reads at most that many rows).  Its answer
+    is remembered per semantic plan for ``BOUND_CHECK_TTL_SEC``: the same plan over grown data
+    (a long-running driver) is re-proved, so a dimension that outgrew the bound stops being
+    broadcast.
     """
     if df.isStreaming:
         return df
     key = (df.semanticHash(), max_rows)
-    if key not in _BOUND_CHECKS:
-        _BOUND_CHECKS[key] = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if _BOUND_CHECKS[key] else df
+    hit = _BOUND_CHECKS.get(key)
+    if hit is None or time.monotonic() - hit[1] > BOUND_CHECK_TTL_SEC:
+        hit = (df.limit(max_rows + 1).count() <= max_rows, time.monotonic())
+        _BOUND_CHECKS[key] = hit
+    return F.broadcast(df) if hit[0] else df
 
 
 def latest_per_key(df: DataFrame, key: str | list[str], order: str) -> DataFrame:
