@@ -90,3 +90,39 @@ def order_lines_stream(order_info: DataFrame, order_detail: DataFrame, within: s
 def routed_facts_stream(raw_changes: DataFrame, config: DataFrame) -> DataFrame:
     """Change-record text stream -> routed fact records (config joined per micro-batch)."""
     return routing.facts(routing.route(routing.clean_changes(routing.parse_changes(raw_changes)), config))
+
+
+# ---- detail layer with side outputs -----------------------------------------------------------
+
+def write_log_outputs(batch: DataFrame, batch_id: int, root: str) -> None:
+    """One micro-batch of the repaired flat log -> start / page / display outputs.
+
+    The batch is persisted once and written to three folders (the side outputs); each output
+    folder is keyed by batch id and overwritten on replay, so the sink is exactly-once."""
+    import os
+    from ..schemas import DISPLAY
+    from pyspark.sql.types import ArrayType, StructField, StructType
+    b = batch.persist()
+    try:
+        part = f"batch={batch_id}"
+        b.filter("is_start").drop("payload").write.mode("overwrite").parquet(os.path.join(root, "start", part))
+        pages = b.filter("NOT is_start")
+        pages.drop("payload").write.mode("overwrite").parquet(os.path.join(root, "page", part))
+        only_displays = StructType([StructField("displays", ArrayType(DISPLAY), True)])
+        disp = (pages.select("seq", "page_id", F.from_json("payload", only_displays)["displays"].alias("_d"))
+                .select("seq", "page_id", F.explode("_d").alias("_x")).select("seq", "_x.*", "page_id"))
+        disp.write.mode("overwrite").parquet(os.path.join(root, "display", part))
+    finally:
+        b.unpersist()
+
+
+def start_detail_layer(raw: DataFrame, root: str, *, checkpoint: str | None = None, trigger: dict | None = None):
+    """Raw log text stream -> parse -> new-visitor repair (stateful) -> three outputs under
+    ``root``.  Returns the running query."""
+    from .processors import flatten_log, repair_new_flag_stream
+    typed = logs.parse_log(raw.withColumn("payload", F.col("value")))
+    repaired = repair_new_flag_stream(flatten_log(typed))
+    w = repaired.writeStream.option("checkpointLocation",
+                                    checkpoint or new_location(raw.sparkSession, "checkpoints/detail"))
+    w = w.trigger(**(trigger or {"availableNow": True}))
+    return w.foreachBatch(lambda b, i: write_log_outputs(b, i, root)).start()

@@ -36,13 +36,15 @@ S, L = StringType(), LongType()
 FLAT_LOG = StructType([StructField(n, t, True) for n, t in [
     ("seq", L), ("mid", S), ("ts", L), ("dt", S), ("is_new", S), ("vc", S), ("ch", S), ("ar", S),
     ("page_id", S), ("last_page_id", S), ("item", S), ("item_type", S), ("during_time", L),
-    ("is_start", BooleanType()),
+    ("is_start", BooleanType()), ("payload", S),
 ]])
 FLAT_COLUMNS = [f.name for f in FLAT_LOG.fields]
 
 
 def flatten_log(log: DataFrame) -> DataFrame:
-    """Typed log rows -> the flat row the stateful processors and the summary jobs read."""
+    """Typed log rows -> the flat row the stateful processors and the summary jobs read.
+
+    A ``payload`` column on the input (the raw JSON line) is carried; otherwise it is NULL."""
     c, p = "common", "page"
     start = F.coalesce(F.size(F.col("start")), F.lit(-1)) > 0
     return log.select(
@@ -51,7 +53,8 @@ def flatten_log(log: DataFrame) -> DataFrame:
         F.col(f"{c}.ar").alias("ar"), F.col(f"{p}.page_id").alias("page_id"),
         F.col(f"{p}.last_page_id").alias("last_page_id"), F.col(f"{p}.item").alias("item"),
         F.col(f"{p}.item_type").alias("item_type"), F.col(f"{p}.during_time").alias("during_time"),
-        start.alias("is_start"))
+        start.alias("is_start"),
+        (F.col("payload") if "payload" in log.columns else F.lit(None).cast("string")).alias("payload"))
 
 
 def _frame(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:

@@ -57,3 +57,24 @@ def test_sentinel_is_latest(spark):
     df = spark.createDataFrame([("a", 1), ("b", 5)], "k string, ts long")
     s = jobs.with_sentinel(df, "ts", "k").filter(F.col("k") == jobs.SENTINEL).first()
     assert s.ts == 5 + jobs.SENTINEL_SHIFT_MS
+
+
+def test_detail_layer_side_outputs(spark):
+    from marketlake.operators import logs as L
+    from marketlake.plans.warehouse import Warehouse
+    from marketlake.sources import tables as T
+    sf = "/root/testdata/sf0.001"
+    raw = T.raw_log(spark, sf)
+    staged = jobs.stage(raw, "raw_test", files=2, order="seq")
+    root = new_location(spark, "detail-test")
+    jobs.start_detail_layer(jobs.read_staged(spark, staged), root).awaitTermination()
+    w = Warehouse(spark, sf)
+    start = spark.read.parquet(root + "/start")
+    page = spark.read.parquet(root + "/page")
+    disp = spark.read.parquet(root + "/display")
+    assert start.count() == L.split_start(w.repaired_log).count()
+    exp_page = {(r.seq, r.is_new) for r in w.repaired_log.filter(~L.is_start()).select(
+        "seq", F.col("common.is_new").alias("is_new")).collect()}
+    assert {(r.seq, r.is_new) for r in page.select("seq", "is_new").collect()} == exp_page
+    exp_disp = sorted((r.seq, r.item, r.page_id) for r in L.explode_displays(w.parsed_log).collect())
+    assert sorted((r.seq, r.item, r.page_id) for r in disp.collect()) == exp_disp
