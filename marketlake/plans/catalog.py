@@ -375,6 +375,19 @@ def keyword_search_stream(spark, d):
     return j.run_available_now(s, "keyword_search").filter(F.col("keyword") != "zzendzz")
 
 
+def product_stats_stream(spark, d):
+    """Product window sums under streaming: exact distinct orders via ``size(collect_set)``."""
+    j = _jobs()
+    w = Warehouse(spark, d)
+    m = w.product_measures
+    sentinel = (m.orderBy(F.desc("ts")).limit(1).withColumn("sku_id", F.lit(-1).cast("bigint"))
+                .withColumn("ts", F.col("ts") + F.lit(j.SENTINEL_SHIFT_MS)))
+    src = j.read_staged(spark, j.stage(m.unionByName(sentinel), "product_measures"))
+    g = stats.product_window_sums(src, w.params.window)
+    g = g.select(*stats.window_bounds(instant=True), "sku_id", *[c for c in g.columns if c not in ("_w", "sku_id")])
+    return _amounts(j.run_available_now(g, "product_stats").filter(F.col("sku_id") != -1))
+
+
 def cdc_route_fact_stream(spark, d):
     j = _jobs()
     raw = j.read_staged(spark, j.stage(T.cdc_raw(spark, d), "cdc_raw"))
@@ -387,5 +400,5 @@ def cdc_route_fact_stream(spark, d):
 
 QUERIES.update({f.__name__: f for f in [
     unique_visit_stream, bounce_as_written_stream, bounce_as_documented_stream, new_visitor_repair_stream, order_interval_join_stream,
-    visitor_stats_stream, keyword_search_stream, cdc_route_fact_stream,
+    visitor_stats_stream, keyword_search_stream, product_stats_stream, cdc_route_fact_stream,
 ]})

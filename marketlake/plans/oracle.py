@@ -439,5 +439,5 @@ ORACLE: dict[str, str] = {
 
 # streaming twins answer exactly what their batch query answers
 for _name in ("unique_visit", "bounce_as_written", "bounce_as_documented", "new_visitor_repair", "order_interval_join", "visitor_stats",
-              "keyword_search", "cdc_route_fact"):
+              "keyword_search", "product_stats", "cdc_route_fact"):
     ORACLE[f"{_name}_stream"] = ORACLE[_name]
