@@ -32,6 +32,8 @@ RANKS = "byte_bpe_50k.tiktoken"
 CACHE = 500_000
 SLICE = 1_000_000
 FOREST = 64
+#: Tree leaves that one array of trees holds.
+CELLS = 1 << 17
 # Character classes of the pattern; END stands between texts.
 LETTER, NUMBER, BLANK, OTHER, END = 1, 2, 3, 4, 5
 
@@ -97,13 +99,13 @@ class Bpe:
                 if a is not None and b is not None:
                     pairs[a << 20 | b] = r
         self.pairs = pairs
-        self.pair_keys = np.array(sorted(pairs), np.int64)
-        self.pair_ranks = np.array([pairs[k] for k in sorted(pairs)], np.int64)
+        self._hash_pairs()
         self.token_sizes = np.array([len(t) for t in self.tokens], np.int64)
         self.token_starts = np.cumsum(self.token_sizes) - self.token_sizes
         self.token_bytes = np.frombuffer(b"".join(self.tokens), np.uint8)
         rng = np.random.default_rng(20)
         self.byte_mix = rng.integers(1, 2**63, 256, dtype=np.uint64)
+        self.powers = self.inverses = np.empty(0, np.uint64)
         self.known: dict[int, int] = {}
         self._clear()
 
@@ -114,55 +116,90 @@ class Bpe:
         self.begin = np.empty(1 << 14, np.int64)
         self.count = np.empty(1 << 14, np.int64)
 
+    def _hash_pairs(self) -> None:
+        """Open addressing over the pairs of ids that make a token."""
+        keys = np.array(list(self.pairs), np.int64)
+        ranks = np.array(list(self.pairs.values()), np.int32)
+        self.shift = np.uint64(64 - (len(keys) * 6).bit_length())
+        self.slot_keys = np.full((1 << int(64 - self.shift)) + 256, -1, np.int64)
+        self.slot_ranks = np.full(len(self.slot_keys), -1, np.int32)
+        at = self._slot(keys)
+        while len(keys):
+            free = np.flatnonzero(self.slot_keys[at] < 0)
+            _, first = np.unique(at[free], return_index=True)
+            put = free[first]
+            self.slot_keys[at[put]], self.slot_ranks[at[put]] = keys[put], ranks[put]
+            rest = np.ones(len(keys), bool)
+            rest[put] = False
+            keys, ranks, at = keys[rest], ranks[rest], at[rest] + 1
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
     def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Rank of each pair of ids, -1 where the pair is no token."""
-        key = a << 20 | b
-        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
-        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], -1)
+        key = (a.astype(np.int64) << 20) | b
+        at = self._slot(key)
+        seen = self.slot_keys.take(at)
+        out = np.where(seen == key, self.slot_ranks.take(at), np.int32(-1))
+        more = np.flatnonzero((seen != key) & (seen >= 0))
+        while len(more):
+            at[more] += 1
+            seen = self.slot_keys.take(at[more])
+            hit = seen == key[more]
+            out[more[hit]] = self.slot_ranks.take(at[more[hit]])
+            more = more[~hit & (seen >= 0)]
+        return out
 
     def forest(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Merge many matches of at most ``width`` bytes; their ids one after another, and counts."""
-        m, bits, inf = len(starts), width.bit_length() - 1, np.iinfo(np.int64).max
-        at = np.arange(width + 1)
+        m, bits, inf = len(starts), width.bit_length() - 1, np.int32(2**31 - 1)
+        row = width + 1                      # one place past the end stands for "no neighbour"
+        at = np.arange(row, dtype=np.int32)
         inside = at[None, :] < sizes[:, None]
-        token = np.full((m, width + 1), -1, np.int64)
+        token = np.full((m, row), -1, np.int32)
         token[inside] = self.byte_id[data[(starts[:, None] + at[None, :])[inside]]]
-        after = np.broadcast_to(at + 1, (m, width + 1)).copy()
-        after[after > sizes[:, None]] = width
-        after = np.minimum(after, np.where(after >= sizes[:, None], width, after))
-        before = np.broadcast_to(at - 1, (m, width + 1)).copy()
-        tree = np.full((m, 2 * width), inf, np.int64)
+        after = np.minimum(at + 1, np.where(at + 1 < sizes[:, None], at + 1, width)).astype(np.int32)
+        before = np.broadcast_to(at - 1, (m, row)).copy()
+        tree = np.full((m, 2 * width), inf, np.int32)
         if width > 1:
             ok = inside[:, 1:width]
-            r = np.full(ok.shape, -1, np.int64)
+            r = np.full(ok.shape, -1, np.int32)
             r[ok] = self._rank(token[:, : width - 1][ok], token[:, 1:width][ok])
             tree[:, width: 2 * width - 1] = np.where(r >= 0, (r << bits) | at[: width - 1], inf)
             for level in range(bits - 1, -1, -1):
                 lo = 1 << level
                 tree[:, lo: 2 * lo] = np.minimum(tree[:, 2 * lo: 4 * lo: 2], tree[:, 2 * lo + 1: 4 * lo: 2])
+        token_, after_, before_, tree_ = (x.reshape(-1) for x in (token, after, before, tree))
         live = np.flatnonzero(tree[:, 1] < inf) if width > 1 else np.empty(0, np.int64)
         while len(live):
-            root = tree[live, 1]
+            base, own = live * (2 * width), live * row
+            root = tree_.take(base + 1)
             p, new = root & (width - 1), root >> bits
-            q = after[live, p]
-            r, o = after[live, q], before[live, p]
-            token[live, p] = new
-            token[live, q] = -1
-            after[live, p] = r
-            before[live, r] = p
-            tree[live, width + q] = inf
-            right = np.where(r < width, self._rank(new, token[live, r]), -1)
-            tree[live, width + p] = np.where(right >= 0, (right << bits) | p, inf)
+            q = after_.take(own + p)
+            r = after_.take(own + q)
+            o = before_.take(own + p)
+            token_[own + p] = new
+            token_[own + q] = -1
+            after_[own + p] = r
+            before_[own + r] = p
             has = o >= 0
-            left = np.where(has, self._rank(token[live, o], new), -1)
             o = np.where(has, o, p)
-            tree[live, width + o] = np.where(has, np.where(left >= 0, (left << bits) | o, inf), tree[live, width + o])
-            for leaf in (q, p, o):
-                node = (width + leaf) >> 1
-                for _ in range(bits):
-                    tree[live, node] = np.minimum(tree[live, 2 * node], tree[live, 2 * node + 1])
-                    node >>= 1
-            live = live[tree[live, 1] < inf]
+            # both pairs that touch the merged token, ranked together
+            n = len(live)
+            ranks = self._rank(np.concatenate([new, token_.take(own + o)]), np.concatenate([token_.take(own + r), new]))
+            right = np.where((r < width) & (ranks[:n] >= 0), (ranks[:n] << bits) | p, inf)
+            left = np.where(ranks[n:] >= 0, (ranks[n:] << bits) | o, inf)
+            tree_[base + (width + q)] = inf
+            tree_[base + (width + o)] = left
+            tree_[base + (width + p)] = right   # also where there is no neighbour before
+            node = (width + np.concatenate([q, p, o])) >> 1
+            base = np.concatenate([base, base, base])
+            for _ in range(bits):
+                child = base + 2 * node
+                tree_[base + node] = np.minimum(tree_.take(child), tree_.take(child + 1))
+                node = node >> 1
+            live = live[tree_.take(live * (2 * width) + 1) < inf]
         kept = token[:, :width] >= 0
         return token[:, :width][kept], kept.sum(axis=1)
 
@@ -209,14 +246,14 @@ class Bpe:
                 put(o, inf if rank is None else rank << bits | o)
         return [t for t in token if t >= 0]
 
-    def _learn(self, keys: list[int], data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> None:
-        """Merge distinct new matches and file their ids under their keys."""
+    def _learn(self, keys: list[int], data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Merge distinct new matches and file their ids under their keys; their slots."""
         new_ids, counts = [], np.zeros(len(keys), np.int64)
         order, lower = [], 0
         for width in (1, 2, 4, 8, 16, 32, FOREST):
             rows = np.flatnonzero((sizes > lower) & (sizes <= width))
             lower = width
-            for part in np.array_split(rows, max(1, len(rows) * width // 500_000)):
+            for part in np.array_split(rows, max(1, len(rows) * width // CELLS)):
                 if len(part):
                     ids, c = self.forest(data, starts[part], sizes[part], width)
                     new_ids.append(ids)
@@ -239,7 +276,19 @@ class Bpe:
         self.count[slots] = c
         self.ids[self.used: self.used + len(ids)] = ids
         self.used += len(ids)
-        self.known.update(zip([keys[i] for i in order], slots.tolist()))
+        out = np.empty(len(keys), np.int64)
+        out[order] = slots
+        self.known.update(zip(keys, out.tolist()))
+        return out
+
+    def _grow_powers(self, n: int) -> None:
+        def powers(of: int) -> np.ndarray:
+            steps = np.full(1 << n.bit_length(), of, np.uint64)
+            steps[0] = 1
+            return np.multiply.accumulate(steps)
+
+        odd = 0x9E3779B97F4A7C15
+        self.powers, self.inverses = powers(odd), powers(pow(odd, -1, 1 << 64))
 
     def _slice(self, texts: list[str]) -> list[np.ndarray]:
         joined = "\0".join(texts) + "\0"
@@ -248,16 +297,16 @@ class Bpe:
         kinds = _classes()[cps]
         kinds[ends] = END
         starts = pretoken_starts(cps, kinds)
-        width = 1 + (cps > 0x7F).astype(np.int8) + (cps > 0x7FF) + (cps > 0xFFFF)
-        byte_at = np.concatenate([[0], np.cumsum(width, dtype=np.int64)])
         data = np.frombuffer(joined.encode("utf-8", "surrogatepass"), np.uint8)
         is_end = kinds[starts] == END
-        b0 = byte_at[starts]
+        b0 = starts if len(data) == len(cps) else np.flatnonzero((data & 0xC0) != 0x80)[starts]
         sizes = np.diff(np.append(b0, len(data)))
-        # content hash of each match: sum of mixed bytes times odd powers, shifted to the start
-        powers = np.multiply.accumulate(np.full(int(sizes.max()), 0x9E3779B97F4A7C15, np.uint64))
-        inner = np.arange(len(data)) - np.repeat(b0, sizes)
-        h = np.add.reduceat(self.byte_mix[data] * powers[inner], b0)
+        # content hash of each match: mixed bytes times powers, taken back to the match's start
+        if len(self.powers) <= len(data):
+            self._grow_powers(len(data))
+        prefix = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(self.byte_mix[data] * self.powers[: len(data)], out=prefix[1:])
+        h = (prefix[b0 + sizes] - prefix[b0]) * self.inverses[b0]
         h ^= h >> np.uint64(29)
         h = (h + sizes.astype(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
         words = np.flatnonzero(~is_end)
@@ -268,11 +317,13 @@ class Bpe:
             if len(self.known) + len(uniq) > CACHE:
                 self._clear()
             keys = uniq.tolist()
-            fresh = [i for i, k in enumerate(keys) if k not in self.known]
-            if fresh:
+            find = self.known.get
+            slots = np.array([find(k, -1) for k in keys], np.int64)
+            fresh = np.flatnonzero(slots < 0)
+            if len(fresh):
                 rows = words[first[fresh]]
-                self._learn([keys[i] for i in fresh], data, b0[rows], sizes[rows])
-            slot = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))[inverse]
+                slots[fresh] = self._learn([keys[i] for i in fresh.tolist()], data, b0[rows], sizes[rows])
+            slot = slots[inverse]
         c = self.count[slot]
         out_counts[words] = c
         upto = np.cumsum(c)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, host_rules, quality, secrets, simhash, suffix_dedup, topk, toxicity
+from . import bpe, host_rules, packing, pii, quality, secrets, simhash, suffix_dedup, topk, toxicity
 
 QUERIES = {
     "op1_bpe_round_trip": bpe.op1,
+    "op2_pii_surrogates": pii.op2,
     "op3_host_rules": host_rules.op3,
     "op4_toxicity": toxicity.op4,
     "op5_secret_scan": secrets.op5,
@@ -13,6 +14,7 @@ QUERIES = {
     "op7_quality_qda": quality.op7,
     "op8_topk_search": topk.op8,
     "op9_simhash": simhash.op9,
+    "op10_packing": packing.op10,
 }
 
 ORACLE = {

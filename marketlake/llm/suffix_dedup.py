@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from .common import materialize, ship, table, text_digest
 
@@ -439,6 +440,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = [n for n in batch.schema.names if n not in ("data", *names)]
         kept, removed, runs = [], [], []
         for text, *found in zip(batch.column("data").to_pylist(), *[batch.column(n).to_pylist() for n in names]):
+            text = text or b""
             both = np.concatenate([np.frombuffer(f or b"", "<i8").reshape(-1, 2) for f in found])
             if not len(both):
                 kept.append(text)
@@ -455,13 +457,21 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [*keep, "kept", "n_removed", "n_spans"])
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """The documents with ``kept`` (binary: the remaining bytes), n_bytes, n_removed and n_spans."""
+def _readable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``kept`` as text: what is left of a character that was cut goes too."""
+    for batch in batches:
+        texts = [b.decode("utf-8", "ignore") for b in batch.column("kept").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], ["row", "kept_text"])
+
+
+def remove_repeats(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """doc_id, digest, ``kept`` (binary: the remaining bytes), n_bytes, n_removed and n_spans; with
+    ``carry`` also ``row``, the whole input row as a struct."""
     spark = docs.sparkSession
     ship(spark)
     keys = [F.col("doc_id").isNull().cast("long").alias("null"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"),
             text_digest().alias("digest")]
-    data = F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("data")
+    data = F.col("text").cast("binary").alias("data")
     texts = docs.select(*keys, data)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(LEAST_BUCKETS, -(-total // BUCKET_BYTES))
@@ -477,13 +487,29 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
              .groupBy("bucket").applyInArrow(_suffixes(parts), _schema(MARK))
              .groupBy("bucket").applyInArrow(_per_document, per)
              .select(*_DOC, F.col("spans").alias("more_spans")))
-    joined = texts.join(marks.select(*_DOC, "spans"), list(_DOC), "left").join(asked, list(_DOC), "left")
-    kept = joined.select(*_DOC, "data", "spans", "more_spans").mapInArrow(
-        _cut, "null long, id long, digest long, kept binary, n_removed long, n_spans long")
-    return kept.select(F.when(F.col("null") == 0, F.col("id")).alias("doc_id"), "digest",
-                       (F.length("kept") + F.col("n_removed")).cast("long").alias("n_bytes"), "n_removed", "n_spans", "kept")
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []
+    joined = (docs.select(*keys, data, *row).join(marks.select(*_DOC, "spans"), list(_DOC), "left")
+              .join(asked, list(_DOC), "left").select(*_DOC, *(["row"] if carry else []), "data", "spans", "more_spans"))
+    schema = StructType([f for f in joined.schema.fields if f.name not in ("data", "spans", "more_spans")]
+                        + [StructField("kept", BinaryType()), StructField("n_removed", LongType()), StructField("n_spans", LongType())])
+    return joined.mapInArrow(_cut, schema).select(
+        F.when(F.col("null") == 0, F.col("id")).alias("doc_id"), "digest",
+        (F.length("kept") + F.col("n_removed")).cast("long").alias("n_bytes"), "n_removed", "n_spans", "kept",
+        *(["row"] if carry else []))
 
 
 def op6(spark, sf_dir: str) -> DataFrame:
     out = remove_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def cut_repeats(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: the documents without their repeated bytes.
+
+    A cut may fall inside a character; what is left of such a character goes too.  Null texts stay
+    null; n_chars, if there, follows the new text; documents stay even when nothing of them is left."""
+    found = remove_repeats(docs, carry=True).select("row", "kept")
+    texts = found.mapInArrow(_readable, StructType([found.schema["row"], StructField("kept_text", StringType())]))
+    text = F.when(F.col("row.text").isNotNull(), F.col("kept_text"))
+    new = {"text": text, "n_chars": F.char_length(text).cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None}
+    return texts.select(*[(new[c] if c in new else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
