@@ -27,6 +27,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..session import new_location
 from .common import materialize, ship, table, text_digest
@@ -308,8 +309,7 @@ def pseudonymize(docs: DataFrame, key: str = KEY, count: str | None = None) -> D
     names = [c for c in docs.columns if c != count]
     joined = docs.select(*[F.col(f"`{c}`") for c in names], *_keys()).join(
         special, ["__null", "__id", "__digest"], "left").select(*[F.col(f"`{c}`") for c in names], "__moved")
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names) + (
-        f", `{count}` long" if count else "")
+    schema = StructType([docs.schema[c] for c in names] + ([StructField(count, LongType())] if count else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = Surrogates(key)
@@ -331,7 +331,7 @@ def pseudonymize(docs: DataFrame, key: str = KEY, count: str | None = None) -> D
             yield pa.RecordBatch.from_arrays(columns + ([pa.array(counts, pa.int64())] if count else []),
                                              names + ([count] if count else []))
 
-    return joined.mapInArrow(run, fields)
+    return joined.mapInArrow(run, schema)
 
 
 def op2(spark, sf_dir: str) -> DataFrame:

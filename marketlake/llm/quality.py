@@ -8,7 +8,7 @@ a score is the logistic of the difference of the two log densities and log prior
 Null text counts as empty and is scored like it.  Labels that are null, or whose row is missing, are
 not learned from; a doc_id labelled twice counts twice.  Without rows of both classes every score is
 the share of label 1 (0.5 without any).  Repeated rows and null ids are scored row by row.  Other
-columns of the input are kept by ``classify`` unless they have the name of a result column.
+columns of the input travel inside one struct, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from .common import materialize, ship, table
 
@@ -79,8 +79,7 @@ def describe(docs: DataFrame, text: str = "text", column: str = "stats") -> Data
                                              + [pa.array(stats, pa.list_(pa.float64()))], [*names, column])
 
     ship(docs.sparkSession)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    return out.mapInArrow(run, f"{fields}, `{column}` array<double>" if fields else f"`{column}` array<double>")
+    return out.mapInArrow(run, StructType([*schema.fields, StructField(column, ArrayType(DoubleType()))]))
 
 
 def held_out() -> Column:
@@ -147,11 +146,11 @@ def score(described: DataFrame, model: Qda) -> DataFrame:
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents with ``score`` and ``predicted``; texts are read twice, never shuffled."""
+    """``row`` (the whole input row as a struct), ``score`` and ``predicted``; texts are read twice,
+    never shuffled."""
     model = fit(describe(docs.select("doc_id", "text")), labels)
-    names = [c for c in docs.columns if c not in ("score", "stats", "predicted", "__copy")]
-    scored = score(describe(docs.select(*names, F.col("text").alias("__copy")), text="__copy"), model)
-    return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+    carried = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+    return score(describe(carried), model).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
 def op7(spark, sf_dir: str) -> DataFrame:
@@ -163,4 +162,4 @@ def op7(spark, sf_dir: str) -> DataFrame:
 
 def keep_good(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that the classifier rejects go."""
-    return classify(docs, table(spark, sf_dir, "labels")).where("predicted = 1").select(*docs.columns)
+    return classify(docs, table(spark, sf_dir, "labels")).where("predicted = 1").select("row.*")
