@@ -74,28 +74,28 @@ def order_detail_join(order_info: DataFrame, order_detail: DataFrame, within: st
 
 
 def enrich_order_wide(wide: DataFrame, dims: dict[str, DataFrame], as_of_ms: int,
-                      offset_hours: int = TEXT_OFFSET_HOURS) -> DataFrame:
+                      offset_hours: int = TEXT_OFFSET_HOURS, unique_dims: bool = False) -> DataFrame:
     """Dimension lookups of the order-wide row: user, province, sku (overwrites ``sku_name``),
     then spu / trademark / category3 keyed by the sku's values."""
     # the age is computed once per user on the dimension side, not once per order line
     users = dims["user"].withColumn("_age", age_years(F.col("birthday"), F.lit(as_of_ms), offset_hours))
-    w = enrich(wide, users, "user_id", {"user_age": "_age", "user_gender": "gender"})
+    w = enrich(wide, users, "user_id", {"user_age": "_age", "user_gender": "gender"}, unique=unique_dims)
     w = enrich(w, dims["province"], "province_id",
                {"province_name": "name", "province_area_code": "area_code", "province_iso_code": "iso_code",
-                "province_3166_2_code": "iso_3166_2"}, small=100_000)
+                "province_3166_2_code": "iso_3166_2"}, unique=unique_dims)
     w = enrich(w, dims["sku"], "sku_id", {"sku_name": "sku_name", "spu_id": "spu_id", "tm_id": "tm_id",
-                                           "category3_id": "category3_id"}, overwrite=("sku_name",))
-    w = enrich(w, dims["spu"], "spu_id", {"spu_name": "spu_name"})
-    w = enrich(w, dims["trademark"], "tm_id", {"tm_name": "tm_name"}, small=100_000)
-    w = enrich(w, dims["category3"], "category3_id", {"category3_name": "name"}, small=100_000)
+                                           "category3_id": "category3_id"}, overwrite=("sku_name",), unique=unique_dims)
+    w = enrich(w, dims["spu"], "spu_id", {"spu_name": "spu_name"}, unique=unique_dims)
+    w = enrich(w, dims["trademark"], "tm_id", {"tm_name": "tm_name"}, unique=unique_dims)
+    w = enrich(w, dims["category3"], "category3_id", {"category3_name": "name"})
     return w.select(*ORDER_WIDE_COLUMNS, "create_ts")
 
 
 def order_wide(order_info: DataFrame, order_detail: DataFrame, dims: dict[str, DataFrame], *,
                within: str = "5 milliseconds", as_of_ms: int, watermark: str | None = "3 seconds",
-               offset_hours: int = TEXT_OFFSET_HOURS) -> DataFrame:
+               offset_hours: int = TEXT_OFFSET_HOURS, unique_dims: bool = False) -> DataFrame:
     return enrich_order_wide(order_detail_join(order_info, order_detail, within, watermark), dims, as_of_ms,
-                             offset_hours)
+                             offset_hours, unique_dims)
 
 
 def payment_wide(payment_info: DataFrame, wide: DataFrame, *, within: str = "1800 seconds",
@@ -119,10 +119,10 @@ def payment_wide(payment_info: DataFrame, wide: DataFrame, *, within: str = "180
     return j.select(*[c for c in PAYMENT_WIDE_COLUMNS if c in j.columns], "p_ts")
 
 
-# the 13 order/detail fields two partial wide rows can both carry
-MERGEABLE = ["order_id", "order_status", "create_time", "user_id", "province_id", "total_amount",
+# The order/detail fields that two partial wide rows can both carry.
+MERGEABLE = ["order_status", "create_time", "create_date", "user_id", "total_amount",
              "activity_reduce_amount", "coupon_reduce_amount", "original_total_amount", "feight_fee",
-             "sku_id", "sku_num", "sku_name"]
+             "order_id", "order_price", "sku_id", "sku_num", "sku_name"]
 
 
 def merge_first_non_null(left: DataFrame, right: DataFrame, key: str, columns: list[str] = MERGEABLE) -> DataFrame:

@@ -1,46 +1,16 @@
 """Dimension lookups: left-outer enrichment with at most one match per key.
 
-A lookup is a plain left join.  Who broadcasts:
-
-* ``bounded_broadcast(dim, max_rows)`` proves a bound first (``limit(max_rows + 1).count()``
-  reads at most that many rows) and only then hints ``broadcast``; beyond the bound the join
-  stays a shuffle join.  Use it for domains that cannot grow with the facts (provinces, code
-  lists, routing config).
-* every other dimension (users, SKUs) is left to the planner: Catalyst broadcasts only under
-  ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-decides from the actual shuffle size, so a
-  dimension that outgrows memory is joined by sort-merge instead.
+A lookup is a left join on one row per key.  Nothing here hints a broadcast: Catalyst broadcasts a
+dimension only under ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-decides from the actual
+shuffle size, so a dimension that outgrows memory is joined by sort-merge instead.
 """
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-_BOUND_CHECKS: dict[tuple[int, int], tuple[bool, float]] = {}
-BOUND_CHECK_TTL_SEC = 600.0
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """``broadcast(df)`` when ``df`` provably has at most ``max_rows`` rows, else ``df``.
-
-    The proof is a ``limit(max_rows + 1).count()`` job (reads at most that many rows).  Its answer
-    is remembered per semantic plan for ``BOUND_CHECK_TTL_SEC``: the same plan over grown data
-    (a long-running driver) is re-proved, so a dimension that outgrew the bound stops being
-    broadcast.
-    """
-    if df.isStreaming:
-        return df
-    key = (df.semanticHash(), max_rows)
-    hit = _BOUND_CHECKS.get(key)
-    if hit is None or time.monotonic() - hit[1] > BOUND_CHECK_TTL_SEC:
-        hit = (df.limit(max_rows + 1).count() <= max_rows, time.monotonic())
-        _BOUND_CHECKS[key] = hit
-    return F.broadcast(df) if hit[0] else df
-
-
 def latest_per_key(df: DataFrame, key: str | list[str], order: str) -> DataFrame:
     """One row per key: the one with the greatest ``order`` (aggregate, not a window, so a hot key
     is pre-aggregated map-side)."""
@@ -51,17 +21,19 @@ def latest_per_key(df: DataFrame, key: str | list[str], order: str) -> DataFrame
 
 
 def enrich(fact: DataFrame, dim: DataFrame, fact_key: str, columns: dict[str, str], *,
-           dim_key: str = "id", overwrite: tuple[str, ...] = (), small: int | None = None) -> DataFrame:
+           dim_key: str = "id", overwrite: tuple[str, ...] = (), unique: bool = False) -> DataFrame:
     """Add ``columns`` (``{output name: dim column}``) looked up by ``fact[fact_key] = dim[dim_key]``.
 
     Rows without a match (or with a NULL key) pass with NULLs.  Output names listed in
-    ``overwrite`` replace an existing fact column only where the key matched.  ``small`` = a row
-    bound for ``bounded_broadcast``.  ``dim`` must hold one row per key (see ``latest_per_key``).
+    ``overwrite`` replace an existing fact column only where the key matched.  A key that the
+    dimension repeats gives one match, its greatest row (a map-side-combined aggregate);
+    ``unique=True`` states that the key is a primary key and skips that step.
     """
     tag = "_lk_" + fact_key
     d = dim.select(F.col(dim_key).alias(tag), *[F.col(src).alias(f"{tag}_{out}") for out, src in columns.items()])
-    if small is not None:
-        d = bounded_broadcast(d, small)
+    if not unique:
+        rest = [c for c in d.columns if c != tag]
+        d = d.where(F.col(tag).isNotNull()).groupBy(tag).agg(F.max(F.struct(*rest)).alias("_r")).select(tag, "_r.*")
     key = F.col(fact_key)
     if dict(fact.dtypes).get(fact_key) != dict(d.dtypes)[tag]:
         key = key.cast(dict(d.dtypes)[tag])

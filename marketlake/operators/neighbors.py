@@ -40,9 +40,13 @@ def neighbor(df: DataFrame, keys: list[str], order: list[str], take: list[str],
     edges = b.groupBy(*keys, "_nb_b").agg(edge)
     w_b = Window.partitionBy(*keys).orderBy("_nb_b")
     adj = F.lag("_nb_edge").over(w_b) if prev else F.lead("_nb_edge").over(w_b)
-    edges = edges.select(*keys, "_nb_b", adj.alias("_nb_adj"))
-    out = b.join(edges, [*keys, "_nb_b"], "left")
-    return out.withColumn(name, F.coalesce("_nb_in", "_nb_adj")).drop("_nb_in", "_nb_adj", "_nb_b")
+    # a NULL key is a key like any other
+    names = [*keys, "_nb_b"]
+    edges = edges.select(*[F.col(c).alias(f"_nb_k{i}") for i, c in enumerate(names)], adj.alias("_nb_adj"))
+    on = [F.col(c).eqNullSafe(F.col(f"_nb_k{i}")) for i, c in enumerate(names)]
+    out = b.join(edges, on, "left")
+    return (out.withColumn(name, F.coalesce("_nb_in", "_nb_adj"))
+            .drop("_nb_in", "_nb_adj", "_nb_b", *[f"_nb_k{i}" for i in range(len(names))]))
 
 
 def bucket_of(col: str, width: int) -> Column:

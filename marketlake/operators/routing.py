@@ -2,7 +2,7 @@
 
 * ``clean_changes``: keep records with a table and a non-empty ``data`` object.
 * ``route``: inner join with the routing config on ``(table, type) = (source_table, operate_type)``
-  (config broadcast after a size check -- it is a handful of rows per source table); ``facts`` /
+  (one config row per key; the planner broadcasts it by its size); ``facts`` /
   ``dims`` are its ``kafka`` / ``hbase`` rows, other sink types go nowhere, ``unmatched`` is the
   anti-join.  ``bootstrap-insert`` counts as ``insert`` when ``normalize_bootstrap``.
 * ``filter_columns``: keep only the keys listed in ``sink_columns`` (exact, comma-separated, no
@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from ..schemas import CHANGE, SINK_HBASE, SINK_KAFKA
 from .logs import CORRUPT, parse_once
-from .lookup import bounded_broadcast
 
 
 def parse_changes(raw: DataFrame, value: str = "value") -> DataFrame:
@@ -41,20 +40,28 @@ def _type(normalize_bootstrap: bool):
     return F.when(t == "bootstrap-insert", F.lit("insert")).otherwise(t) if normalize_bootstrap else t
 
 
-def route(changes: DataFrame, config: DataFrame, normalize_bootstrap: bool = False,
-          config_rows: int = 10_000) -> DataFrame:
+CONFIG_KEY = ["source_table", "operate_type"]
+CONFIG_COLUMNS = ["sink_type", "sink_table", "sink_columns", "sink_pk"]
+
+
+def current_config(config: DataFrame) -> DataFrame:
+    """One row per (source_table, operate_type): the latest by ``seq`` where the config has one, else
+    the greatest."""
+    row = F.struct(*CONFIG_COLUMNS)
+    pick = F.max_by(row, "seq") if "seq" in config.columns else F.max(row)
+    return config.groupBy(*CONFIG_KEY).agg(pick.alias("_c")).select(*CONFIG_KEY, "_c.*")
+
+
+def route(changes: DataFrame, config: DataFrame, normalize_bootstrap: bool = False) -> DataFrame:
     """Matched records with their config columns (``sink_type, sink_table, sink_columns, sink_pk``)."""
     # the column list is split once per config row, not once per record and key
-    cfg = bounded_broadcast(config.select("source_table", "operate_type", "sink_type", "sink_table",
-                                          "sink_columns", "sink_pk",
-                                          F.split("sink_columns", ",").alias("_keep")), config_rows)
+    cfg = current_config(config).withColumn("_keep", F.split("sink_columns", ","))
     c = changes.withColumn("type", _type(normalize_bootstrap))
     return c.join(cfg, (F.col("table") == F.col("source_table")) & (F.col("type") == F.col("operate_type")), "inner")
 
 
-def unmatched(changes: DataFrame, config: DataFrame, normalize_bootstrap: bool = False,
-              config_rows: int = 10_000) -> DataFrame:
-    cfg = bounded_broadcast(config.select("source_table", "operate_type"), config_rows)
+def unmatched(changes: DataFrame, config: DataFrame, normalize_bootstrap: bool = False) -> DataFrame:
+    cfg = config.select(*CONFIG_KEY)
     c = changes.withColumn("type", _type(normalize_bootstrap))
     return c.join(cfg, (F.col("table") == F.col("source_table")) & (F.col("type") == F.col("operate_type")), "left_anti")
 
@@ -72,6 +79,11 @@ def facts(routed: DataFrame) -> DataFrame:
     return filter_columns(routed.filter(F.col("sink_type") == SINK_KAFKA))
 
 
+def kept(routed: DataFrame) -> DataFrame:
+    """Facts and dimension rows in one pass over the routed records."""
+    return filter_columns(routed.filter(F.col("sink_type").isin(SINK_KAFKA, SINK_HBASE)))
+
+
 def dims(routed: DataFrame) -> DataFrame:
     return filter_columns(routed.filter(F.col("sink_type") == SINK_HBASE))
 

@@ -3,11 +3,12 @@
 All aggregates are partial/final hash aggregates (map-side combine), so a hot group key never
 moves more than one partial row per task.  Distinct order counts:
 
-* batch, product stats: a two-level aggregate -- first by ``(window, sku, kind, order id)``, then
+* product stats: a two-level aggregate -- first by ``(window, sku, kind, order id)``, then
   by ``(window, sku)`` counting the order-id groups -- which avoids the ``Expand`` that three
   ``count(distinct)`` would add;
-* batch, province stats: ``count_distinct`` (one distinct column: Spark plans the same two levels);
-* streaming: ``size(collect_set(...))`` (``count(distinct)`` is rejected on streams).
+* province stats: the same by (window, province, order id);
+* streaming: the same two levels as chained append-mode aggregates; a state row holds one order, never
+  the set of a window's orders.
 """
 
 from __future__ import annotations
@@ -159,27 +160,24 @@ def product_window_sums(measures: DataFrame, size: str = "10 seconds",
     w = F.window("_et", size).alias("_w")
     sums = [F.sum(c).alias(c) for c in PRODUCT_COUNTS + PRODUCT_AMOUNTS]
     back = {c: from_cents(c) for c in PRODUCT_AMOUNTS}
-    if measures.isStreaming:
-        sets = [F.size(F.collect_set(F.when(F.col("kind") == k, F.col("oid")))).cast("bigint").alias(n)
-                for k, n in ORDER_KINDS.items()]
-        return d.groupBy(w, "sku_id").agg(*sums, *sets).withColumns(back)
     # level 1: one row per (window, sku, kind, order id); non-order rows collapse per (window, sku)
     lvl1 = d.groupBy(w, "sku_id", "kind", "oid").agg(*sums)
     counts = [F.count_if((F.col("kind") == k) & F.col("oid").isNotNull()).cast("bigint").alias(n)
               for k, n in ORDER_KINDS.items()]
-    lvl2 = lvl1.groupBy("_w", "sku_id").agg(*[F.sum(c).alias(c) for c in PRODUCT_COUNTS + PRODUCT_AMOUNTS], *counts)
+    again = F.window("_w", size).alias("_w") if measures.isStreaming else F.col("_w")
+    lvl2 = lvl1.groupBy(again, "sku_id").agg(*[F.sum(c).alias(c) for c in PRODUCT_COUNTS + PRODUCT_AMOUNTS], *counts)
     return lvl2.withColumns(back)
 
 
 def product_stats(measures: DataFrame, dims: dict[str, DataFrame], size: str = "10 seconds", *,
-                  as_of_ms: Column | int, watermark: str | None = "0 seconds") -> DataFrame:
+                  as_of_ms: Column | int, watermark: str | None = "0 seconds", unique_dims: bool = False) -> DataFrame:
     """Window aggregate, then the dimension lookups on the (much smaller) aggregate."""
     g = product_window_sums(measures, size, watermark)
     g = enrich(g, dims["sku"], "sku_id", {"sku_name": "sku_name", "sku_price": "price", "spu_id": "spu_id",
-                                           "tm_id": "tm_id", "category3_id": "category3_id"})
-    g = enrich(g, dims["spu"], "spu_id", {"spu_name": "spu_name"})
-    g = enrich(g, dims["trademark"], "tm_id", {"tm_name": "tm_name"}, small=100_000)
-    g = enrich(g, dims["category3"], "category3_id", {"category3_name": "name"}, small=100_000)
+                                           "tm_id": "tm_id", "category3_id": "category3_id"}, unique=unique_dims)
+    g = enrich(g, dims["spu"], "spu_id", {"spu_name": "spu_name"}, unique=unique_dims)
+    g = enrich(g, dims["trademark"], "tm_id", {"tm_name": "tm_name"}, unique=unique_dims)
+    g = enrich(g, dims["category3"], "category3_id", {"category3_name": "name"})
     ts = as_of_ms if isinstance(as_of_ms, Column) else F.lit(as_of_ms).cast("bigint")
     # one projection (every DataFrame step re-analyses the whole plan, so no withColumn loops)
     typed = {c: F.col(c).cast("bigint") for c in PRODUCT_COUNTS + list(ORDER_KINDS.values())}
@@ -202,12 +200,11 @@ def province_stats(order_wide: DataFrame, size: str = "10 seconds", *, as_of_ms:
     """Orders per province and window: distinct orders and the sum of detail amounts."""
     d = tumble(order_wide, "create_ts", size, watermark)
     keys = [F.col(src).alias(out) for out, src in PROVINCE_KEYS.items()]
-    if order_wide.isStreaming:
-        n = F.size(F.collect_set("order_id")).cast("bigint")
-    else:
-        n = F.count_distinct("order_id").cast("bigint")
-    g = d.groupBy(F.window("_et", size).alias("_w"), *keys).agg(
-        from_cents(F.sum(cents("split_total_amount"))).alias("order_amount"), n.alias("order_count"))
+    # level 1: one row per (window, province, order); level 2 counts them
+    lvl1 = d.groupBy(F.window("_et", size).alias("_w"), *keys, "order_id").agg(F.sum(cents("split_total_amount")).alias("_cents"))
+    again = F.window("_w", size).alias("_w") if order_wide.isStreaming else F.col("_w")
+    g = lvl1.groupBy(again, *PROVINCE_KEYS).agg(
+        from_cents(F.sum("_cents")).alias("order_amount"), F.count("order_id").cast("bigint").alias("order_count"))
     ts = as_of_ms if isinstance(as_of_ms, Column) else F.lit(as_of_ms).cast("bigint")
     return g.select("*", *window_bounds(instant=order_wide.isStreaming), ts.alias("ts")).select(*PROVINCE_STATS_COLUMNS)
 

@@ -38,8 +38,8 @@ def repair_new_flag(log: DataFrame) -> DataFrame:
     cols = log.columns
     d = _mid(log).withColumn("_dt", ymd_from_millis(F.col("ts")))
     first = (d.filter(F.col("common.is_new") == "1").groupBy("_mid")
-             .agg(F.min_by("_dt", "seq").alias("_first_dt")))
-    j = d.join(first, "_mid", "left")
+             .agg(F.min_by("_dt", "seq").alias("_first_dt")).withColumnRenamed("_mid", "_first_mid"))
+    j = d.join(first, F.col("_mid").eqNullSafe(F.col("_first_mid")), "left")
     fixed = F.when((F.col("common.is_new") == "1") & (F.col("_dt") != F.col("_first_dt")), F.lit("0")) \
         .otherwise(F.col("common.is_new"))
     return j.withColumn("common", F.col("common").withField("is_new", fixed)).select(*cols)

@@ -272,9 +272,7 @@ def cdc_unmatched(spark, d):
 
 
 def cdc_column_filter(spark, d):
-    r = _routed(spark, d)
-    kept = routing.facts(r).unionByName(routing.dims(r))
-    return kept.select("seq", "table", "type", "sink_table", F.explode("data").alias("key", "value"))
+    return routing.kept(_routed(spark, d)).select("seq", "table", "type", "sink_table", F.explode("data").alias("key", "value"))
 
 
 def dim_upsert_merge(spark, d):
@@ -312,11 +310,15 @@ def _jobs():
     return jobs
 
 
+def _stream(spark, df, name, order, sentinel=None):
+    j = _jobs()
+    return j.read_staged(spark, j.stage(df, name, order, sentinel))
+
+
 def _staged_pages(spark, d):
     from ..streaming.processors import flatten_log
-    j = _jobs()
     flat = flatten_log(Warehouse(spark, d).page_log)
-    return j.read_staged(spark, j.stage(j.with_sentinel(flat, "ts", "mid"), "pages", order="seq"))
+    return _stream(spark, flat, "pages", "ts", _jobs().sentinel(flat, "ts", "mid"))
 
 
 def unique_visit_stream(spark, d):
@@ -340,26 +342,53 @@ def bounce_as_documented_stream(spark, d):
 
 def new_visitor_repair_stream(spark, d):
     j = _jobs()
-    raw = j.read_staged(spark, j.stage(T.raw_log(spark, d), "raw_log", order="seq"))
-    out = j.run_available_now(j.detail_log_stream(raw), "repair")
+    out = j.run_available_now(j.detail_log_stream(_stream(spark, T.raw_log(spark, d), "raw_log", "seq")), "repair")
     return out.select("seq", "mid", "dt", "is_new")
 
 
+def _order_streams(spark, d, time):
+    return (_stream(spark, T.order_info(spark, d), "order_info", "create_ts"),
+            _stream(spark, T.order_detail(spark, d, time=time), "order_detail", "create_ts"))
+
+
 def order_interval_join_stream(spark, d):
     j = _jobs()
-    oi = j.read_staged(spark, j.stage(T.order_info(spark, d), "order_info"))
-    od = j.read_staged(spark, j.stage(T.order_detail(spark, d, time="ship"), "order_detail"))
-    out = j.run_available_now(j.order_lines_stream(oi, od, "5 milliseconds"), "order_lines")
+    out = j.run_available_now(j.order_lines_stream(*_order_streams(spark, d, "ship"), "5 milliseconds"), "order_lines")
     return _amounts(out.select("order_id", "sku_id", "sku_num", "split_total_amount", "province_id",
                                "order_status", "create_time"))
 
 
+def order_wide_stream(spark, d):
+    """Interval join of two streams; dimensions are joined as snapshots inside each micro-batch."""
+    w = Warehouse(spark, d)
+    lines = _jobs().order_lines_stream(*_order_streams(spark, d, "order"), w.params.order_within)
+
+    def write(batch, batch_id, out):
+        # every batch reads the dimensions anew; its folder is rewritten when it is replayed
+        wide = joins.enrich_order_wide(batch, Warehouse(batch.sparkSession, d).dims, w.params.as_of_ms, unique_dims=True)
+        wide.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+    return _amounts(_jobs().run_available_now(lines, "order_wide", foreach=write).select(*WIDE_OUT))
+
+
+def payment_wide_stream(spark, d):
+    """Payments joined to the stream of order-wide rows."""
+    w = Warehouse(spark, d)
+    pay = T.payment_info(spark, d)
+    wide = w.order_wide
+    p = joins.payment_wide(_stream(spark, pay, "payment_info", "callback_time"), _stream(spark, wide, "order_wide", "create_ts"),
+                           within=w.params.payment_within)
+    p = _jobs().run_available_now(p, "payment_wide")
+    return _amounts(p.select("payment_id", "order_id", "user_id", "total_amount", "payment_type", "subject",
+                             "payment_create_time", "callback_time", "order_create_time", "sku_id", "sku_name",
+                             "split_total_amount", "province_name", "tm_name"))
+
+
 def visitor_stats_stream(spark, d):
     j = _jobs()
     w = Warehouse(spark, d)
-    m = j.with_sentinel(w.visitor_measures, "ts", "vc")
-    s = j.visitor_stats_stream(j.read_staged(spark, j.stage(m, "visitor_measures")), w.params.visitor_window,
-                               w.params.as_of_ms)
+    m = w.visitor_measures
+    s = j.visitor_stats_stream(_stream(spark, m, "visitor_measures", "ts", j.sentinel(m, "ts", "vc")),
+                               w.params.visitor_window, w.params.as_of_ms)
     return j.run_available_now(s, "visitor_stats").filter(F.col("vc") != j.SENTINEL)
 
 
@@ -368,37 +397,46 @@ def keyword_search_stream(spark, d):
     w = Warehouse(spark, d)
     pages = stats.search_pages(w.page_log).select("page", "ts")
     last = pages.orderBy(F.desc("ts")).limit(1)
-    sentinel = last.select(F.col("page").withField("item", F.lit("zzendzz")).alias("page"),
-                           (F.col("ts") + F.lit(j.SENTINEL_SHIFT_MS)).alias("ts"))
-    src = j.read_staged(spark, j.stage(pages.unionByName(sentinel), "search_pages"))
-    s = stats.keyword_search_stats(src, w.params.window, as_of_ms=w.params.as_of_ms)
+    end = last.select(F.col("page").withField("item", F.lit("zzendzz")).alias("page"),
+                      (F.col("ts") + F.lit(j.SENTINEL_SHIFT_MS)).alias("ts"))
+    s = stats.keyword_search_stats(_stream(spark, pages, "search_pages", "ts", end), w.params.window,
+                                   as_of_ms=w.params.as_of_ms)
     return j.run_available_now(s, "keyword_search").filter(F.col("keyword") != "zzendzz")
 
 
 def product_stats_stream(spark, d):
-    """Product window sums under streaming: exact distinct orders via ``size(collect_set)``."""
+    """Product window sums under streaming: exact distinct orders by chained aggregates."""
     j = _jobs()
     w = Warehouse(spark, d)
     m = w.product_measures
-    sentinel = (m.orderBy(F.desc("ts")).limit(1).withColumn("sku_id", F.lit(-1).cast("bigint"))
-                .withColumn("ts", F.col("ts") + F.lit(j.SENTINEL_SHIFT_MS)))
-    src = j.read_staged(spark, j.stage(m.unionByName(sentinel), "product_measures"))
-    g = stats.product_window_sums(src, w.params.window)
+    g = stats.product_window_sums(_stream(spark, m, "product_measures", "ts", j.sentinel(m, "ts", "sku_id", -1)), w.params.window)
     g = g.select(*stats.window_bounds(instant=True), "sku_id", *[c for c in g.columns if c not in ("_w", "sku_id")])
     return _amounts(j.run_available_now(g, "product_stats").filter(F.col("sku_id") != -1))
 
 
+def province_stats_stream(spark, d):
+    """Province window aggregate over the stream of order-wide rows, exact distinct orders."""
+    j = _jobs()
+    w = Warehouse(spark, d)
+    wide = w.order_wide
+    g = stats.province_stats(_stream(spark, wide, "province_orders", "create_ts", j.sentinel(wide, "create_ts", "province_id", -1)),
+                             w.params.window, as_of_ms=w.params.as_of_ms)
+    return _amounts(j.run_available_now(g, "province_stats").filter(F.col("province_id") != -1))
+
+
 def cdc_route_fact_stream(spark, d):
     j = _jobs()
-    raw = j.read_staged(spark, j.stage(T.cdc_raw(spark, d), "cdc_raw"))
+    raw = _stream(spark, T.cdc_raw(spark, d), "cdc_raw", "seq")
     facts = j.routed_facts_stream(raw, T.routing_config(spark))
 
     def write(batch, batch_id, out):
-        _record_view(batch).write.mode("append").parquet(out)
-    return j.run_available_now(facts, "cdc_facts", foreach=write)
+        _record_view(batch).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+    out = j.run_available_now(facts, "cdc_facts", foreach=write)
+    return out.select("seq", "table", "type", "sink_table", "n_cols", "id")
 
 
 QUERIES.update({f.__name__: f for f in [
     unique_visit_stream, bounce_as_written_stream, bounce_as_documented_stream, new_visitor_repair_stream, order_interval_join_stream,
-    visitor_stats_stream, keyword_search_stream, product_stats_stream, cdc_route_fact_stream,
+    order_wide_stream, payment_wide_stream, visitor_stats_stream, keyword_search_stream, product_stats_stream,
+    province_stats_stream, cdc_route_fact_stream,
 ]})

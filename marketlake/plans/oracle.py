@@ -38,7 +38,7 @@ def cte(name: str, deps: tuple[str, ...], body: str) -> None:
 cte("ev", (), """
   SELECT event_id, ts AS ts_raw, user_id, event_type, value,
          CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
-         epoch_us(ts) // 1000 AS ts_ms, (event_id * 7) % 200 AS item_id
+         epoch_us(ts) // 1000 AS ts_ms, (event_id * 7) % (SELECT count(*) FROM part) AS item_id
   FROM events""")
 cte("lg", ("ev",), """
   SELECT ev.event_id AS seq, CAST(ev.user_id AS VARCHAR) AS mid, ev.ts_ms AS ts, ev.k, ev.event_id,
@@ -72,7 +72,7 @@ cte("nx", ("pl",), """
 cte("bw", ("nx",), f"SELECT * FROM nx WHERE entry AND (next_ts IS NULL OR next_ts - ts >= {BOUNCE_MS})")
 cte("bd", ("nx",), f"SELECT * FROM nx WHERE entry AND (next_ts IS NULL OR next_ts - ts >= {BOUNCE_MS} OR next_entry)")
 cte("disp", ("pl",), """
-  SELECT pl.seq, pl.ts, pl.page_id, CAST((pl.event_id + r.i) % 200 AS VARCHAR) AS item,
+  SELECT pl.seq, pl.ts, pl.page_id, CAST((pl.event_id + r.i) % (SELECT count(*) FROM part) AS VARCHAR) AS item,
          CASE WHEN r.i % 2 = 0 THEN 'sku_id' ELSE 'activity_id' END AS item_type,
          CAST(r.i + 1 AS BIGINT) AS display_order, CAST(r.i + 1 AS VARCHAR) AS pos_id
   FROM pl JOIN range(0, 3) r(i) ON r.i < pl.k % 4""")
@@ -439,5 +439,5 @@ ORACLE: dict[str, str] = {
 
 # streaming twins answer exactly what their batch query answers
 for _name in ("unique_visit", "bounce_as_written", "bounce_as_documented", "new_visitor_repair", "order_interval_join", "visitor_stats",
-              "keyword_search", "product_stats", "cdc_route_fact"):
+              "keyword_search", "product_stats", "province_stats", "order_wide", "payment_wide", "cdc_route_fact"):
     ORACLE[f"{_name}_stream"] = ORACLE[_name]

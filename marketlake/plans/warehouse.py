@@ -83,7 +83,7 @@ class Warehouse:
 
     @cached_property
     def order_wide(self) -> DataFrame:
-        return joins.enrich_order_wide(self.order_lines, self.dims, self.params.as_of_ms)
+        return joins.enrich_order_wide(self.order_lines, self.dims, self.params.as_of_ms, unique_dims=True)
 
     @cached_property
     def payment_wide(self) -> DataFrame:
@@ -111,7 +111,8 @@ class Warehouse:
 
     @cached_property
     def product_stats(self) -> DataFrame:
-        return stats.product_stats(self.product_measures, self.dims, self.params.window, as_of_ms=self.params.as_of_ms)
+        return stats.product_stats(self.product_measures, self.dims, self.params.window, as_of_ms=self.params.as_of_ms,
+                                   unique_dims=True)
 
     @cached_property
     def province_stats(self) -> DataFrame:

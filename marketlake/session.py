@@ -33,18 +33,20 @@ DEFAULT_CONF = {
 
 
 def build_session(master: str | None = "local[*]", app: str = "marketlake",
-                  shuffle_partitions: int = 8, time_zone: str = "UTC",
+                  shuffle_partitions: int | None = None, time_zone: str = "UTC",
                   extra: dict[str, str] | None = None) -> SparkSession:
     """Create (or reuse) a session with the profile above.
 
-    On a cluster pass ``master=None`` and let spark-submit decide; size ``shuffle_partitions`` to
-    about (shuffle bytes / 128 MB) -- AQE coalesces small ones at runtime.
+    On a cluster pass ``master=None`` and let spark-submit decide.  ``shuffle_partitions`` is left to the
+    cluster's own setting unless given (AQE merges small partitions but does not split those of an
+    ordinary aggregate, so on a cluster it should be about shuffle bytes / 128 MB).
     """
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.sql.session.timeZone"] = time_zone
     conf.update(extra or {})
     for k, v in conf.items():
@@ -57,11 +59,14 @@ def build_session(master: str | None = "local[*]", app: str = "marketlake",
 def shared_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and lineage-cutting tables.
 
-    Read from ``spark.checkpoint.dir``.  Only when it is unset (tests on one machine) a fresh
-    temporary folder is created and recorded in the session, so later calls agree.
+    Read from ``spark.checkpoint.dir``.  Only when it is unset on a local master (tests on one
+    machine) a fresh temporary folder is created and recorded in the session, so later calls
+    agree; off local mode executors would not see such a folder, so there it must be set.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="marketlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     sc = spark.sparkContext

@@ -31,16 +31,9 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 AS_OF_MS = 1735689600000  # 2025-01-01 00:00:00 UTC
 
 
-_SCHEMAS: dict[str, object] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table.  Its schema is read from the parquet footer once per path and then given
-    to the reader, so building a plan does not re-read footers for every reference."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _dec(c) -> F.Column:
@@ -53,8 +46,13 @@ def _zero() -> F.Column:
 
 # ---- behaviour log ----------------------------------------------------------------------------
 
-def _item_of(event_id) -> F.Column:
-    return (event_id * 7) % 200
+def part_count(spark: SparkSession, sf_dir: str) -> F.Column:
+    """Number of parts, as a scalar subquery: events point at any of them, however many there are."""
+    return table(spark, sf_dir, "part").agg(F.count(F.lit(1))).scalar()
+
+
+def _item_of(event_id, parts) -> F.Column:
+    return (event_id * 7) % parts
 
 
 def log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,7 +64,8 @@ def log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("_pk"), F.col("p_name").alias("_pname"))
     k = F.get_json_object("props", "$.k").cast("int")
-    e = e.withColumn("k", k).withColumn("_item", _item_of(F.col("event_id")))
+    parts = part_count(spark, sf_dir)
+    e = e.withColumn("k", k).withColumn("_n", parts).withColumn("_item", _item_of(F.col("event_id"), F.col("_n")))
     e = e.join(part, (F.col("event_type") == "click") & (F.col("_item") == F.col("_pk")), "left")
     mid = F.col("user_id").cast("string")
     is_page = F.col("event_type") != "signup"
@@ -80,7 +79,7 @@ def log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                     item_type.alias("item_type"),
                     F.round(F.col("value") * 100, 0).cast("bigint").alias("during_time"),
                     F.lit(None).cast("string").alias("source_type"))
-    disp = [F.struct(((F.col("event_id") + i) % 200).cast("string").alias("item"),
+    disp = [F.struct(((F.col("event_id") + i) % F.col("_n")).cast("string").alias("item"),
                      F.lit("sku_id" if i % 2 == 0 else "activity_id").alias("item_type"),
                      F.lit("recommend").alias("display_type"), F.lit(i + 1).cast("bigint").alias("order"),
                      F.lit(str(i + 1)).alias("pos_id")) for i in range(3)]
@@ -180,13 +179,13 @@ def payment_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 def favor_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").filter(F.col("event_type") == "click")
     e = e.filter(F.get_json_object("props", "$.k").cast("int") % 10 == 0)
-    return e.select(F.col("event_id").alias("id"), F.col("user_id"), _item_of(F.col("event_id")).alias("sku_id"),
+    return e.select(F.col("event_id").alias("id"), F.col("user_id"), _item_of(F.col("event_id"), part_count(spark, sf_dir)).alias("sku_id"),
                     datetime_str("ts").alias("create_time"))
 
 
 def cart_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase")
-    return e.select(F.col("event_id").alias("id"), F.col("user_id"), _item_of(F.col("event_id")).alias("sku_id"),
+    return e.select(F.col("event_id").alias("id"), F.col("user_id"), _item_of(F.col("event_id"), part_count(spark, sf_dir)).alias("sku_id"),
                     datetime_str("ts").alias("create_time"))
 
 

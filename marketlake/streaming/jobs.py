@@ -1,21 +1,24 @@
 """Structured Streaming jobs: each layer is one streaming query from files (or Kafka) to a sink.
 
-``stage`` writes a batch DataFrame as the file input of a stream; ``run_available_now`` runs a
+``stage`` writes a batch DataFrame as the time-ordered file input of a stream; ``run_available_now`` runs a
 streaming DataFrame to completion (``Trigger.AvailableNow``) into a parquet sink and reads it back.
 Checkpoints and outputs live under the shared root (``spark.checkpoint.dir``), so a restarted
 query resumes from its checkpoint.
 
 Event-time operators only emit what the watermark has closed.  Jobs that must flush everything at
-the end of a finite input append a *sentinel* row far in the future, which pushes the watermark
-past every real row, and drop the sentinel's own output afterwards.
+the end of a finite input get a *sentinel* row far in the future as their last micro-batch, which
+pushes the watermark past every real row; the sentinel's own output is dropped afterwards.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators import joins, logs, routing, stats
 from ..session import new_location
@@ -24,21 +27,52 @@ SENTINEL = "__end_of_input__"
 SENTINEL_SHIFT_MS = 400 * 86_400_000
 
 
-def stage(df: DataFrame, name: str, files: int = 4, order: str | None = None) -> tuple[str, object]:
-    """Write ``df`` as parquet files to a fresh folder (optionally range-partitioned by ``order`` so
-    files follow that order) and return ``(path, schema)``."""
-    path = new_location(df.sparkSession, f"stream-in/{name}")
-    out = df.repartitionByRange(files, order).sortWithinPartitions(order) if order else df.repartition(files)
-    out.write.parquet(path)
-    return path, df.schema
+MIN_BATCHES, ROWS_PER_FILE = 4, 500_000
 
 
-def read_staged(spark: SparkSession, staged: tuple[str, object], max_files: int | None = None) -> DataFrame:
-    path, schema = staged
-    r = spark.readStream.schema(schema)
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(path)
+@dataclass(frozen=True)
+class Staged:
+    """Files that a stream reads in event-time order, ``per_batch`` at a time."""
+    path: str
+    schema: StructType
+    per_batch: int
+
+
+def stage(df: DataFrame, name: str, order: str, sentinel: DataFrame | None = None) -> Staged:
+    """Write ``df`` as the file input of a stream, in ``order``: file after file, the sentinel alone in
+    the last one.  The number of files follows the rows; a stream reads them in at least
+    ``MIN_BATCHES`` micro-batches."""
+    spark = df.sparkSession
+    path = new_location(spark, f"stream-in/{name}")
+    per_batch = max(1, -(-df.count() // (ROWS_PER_FILE * MIN_BATCHES)))
+    df.repartitionByRange(MIN_BATCHES * per_batch, order).sortWithinPartitions(order).write.parquet(path)
+    files = _data_files(spark, path)
+    if sentinel is not None:
+        sentinel.select(*df.columns).coalesce(1).write.mode("append").parquet(path)
+        files += [f for f in _data_files(spark, path) if f not in files]
+    # the file source takes files by modification time: make that their order
+    fs, path_of = _file_system(spark, path)
+    first = int(time.time()) - len(files)
+    for i, f in enumerate(files):
+        fs.setTimes(path_of(f), (first + i) * 1000, -1)
+    return Staged(path, df.schema, per_batch)
+
+
+def _file_system(spark: SparkSession, path: str):
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return path_of(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path_of
+
+
+def _data_files(spark: SparkSession, path: str) -> list[str]:
+    """The folder's data files by name (their names carry the partition number)."""
+    fs, path_of = _file_system(spark, path)
+    found = [s.getPath().toString() for s in fs.listStatus(path_of(path))]
+    return sorted(f for f in found if f.endswith(".parquet"))
+
+
+def read_staged(spark: SparkSession, staged: Staged) -> DataFrame:
+    return (spark.readStream.schema(staged.schema).option("maxFilesPerTrigger", staged.per_batch)
+            .parquet(staged.path))
 
 
 def run_available_now(df: DataFrame, name: str, output_mode: str = "append",
@@ -58,16 +92,15 @@ def run_available_now(df: DataFrame, name: str, output_mode: str = "append",
 
 
 def _has_files(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    fs, path_of = _file_system(spark, path)
+    return fs.exists(path_of(path))
 
 
-def with_sentinel(df: DataFrame, ts_col: str, key_col: str) -> DataFrame:
-    """Append one row copied from the latest row, keyed ``SENTINEL``, far after every real row."""
+def sentinel(df: DataFrame, ts_col: str, key_col: str, key=SENTINEL) -> DataFrame:
+    """One row copied from the latest row, keyed ``key``, far after every real row."""
     last = df.orderBy(F.desc(ts_col)).limit(1)
-    s = last.withColumn(key_col, F.lit(SENTINEL)).withColumn(ts_col, F.col(ts_col) + F.lit(SENTINEL_SHIFT_MS))
-    return df.unionByName(s)
+    return last.withColumn(key_col, F.lit(key).cast(df.schema[key_col].dataType)).withColumn(
+        ts_col, F.col(ts_col) + F.lit(SENTINEL_SHIFT_MS))
 
 
 # ---- the layer jobs ---------------------------------------------------------------------------

@@ -41,15 +41,13 @@ def test_filters_reach_the_scan(spark):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,props:string>" in plan
 
 
-def test_bounded_broadcast_falls_back_beyond_the_bound(spark):
+def test_lookup_broadcasts_only_below_the_planner_threshold(spark):
     dim = T.dim_user(spark, SF)
     fact = T.order_info(spark, SF)
+    assert "BroadcastHashJoin" in _plan(lookup.enrich(fact, dim, "user_id", {"g": "gender"}, unique=True))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        small = lookup.enrich(fact, dim, "user_id", {"g": "gender"}, small=10_000_000)
-        big = lookup.enrich(fact, dim, "user_id", {"g": "gender"}, small=10)
-        assert "BroadcastHashJoin" in _plan(small)
-        assert "BroadcastHashJoin" not in _plan(big)
+        assert "BroadcastHashJoin" not in _plan(lookup.enrich(fact, dim, "user_id", {"g": "gender"}))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")
 

@@ -55,8 +55,8 @@ def test_unique_visit_stream_restart_equals_batch(spark):
 
 def test_sentinel_is_latest(spark):
     df = spark.createDataFrame([("a", 1), ("b", 5)], "k string, ts long")
-    s = jobs.with_sentinel(df, "ts", "k").filter(F.col("k") == jobs.SENTINEL).first()
-    assert s.ts == 5 + jobs.SENTINEL_SHIFT_MS
+    s = jobs.sentinel(df, "ts", "k").first()
+    assert s.k == jobs.SENTINEL and s.ts == 5 + jobs.SENTINEL_SHIFT_MS
 
 
 def test_detail_layer_side_outputs(spark):
@@ -65,7 +65,7 @@ def test_detail_layer_side_outputs(spark):
     from marketlake.sources import tables as T
     sf = "/root/testdata/sf0.001"
     raw = T.raw_log(spark, sf)
-    staged = jobs.stage(raw, "raw_test", files=2, order="seq")
+    staged = jobs.stage(raw, "raw_test", order="seq")
     root = new_location(spark, "detail-test")
     jobs.start_detail_layer(jobs.read_staged(spark, staged), root).awaitTermination()
     w = Warehouse(spark, sf)
