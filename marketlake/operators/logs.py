@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timefmt import ymd_from_millis
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, DecimalType, IntegerType, LongType, StringType, StructField, StructType
 
 from ..schemas import LOG
 
@@ -20,8 +20,32 @@ from ..schemas import LOG
 CORRUPT = "_corrupt_record"
 
 
+NUMBERS = (LongType, IntegerType, DecimalType)
+
+
+def _as_text(t: DataType) -> DataType:
+    """The type with every number read as text first: producers quote some of them."""
+    if isinstance(t, StructType):
+        return StructType([StructField(f.name, _as_text(f.dataType), True) for f in t.fields])
+    if isinstance(t, ArrayType):
+        return ArrayType(_as_text(t.elementType))
+    return StringType() if isinstance(t, NUMBERS) else t
+
+
+def _typed(c: Column, t: DataType) -> Column:
+    """Text read by ``_as_text`` in its declared type; what is no number becomes NULL, the row stays."""
+    if _as_text(t) == t:
+        return c
+    if isinstance(t, StructType):
+        return F.when(c.isNotNull(), F.struct(*[_typed(c[f.name], f.dataType).alias(f.name) for f in t.fields]))
+    if isinstance(t, ArrayType):
+        return F.transform(c, lambda x: _typed(x, t.elementType))
+    return c.try_cast(t)
+
+
 def parse_once(raw: DataFrame, value: str, schema: StructType) -> DataFrame:
-    """``from_json`` evaluated exactly once per row, with a corrupt-record column.
+    """``from_json`` evaluated exactly once per row, with a corrupt-record column.  Only text that
+    is not a JSON object is corrupt; numbers may come quoted.
 
     Filters on parsed fields would otherwise be pushed below the projection, re-inlining the
     parse into every predicate (one JSON parse per referenced field).  ``inline`` of a one-element
@@ -29,9 +53,10 @@ def parse_once(raw: DataFrame, value: str, schema: StructType) -> DataFrame:
     ``_corrupt_record`` (PERMISSIVE mode), so telling good from dirty rows needs no second parse.
     """
     carried = [c for c in raw.columns if c != value]
-    full = StructType(schema.fields + [StructField(CORRUPT, StringType(), True)])
+    full = StructType(_as_text(schema).fields + [StructField(CORRUPT, StringType(), True)])
     parsed = F.from_json(F.col(value), full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return raw.select(*carried, F.inline(F.array(parsed)))
+    flat = raw.select(*carried, F.inline(F.array(parsed)))
+    return flat.select(*carried, *[_typed(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields], CORRUPT)
 
 
 def parse_log(raw: DataFrame, value: str = "value") -> DataFrame:

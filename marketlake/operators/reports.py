@@ -25,6 +25,8 @@ VISITOR_ROW_LABELS = [
     ("pv_per_sv", "平均访问人数(人次)"),  # pages per session
 ]
 NEW_VISITOR_SERIES = "新用户"            # series name of new visitors in the hour chart
+VISITOR_COLUMNS = [("类别", "type"), ("新用户", "new"), ("老用户", "old")]     # table headers: label, id
+SPU_COLUMNS = [("商品SPU名称", "spu_name"), ("交易额", "order_amount"), ("订单数", "order_ct")]
 # -----------------------------------------------------------------------------------------------
 
 
@@ -116,16 +118,22 @@ def visitor_by_hour(visitor_stats: DataFrame, date: str | None = None) -> DataFr
     return g.orderBy("dt", "hr") if date is not None else g
 
 
-def hour_densify(by_hour: DataFrame) -> DataFrame:
+def _days(df: DataFrame, date: str | None) -> DataFrame:
+    """The days that a report answers for: the chosen one, data or not, else those of the data."""
+    if date is None:
+        return df.select("dt").distinct()
+    return df.sparkSession.range(1).select(F.lit(date).alias("dt"))
+
+
+def hour_densify(by_hour: DataFrame, date: str | None = None) -> DataFrame:
     """24 rows per day: hours without data report zeros; ``hr_label`` is ``00``..``23``."""
-    days = by_hour.select("dt").distinct()
-    grid = days.select("dt", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hr"))
+    grid = _days(by_hour, date).select("dt", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hr"))
     j = grid.join(by_hour, ["dt", "hr"], "left")
     return j.select("dt", "hr", hour_label(F.col("hr")).alias("hr_label"),
                     *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in ("uv_ct", "pv_ct", "new_uv")])
 
 
-def visitor_transpose(by_new_flag: DataFrame) -> DataFrame:
+def visitor_transpose(by_new_flag: DataFrame, date: str | None = None) -> DataFrame:
     """Per day, five metric rows with a ``new`` and an ``old`` column.  ``is_new='1'`` is new;
     every other flag value is summed into old; an absent side reports zeros."""
     newf = F.col("is_new") == "1"
@@ -134,6 +142,8 @@ def visitor_transpose(by_new_flag: DataFrame) -> DataFrame:
         side[f"n_{c}"] = F.sum(F.when(newf, F.col(c)).otherwise(0)).cast("bigint")
         side[f"o_{c}"] = F.sum(F.when(~newf | F.col("is_new").isNull(), F.col(c)).otherwise(0)).cast("bigint")
     g = by_new_flag.groupBy("dt").agg(*[v.alias(k) for k, v in side.items()])
+    if date is not None:
+        g = _days(g, date).join(g, "dt", "left").na.fill(0)
 
     def metrics(p: str) -> dict[str, Column]:
         uv, pv, sv, uj, dur = (F.col(f"{p}_{c}") for c in VISITOR_SUMS)
@@ -159,21 +169,55 @@ def keyword_topn(keyword_stats: DataFrame, n: int = 20, date: str | None = None,
     return _top(g, n, [F.desc(key), F.asc("keyword")], date).select("dt", "rank", "keyword", "ct")
 
 
-def name_value(df: DataFrame, name: str, value: str) -> DataFrame:
-    """Rows -> ``(dt, name, value)``."""
-    return df.select("dt", F.col(name).alias("name"), F.col(value).alias("value"))
+def _listed(df: DataFrame, columns: dict[str, str], order: list[Column], date: str | None) -> DataFrame:
+    """Per day the rows as an ordered array ``_l`` of structs (empty for a chosen day without rows)."""
+    w = Window.partitionBy("dt").orderBy(*order)
+    r = df.withColumn("_pos", F.row_number().over(w))
+    item = F.struct("_pos", *[F.col(src).alias(out) for out, src in columns.items()])
+    g = r.groupBy("dt").agg(F.sort_array(F.collect_list(item)).alias("_l"))
+    if date is not None:
+        kind = g.schema["_l"].dataType
+        g = _days(g, date).join(g, "dt", "left").withColumn("_l", F.coalesce("_l", F.array().cast(kind)))
+    return g.withColumn("_l", F.transform("_l", lambda x: F.struct(*[x[c].alias(c) for c in columns])))
+
+
+def _envelope(df: DataFrame, data: Column) -> DataFrame:
+    return df.select("dt", F.to_json(F.struct(F.lit(0).alias("status"), data.alias("data"))).alias("json"))
+
+
+def province_map(by_prov: DataFrame, date: str | None = None) -> DataFrame:
+    """Per day ``{"status":0,"data":{"mapData":[{"name":..,"value":..}]}}``, provinces by name."""
+    g = _listed(by_prov, {"name": "province_name", "value": "order_amount"}, [F.asc("province_name")], date)
+    return _envelope(g, F.struct(F.col("_l").alias("mapData")))
+
 
+def category3_list(by_c3: DataFrame, date: str | None = None) -> DataFrame:
+    """Per day ``{"status":0,"data":[{"name":..,"value":..}]}`` in rank order."""
+    return _envelope(_listed(by_c3, {"name": "category3_name", "value": "order_amount"}, [F.asc("rank")], date), F.col("_l"))
 
-def name_value_json(df: DataFrame, name: str, value: str, order: list[Column]) -> DataFrame:
+
+def _header(columns: list[tuple[str, str]]) -> Column:
+    return F.array(*[F.struct(F.lit(label).alias("name"), F.lit(c).alias("id")) for label, c in columns])
+
+
+def spu_table(by_spu_df: DataFrame, date: str | None = None) -> DataFrame:
+    """Per day ``{"status":0,"data":{"columns":[..],"rows":[..]}}`` of the SPU report."""
+    g = _listed(by_spu_df, {c: c for _, c in SPU_COLUMNS}, [F.asc("rank")], date)
+    return _envelope(g, F.struct(_header(SPU_COLUMNS).alias("columns"), F.col("_l").alias("rows")))
+
+
+def visitor_table(transposed: DataFrame, date: str | None = None) -> DataFrame:
+    """Per day the new/old visitor table with its headers."""
+    g = _listed(transposed, {c: c for _, c in VISITOR_COLUMNS}, [F.asc("pos")], date)
+    return _envelope(g, F.struct(F.lit(1).alias("combineNum"), _header(VISITOR_COLUMNS).alias("columns"), F.col("_l").alias("rows")))
+
+
+def name_value_json(df: DataFrame, name: str, value: str, order: list[Column], date: str | None = None) -> DataFrame:
     """Per day one JSON document ``{"status":0,"msg":"","data":[{"name":..,"value":..},...]}``.
 
     The list holds one report's (already top-N bounded) rows, ordered by ``order``."""
-    w = Window.partitionBy("dt").orderBy(*order)
-    r = df.withColumn("_pos", F.row_number().over(w))
-    g = r.groupBy("dt").agg(F.sort_array(F.collect_list(F.struct("_pos", F.col(name).alias("name"),
-                                                                  F.col(value).alias("value")))).alias("_l"))
-    data = F.transform("_l", lambda x: F.struct(x["name"].alias("name"), x["value"].alias("value")))
-    doc = F.struct(F.lit(0).alias("status"), F.lit("").alias("msg"), data.alias("data"))
+    g = _listed(df, {"name": name, "value": value}, order, date)
+    doc = F.struct(F.lit(0).alias("status"), F.lit("").alias("msg"), F.col("_l").alias("data"))
     return g.select("dt", F.to_json(doc).alias("json"))
 
 
@@ -183,15 +227,12 @@ def columns_rows(by_spu_df: DataFrame) -> DataFrame:
 
 
 def categories_series(df: DataFrame, category: str, series: list[tuple[str | None, str]],
-                      order: list[Column]) -> DataFrame:
+                      order: list[Column], date: str | None = None) -> DataFrame:
     """Per day ``{"categories":[...], "series":[{"name":..,"data":[...]}, ...]}`` with every array in
     the same row order (carried explicitly, never left to collection order).  ``series`` is a list
     of ``(name, column)``; a ``None`` name leaves the series without a name field."""
-    w = Window.partitionBy("dt").orderBy(*order)
-    r = df.withColumn("_pos", F.row_number().over(w))
-    packed = F.sort_array(F.collect_list(F.struct("_pos", F.col(category).alias("c"),
-                                                  *[F.col(src).alias(f"s{i}") for i, (_, src) in enumerate(series)])))
-    g = r.groupBy("dt").agg(packed.alias("_l"))
+    g = _listed(df, {"c": category, **{f"s{i}": src for i, (_, src) in enumerate(series)}}, order, date)
+
     def one(i: int, nm: str | None) -> Column:
         data = F.transform("_l", lambda x: x[f"s{i}"]).alias("data")
         return F.struct(data) if nm is None else F.struct(F.lit(nm).alias("name"), data)
@@ -202,13 +243,13 @@ def categories_series(df: DataFrame, category: str, series: list[tuple[str | Non
     return g.select("dt", F.to_json(doc).alias("json"))
 
 
-def hour_series(densified: DataFrame) -> DataFrame:
+def hour_series(densified: DataFrame, date: str | None = None) -> DataFrame:
     return categories_series(densified, "hr_label", [("uv", "uv_ct"), ("pv", "pv_ct"), (NEW_VISITOR_SERIES, "new_uv")],
-                             [F.asc("hr")])
+                             [F.asc("hr")], date)
 
 
-def trademark_series(by_tm: DataFrame) -> DataFrame:
-    return categories_series(by_tm, "tm_name", [(None, "order_amount")], [F.asc("rank")])
+def trademark_series(by_tm: DataFrame, date: str | None = None) -> DataFrame:
+    return categories_series(by_tm, "tm_name", [(None, "order_amount")], [F.asc("rank")], date)
 
 
 def scalar_envelope(gmv_df: DataFrame) -> DataFrame:

@@ -64,8 +64,8 @@ def day_reports(t: dict[str, DataFrame], date: str) -> dict[str, DataFrame]:
         "gmv": reports.gmv(ps, date), "trademark": reports.by_trademark(ps, 10, date),
         "category3": reports.by_category3(ps, 10, date), "spu": reports.by_spu(ps, 10, date),
         "province": reports.by_province(t["province_stats"], date),
-        "visitor": reports.visitor_transpose(reports.visitor_by_new_flag(vs, date)),
-        "hour": reports.hour_densify(reports.visitor_by_hour(vs, date)),
+        "visitor": reports.visitor_transpose(reports.visitor_by_new_flag(vs, date), date),
+        "hour": reports.hour_densify(reports.visitor_by_hour(vs, date), date),
         "keyword": reports.keyword_topn(t["keyword_stats"], 20, date),
     }
 

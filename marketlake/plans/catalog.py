@@ -285,6 +285,70 @@ def dim_upsert_merge(spark, d):
     return snap.select("id", *[F.col("data")[c].alias(c) for c in ("name", "birthday", "gender")])
 
 
+# ---- one-day reports: the dashboard's own form, on fixed days of the driver data -----------------
+
+VISIT_DAY, ORDER_DAY, EMPTY_DAY = "20240115", "19960225", "19000101"
+
+
+def gmv_day(spark, d):
+    return _amounts(reports.gmv(Warehouse(spark, d).product_stats, ORDER_DAY))
+
+
+def by_trademark_day(spark, d):
+    w = Warehouse(spark, d)
+    return _amounts(reports.by_trademark(w.product_stats, w.params.top_n, ORDER_DAY))
+
+
+def by_province_day(spark, d):
+    return _amounts(reports.by_province(Warehouse(spark, d).province_stats, ORDER_DAY))
+
+
+def keyword_topn_day(spark, d):
+    w = Warehouse(spark, d)
+    return reports.keyword_topn(w.keyword_stats, w.params.keyword_top_n, VISIT_DAY)
+
+
+def hour_densify_day(spark, d):
+    return reports.hour_densify(reports.visitor_by_hour(Warehouse(spark, d).visitor_stats, VISIT_DAY), VISIT_DAY)
+
+
+def hour_densify_empty_day(spark, d):
+    return reports.hour_densify(reports.visitor_by_hour(Warehouse(spark, d).visitor_stats, EMPTY_DAY), EMPTY_DAY)
+
+
+def visitor_transpose_day(spark, d):
+    return reports.visitor_transpose(reports.visitor_by_new_flag(Warehouse(spark, d).visitor_stats, VISIT_DAY), VISIT_DAY)
+
+
+def province_map(spark, d):
+    return reports.province_map(reports.by_province(Warehouse(spark, d).province_stats))
+
+
+def category3_list(spark, d):
+    w = Warehouse(spark, d)
+    return reports.category3_list(reports.by_category3(w.product_stats, w.params.top_n))
+
+
+def config_latest(spark, d):
+    """Current routing config from a feed of config changes: one change per table of the change
+    records, the later ones replacing the earlier."""
+    c = _clean(spark, d)
+    feed = c.select("seq", F.lit("insert").alias("type"), F.create_map(
+        F.lit("source_table"), F.col("table"), F.lit("operate_type"), F.col("type"), F.lit("sink_type"), F.lit("kafka"),
+        F.lit("sink_table"), F.concat(F.lit("dwd_"), F.col("table"), F.lit("_"), F.col("seq").cast("string"))).alias("data"))
+    latest = routing.latest_config(feed)
+    return latest.select("source_table", "operate_type", "sink_type", "sink_table")
+
+
+def keyword_search_sql(spark, d):
+    """The keyword job as SQL text over a temporary view and a SQL-defined table function."""
+    from ..functions import sql
+    w = Warehouse(spark, d)
+    sql.register(spark)
+    sql.page_view(w.page_log).createOrReplaceTempView("page_view")
+    return spark.sql(sql.KEYWORD_SEARCH_SQL.format(as_of_ms=w.params.as_of_ms))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in [
     cdc_clean, cdc_route_fact, cdc_route_dim, cdc_unmatched, cdc_column_filter, dim_upsert_merge,
     log_split_start, log_split_page, display_explode, new_visitor_repair, session_entry, unique_visit,
@@ -293,6 +357,8 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     province_stats, keyword_search, keyword_product, keyword_explode, gmv, by_trademark, by_category3, by_spu,
     by_province, visitor_by_new_flag, visitor_by_hour, hour_densify, visitor_transpose, keyword_topn,
     name_value_list, table_rows, series_arrays, hour_series, scalar_envelope, code_decode,
+    gmv_day, by_trademark_day, by_province_day, keyword_topn_day, hour_densify_day, hour_densify_empty_day,
+    visitor_transpose_day, province_map, category3_list, config_latest, keyword_search_sql,
 ]}
 
 

@@ -437,6 +437,23 @@ ORACLE: dict[str, str] = {
         END AS status_name, CAST(count(*) AS BIGINT) AS order_count FROM oi GROUP BY order_status""", "oi"),
 }
 
+# one day of a report is its every-day answer on that day
+VISIT_DAY, ORDER_DAY, EMPTY_DAY = "20240115", "19960225", "19000101"
+for _name, _day in (("by_trademark", ORDER_DAY), ("by_province", ORDER_DAY), ("keyword_topn", VISIT_DAY),
+                    ("hour_densify", VISIT_DAY), ("visitor_transpose", VISIT_DAY)):
+    ORACLE[f"{_name}_day"] = f"SELECT * FROM ({ORACLE[_name]}) WHERE dt = '{_day}'"
+ORACLE["gmv_day"] = (f"SELECT '{ORDER_DAY}' AS dt, coalesce(sum(gmv), 0) AS gmv FROM ({ORACLE['gmv']}) WHERE dt = '{ORDER_DAY}'")
+ORACLE["hour_densify_empty_day"] = f"""SELECT '{EMPTY_DAY}' AS dt, CAST(h AS INTEGER) AS hr, lpad(CAST(h AS VARCHAR), 2, '0') AS hr_label,
+  CAST(0 AS BIGINT) AS uv_ct, CAST(0 AS BIGINT) AS pv_ct, CAST(0 AS BIGINT) AS new_uv FROM range(0, 24) t(h)"""
+ORACLE["province_map"] = q("""SELECT dt, to_json({'status': 0, 'data': {'mapData': list({'name': province_name, 'value': order_amount}
+  ORDER BY province_name)}}) AS json FROM (SELECT dt, province_name, sum(order_amount) AS order_amount
+  FROM (SELECT *, """ + day_of() + """ AS dt FROM prs) GROUP BY dt, province_id, province_name) GROUP BY dt""", "prs")
+ORACLE["category3_list"] = q("""SELECT dt, to_json({'status': 0, 'data': list({'name': category3_name, 'value': order_amount}
+  ORDER BY rank)}) AS json FROM bc3 GROUP BY dt""", "bc3")
+ORACLE["config_latest"] = f"""SELECT "table" AS source_table, type AS operate_type, 'kafka' AS sink_type,
+  'dwd_' || "table" || '_' || CAST(max(seq) AS VARCHAR) AS sink_table FROM ({ORACLE['cdc_clean']}) GROUP BY "table", type"""
+ORACLE["keyword_search_sql"] = ORACLE["keyword_search"]
+
 # streaming twins answer exactly what their batch query answers
 for _name in ("unique_visit", "bounce_as_written", "bounce_as_documented", "new_visitor_repair", "order_interval_join", "visitor_stats",
               "keyword_search", "product_stats", "province_stats", "order_wide", "payment_wide", "cdc_route_fact"):

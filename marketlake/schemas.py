@@ -45,6 +45,7 @@ PAYMENT_INFO = _st(("id", L), ("out_trade_no", S), ("order_id", L), ("user_id",
                    ("payment_type", S), ("trade_no", S), ("total_amount", AMOUNT), ("subject", S),
                    ("payment_status", S), ("create_time", S), ("callback_time", S))
 
+# Fixed values from here on: the column names and their order that tables and sinks share.
 # ---- wide rows (column order of the wide tables) ----------------------------------------------
 ORDER_WIDE_COLUMNS = [
     "detail_id", "order_id", "sku_id", "order_price", "sku_num", "sku_name", "province_id",

@@ -42,12 +42,23 @@ def write_routed_files(batch: DataFrame, root: str, batch_id: int) -> None:
     out.write.mode("overwrite").partitionBy("sink_table").json(os.path.join(root, f"_batch={batch_id}"))
 
 
-def latest_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    """Newest version folder ``root/v=<n>`` of a dimension snapshot, or an empty snapshot."""
-    versions = spark.read.parquet(root).select(F.max("v")).first()[0] if _exists(spark, root) else None
-    if versions is None:
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    """Versions that were written to the end (their marker file is there), by listing folders."""
+    if not _exists(spark, root):
+        return []
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path_of(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(path_of(root)) if s.isDirectory()]
+    return sorted(int(n[2:]) for n in names if n.startswith("v=") and fs.exists(path_of(f"{root}/{n}/_SUCCESS")))
+
+
+def latest_snapshot(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
+    """Newest complete version ``root/v=<n>`` of a dimension snapshot (of those ``before`` a version), or
+    an empty snapshot."""
+    versions = [v for v in _versions(spark, root) if before is None or v < before]
+    if not versions:
         return spark.createDataFrame([], "id string, data map<string,string>")
-    return spark.read.parquet(os.path.join(root, f"v={versions}")).select("id", "data")
+    return spark.read.parquet(os.path.join(root, f"v={versions[-1]}")).select("id", "data")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -59,16 +70,22 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def merge_into_snapshot(spark: SparkSession, root: str, changes: DataFrame, version: int) -> DataFrame:
     """Write ``root/v=<version>`` = latest snapshot merged with ``changes`` (seq, type, data).
 
-    Re-running a version rewrites the same folder, so a replayed micro-batch is harmless."""
-    base = latest_snapshot(spark, root)
+    The base is the newest complete version below this one, so a replayed micro-batch, also one
+    whose first attempt broke off half way, rewrites the same folder from the same base."""
+    base = latest_snapshot(spark, root, before=version)
     merged = merge_dimension(base, changes)
     merged.write.mode("overwrite").parquet(os.path.join(root, f"v={version}"))
     return merged
 
 
-def append_report(df: DataFrame, path: str, columns: list[str]) -> None:
-    """Append aggregate rows in sink column order, partitioned by day (batch or foreachBatch)."""
-    with_day(df).select(*columns, "dt").write.mode("append").partitionBy("dt").parquet(path)
+def append_report(df: DataFrame, path: str, columns: list[str], batch_id: int | None = None) -> None:
+    """Aggregate rows in sink column order, partitioned by day.  With ``batch_id`` (foreachBatch) the rows
+    go to a folder of that batch, rewritten on a replay, so nothing is counted twice."""
+    out = with_day(df).select(*columns, "dt").write.partitionBy("dt")
+    if batch_id is None:
+        out.mode("append").parquet(path)
+    else:
+        out.mode("overwrite").parquet(os.path.join(path, f"batch={batch_id}"))
 
 
 def append_report_jdbc(df: DataFrame, url: str, table: str, columns: list[str], batch_size: int = 5000,

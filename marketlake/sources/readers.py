@@ -13,15 +13,23 @@ from pyspark.sql.types import StructType
 KINDS = ("kafka", "text", "json-files", "parquet")
 
 
+def arrival(millis, partition, offset) -> F.Column:
+    """One number that orders records by time, then by their place: 42 bits of milliseconds, then 21 bits
+    of the record's place (its partition and offset, folded)."""
+    place = F.pmod(offset.cast("bigint") * 64 + partition.cast("bigint"), F.lit(1 << 21))
+    return millis * F.lit(1 << 21) + place
+
+
 def source(spark: SparkSession, kind: str, where: str, *, streaming: bool = False,
            schema: StructType | None = None, starting_offsets: str | None = None,
            options: dict[str, str] | None = None) -> DataFrame:
     """Open a source.
 
-    * ``kafka``: ``where`` = topic (``kafka.bootstrap.servers`` in ``options``); returns
-      ``value STRING`` plus ``seq`` (partition/offset order).  ``starting_offsets`` maps to
+    * ``kafka``: ``where`` = topic (``kafka.bootstrap.servers`` in ``options``); returns ``value STRING``
+      plus ``seq`` in arrival order: record timestamp (ms), then partition and offset within a
+      millisecond (keyless producers spread one visitor over partitions).  ``starting_offsets`` maps to
       ``startingOffsets`` (``latest`` for the SQL-table flavour, committed offsets otherwise).
-    * ``text``: landed raw log files (one JSON object per line) -> ``value STRING``.
+    * ``text``: landed raw log files (one JSON object per line) -> ``value STRING`` and ``seq``.
     * ``json-files``: newline-delimited JSON parsed with ``schema`` (required).
     * ``parquet``: typed snapshot (``schema`` required when streaming).
     """
@@ -33,9 +41,12 @@ def source(spark: SparkSession, kind: str, where: str, *, streaming: bool = Fals
             opts["startingOffsets"] = starting_offsets
         df = reader.format("kafka").options(**opts).load()
         return df.select(F.col("value").cast("string").alias("value"),
-                         (F.col("partition").cast("bigint") * F.lit(1 << 40) + F.col("offset")).alias("seq"))
+                         arrival(F.unix_millis("timestamp"), F.col("partition"), F.col("offset")).alias("seq"))
     if kind == "text":
-        return reader.options(**opts).text(where)
+        # arrival order of landed lines: the file's modification time, then the place in the file
+        lines = reader.options(**opts).text(where)
+        return lines.select("value", arrival(F.unix_millis("_metadata.file_modification_time"), F.lit(0),
+                                             F.monotonically_increasing_id()).alias("seq"))
     if kind == "json-files":
         if schema is None:
             raise ValueError("json-files needs a declared schema")
