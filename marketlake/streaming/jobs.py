@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators import joins, logs, routing, stats
+from ..schemas import SINK_HBASE
 from ..session import new_location
+from ..sinks import writers
 
 SENTINEL = "__end_of_input__"
 SENTINEL_SHIFT_MS = 400 * 86_400_000
@@ -125,37 +127,107 @@ def routed_facts_stream(raw_changes: DataFrame, config: DataFrame) -> DataFrame:
     return routing.facts(routing.route(routing.clean_changes(routing.parse_changes(raw_changes)), config))
 
 
-# ---- detail layer with side outputs -----------------------------------------------------------
+# ---- jobs: source -> operator -> sink, each with a fixed name, checkpoint and output folder ------
+
+def start(df: DataFrame, name: str, root: str, *, trigger: dict | None = None,
+          write: Callable[[DataFrame, int, str], None] | None = None):
+    """Start the job ``name``: checkpoint ``root/checkpoints/name``, output ``root/name``.  Both are
+    fixed, so a restarted job goes on where it stopped; ``write`` (batch, batch id, output
+    folder) must rewrite a batch's own folder, so a replayed batch changes nothing."""
+    out = f"{root}/{name}"
+    w = df.writeStream.queryName(name).option("checkpointLocation", f"{root}/checkpoints/{name}")
+    w = w.trigger(**(trigger or {"availableNow": True}))
+    if write is None:
+        return w.outputMode("append").format("parquet").start(out)
+    return w.foreachBatch(lambda b, i: write(b, i, out)).start()
+
+
+def _rewrite(df: DataFrame, folder: str) -> None:
+    df.write.mode("overwrite").parquet(folder)
+
 
 def write_log_outputs(batch: DataFrame, batch_id: int, root: str) -> None:
-    """One micro-batch of the repaired flat log -> start / page / display outputs.
-
-    The batch is persisted once and written to three folders (the side outputs); each output
-    folder is keyed by batch id and overwritten on replay, so the sink is exactly-once."""
-    import os
-    from ..schemas import DISPLAY
-    from pyspark.sql.types import ArrayType, StructField, StructType
-    b = batch.persist()
+    """One micro-batch of the repaired flat log -> start / page / display outputs with all their fields."""
+    b = batch.select("seq", "is_new", F.col("payload").alias("value")).persist()
     try:
+        log = logs.parse_log(b).withColumn("common", F.col("common").withField("is_new", F.col("is_new")))
         part = f"batch={batch_id}"
-        b.filter("is_start").drop("payload").write.mode("overwrite").parquet(os.path.join(root, "start", part))
-        pages = b.filter("NOT is_start")
-        pages.drop("payload").write.mode("overwrite").parquet(os.path.join(root, "page", part))
-        only_displays = StructType([StructField("displays", ArrayType(DISPLAY), True)])
-        disp = (pages.select("seq", "page_id", F.from_json("payload", only_displays)["displays"].alias("_d"))
-                .select("seq", "page_id", F.explode("_d").alias("_x")).select("seq", "_x.*", "page_id"))
-        disp.write.mode("overwrite").parquet(os.path.join(root, "display", part))
+        _rewrite(logs.split_start(log).select("seq", "is_new", "common", "start", "err", "ts"), f"{root}/start/{part}")
+        _rewrite(logs.split_page(log).select("seq", "is_new", "common", "page", "displays", "err", "ts"), f"{root}/page/{part}")
+        _rewrite(logs.explode_displays(log), f"{root}/display/{part}")
     finally:
         b.unpersist()
 
 
-def start_detail_layer(raw: DataFrame, root: str, *, checkpoint: str | None = None, trigger: dict | None = None):
-    """Raw log text stream -> parse -> new-visitor repair (stateful) -> three outputs under
-    ``root``.  Returns the running query."""
+def start_detail_layer(raw: DataFrame, root: str, *, trigger: dict | None = None):
+    """Raw log text stream -> parse -> new-visitor repair (stateful) -> ``root/detail_log/{start,page,display}``."""
     from .processors import flatten_log, repair_new_flag_stream
     typed = logs.parse_log(raw.withColumn("payload", F.col("value")))
-    repaired = repair_new_flag_stream(flatten_log(typed))
-    w = repaired.writeStream.option("checkpointLocation",
-                                    checkpoint or new_location(raw.sparkSession, "checkpoints/detail"))
-    w = w.trigger(**(trigger or {"availableNow": True}))
-    return w.foreachBatch(lambda b, i: write_log_outputs(b, i, root)).start()
+    return start(repair_new_flag_stream(flatten_log(typed)), "detail_log", root, trigger=trigger, write=write_log_outputs)
+
+
+def start_dead_letters(raw: DataFrame, root: str, *, trigger: dict | None = None):
+    """Lines of the log stream that are no JSON object -> ``root/dead_log``."""
+    return start(logs.dirty_log(raw), "dead_log", root, trigger=trigger)
+
+
+def write_changes(read_config: Callable[[SparkSession], DataFrame]) -> Callable[[DataFrame, int, str], None]:
+    """One micro-batch of change records -> routed facts, dimension snapshots, dead letters.
+
+    The config is read anew for every batch, so a change of routing takes effect with the next one.  A
+    dimension table is created when its config first names it; its snapshot takes the batch's
+    changes as version ``batch id + 1``.  Every output belongs to the batch and is rewritten on a replay."""
+    def write(batch: DataFrame, batch_id: int, out: str) -> None:
+        spark = batch.sparkSession
+        b = batch.persist()
+        try:
+            config = routing.current_config(read_config(spark))
+            routed = routing.route(routing.clean_changes(routing.parse_changes(b)), config)
+            writers.write_routed_files(routing.facts(routed), f"{out}/facts", batch_id)
+            _rewrite(routing.dirty_changes(b).select(*[c for c in b.columns if c != "value"], F.col(logs.CORRUPT).alias("value")),
+                     f"{out}/dead/batch={batch_id}")
+            tables = config.where(F.col("sink_type") == SINK_HBASE).groupBy("sink_table").agg(
+                F.max("sink_columns").alias("sink_columns"), F.max("sink_pk").alias("sink_pk")).collect()   # one row per dimension
+            dims = routing.dims(routed)
+            for t in tables:
+                root = f"{out}/dims/{t.sink_table}"
+                writers.create_dimension_if_missing(spark, root, t.sink_columns, t.sink_pk)
+                writers.merge_into_snapshot(spark, root, dims.where(F.col("sink_table") == t.sink_table), batch_id + 1)
+        finally:
+            b.unpersist()
+    return write
+
+
+def start_change_layer(raw: DataFrame, root: str, read_config: Callable[[SparkSession], DataFrame], *,
+                       trigger: dict | None = None):
+    """Change-record text stream (seq, value) -> ``root/changes/{facts,dims,dead}``."""
+    return start(raw, "changes", root, trigger=trigger, write=write_changes(read_config))
+
+
+def start_order_wide(orders: DataFrame, details: DataFrame, root: str, read_dims: Callable[[SparkSession], dict], *,
+                     within: str = "5 milliseconds", as_of_ms: int | None = None, trigger: dict | None = None):
+    """Order and detail fact streams -> ``root/order_wide``; dimensions are read anew for every batch."""
+    def write(batch: DataFrame, batch_id: int, out: str) -> None:
+        now = as_of_ms if as_of_ms is not None else int(time.time() * 1000)
+        _rewrite(joins.enrich_order_wide(batch, read_dims(batch.sparkSession), now), f"{out}/batch={batch_id}")
+    return start(order_lines_stream(orders, details, within), "order_wide", root, trigger=trigger, write=write)
+
+
+def start_payment_wide(payments: DataFrame, wide: DataFrame, root: str, *, within: str = "1800 seconds", trigger: dict | None = None):
+    return start(joins.payment_wide(payments, wide, within=within), "payment_wide", root, trigger=trigger)
+
+
+def start_unique_visits(flat_pages: DataFrame, root: str, *, trigger: dict | None = None):
+    from .processors import unique_visits_stream
+    return start(unique_visits_stream(flat_pages), "unique_visit", root, trigger=trigger)
+
+
+def start_bounces(flat_pages: DataFrame, root: str, *, within: str = "10 seconds", mode: str = "as_written", trigger: dict | None = None):
+    from .processors import bounces_stream
+    return start(bounces_stream(flat_pages, within, mode), f"bounce_{mode}", root, trigger=trigger)
+
+
+def start_report(df: DataFrame, name: str, columns: list[str], root: str, *, trigger: dict | None = None):
+    """A window aggregate (visitor, product, province, keyword) -> its day-partitioned report table."""
+    return start(df, name, root, trigger=trigger,
+                 write=lambda b, i, out: writers.append_report(b, out, columns, batch_id=i))

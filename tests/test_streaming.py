@@ -69,12 +69,96 @@ def test_detail_layer_side_outputs(spark):
     root = new_location(spark, "detail-test")
     jobs.start_detail_layer(jobs.read_staged(spark, staged), root).awaitTermination()
     w = Warehouse(spark, sf)
-    start = spark.read.parquet(root + "/start")
-    page = spark.read.parquet(root + "/page")
-    disp = spark.read.parquet(root + "/display")
+    start = spark.read.parquet(root + "/detail_log/start")
+    page = spark.read.parquet(root + "/detail_log/page")
+    disp = spark.read.parquet(root + "/detail_log/display")
+    assert {r.e for r in start.select(F.col("start")["entry"].alias("e")).distinct().collect()} == {"icon"}
     assert start.count() == L.split_start(w.repaired_log).count()
     exp_page = {(r.seq, r.is_new) for r in w.repaired_log.filter(~L.is_start()).select(
         "seq", F.col("common.is_new").alias("is_new")).collect()}
     assert {(r.seq, r.is_new) for r in page.select("seq", "is_new").collect()} == exp_page
     exp_disp = sorted((r.seq, r.item, r.page_id) for r in L.explode_displays(w.parsed_log).collect())
     assert sorted((r.seq, r.item, r.page_id) for r in disp.collect()) == exp_disp
+
+
+def _text(spark, rows, schema="seq long, value string"):
+    return spark.createDataFrame(rows, schema)
+
+
+def test_change_layer_follows_its_config_and_survives_a_replay(spark):
+    import json
+    root, src = new_location(spark, "changes"), new_location(spark, "changes-in")
+    config = {"rows": [("user_info", "insert", "hbase", "dim_user", "id,name", "id")]}
+    names = ["source_table", "operate_type", "sink_type", "sink_table", "sink_columns", "sink_pk"]
+    read_config = lambda s: s.createDataFrame(config["rows"], names)
+
+    def change(seq, table, type_, data):
+        return (seq, json.dumps({"table": table, "type": type_, "data": data}))
+
+    def run():
+        raw = spark.readStream.schema("seq long, value string").parquet(src)
+        jobs.start_change_layer(raw, root, read_config).awaitTermination()
+
+    _text(spark, [change(1, "user_info", "insert", {"id": "1", "name": "a", "x": "no"}), change(2, "orders", "insert", {"id": "7"}),
+                  (3, "not json")]).coalesce(1).write.mode("append").parquet(src)
+    run()
+    config["rows"] = config["rows"] + [("user_info", "update", "hbase", "dim_user", "id,name", "id"),
+                                       ("orders", "insert", "kafka", "dwd_orders", None, "id")]
+    _text(spark, [change(4, "user_info", "update", {"id": "1", "name": "b"}), change(5, "orders", "insert", {"id": "8"})]
+          ).coalesce(1).write.mode("append").parquet(src)
+    run()
+    from marketlake.sinks import writers
+    snap = lambda: [(r.id, r.data) for r in writers.latest_snapshot(spark, root + "/changes/dims/dim_user").collect()]
+    assert snap() == [("1", {"id": "1", "name": "b"})]
+    facts = spark.read.json(root + "/changes/facts/_batch=1")
+    assert [r.value for r in facts.collect()] == ['{"id":"8"}']          # the order of batch 0 had no route yet
+    assert [r.value for r in spark.read.parquet(root + "/changes/dead/batch=0").collect()] == ["not json"]
+    batch = _text(spark, [change(4, "user_info", "update", {"id": "1", "name": "b"}), change(5, "orders", "insert", {"id": "8"})])
+    jobs.write_changes(read_config)(batch, 1, root + "/changes")        # replayed
+    assert snap() == [("1", {"id": "1", "name": "b"})]
+    assert spark.read.json(root + "/changes/facts/_batch=1").count() == 1
+
+
+def test_report_job_restarts_midway(spark):
+    """Product windows, stopped after two of four files and restarted from the checkpoint."""
+    from marketlake.operators import stats
+    from marketlake.plans.warehouse import Warehouse
+    w = Warehouse(spark, "/root/testdata/sf0.001")
+    m = w.product_measures.persist()
+    staged = jobs.stage(m, "restart", "ts", jobs.sentinel(m, "ts", "sku_id", -1))
+    files = jobs._data_files(spark, staged.path)
+    order = sorted(files, key=lambda f: os.path.getmtime(f.replace("file:", "")))
+    root, src = new_location(spark, "restart-out"), new_location(spark, "restart-in")
+    fs, path_of = jobs._file_system(spark, src)
+    fs.mkdirs(path_of(src))
+
+    def run():
+        stream = spark.readStream.schema(m.schema).option("maxFilesPerTrigger", 1).parquet(src)
+        g = stats.product_window_sums(stream, w.params.window)
+        g = g.select(*stats.window_bounds(instant=True), "sku_id", "order_ct", "click_ct")
+        jobs.start_report(g, "product_stats", ["stt", "edt", "sku_id", "order_ct", "click_ct"], root).awaitTermination()
+
+    for part in (order[:2], order[2:]):
+        for f in part:
+            name = f.rsplit("/", 1)[1]
+            os.link(f.replace("file:", ""), os.path.join(src, name))
+        run()
+    got = spark.read.parquet(root + "/product_stats").where("sku_id <> -1")
+    batch = stats.product_window_sums(m, w.params.window)
+    batch = batch.select(*stats.window_bounds(), "sku_id", "order_ct", "click_ct")
+    key = lambda df: sorted((r.stt, r.sku_id, r.order_ct, r.click_ct) for r in df.collect())
+    assert key(got) == key(batch)
+    m.unpersist()
+
+
+def test_order_wide_job_reads_dimensions_per_batch(spark):
+    from marketlake.plans.warehouse import Warehouse
+    from marketlake.sources import tables as T
+    sf = "/root/testdata/sf0.001"
+    w = Warehouse(spark, sf)
+    orders = jobs.read_staged(spark, jobs.stage(T.order_info(spark, sf), "ow-o", "create_ts"))
+    details = jobs.read_staged(spark, jobs.stage(T.order_detail(spark, sf, time="order"), "ow-d", "create_ts"))
+    root = new_location(spark, "ow")
+    jobs.start_order_wide(orders, details, root, lambda s: Warehouse(s, sf).dims, as_of_ms=w.params.as_of_ms).awaitTermination()
+    out = spark.read.parquet(root + "/order_wide")
+    assert out.count() == w.order_wide.count() and out.select("batch").distinct().count() >= 3
