@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from ..operators.logs import CORRUPT, parse_once
+from ..schemas import PAGE_VIEW
 
 WORDS = r"""CREATE OR REPLACE TEMPORARY FUNCTION keyword_words(content STRING) RETURNS TABLE(keyword STRING)
 RETURN SELECT explode(regexp_extract_all(lower(content), r'([\p{L}\p{N}]+)', 1))"""
@@ -24,6 +28,14 @@ WHERE page['page_id'] = 'good_list' AND page['item'] IS NOT NULL
 GROUP BY keyword, date_trunc('DAY', event_time)"""
 
 
+def topic_view(raw: DataFrame, name: str, schema: StructType = PAGE_VIEW, value: str = "value") -> DataFrame:
+    """Declare a JSON topic as a named table: parsed against ``schema``, ``event_time`` from its ``ts``."""
+    rows = parse_once(raw, value, schema)
+    rows = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT).withColumn("event_time", F.timestamp_millis("ts"))
+    rows.createOrReplaceTempView(name)
+    return rows
+
+
 def register(spark: SparkSession) -> None:
     """Create the table functions in the session."""
     spark.sql(WORDS)

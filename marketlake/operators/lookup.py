@@ -11,15 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def latest_per_key(df: DataFrame, key: str | list[str], order: str) -> DataFrame:
-    """One row per key: the one with the greatest ``order`` (aggregate, not a window, so a hot key
-    is pre-aggregated map-side)."""
-    keys = [key] if isinstance(key, str) else list(key)
-    rest = [c for c in df.columns if c not in keys]
-    packed = F.max_by(F.struct(*rest), F.col(order)).alias("_r")
-    return df.groupBy(*keys).agg(packed).select(*keys, "_r.*")
-
-
 def enrich(fact: DataFrame, dim: DataFrame, fact_key: str, columns: dict[str, str], *,
            dim_key: str = "id", overwrite: tuple[str, ...] = (), unique: bool = False) -> DataFrame:
     """Add ``columns`` (``{output name: dim column}``) looked up by ``fact[fact_key] = dim[dim_key]``.

@@ -241,12 +241,14 @@ def code_decode(spark, d):
 
 # ---- change-record layer -------------------------------------------------------------------------
 
-def _clean(spark, d):
-    return routing.clean_changes(routing.parse_changes(T.cdc_raw(spark, d)))
+def _clean(spark, d, naming: str | None = None):
+    """Parsed and cleaned change records; ``naming``: only text that has this table's name is parsed."""
+    raw = T.cdc_raw(spark, d)
+    return routing.clean_changes(routing.parse_changes(raw if naming is None else raw.filter(F.contains("value", F.lit(naming)))))
 
 
-def _routed(spark, d):
-    return routing.route(_clean(spark, d), T.routing_config(spark))
+def _routed(spark, d, naming: str | None = None):
+    return routing.route(_clean(spark, d, naming), T.routing_config(spark))
 
 
 def _record_view(df):
@@ -276,12 +278,10 @@ def cdc_column_filter(spark, d):
 
 
 def dim_upsert_merge(spark, d):
-    """Routed user-dimension changes applied in two batches (inserts, then updates) to an empty
-    snapshot; the result is flattened."""
-    r = routing.dims(_routed(spark, d)).filter(F.col("sink_table") == "dim_user_info")
-    empty = spark.createDataFrame([], "id string, data map<string,string>")
-    snap = routing.merge_dimension(empty, r.filter(F.col("type") == "insert"))
-    snap = routing.merge_dimension(snap, r.filter(F.col("type") == "update"))
+    """Routed user-dimension changes applied to an empty snapshot in one merge (every column takes its
+    latest value by arrival); the result is flattened."""
+    r = routing.dims(_routed(spark, d, "user_info")).filter(F.col("sink_table") == "dim_user_info")
+    snap = routing.merge_dimension(spark.createDataFrame([], "id string, data map<string,string>"), r)
     return snap.select("id", *[F.col("data")[c].alias(c) for c in ("name", "birthday", "gender")])
 
 

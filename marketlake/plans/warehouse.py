@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import joins, logs, stats, visitors
-from ..session import new_location
+from ..session import shared_root
 from ..sources import tables as T
+from ..sources.readers import report_table
 
 
 @dataclass(frozen=True)
@@ -134,7 +135,7 @@ class Warehouse:
     def materialize(self, df: DataFrame, name: str, partition_by: str | None = "dt") -> DataFrame:
         """Write ``df`` under the shared root (``dt``-partitioned when it has stt) and read it back."""
         from ..operators.reports import with_day
-        path = new_location(self.spark, f"tables/{name}")
+        path = f"{shared_root(self.spark)}/tables/{name}"   # one place per table: a new build replaces it
         out = with_day(df) if (partition_by == "dt" and "stt" in df.columns) else df
         if partition_by and partition_by in out.columns:
             # range-partition by (day, window, first column): each task writes a contiguous run of
@@ -147,6 +148,6 @@ class Warehouse:
         t0 = time.time()
         w.parquet(path)
         self.timings[name] = round(time.time() - t0, 3)
-        back = self.spark.read.parquet(path)
+        back = report_table(self.spark, path)
         # partition discovery would type dt as an integer; reports compare it as yyyyMMdd text
         return back.withColumn("dt", F.col("dt").cast("string")) if "dt" in back.columns else back

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from ..operators.reports import with_day
 from ..operators.routing import merge_dimension
-from ..session import new_location
 
 
 def as_json_value(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -23,17 +22,17 @@ def as_json_value(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return df.select(F.to_json(F.struct(*cols)).alias("value"))
 
 
-def to_topic(df: DataFrame, topic: str, options: dict[str, str], checkpoint: str | None = None):
-    """Stream rows as JSON to one Kafka topic."""
+def to_topic(df: DataFrame, topic: str, options: dict[str, str], checkpoint: str):
+    """Stream rows as JSON to one Kafka topic; a fixed ``checkpoint`` lets a restart go on."""
     w = as_json_value(df).writeStream.format("kafka").options(**options).option("topic", topic)
-    return w.option("checkpointLocation", checkpoint or new_location(df.sparkSession, "checkpoints")).start()
+    return w.option("checkpointLocation", checkpoint).start()
 
 
-def to_routed_topics(df: DataFrame, options: dict[str, str], checkpoint: str | None = None):
+def to_routed_topics(df: DataFrame, options: dict[str, str], checkpoint: str):
     """Each record to the topic named by its ``sink_table``; payload = its ``data``."""
     out = df.select(F.col("sink_table").alias("topic"), F.to_json("data").alias("value"))
     w = out.writeStream.format("kafka").options(**options)
-    return w.option("checkpointLocation", checkpoint or new_location(df.sparkSession, "checkpoints")).start()
+    return w.option("checkpointLocation", checkpoint).start()
 
 
 def write_routed_files(batch: DataFrame, root: str, batch_id: int) -> None:

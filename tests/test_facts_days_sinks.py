@@ -132,6 +132,20 @@ def test_sql_functions(spark):
     assert [(r.ct, r.source) for r in spark.sql("SELECT * FROM keyword_counts(1, 0, 2)").collect()] == [(1, "CLICK"), (2, "ORDER")]
 
 
+def test_topic_declared_as_a_table(spark):
+    raw = spark.createDataFrame([('{"common":{"mid":"m"},"page":{"page_id":"good_list","item":"red ball"},"ts":"1000"}',), ("x",)], "value string")
+    sql.topic_view(raw, "page_topic")
+    sql.register(spark)
+    got = spark.sql("SELECT common['mid'] AS mid, keyword, ts FROM page_topic, LATERAL keyword_words(page['item'])").collect()
+    assert [(r.mid, r.keyword, r.ts) for r in got] == [("m", "red", 1000), ("m", "ball", 1000)]
+
+
+def test_renames_and_json_values(spark):
+    df = readers.camel_columns(spark.createDataFrame([("a", 1)], "source_table string, sink_pk int"))
+    assert df.columns == ["sourceTable", "sinkPk"]
+    assert writers.as_json_value(df).first().value == '{"sourceTable":"a","sinkPk":1}'
+
+
 def test_shared_root_must_be_set_off_local_mode():
     class Conf:
         def get(self, *_):
