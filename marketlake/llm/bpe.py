@@ -26,10 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from .common import ship, whole_text
+from .common import parts, ship, whole_text
 
 RANKS = "byte_bpe_50k.tiktoken"
-CACHE = 500_000
+CACHE = 400_000
 SLICE = 1_000_000
 FOREST = 64
 #: Tree leaves that one array of trees holds.
@@ -92,14 +92,7 @@ class Bpe:
         for t, r in self.ranks.items():
             self.tokens[r] = t
         self.byte_id = np.array([self.ranks[bytes([i])] for i in range(256)], np.int64)
-        pairs = {}
-        for t, r in self.ranks.items():
-            for i in range(1, len(t)):
-                a, b = self.ranks.get(t[:i]), self.ranks.get(t[i:])
-                if a is not None and b is not None:
-                    pairs[a << 20 | b] = r
-        self.pairs = pairs
-        self._hash_pairs()
+        self.pairs: dict[int, int] = {}
         self.token_sizes = np.array([len(t) for t in self.tokens], np.int64)
         self.token_starts = np.cumsum(self.token_sizes) - self.token_sizes
         self.token_bytes = np.frombuffer(b"".join(self.tokens), np.uint8)
@@ -116,8 +109,13 @@ class Bpe:
         self.begin = np.empty(1 << 14, np.int64)
         self.count = np.empty(1 << 14, np.int64)
 
-    def _hash_pairs(self) -> None:
-        """Open addressing over the pairs of ids that make a token."""
+    def _find_pairs(self) -> None:
+        """The pairs of ids that make a token, and an open-addressing table of them."""
+        for t, r in self.ranks.items():
+            for i in range(1, len(t)):
+                a, b = self.ranks.get(t[:i]), self.ranks.get(t[i:])
+                if a is not None and b is not None:
+                    self.pairs[a << 20 | b] = r
         keys = np.array(list(self.pairs), np.int64)
         ranks = np.array(list(self.pairs.values()), np.int32)
         self.shift = np.uint64(64 - (len(keys) * 6).bit_length())
@@ -205,6 +203,8 @@ class Bpe:
 
     def tree(self, piece: bytes) -> list[int]:
         """Merge one long match."""
+        if not self.pairs:
+            self._find_pairs()
         n = len(piece)
         width = 1 << max(1, (n - 1).bit_length())
         bits, inf = width.bit_length() - 1, 1 << 62
@@ -334,6 +334,8 @@ class Bpe:
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """uint32 ids of each text, in order."""
+        if not self.pairs:
+            self._find_pairs()
         part, size = [], 0
         for t in texts:
             if part and size + len(t) > SLICE:
@@ -361,14 +363,29 @@ def load(path: str | None = None) -> Bpe:
     return Bpe(path)
 
 
-def _with(df: DataFrame, column: str, source: str, convert) -> DataFrame:
-    schema = StructType([f for f in df.schema.fields if f.name != column] + [StructField(column, BinaryType())])
-    names = [f.name for f in schema.fields[:-1]]
+def _encoded(column: pa.Array, path: str | None) -> pa.Array:
+    texts = [t or "" for t in column.to_pylist()]
+    return pa.array([x.astype("<u4").tobytes() for x in load(path).encode(texts)], pa.binary())
+
+
+def _decoded(column: pa.Array, path: str | None) -> pa.Array:
+    bpe = load(path)
+    return pa.array([bpe.decode(np.frombuffer(x.as_py() or b"", "<u4")) for x in column], pa.binary())
+
+
+def _with(df: DataFrame, source: str, steps: list, path: str | None) -> DataFrame:
+    """Add columns one after another (name, function), each computed from the one before."""
+    added = [name for name, _ in steps]
+    schema = StructType([f for f in df.schema.fields if f.name not in added] + [StructField(n, BinaryType()) for n in added])
+    names = schema.names[: -len(added)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = pa.array(convert(batch.column(source)), pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(n) for n in names] + [out], names + [column])
+        for part in parts(batches, source):
+            made, column = [], part.column(source)
+            for _, convert in steps:
+                column = convert(column, path)
+                made.append(column)
+            yield pa.RecordBatch.from_arrays([part.column(n) for n in names] + made, names + added)
 
     ship(df.sparkSession)
     return df.mapInArrow(run, schema)
@@ -376,24 +393,22 @@ def _with(df: DataFrame, column: str, source: str, convert) -> DataFrame:
 
 def encode(df: DataFrame, text: str = "text", ids: str = "ids", path: str | None = None) -> DataFrame:
     """Add ``ids``: the text's ids as little-endian unsigned 32-bit integers (null text: none)."""
-    def convert(column: pa.Array) -> Iterator[bytes]:
-        return (x.astype("<u4").tobytes() for x in load(path).encode([t or "" for t in column.to_pylist()]))
-
-    return _with(df, ids, text, convert)
+    return _with(df, text, [(ids, _encoded)], path)
 
 
 def decode(df: DataFrame, ids: str = "ids", data: str = "decoded", path: str | None = None) -> DataFrame:
     """Add ``data``: the bytes that the ids stand for (null ids: none)."""
-    def convert(column: pa.Array) -> Iterator[bytes]:
-        bpe = load(path)
-        return (bpe.decode(np.frombuffer(x.as_py() or b"", "<u4")) for x in column)
+    return _with(df, ids, [(data, _decoded)], path)
+
 
-    return _with(df, data, ids, convert)
+def round_trip(df: DataFrame, text: str = "text", ids: str = "ids", data: str = "decoded", path: str | None = None) -> DataFrame:
+    """Both: ``ids`` of the text, then ``data`` decoded from those ids, in one pass of the workers."""
+    return _with(df, text, [(ids, _encoded), (data, _decoded)], path)
 
 
 def op1(spark, sf_dir: str) -> DataFrame:
     """Round trip of every document: token count and digests of the ids and of the decoded bytes."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", whole_text().alias("text"))
-    both = decode(encode(docs).select("doc_id", "ids"))
+    both = round_trip(docs).select("doc_id", "ids", "decoded")
     return both.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -5,7 +5,11 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +18,8 @@ from ..session import cut_lineage
 # ASCII white space as the contracts spell it; a word is a run of anything else.
 BLANK = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
+#: Text that a Python worker takes in hand at a time (a longer single text is taken whole).
+PART_BYTES = 1 << 20
 
 
 def ship(spark: SparkSession) -> None:
@@ -34,6 +40,23 @@ def ship(spark: SparkSession) -> None:
     sc._marketlake_shipped = True
 
 
+def parts(batches: Iterator[pa.RecordBatch], *text: str, most: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
+    """Rows in parts whose text (a column, or a field of a struct column) holds about ``most`` bytes, at
+    least one row: what a worker has in hand does not grow with Spark's batches."""
+    for batch in batches:
+        column = batch.column(text[0])
+        for field in text[1:]:
+            column = column.field(field)
+        upto = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
+        lo = 0
+        while lo < len(upto):
+            hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + most, "right")))
+            yield batch.slice(lo, hi - lo)
+            lo = hi
+        del batch, column
+        pa.default_memory_pool().release_unused()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

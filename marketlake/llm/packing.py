@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import load
-from .common import materialize, ship, table
+from .common import materialize, parts, ship, table
 
 CAPACITY, END = 1024, 2
 SHARD, ISLANDS, POPULATION, ROUNDS, CHILDREN = 4_096, 2, 4, 2, 10
@@ -41,7 +41,7 @@ def pieces(docs: DataFrame, with_ids: bool = False, path: str | None = None) ->
     """uid, doc_id, piece, start, length, ids_crc32 (and ``ids``, little-endian 32-bit) of each piece."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, end = load(path), np.array([END], "<u4")
-        for batch in batches:
+        for batch in parts(batches, "text"):
             rows, piece, start, length, crc, data = [], [], [], [], [], []
             for row, ids in enumerate(bpe.encode([t or "" for t in batch.column(1).to_pylist()])):
                 ids = np.concatenate([ids.astype("<u4"), end])
