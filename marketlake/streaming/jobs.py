@@ -12,6 +12,7 @@ pushes the watermark past every real row; the sentinel's own output is dropped a
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -142,6 +143,11 @@ def start(df: DataFrame, name: str, root: str, *, trigger: dict | None = None,
     return w.foreachBatch(lambda b, i: write(b, i, out)).start()
 
 
+def late_rows(query) -> int:
+    """Rows that the watermark has dropped as late in the query's recent micro-batches."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in json.loads(p.json)["stateOperators"])
+
+
 def _rewrite(df: DataFrame, folder: str) -> None:
     df.write.mode("overwrite").parquet(folder)
 

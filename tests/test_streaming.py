@@ -162,3 +162,19 @@ def test_order_wide_job_reads_dimensions_per_batch(spark):
     jobs.start_order_wide(orders, details, root, lambda s: Warehouse(s, sf).dims, as_of_ms=w.params.as_of_ms).awaitTermination()
     out = spark.read.parquet(root + "/order_wide")
     assert out.count() == w.order_wide.count() and out.select("batch").distinct().count() >= 3
+
+
+def test_late_rows_are_dropped_and_counted(spark):
+    src, root = new_location(spark, "late-in"), new_location(spark, "late-out")
+    schema = "vc string, ch string, ar string, is_new string, uv_ct long, pv_ct long, sv_ct long, uj_ct long, dur_sum long, ts long"
+    row = lambda ts: ("v", "c", "a", "1", 0, 1, 0, 0, 0, ts)
+
+    def run(*times):
+        spark.createDataFrame([row(t) for t in times], schema).coalesce(1).write.mode("append").parquet(src)
+        s = jobs.visitor_stats_stream(spark.readStream.schema(schema).parquet(src), "10 seconds", 0)
+        q = jobs.start(s, "late", root)
+        q.awaitTermination()
+        return jobs.late_rows(q)
+
+    assert run(1_000, 100_000) == 0
+    assert run(2_000, 101_000) == 1      # its window closed when the first batch moved the watermark
