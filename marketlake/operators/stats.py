@@ -24,7 +24,7 @@ from ..functions.timefmt import DATETIME_FMT, TEXT_OFFSET_HOURS, event_time, mil
 from ..schemas import (AMOUNT, AMOUNT_SUM, KEYWORD_STATS_COLUMNS, PRODUCT_STATS_COLUMNS,
                        PROVINCE_STATS_COLUMNS, VISITOR_STATS_COLUMNS)
 from .lookup import enrich
-from .logs import explode_displays, is_entry
+from .logs import is_entry, is_start
 
 
 
@@ -87,11 +87,14 @@ def visitor_measures(page_log: DataFrame, uv_rows: DataFrame, bounce_rows: DataF
     """Four measure streams in one shape, unioned: page views (with duration), unique visits,
     sessions (entry pages) and bounces."""
     one = F.lit(1).cast("bigint")
-    pv = _visitor_rows(page_log, pv=one, dur=F.coalesce(F.col("page.during_time"), _l0()))
+    # a page view and, on entry pages, a session: two rows of one pass over the page log
+    view = F.struct(one.alias("pv_ct"), _l0().alias("sv_ct"), F.coalesce(F.col("page.during_time"), _l0()).alias("dur_sum"))
+    entry = F.struct(_l0().alias("pv_ct"), one.alias("sv_ct"), _l0().alias("dur_sum"))
+    both = page_log.select("common", "ts", F.explode(F.when(is_entry(), F.array(view, entry)).otherwise(F.array(view))).alias("_m"))
+    pages = _visitor_rows(both, pv=F.col("_m.pv_ct"), sv=F.col("_m.sv_ct"), dur=F.col("_m.dur_sum"))
     uv = _visitor_rows(uv_rows, uv=one)
-    sv = _visitor_rows(page_log.filter(is_entry()), sv=one)
     uj = _visitor_rows(bounce_rows, uj=one)
-    return union_all([pv, uv, sv, uj])
+    return union_all([pages, uv, uj])
 
 
 def visitor_stats(measures: DataFrame, size: str = "10 seconds", *, as_of_ms: Column | int,
@@ -134,10 +137,15 @@ def product_measures(page_log: DataFrame, favor: DataFrame, cart: DataFrame, ord
     def text_ms(c: str) -> Column:
         return text_to_millis(F.col(c), offset_hours)
 
-    clicks = page_log.filter(F.col("page.page_id") == "good_detail")
-    clicks = _product_rows(clicks, F.col("page.item").try_cast("bigint"), F.col("ts"), click_ct=one)
-    disp = explode_displays(page_log, carry=("ts",)).filter(F.col("item_type") == "sku_id")
-    disp = _product_rows(disp, F.col("item").try_cast("bigint"), F.col("ts"), display_ct=one)
+    # clicks and displays: rows of one pass over the page log
+    none = F.array().cast("array<struct<item:string,click:int,display:int>>")
+    click = F.array(F.struct(F.col("page.item").alias("item"), F.lit(1).alias("click"), F.lit(0).alias("display")))
+    shown = F.transform(F.filter("displays", lambda d: d["item_type"] == "sku_id"),
+                        lambda d: F.struct(d["item"].alias("item"), F.lit(0).alias("click"), F.lit(1).alias("display")))
+    seen = page_log.select("ts", F.explode(F.concat(
+        F.when(F.col("page.page_id") == "good_detail", click).otherwise(none),
+        F.when(~is_start(), F.coalesce(shown, none)).otherwise(none))).alias("_m"))
+    seen = _product_rows(seen, F.col("_m.item").try_cast("bigint"), F.col("ts"), click_ct=F.col("_m.click"), display_ct=F.col("_m.display"))
     fav = _product_rows(favor, F.col("sku_id"), text_ms("create_time"), favor_ct=one)
     crt = _product_rows(cart, F.col("sku_id"), text_ms("create_time"), cart_ct=one)
     odr = _product_rows(order_wide, F.col("sku_id"), F.col("create_ts"), "order", F.col("order_id"),
@@ -148,7 +156,7 @@ def product_measures(page_log: DataFrame, favor: DataFrame, cart: DataFrame, ord
                         F.col("order_id"), refund_amount=F.col("refund_amount"))
     cmt = _product_rows(comment, F.col("sku_id"), text_ms("create_time"),
                         comment_ct=one, good_comment_ct=F.when(F.col("appraise") == APPRAISE_GOOD, 1).otherwise(0))
-    return union_all([clicks, disp, fav, crt, odr, pay, rfd, cmt])
+    return union_all([seen, fav, crt, odr, pay, rfd, cmt])
 
 
 def product_window_sums(measures: DataFrame, size: str = "10 seconds",
