@@ -30,14 +30,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..session import new_location
-from .common import materialize, ship, table, text_digest
+from .common import materialize, parts, ship, table, text_digest
 
 #: The default key; a deployment passes its own secret.
 KEY = os.environ.get("MARKETLAKE_PII_KEY", "marketlake-surrogates")
 ROUNDS, MOST_ATTEMPTS = 6, 64
 
 # Titles by gender.
-MALE = ["Mr", "Mister", "Sir", "Herr", "Señor", "Sr", "Don", "Monsieur", "Господин", "господин", "г-н"]
+MALE = ["Mr", "Mister", "Sir", "Herr", "Señor", "Sr", "Monsieur", "Господин", "господин", "г-н"]
 FEMALE = ["Mrs", "Ms", "Miss", "Madam", "Frau", "Señora", "Señorita", "Sra", "Madame", "Mme", "Mlle",
           "Госпожа", "госпожа", "г-жа"]
 # The sounds that surrogate names are made of, by script.
@@ -241,7 +241,7 @@ def write(kind: str, original: str, value: str) -> str:
 def occurrences(docs: DataFrame) -> DataFrame:
     """__null, __id, __digest (the row), kind, value: each entity of each document once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, "text"):
             rows, kinds, values = [], [], []
             for i, t in enumerate(batch.column(3).to_pylist()):
                 for kind, value in {(k, v) for _, _, k, v in find(t)} if t else ():
@@ -313,7 +313,7 @@ def pseudonymize(docs: DataFrame, key: str = KEY, count: str | None = None) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = Surrogates(key)
-        for batch in batches:
+        for batch in parts(batches, "text"):
             texts, counts = [], []
             for t, special in zip(batch.column(names.index("text")).to_pylist(), batch.column(len(names)).to_pylist()):
                 entities = find(t) if t else []
@@ -322,11 +322,11 @@ def pseudonymize(docs: DataFrame, key: str = KEY, count: str | None = None) -> D
                     texts.append(t)
                     continue
                 attempts = {(s["kind"], s["value"]): s["attempt"] for s in special or ()}
-                parts, last = [], 0
+                pieces, last = [], 0
                 for a, b, kind, value in entities:
-                    parts += [t[last:a], write(kind, t[a:b], made.value(kind, value, attempts.get((kind, value), 0)))]
+                    pieces += [t[last:a], write(kind, t[a:b], made.value(kind, value, attempts.get((kind, value), 0)))]
                     last = b
-                texts.append("".join([*parts, t[last:]]))
+                texts.append("".join([*pieces, t[last:]]))
             columns = [pa.array(texts, pa.string()) if n == "text" else batch.column(i) for i, n in enumerate(names)]
             yield pa.RecordBatch.from_arrays(columns + ([pa.array(counts, pa.int64())] if count else []),
                                              names + ([count] if count else []))

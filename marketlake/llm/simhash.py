@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, materialize, ship, table, text_digest
+from .common import components, materialize, parts, ship, table, text_digest
 
 SHINGLE, SEED, MOST_BITS = 3, 42, 2
 PIVOTS = 24
@@ -57,7 +57,7 @@ def fingerprint(text: str) -> int:
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, digest (of the text) and ``fp`` (signed 64 bits)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, "text"):
             fps = np.array([fingerprint(t or "") for t in batch.column(2).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps)], ["doc_id", "digest", "fp"])
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from .common import materialize, ship, table, text_digest
+from .common import materialize, parts, ship, table, text_digest
 
 LENGTH, GRAM = 100, 36
 WIDTH = LENGTH - GRAM + 1
@@ -177,13 +177,13 @@ MARK = {"kind": "<u1", "start": "<u4", "size": "<u4", "back": "<u1", "more": "<u
 SUFFIX = {"place": "<u4", "back": "<u1", "more": "<u1", "data": "|S1"}
 
 
-def _spread(docs: np.ndarray, parts: int) -> np.ndarray:
+def _spread(docs: np.ndarray, buckets: int) -> np.ndarray:
     """The part of each document (row of docs)."""
-    return (_mix((docs[:, 1] * 3 + docs[:, 0] + docs[:, 2] * 5).view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+    return (_mix((docs[:, 1] * 3 + docs[:, 0] + docs[:, 2] * 5).view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
 
 
-def _marks(docs: np.ndarray, doc: np.ndarray, kind, start, size, back, more, parts: int) -> list[dict]:
-    return _pack(_spread(docs, parts)[doc], docs, doc, {
+def _marks(docs: np.ndarray, doc: np.ndarray, kind, start, size, back, more, buckets: int) -> list[dict]:
+    return _pack(_spread(docs, buckets)[doc], docs, doc, {
         "kind": kind.astype("<u1"), "start": start.astype("<u4"), "size": size.astype("<u4"),
         "back": back.astype("<u1"), "more": more.astype("<u1")})
 
@@ -200,7 +200,7 @@ def _later(order: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return by, change, order[by] > order[by][head]
 
 
-def _find_anchors(parts: int):
+def _find_anchors(buckets: int):
     """Texts -> packed anchors (side 0) and marks of those that a batch repeats (side 1)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -214,18 +214,18 @@ def _find_anchors(parts: int):
             by, first, later = _later(doc << 32 | place, a["cover"], a["gram"])
             keep, again = by[first], by[later]
             rows = [r | {"side": 0} for r in _pack(
-                (_mix(a["gram"][keep] + np.uint64(1)) % np.uint64(parts)).astype(np.int64), ranked, doc[keep],
+                (_mix(a["gram"][keep] + np.uint64(1)) % np.uint64(buckets)).astype(np.int64), ranked, doc[keep],
                 {k: a[k][keep].astype(t) for k, t in ANCHOR.items()})]
             start = place[again] - a["back"][again]
             zero = np.zeros(len(again), np.int64)
-            rows += [r | {"side": 1} for r in _marks(ranked, doc[again], zero, start, a["more"][again] + LENGTH, zero, zero, parts)]
+            rows += [r | {"side": 1} for r in _marks(ranked, doc[again], zero, start, a["more"][again] + LENGTH, zero, zero, buckets)]
             names = ["side", "bucket", "docs", "doc", *dict.fromkeys([*ANCHOR, *MARK])]
             arrays = [pa.array([r.get(n) for r in rows], pa.int64() if n in ("side", "bucket") else pa.binary()) for n in names]
             yield pa.RecordBatch.from_arrays(arrays, names)
     return run
 
 
-def _classes(parts: int):
+def _classes(buckets: int):
     """A bucket of anchors -> marks of repeated classes and requests for bytes; marks pass through."""
     def run(tbl: pa.Table) -> pa.Table:
         side = np.array(tbl.column("side").to_pylist())
@@ -245,7 +245,7 @@ def _classes(parts: int):
         items = np.concatenate([again, wanted])
         kind = np.concatenate([np.zeros(len(again), np.int64), np.ones(len(wanted), np.int64)])
         start = np.where(kind == 0, place[items] - back[items], place[items])
-        found = _batch(_marks(docs, doc[items], kind, start, more[items] + LENGTH, back[items], more[items], parts), MARK)
+        found = _batch(_marks(docs, doc[items], kind, start, more[items] + LENGTH, back[items], more[items], buckets), MARK)
         return pa.concat_tables([found, passed.cast(found.schema)])
     return run
 
@@ -282,7 +282,7 @@ def _per_document(tbl: pa.Table) -> pa.Table:
                      "asks": pa.array([asks[x:y].tobytes() if y > x else None for x, y in zip(e, f)], pa.binary())})
 
 
-def _fetch(parts: int):
+def _fetch(buckets: int):
     """Documents with requests -> packed bytes around their anchors, by gram."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = WIDTH - 1 + LENGTH
@@ -307,7 +307,7 @@ def _fetch(parts: int):
             doc, place, back, more, data = (np.concatenate(x) for x in (doc, place, back, more, data))
             gram = data[:, WIDTH - 1: WIDTH - 1 + GRAM].astype(np.int64)
             h = (mix[gram] * up[:GRAM]).sum(axis=1, dtype=np.uint64)
-            rows = _pack((_mix(_mix(h) + np.uint64(1)) % np.uint64(parts)).astype(np.int64), docs, doc, {
+            rows = _pack((_mix(_mix(h) + np.uint64(1)) % np.uint64(buckets)).astype(np.int64), docs, doc, {
                 "place": place.astype("<u4"), "back": back.astype("<u1"), "more": more.astype("<u1"), "data": data})
             yield from _batch(rows, SUFFIX).to_batches()
     return run
@@ -402,7 +402,7 @@ def common_prefixes(matrix: np.ndarray, order: np.ndarray) -> np.ndarray:
     return out
 
 
-def _suffixes(parts: int):
+def _suffixes(buckets: int):
     """Anchor bytes of some grams -> marks of all but the earliest of equal strings."""
     def run(tbl: pa.Table) -> pa.Table:
         docs, doc, s = _unpack(tbl, SUFFIX)
@@ -430,43 +430,44 @@ def _suffixes(parts: int):
         _, hi = np.nonzero(edge == -1)
         start = place[item] - (hi - 1)
         zero = np.zeros(len(item), np.int64)
-        return _batch(_marks(docs, doc[item], zero, start, hi - 1 - lo + LENGTH, zero, zero, parts), MARK)
+        return _batch(_marks(docs, doc[item], zero, start, hi - 1 - lo + LENGTH, zero, zero, buckets), MARK)
     return run
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(readable: bool):
+    """Texts and their marks -> ``kept``, n_removed, n_spans.  ``readable``: kept as text; what is
+    left of a character that was cut goes too."""
     names = ["spans", "more_spans"]
-    for batch in batches:
-        keep = [n for n in batch.schema.names if n not in ("data", *names)]
-        kept, removed, runs = [], [], []
-        for text, *found in zip(batch.column("data").to_pylist(), *[batch.column(n).to_pylist() for n in names]):
-            text = text or b""
-            both = np.concatenate([np.frombuffer(f or b"", "<i8").reshape(-1, 2) for f in found])
-            if not len(both):
-                kept.append(text)
-                removed.append(0)
-                runs.append(0)
-                continue
-            _, lo, hi = _merge(np.zeros(len(both), np.int64), both[:, 0], both[:, 1])
-            edges = [0, *np.stack([lo, hi], axis=1).reshape(-1).tolist(), len(text)]
-            kept.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])))
-            removed.append(int((hi - lo).sum()))
-            runs.append(len(lo))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(n) for n in keep] + [pa.array(kept, pa.binary()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64())],
-            [*keep, "kept", "n_removed", "n_spans"])
-
-
-def _readable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``kept`` as text: what is left of a character that was cut goes too."""
-    for batch in batches:
-        texts = [b.decode("utf-8", "ignore") for b in batch.column("kept").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], ["row", "kept_text"])
-
-
-def remove_repeats(docs: DataFrame, carry: bool = False) -> DataFrame:
-    """doc_id, digest, ``kept`` (binary: the remaining bytes), n_bytes, n_removed and n_spans; with
-    ``carry`` also ``row``, the whole input row as a struct."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts(batches, "data"):
+            keep = [n for n in batch.schema.names if n not in ("data", *names)]
+            kept, removed, runs = [], [], []
+            for text, *found in zip(batch.column("data").to_pylist(), *[batch.column(n).to_pylist() for n in names]):
+                text = text or b""
+                both = np.concatenate([np.frombuffer(f or b"", "<i8").reshape(-1, 2) for f in found])
+                _, lo, hi = _merge(np.zeros(len(both), np.int64), both[:, 0], both[:, 1])
+                edges = [0, *np.stack([lo, hi], axis=1).reshape(-1).tolist(), len(text)]
+                kept.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])))
+                removed.append(int((hi - lo).sum()))
+                runs.append(len(lo))
+            kept = pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()) if readable else pa.array(kept, pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(n) for n in keep] + [kept, pa.array(removed, pa.int64()), pa.array(runs, pa.int64())],
+                [*keep, "kept", "n_removed", "n_spans"])
+    return run
+
+
+def remove_repeats(docs: DataFrame) -> DataFrame:
+    """doc_id, digest, ``kept`` (binary: the remaining bytes), n_bytes, n_removed and n_spans."""
+    return _removed(docs, False).select(
+        F.when(F.col("null") == 0, F.col("id")).alias("doc_id"), "digest",
+        (F.length("kept") + F.col("n_removed")).cast("long").alias("n_bytes"), "n_removed", "n_spans", "kept")
+
+
+def _removed(docs: DataFrame, carry: bool) -> DataFrame:
+    """The row's key, ``kept``, n_removed, n_spans; ``carry``: kept is text, and ``row`` is the whole
+    input row as a struct."""
     spark = docs.sparkSession
     ship(spark)
     keys = [F.col("doc_id").isNull().cast("long").alias("null"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"),
@@ -474,28 +475,26 @@ def remove_repeats(docs: DataFrame, carry: bool = False) -> DataFrame:
     data = F.col("text").cast("binary").alias("data")
     texts = docs.select(*keys, data)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(LEAST_BUCKETS, -(-total // BUCKET_BYTES))
+    buckets = max(LEAST_BUCKETS, -(-total // BUCKET_BYTES))
 
     both = dict.fromkeys([*ANCHOR, *MARK])
     per = "null long, id long, digest long, spans binary, asks binary"
-    found = texts.mapInArrow(_find_anchors(parts), "side long, " + _schema(both))
+    found = texts.mapInArrow(_find_anchors(buckets), "side long, " + _schema(both))
     # side 0: anchors in their gram's bucket; side 1: marks that a batch already knew, passed on
-    marks = materialize(found.groupBy("bucket").applyInArrow(_classes(parts), _schema(MARK))
+    marks = materialize(found.groupBy("bucket").applyInArrow(_classes(buckets), _schema(MARK))
                         .groupBy("bucket").applyInArrow(_per_document, per))
     asked = (texts.join(marks.where("asks is not null").select(*_DOC, "asks"), list(_DOC))
-             .mapInArrow(_fetch(parts), _schema(SUFFIX))
-             .groupBy("bucket").applyInArrow(_suffixes(parts), _schema(MARK))
+             .mapInArrow(_fetch(buckets), _schema(SUFFIX))
+             .groupBy("bucket").applyInArrow(_suffixes(buckets), _schema(MARK))
              .groupBy("bucket").applyInArrow(_per_document, per)
              .select(*_DOC, F.col("spans").alias("more_spans")))
     row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []
     joined = (docs.select(*keys, data, *row).join(marks.select(*_DOC, "spans"), list(_DOC), "left")
               .join(asked, list(_DOC), "left").select(*_DOC, *(["row"] if carry else []), "data", "spans", "more_spans"))
     schema = StructType([f for f in joined.schema.fields if f.name not in ("data", "spans", "more_spans")]
-                        + [StructField("kept", BinaryType()), StructField("n_removed", LongType()), StructField("n_spans", LongType())])
-    return joined.mapInArrow(_cut, schema).select(
-        F.when(F.col("null") == 0, F.col("id")).alias("doc_id"), "digest",
-        (F.length("kept") + F.col("n_removed")).cast("long").alias("n_bytes"), "n_removed", "n_spans", "kept",
-        *(["row"] if carry else []))
+                        + [StructField("kept", StringType() if carry else BinaryType()), StructField("n_removed", LongType()),
+                           StructField("n_spans", LongType())])
+    return joined.mapInArrow(_cut(carry), schema)
 
 
 def op6(spark, sf_dir: str) -> DataFrame:
@@ -508,8 +507,7 @@ def cut_repeats(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A cut may fall inside a character; what is left of such a character goes too.  Null texts stay
     null; n_chars, if there, follows the new text; documents stay even when nothing of them is left."""
-    found = remove_repeats(docs, carry=True).select("row", "kept")
-    texts = found.mapInArrow(_readable, StructType([found.schema["row"], StructField("kept_text", StringType())]))
-    text = F.when(F.col("row.text").isNotNull(), F.col("kept_text"))
+    found = _removed(docs, True)
+    text = F.when(F.col("row.text").isNotNull(), F.col("kept"))
     new = {"text": text, "n_chars": F.char_length(text).cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None}
-    return texts.select(*[(new[c] if c in new else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    return found.select(*[(new[c] if c in new else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

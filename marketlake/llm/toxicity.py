@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, table, whole_text
+from .common import parts, ship, table, whole_text
 
 THRESHOLD = 0.7
 #: Held out of learning: crc32(doc_id as text) mod FOLDS = HELD.
@@ -252,7 +252,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id and ``score`` of each whole text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, "text"):
             scores = model.score([t or "" for t in batch.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
