@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
 import zipfile
 from collections.abc import Iterator
 
@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, new_location
 
 # ASCII white space as the contracts spell it; a word is a run of anything else.
 BLANK = r"[\x20\x09-\x0D]"
@@ -24,18 +24,22 @@ PART_BYTES = 1 << 20
 
 def ship(spark: SparkSession) -> None:
     """Give executors this package (once per context) so functions pickle by reference and the
-    models they load stay cached in reused Python workers.  Spark's own file server carries it."""
+    models they load stay cached in reused Python workers.  The archive is put under the shared root."""
     sc = spark.sparkContext
     if getattr(sc, "_marketlake_shipped", False):
         return
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(tempfile.mkdtemp(prefix="marketlake-pkg-"), "marketlake_pkg.zip")
-    with zipfile.ZipFile(path, "w") as z:
-        for folder, _, names in os.walk(root):
+    package, archive = os.path.dirname(os.path.dirname(os.path.abspath(__file__))), io.BytesIO()
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(package):
             for n in sorted(names):
                 if n.endswith(".py"):
                     full = os.path.join(folder, n)
-                    z.write(full, os.path.join(os.path.basename(root), os.path.relpath(full, root)))
+                    z.write(full, os.path.join(os.path.basename(package), os.path.relpath(full, package)))
+    path = f"{new_location(spark, 'packages')}/marketlake_pkg.zip"
+    where = sc._jvm.org.apache.hadoop.fs.Path(path)
+    out = where.getFileSystem(sc._jsc.hadoopConfiguration()).create(where)
+    out.write(bytearray(archive.getvalue()))
+    out.close()
     sc.addPyFile(path)
     sc._marketlake_shipped = True
 
