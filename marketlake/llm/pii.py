@@ -51,16 +51,17 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
 _LOCAL = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?$")
 _NUMBERS = [
+    ("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")),
     ("ip", re.compile(rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)")),
     ("ssn", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")),
     ("card", re.compile(r"(?<![\d+])\d(?:[ -]?\d){12,18}(?!\d)")),
-    ("phone", re.compile(r"(?<![\w+])\+\d{1,3}(?:[ .-]?\(\d{1,4}\)|[ .-]?\d{1,4})(?:[ .-]?\d{2,4}){1,4}(?!\d)"
+    ("phone", re.compile(r"(?<![\w+])\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
+                         r"|(?<![\w+])\+(?!1[ .(-])\d{1,3}(?:[ .-]?\(\d{1,4}\)|[ .-]?\d{1,4})(?:[ .-]?\d{2,4}){1,4}(?!\d)"
                          r"|(?<![\w(])\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)"
                          r"|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])")),
 ]
 _COUNTRY = re.compile(r"\+(\d{1,3})(?=[ .(-])")
 _DIGIT = re.compile(r"\d")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 _TITLE = re.compile(r"\b(?:" + "|".join(sorted(map(re.escape, MALE + FEMALE), key=len, reverse=True)) + r")\b\.?")
 _NAME = re.compile(r"[^\S\n]((?:[^\W\d_]+(?:['’-][^\W\d_]+)*[^\S\n]){0,2}[^\W\d_]+(?:['’-][^\W\d_]+)*)")
 
@@ -78,6 +79,16 @@ def script(word: str) -> str:
     return "cyrillic" if 0x400 <= c < 0x530 else "greek" if 0x370 <= c < 0x400 else "latin"
 
 
+def _without(text: str, spans: list[tuple[int, int, str, str]]) -> str:
+    """The text with the spans blanked out, places unchanged."""
+    out, last = [], 0
+    for a, b, *_ in sorted(spans):
+        if a >= last:
+            out += [text[last:a], "\0" * (b - a)]
+            last = b
+    return "".join([*out, text[last:]])
+
+
 def find(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, canonical value) of the entities of a text; none overlap."""
     found: list[tuple[int, int, str, str]] = []
@@ -86,14 +97,16 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
         if local:
             found.append((local.start(), m.end(), "email", text[local.start(): m.end()].lower()))
     if _DIGIT.search(text):
-        for m in _IBAN.finditer(text):
-            value = m.group().replace(" ", "")
-            if 15 <= len(value) <= 34 and int("".join(str(int(c, 36)) for c in value[4:] + value[:4])) % 97 == 1:
-                found.append((m.start(), m.end(), "iban", value))
+        rest = _without(text, found)   # what one kind has taken, no later kind runs into
         for kind, pattern in _NUMBERS:
-            for m in pattern.finditer(text):
+            taken = []
+            for m in pattern.finditer(rest):
                 value = m.group()
-                if kind == "ip":
+                if kind == "iban":
+                    value = value.replace(" ", "")
+                    if not 15 <= len(value) <= 34 or int("".join(str(int(c, 36)) for c in value[4:] + value[:4])) % 97 != 1:
+                        continue
+                elif kind == "ip":
                     value = ".".join(str(int(x)) for x in value.split("."))
                 else:
                     value = "".join(_DIGIT.findall(value))
@@ -104,7 +117,9 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
                         code = _COUNTRY.match(m.group())
                         keep = len(code.group(1)) if code else int(m.group()[0] == "+")
                         value = f"{keep}:{value}"
-                found.append((m.start(), m.end(), kind, value))
+                taken.append((m.start(), m.end(), kind, value))
+            found += taken
+            rest = _without(rest, taken)
     for m in _TITLE.finditer(text):
         gender = "m" if m.group().rstrip(".") in MALE else "f"
         n = _NAME.match(text, m.end())

@@ -186,6 +186,13 @@ def test_pii_surrogates_keep_type_format_and_identity(spark):
     assert len(mails) == 1
 
 
+def test_pii_neighbours_do_not_run_together():
+    text = "call +1 (826) 555-4081 190.137.223.20 or +44 20 7946 0958, 4539 1488 0343 6467 12.30.1.2!!!"
+    assert [(k, text[a:b]) for a, b, k, _ in pii.find(text)] == [
+        ("phone", "+1 (826) 555-4081"), ("ip", "190.137.223.20"), ("phone", "+44 20 7946 0958"),
+        ("card", "4539 1488 0343 6467"), ("ip", "12.30.1.2")]
+
+
 def test_pii_collisions_are_resolved(spark):
     """Family names share a small space of surrogates on purpose: all stay distinct."""
     entities = spark.createDataFrame([("family_greek", f"ν{i}") for i in range(3_000)], "kind string, value string")
