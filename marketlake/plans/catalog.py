@@ -241,14 +241,12 @@ def code_decode(spark, d):
 
 # ---- change-record layer -------------------------------------------------------------------------
 
-def _clean(spark, d, naming: str | None = None):
-    """Parsed and cleaned change records; ``naming``: only text that has this table's name is parsed."""
-    raw = T.cdc_raw(spark, d)
-    return routing.clean_changes(routing.parse_changes(raw if naming is None else raw.filter(F.contains("value", F.lit(naming)))))
+def _clean(spark, d, source_table: str | None = None):
+    return routing.clean_changes(routing.parse_changes(T.cdc_raw(spark, d, source_table)))
 
 
-def _routed(spark, d, naming: str | None = None):
-    return routing.route(_clean(spark, d, naming), T.routing_config(spark))
+def _routed(spark, d, source_table: str | None = None):
+    return routing.route(_clean(spark, d, source_table), T.routing_config(spark))
 
 
 def _record_view(df):

@@ -331,7 +331,10 @@ def cdc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), out)
 
 
-def cdc_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The change feed as JSON text: ``seq, value``."""
+def cdc_raw(spark: SparkSession, sf_dir: str, source_table: str | None = None) -> DataFrame:
+    """The change feed as JSON text: ``seq, value``; with ``source_table`` only that table's feed (the
+    other tables are not read: the filter on the literal name prunes their branches)."""
     r = cdc_records(spark, sf_dir)
+    if source_table is not None:
+        r = r.filter(F.col("table") == F.lit(source_table))
     return r.select("seq", F.to_json(F.struct("database", "table", "type", "data", "ts")).alias("value"))
