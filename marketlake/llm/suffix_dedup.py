@@ -15,9 +15,14 @@ at equal offsets, and only suffixes at anchors need ordering.
    all but the earliest are marked.
 4. Marks are merged per document and the texts are cut.
 
+A passage that fills a third of all documents is one anchor class with one row per batch, but the
+anchors near its ends cover other bytes in every document.  A gram with ``CROWD`` classes or more is
+found by a count beforehand and dealt out: its classes by their digests in step 2, its bytes by place in
+step 3, where each part marks all but its own earliest of equal strings; ``_strings`` then joins the
+parts by (gram, shift, string digest), where a string has at most one row per part.
+
 Anchors travel packed, about one per 33 bytes of text; texts are shuffled once, for bytes
-and cut alike.  A passage that fills a third of all documents is one anchor class with one row
-per batch.  Order: doc_id (null last), then start; rows that repeat an id with another
+and cut alike.  Order: doc_id (null last), then start; rows that repeat an id with another
 text come in the order of their digests, exact repeats of a row are the same document and are cut alike.
 Null text is empty; texts shorter than LENGTH stay whole; empty tables give no rows; only doc_id and
 text are read, so other columns cannot clash.
@@ -43,6 +48,9 @@ SHALLOW, SMALL = 64, 48
 SLICE = 1 << 20
 #: Text bytes whose anchors make up one bucket.
 BUCKET_BYTES, LEAST_BUCKETS = 32 << 20, 24
+#: Classes of a gram from which on it is dealt out (classes of batches that hold under CROWD / 2048
+#: of them are not counted), and anchors whose bytes make up one bucket of step 3.
+CROWD, FETCHED = 16_384, 32_768
 _POS = np.uint64((1 << 24) - 1)
 _PRIME = 0x9E3779B97F4A7C15
 
@@ -174,12 +182,25 @@ def _batch(rows: list[dict], kinds: dict[str, str]) -> pa.Table:
 ANCHOR = {"gram": "<u8", "cover": "<u8", "place": "<u4", "back": "<u1", "more": "<u1"}
 #: kind 0: bytes [start, start + size) are marked; kind 1: the anchor at start wants its bytes.
 MARK = {"kind": "<u1", "start": "<u4", "size": "<u4", "back": "<u1", "more": "<u1"}
+#: The string that begins ``shift`` bytes before the anchor at place.
+STRING = {"gram": "<u8", "digest": "<u8", "place": "<u4", "shift": "<u1"}
 SUFFIX = {"place": "<u4", "back": "<u1", "more": "<u1", "data": "|S1"}
 
 
+def _document(docs: np.ndarray) -> np.ndarray:
+    return _mix((docs[:, 1] * 3 + docs[:, 0] + docs[:, 2] * 5).view(np.uint64))
+
+
 def _spread(docs: np.ndarray, buckets: int) -> np.ndarray:
     """The part of each document (row of docs)."""
-    return (_mix((docs[:, 1] * 3 + docs[:, 0] + docs[:, 2] * 5).view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    return (_document(docs) % np.uint64(buckets)).astype(np.int64)
+
+
+def _dealt(gram: np.ndarray, other: np.ndarray, crowds: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each anchor: by gram; a crowded gram by ``other`` too, from ``buckets`` on."""
+    crowd, mixed = np.isin(gram, crowds), _mix(gram + np.uint64(1))
+    mixed = np.where(crowd, _mix(mixed ^ other), mixed)
+    return (mixed % np.uint64(buckets)).astype(np.int64) + crowd * buckets
 
 
 def _marks(docs: np.ndarray, doc: np.ndarray, kind, start, size, back, more, buckets: int) -> list[dict]:
@@ -200,7 +221,20 @@ def _later(order: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return by, change, order[by] > order[by][head]
 
 
-def _find_anchors(buckets: int):
+def _crowds(least: int):
+    """Texts -> (gram, classes) of the grams with ``least`` classes or more in a batch."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a = anchors([t or b"" for t in batch.column("data").to_pylist()])
+            by, first, _ = _later(np.zeros(len(a["row"]), np.int64), a["cover"], a["gram"])
+            gram, classes = np.unique(a["gram"][by[first]], return_counts=True)
+            often = classes >= least
+            yield pa.RecordBatch.from_arrays([pa.array(gram[often].view(np.int64)), pa.array(classes[often].astype(np.int64))],
+                                             ["gram", "classes"])
+    return run
+
+
+def _find_anchors(buckets: int, crowds: np.ndarray):
     """Texts -> packed anchors (side 0) and marks of those that a batch repeats (side 1)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -214,17 +248,22 @@ def _find_anchors(buckets: int):
             by, first, later = _later(doc << 32 | place, a["cover"], a["gram"])
             keep, again = by[first], by[later]
             rows = [r | {"side": 0} for r in _pack(
-                (_mix(a["gram"][keep] + np.uint64(1)) % np.uint64(buckets)).astype(np.int64), ranked, doc[keep],
+                _dealt(a["gram"][keep], a["cover"][keep], crowds, buckets), ranked, doc[keep],
                 {k: a[k][keep].astype(t) for k, t in ANCHOR.items()})]
             start = place[again] - a["back"][again]
             zero = np.zeros(len(again), np.int64)
             rows += [r | {"side": 1} for r in _marks(ranked, doc[again], zero, start, a["more"][again] + LENGTH, zero, zero, buckets)]
-            names = ["side", "bucket", "docs", "doc", *dict.fromkeys([*ANCHOR, *MARK])]
-            arrays = [pa.array([r.get(n) for r in rows], pa.int64() if n in ("side", "bucket") else pa.binary()) for n in names]
-            yield pa.RecordBatch.from_arrays(arrays, names)
+            yield from _sides(rows, ANCHOR).to_batches()
     return run
 
 
+def _sides(rows: list[dict], kinds: dict[str, str]) -> pa.Table:
+    """Packed rows of ``kinds`` (side 0) and of marks (side 1)."""
+    names = ["side", "bucket", "docs", "doc", *dict.fromkeys([*kinds, *MARK])]
+    arrays = [pa.array([r.get(n) for r in rows], pa.int64() if n in ("side", "bucket") else pa.binary()) for n in names]
+    return pa.Table.from_arrays(arrays, names)
+
+
 def _classes(buckets: int):
     """A bucket of anchors -> marks of repeated classes and requests for bytes; marks pass through."""
     def run(tbl: pa.Table) -> pa.Table:
@@ -241,6 +280,7 @@ def _classes(buckets: int):
         same = np.zeros(len(heads), bool)
         same[1:] |= g[1:] == g[:-1]
         same[:-1] |= g[1:] == g[:-1]
+        same |= tbl.column("bucket")[0].as_py() >= buckets   # a crowded gram has others elsewhere
         wanted, again = by[heads[same]], by[later]
         items = np.concatenate([again, wanted])
         kind = np.concatenate([np.zeros(len(again), np.int64), np.ones(len(wanted), np.int64)])
@@ -282,7 +322,7 @@ def _per_document(tbl: pa.Table) -> pa.Table:
                      "asks": pa.array([asks[x:y].tobytes() if y > x else None for x, y in zip(e, f)], pa.binary())})
 
 
-def _fetch(buckets: int):
+def _fetch(buckets: int, crowds: np.ndarray):
     """Documents with requests -> packed bytes around their anchors, by gram."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = WIDTH - 1 + LENGTH
@@ -307,7 +347,8 @@ def _fetch(buckets: int):
             doc, place, back, more, data = (np.concatenate(x) for x in (doc, place, back, more, data))
             gram = data[:, WIDTH - 1: WIDTH - 1 + GRAM].astype(np.int64)
             h = (mix[gram] * up[:GRAM]).sum(axis=1, dtype=np.uint64)
-            rows = _pack((_mix(_mix(h) + np.uint64(1)) % np.uint64(buckets)).astype(np.int64), docs, doc, {
+            where = _mix(_document(docs)[doc] + place.astype(np.uint64))
+            rows = _pack(_dealt(_mix(h), where, crowds, buckets), docs, doc, {
                 "place": place.astype("<u4"), "back": back.astype("<u1"), "more": more.astype("<u1"), "data": data})
             yield from _batch(rows, SUFFIX).to_batches()
     return run
@@ -402,9 +443,11 @@ def common_prefixes(matrix: np.ndarray, order: np.ndarray) -> np.ndarray:
     return out
 
 
-def _suffixes(buckets: int):
-    """Anchor bytes of some grams -> marks of all but the earliest of equal strings."""
+def _suffixes(buckets: int, fetched: int, strings: int):
+    """Anchor bytes of some grams -> marks of all but the earliest of equal strings (side 1); of
+    crowded grams (buckets from ``fetched`` on) also those earliest strings (side 0)."""
     def run(tbl: pa.Table) -> pa.Table:
+        crowded = tbl.column("bucket")[0].as_py() >= fetched
         docs, doc, s = _unpack(tbl, SUFFIX)
         place, back, more = (s[k].astype(np.int64) for k in ("place", "back", "more"))
         data = np.frombuffer(s["data"].tobytes(), np.uint8).reshape(len(place), -1)
@@ -416,21 +459,57 @@ def _suffixes(buckets: int):
             sides.append((by, common_prefixes(matrix, by)))
         marked = np.zeros((len(place), WIDTH), bool)
         (by_r, lcp_r), (by_l, lcp_l) = sides
+        earliest = []
         right_class, left_class = np.empty(len(place), np.int64), np.empty(len(place), np.int64)
         for shift in range(WIDTH):   # strings that begin `shift` bytes before their anchor
             rows = np.flatnonzero((back - more <= shift) & (shift <= back))
-            if len(rows) < 2:
+            if len(rows) < 2 and not crowded:
                 continue
             right_class[by_r] = np.cumsum(lcp_r < LENGTH - shift)
             left_class[by_l] = np.cumsum(lcp_l < shift)
-            by, _, later = _later(when[rows], left_class[rows], right_class[rows])
+            by, first, later = _later(when[rows], left_class[rows], right_class[rows])
             marked[rows[by[later]], shift] = True
+            if crowded:
+                earliest.append(rows[by[first]])
         edge = np.diff(np.pad(marked, ((0, 0), (1, 1))).astype(np.int8), axis=1)
         item, lo = np.nonzero(edge == 1)
         _, hi = np.nonzero(edge == -1)
         start = place[item] - (hi - 1)
         zero = np.zeros(len(item), np.int64)
-        return _batch(_marks(docs, doc[item], zero, start, hi - 1 - lo + LENGTH, zero, zero, buckets), MARK)
+        found = [r | {"side": 1} for r in _marks(docs, doc[item], zero, start, hi - 1 - lo + LENGTH, zero, zero, buckets)]
+        if crowded:
+            up, down, mix = _powers()
+            prefix = np.zeros((len(place), data.shape[1] + 1), np.uint64)
+            np.cumsum(mix[data] * up[: data.shape[1]], axis=1, out=prefix[:, 1:])
+            grams = _mix((prefix[:, WIDTH - 1 + GRAM] - prefix[:, WIDTH - 1]) * down[WIDTH - 1])
+            shift = np.repeat(np.arange(WIDTH), [len(e) for e in earliest])
+            digest = np.concatenate([
+                _mix((prefix[e, WIDTH - 1 - k + LENGTH] - prefix[e, WIDTH - 1 - k]) * down[WIDTH - 1 - k])
+                for k, e in enumerate(earliest)])
+            item = np.concatenate(earliest)
+            where = _mix(_mix(grams[item] + shift.astype(np.uint64)) ^ digest) % np.uint64(strings)
+            found += [r | {"side": 0} for r in _pack(where.astype(np.int64), docs, doc[item], {
+                "gram": grams[item], "digest": digest, "place": place[item].astype("<u4"), "shift": shift.astype("<u1")})]
+        return _sides(found, STRING)
+    return run
+
+
+def _strings(buckets: int):
+    """Each part's earliest strings of crowded grams -> marks of all but the earliest of all; marks pass through."""
+    def run(tbl: pa.Table) -> pa.Table:
+        side = np.array(tbl.column("side").to_pylist())
+        passed = tbl.filter(pa.array(side == 1)).select(["bucket", "docs", "doc", *MARK])
+        if (side == 1).all():
+            return passed
+        docs, doc, s = _unpack(tbl.filter(pa.array(side == 0)), STRING)
+        place = s["place"].astype(np.int64)
+        by, _, later = _later(doc << 32 | place, s["digest"], s["shift"], s["gram"])
+        again = by[later]
+        start = place[again] - s["shift"][again]
+        d, lo, hi = _merge(doc[again], start, start + LENGTH)
+        zero = np.zeros(len(d), np.int64)
+        found = _batch(_marks(docs, d, zero, lo, hi - lo, zero, zero, buckets), MARK)
+        return pa.concat_tables([found, passed.cast(found.schema)])
     return run
 
 
@@ -477,15 +556,24 @@ def _removed(docs: DataFrame, carry: bool) -> DataFrame:
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(LEAST_BUCKETS, -(-total // BUCKET_BYTES))
 
-    both = dict.fromkeys([*ANCHOR, *MARK])
+    both, strings_too = dict.fromkeys([*ANCHOR, *MARK]), dict.fromkeys([*STRING, *MARK])
     per = "null long, id long, digest long, spans binary, asks binary"
-    found = texts.mapInArrow(_find_anchors(buckets), "side long, " + _schema(both))
+    crowded = (texts.mapInArrow(_crowds(max(1, CROWD >> 11)), "gram long, classes long").groupBy("gram")
+               .agg(F.sum("classes").alias("classes")).where(F.col("classes") >= CROWD).collect())
+    crowds = np.sort(np.array([r.gram for r in crowded], np.int64).view(np.uint64))
+    found = texts.mapInArrow(_find_anchors(buckets, crowds), "side long, " + _schema(both))
     # side 0: anchors in their gram's bucket; side 1: marks that a batch already knew, passed on
     marks = materialize(found.groupBy("bucket").applyInArrow(_classes(buckets), _schema(MARK))
                         .groupBy("bucket").applyInArrow(_per_document, per))
-    asked = (texts.join(marks.where("asks is not null").select(*_DOC, "asks"), list(_DOC))
-             .mapInArrow(_fetch(buckets), _schema(SUFFIX))
-             .groupBy("bucket").applyInArrow(_suffixes(buckets), _schema(MARK))
+    wanted = (marks.agg(F.sum(F.octet_length("asks"))).first()[0] or 0) // 24
+    fetched = max(buckets, -(-wanted // FETCHED))
+    strings = max(buckets, -(-sum(r.classes for r in crowded) // CROWD))
+    known = (texts.join(marks.where("asks is not null").select(*_DOC, "asks"), list(_DOC))
+             .mapInArrow(_fetch(fetched, crowds), _schema(SUFFIX))
+             .groupBy("bucket").applyInArrow(_suffixes(buckets, fetched, strings), "side long, " + _schema(strings_too)))
+    if len(crowds):
+        known = known.groupBy("bucket").applyInArrow(_strings(buckets), _schema(MARK))
+    asked = (known.select("bucket", "docs", "doc", *MARK)
              .groupBy("bucket").applyInArrow(_per_document, per)
              .select(*_DOC, F.col("spans").alias("more_spans")))
     row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []

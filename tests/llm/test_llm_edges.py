@@ -7,10 +7,10 @@ from collections import Counter
 import llm_brute as brute
 import numpy as np
 import pytest
-from conftest import edge_rows
+from conftest import PASSAGE, edge_rows
 
 import corpus_pipeline
-from marketlake.llm import bpe, pii, secrets
+from marketlake.llm import bpe, pii, secrets, suffix_dedup
 from marketlake.llm.queries import QUERIES
 
 ROWS = edge_rows()
@@ -80,6 +80,40 @@ def test_suffix_dedup_edges(results):
     assert next(removed for i, _, removed, *_ in got if i == 15) == len(solo[15])   # seen in document 1
 
 
+def test_a_crowded_gram_is_dealt_out(spark, tmp_path, monkeypatch):
+    """A passage between other bytes in every document: no call gets all anchors of its grams, and
+    the result is the brute force's, for strings that cross its ends too."""
+    noise = np.random.default_rng(3)
+    words = [bytes(noise.integers(97, 123, 70, np.uint8)).decode() for _ in range(900)]
+    # ends of words that some documents share: repeats that begin or end outside the passage
+    docs = [(i, words[i] + words[-1 - i % 40][:i % 50] + PASSAGE + words[-1 - i % 30][:i % 60] + words[-300 - i]) for i in range(300)]
+    docs[7] = (7, docs[9][1])
+    docs[11] = (None, docs[11][1])
+
+    def watch(name, real):
+        def made(*args):
+            run = real(*args)
+
+            def counted(tbl):
+                anchors = sum(len(r["doc"]) // 4 for r in tbl.to_pylist() if r.get("side") != 1)
+                with open(f"{tmp_path}/{name}", "a") as f:
+                    f.write(f"{anchors}\n")
+                return run(tbl)
+            return counted
+        return made
+
+    for name in ("_classes", "_suffixes"):
+        monkeypatch.setattr(suffix_dedup, name, watch(name, getattr(suffix_dedup, name)))
+    monkeypatch.setattr(suffix_dedup, "CROWD", 40, raising=False)
+    monkeypatch.setattr(suffix_dedup, "FETCHED", 32, raising=False)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3, "doc_id")
+    out = suffix_dedup.remove_repeats(frame).collect()
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(bytes(r.kept)).hexdigest()) for r in out}
+    assert got == brute.removed(docs) and len(out) == 300
+    most = {n: max(map(int, (tmp_path / n).read_text().split())) for n in ("_classes", "_suffixes")}
+    assert most["_suffixes"] < 100 and most["_classes"] < 300, most
+
+
 @pytest.mark.parametrize("name", ["op4_toxicity", "op7_quality_qda"])
 def test_scores_are_probabilities(results, name):
     least = {"op4_toxicity": 0.7, "op7_quality_qda": 0.3}[name]
