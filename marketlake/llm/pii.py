@@ -34,7 +34,7 @@ from .common import materialize, parts, ship, table, text_digest
 
 #: The default key; a deployment passes its own secret.
 KEY = os.environ.get("MARKETLAKE_PII_KEY", "marketlake-surrogates")
-ROUNDS, MOST_ATTEMPTS = 6, 64
+ROUNDS, MOST_ATTEMPTS, PIECE = 6, 64, 96
 
 # Titles by gender.
 MALE = ["Mr", "Mister", "Sir", "Herr", "Señor", "Sr", "Monsieur", "Господин", "господин", "г-н"]
@@ -50,6 +50,7 @@ SOUNDS = {
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
 _LOCAL = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?$")
+_LOCAL_SIGNS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _NUMBERS = [
     ("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")),
     ("ip", re.compile(rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)")),
@@ -57,9 +58,20 @@ _NUMBERS = [
     ("card", re.compile(r"(?<![\d+])\d(?:[ -]?\d){12,18}(?!\d)")),
     ("phone", re.compile(r"(?<![\w+])\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
                          r"|(?<![\w+])\+(?!1[ .(-])\d{1,3}(?:[ .-]?\(\d{1,4}\)|[ .-]?\d{1,4})(?:[ .-]?\d{2,4}){1,4}(?!\d)"
-                         r"|(?<![\w(])\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)"
-                         r"|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])")),
+                         r"|(?<![\w.+-])1[ .-](?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\d-])"
+                         r"|(?<![\w(])\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
+                         r"|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])"
+                         # spaces as separators: not inside a row of numbers
+                         r"|(?<![\w.+-])(?<!\d )\d{3}[ .-]\d{3}[ .-]\d{4}(?![\w-])(?! \d)"
+                         r"|(?<![\w.+-])(?<!\d )0\d{1,4}[ -]\d{3,4}[ -]?\d{3,4}(?![\w-])(?! \d)"
+                         # no separators: only what the North American plan allows
+                         r"|(?<![\w.+=#/-])(?:[2-9]\d\d){2}\d{4}(?![\w/-])(?!\.\d)")),
 ]
+# Lengths of the IBAN registry.
+_IBAN_LENGTH = {c: int(x[:2]) for x in (
+    "15NO 16BE 18DKFIFOGLNL 19MKSI 20ATBAEEKZLTLUXK 21CHLILV 22BGBHCRDEGBGEIEMERSVA 23AEGIILIQTL 24ADCZESMDPKROSASESKTNVG "
+    "25LYPTST 26HRISTR 27FRGRITMCMRSM 28ALAZBYCYDOGTHULBPLSV 29BREGPSQAUA 30JOKWMU 31MTSC 32LC").split()
+    for c in re.findall("..", x[2:])}
 _COUNTRY = re.compile(r"\+(\d{1,3})(?=[ .(-])")
 _DIGIT = re.compile(r"\d")
 _TITLE = re.compile(r"\b(?:" + "|".join(sorted(map(re.escape, MALE + FEMALE), key=len, reverse=True)) + r")\b\.?")
@@ -74,6 +86,31 @@ def _luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _iban(value: str) -> bool:
+    return 15 <= len(value) <= 34 and int("".join(str(int(c, 36)) for c in value[4:] + value[:4])) % 97 == 1
+
+
+def _ibans(pattern: re.Pattern, text: str) -> Iterator[tuple[int, int, str, str]]:
+    """A match may run into words after the number: of its valid beginnings the one of the country's
+    length counts, else the longest."""
+    m = pattern.search(text)
+    while m:
+        tries = []
+        for end in [m.end(), *(m.start() + i for i, c in enumerate(m.group()) if c == " ")]:
+            value = text[m.start():end].replace(" ", "")
+            if _iban(value):
+                tries.append((len(value) == _IBAN_LENGTH.get(value[:2]), end, value))
+        if tries:
+            _, end, value = max(tries)
+            yield m.start(), end, "iban", value
+        m = pattern.search(text, end if tries else m.start() + 1)
+
+
+def _american(digits: str) -> bool:
+    """Ten digits that the North American numbering plan allows."""
+    return len(digits) == 10 and digits[0] > "1" and digits[3] > "1"
+
+
 def script(word: str) -> str:
     c = ord(next((c for c in word if c.isalpha()), "a"))
     return "cyrillic" if 0x400 <= c < 0x530 else "greek" if 0x370 <= c < 0x400 else "latin"
@@ -93,29 +130,29 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, canonical value) of the entities of a text; none overlap."""
     found: list[tuple[int, int, str, str]] = []
     for m in _DOMAIN.finditer(text) if "@" in text else ():
-        local = _LOCAL.search(text, max(0, m.start() - 64), m.start())
+        before = text.rfind("@", 0, m.start()) + 1
+        signs = len(text[before:m.start()].rstrip(_LOCAL_SIGNS))
+        local = _LOCAL.search(text, before + signs, m.start()) if text[m.start() - 1: m.start()] != "." else None
         if local:
             found.append((local.start(), m.end(), "email", text[local.start(): m.end()].lower()))
     if _DIGIT.search(text):
         rest = _without(text, found)   # what one kind has taken, no later kind runs into
         for kind, pattern in _NUMBERS:
             taken = []
-            for m in pattern.finditer(rest):
+            if kind == "iban":
+                taken += _ibans(pattern, rest)
+            for m in pattern.finditer(rest) if kind != "iban" else ():
                 value = m.group()
-                if kind == "iban":
-                    value = value.replace(" ", "")
-                    if not 15 <= len(value) <= 34 or int("".join(str(int(c, 36)) for c in value[4:] + value[:4])) % 97 != 1:
-                        continue
-                elif kind == "ip":
+                if kind == "ip":
                     value = ".".join(str(int(x)) for x in value.split("."))
                 else:
                     value = "".join(_DIGIT.findall(value))
                     if kind == "phone":
                         if not 7 <= len(value) <= 15:
                             continue
-                        # the country code stays: what a separator sets off, else one digit
+                        # the country code stays: what a separator sets off, else one digit; so does a trunk 0
                         code = _COUNTRY.match(m.group())
-                        keep = len(code.group(1)) if code else int(m.group()[0] == "+")
+                        keep = len(code.group(1)) if code else int(m.group()[0] == "+" or value[0] == "0" or len(value) == 11)
                         value = f"{keep}:{value}"
                 taken.append((m.start(), m.end(), kind, value))
             found += taken
@@ -170,7 +207,10 @@ class Surrogates:
                 return x
 
     def shaped(self, text: str, tweak: str) -> str:
-        """Letters become letters, digits digits; anything else stays."""
+        """Letters become letters, digits digits; anything else stays.  A long text goes in pieces that
+        the noise covers."""
+        if len(text) > PIECE:
+            return "".join(self.shaped(text[i:i + PIECE], f"{tweak}|{len(text)}|{i}") for i in range(0, len(text), PIECE))
         radix = [10 if c.isdigit() else 26 if c.isalpha() else 1 for c in text]
         shape = "".join("9" if r == 10 else "a" if r == 26 else c for r, c in zip(radix, text))
         x, size = 0, 1
@@ -215,8 +255,11 @@ class Surrogates:
         if kind == "phone":
             head, digits = value.split(":")
             keep = int(head)
-            rest = digits[keep:]
-            return f"{head}:{digits[:keep]}{self.permute(int(rest), 10 ** len(rest), f'{tweak}|{digits[:keep]}|{len(rest)}'):0{len(rest)}d}"
+            rest = out = digits[keep:]
+            while True:   # walk until as good a number as before: what was found without separators is found again
+                out = f"{self.permute(int(out), 10 ** len(rest), f'{tweak}|{digits[:keep]}|{len(rest)}'):0{len(rest)}d}"
+                if keep or out[0] != "0" and _american(out) == _american(rest):
+                    return f"{head}:{digits[:keep]}{out}"
         if kind == "iban":
             body = self.shaped(value[4:].lower(), f"{tweak}|{value[:2]}").upper()
             check = 98 - int("".join(str(int(c, 36)) for c in body + value[:2] + "00")) % 97

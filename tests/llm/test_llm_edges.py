@@ -227,6 +227,25 @@ def test_pii_neighbours_do_not_run_together():
         ("card", "4539 1488 0343 6467"), ("ip", "12.30.1.2")]
 
 
+def test_pii_finds_whole_entities():
+    phones = ["1-800-555-0199", "212 555 0187", "(212) 5550187", "2125550187", "020 7946 0958"]
+    long_mail = "b" * 150 + ".x@mail3.example.com"
+    ibans = ["ES91 2100 0418 4502 0005 1332", "GB82WEST12345698765432", "DE89 3704 0044 0532 0130 00"]
+    made = pii.Surrogates(pii.KEY)
+    for kind, value, text in [
+            *[("phone", p, f"call {p}, or not") for p in phones], ("email", long_mail, f"to {long_mail}."),
+            *[("iban", i, f"on {i} PAID NOW") for i in ibans], ("iban", ibans[0], f"{ibans[0]} {ibans[2]}")]:
+        a, b, k, v = pii.find(text)[0]
+        assert (k, text[a:b]) == (kind, value)
+        new = pii.write(k, value, made.value(k, v))
+        assert [(x[2], x[0], x[1]) for x in pii.find(text.replace(value, new))[:1]] == [(kind, a, a + len(new))]
+        assert new != value
+    assert [text[a:b] for a, b, *_ in pii.find(text)] == [ibans[0], ibans[2]]
+    new = made.value("email", long_mail).split("@")[0]
+    assert sum(c == "b" for c in new) < 40   # no stretch of a long local part stays
+    assert pii.find("12 212 555 0187 and 100 200 3000 4 and 1700000000 and 2024-01-02") == []
+
+
 def test_pii_collisions_are_resolved(spark):
     """Family names share a small space of surrogates on purpose: all stay distinct."""
     entities = spark.createDataFrame([("family_greek", f"ν{i}") for i in range(3_000)], "kind string, value string")
