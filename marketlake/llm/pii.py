@@ -228,8 +228,10 @@ class Surrogates:
     def value(self, kind: str, value: str, attempt: int = 0) -> str:
         """The surrogate of a canonical value, canonical itself."""
         tweak = f"{kind}|{attempt}"
+        grown = attempt // 8   # where many values of a shape are taken, surrogates become longer
         if kind == "email":
             local, domain = value.rsplit("@", 1)
+            local += "a" * grown
             labels = domain.split(".")
             tail = labels[-1] if labels[-1] in ("com", "org", "net") else "com"
             host = labels[:-2] if len(labels) > 2 and labels[-2] == "example" else labels[:-1]
@@ -255,7 +257,7 @@ class Surrogates:
         if kind == "phone":
             head, digits = value.split(":")
             keep = int(head)
-            rest = out = digits[keep:]
+            rest = out = digits[keep:] + "0" * min(grown, 15 - len(digits))
             while True:   # walk until as good a number as before: what was found without separators is found again
                 out = f"{self.permute(int(out), 10 ** len(rest), f'{tweak}|{digits[:keep]}|{len(rest)}'):0{len(rest)}d}"
                 if keep or out[0] != "0" and _american(out) == _american(rest):
@@ -269,7 +271,7 @@ class Surrogates:
         gender = role[5:] if role.startswith("given") else ""
         x = self._noise(f"{tweak}|{value}", 0, 0)
         out = ""
-        for _ in range(3 + attempt // 8):
+        for _ in range(3 + grown):
             x, a = divmod(x, len(consonants))
             x, b = divmod(x, len(vowels))
             out += consonants[a] + vowels[b]
@@ -283,7 +285,7 @@ def write(kind: str, original: str, value: str) -> str:
     """A canonical surrogate in the format of an occurrence."""
     if kind in ("card", "ssn", "phone"):
         digits = iter(value.split(":")[-1])
-        return "".join(next(digits) if c.isdigit() else c for c in original)
+        return "".join([*(next(digits) if c.isdigit() else c for c in original), *digits])
     if kind == "iban":
         letters = iter(value)
         return "".join(c if c == " " else next(letters) for c in original)
@@ -353,7 +355,8 @@ def moved(entities: DataFrame, key: str = KEY) -> DataFrame:
         asking = materialize(_named(lost.withColumn("attempt", F.col("attempt") + 1), key))
         if asking.isEmpty():
             return settled.where("attempt > 0").select("kind", "value", "attempt")
-    raise ValueError("the values of some shape are nearly all in use; no distinct surrogates are left")
+    # addresses, names and phone numbers have grown by then; the other shapes have 10 ** 9 values or more
+    raise ValueError("over half of all values of a fixed shape are in use; no distinct surrogates are left")
 
 
 def pseudonymize(docs: DataFrame, key: str = KEY, count: str | None = None) -> DataFrame:

@@ -255,6 +255,20 @@ def test_pii_collisions_are_resolved(spark):
     assert len(set(out)) == 3_000 and len(taken) > 0
 
 
+def test_pii_full_shapes_grow(spark):
+    """All values of two shapes are entities, so no surrogate of the same length is free."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    values = [("email", f"{a}@{b}.example.com") for a in letters for b in letters]
+    values += [("phone", f"3:123{n:04d}") for n in range(10_000)]
+    moved = {(r.kind, r.value): r.attempt for r in
+             pii.moved(spark.createDataFrame(values, "kind string, value string")).collect()}
+    made = pii.Surrogates(pii.KEY)
+    out = {x: made.value(*x, moved.get(x, 0)) for x in values}
+    assert len(set(out.values())) == len(values) and not set(out.values()) & {v for _, v in values}
+    new = pii.write("phone", "+123 45 67", out["phone", "3:1234567"])
+    assert [(k, a, b) for a, b, k, _ in pii.find(new)] == [("phone", 0, len(new))] and len(new) > 10
+
+
 def test_trigram_queries():
     q = {r.kind: secrets.trigram_query(r.pattern) for r in secrets.RULES}
     assert q["hex"] is None
