@@ -18,6 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from .common import PART_BYTES, ship, table, whole_text
 
@@ -25,9 +26,10 @@ PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
 #: Percent of texts that are transformed, and of those the percent in suffix-prefix-middle order.
 RATE, SPM_SHARE, SEED = 50, 80, 42
 
-CUTS = "n long, prefix_bytes int, middle_bytes int, prefix_chars long, middle_chars long"
-_CUTS = pa.struct([("n", pa.int64()), ("prefix_bytes", pa.int32()), ("middle_bytes", pa.int32()),
-                   ("prefix_chars", pa.int64()), ("middle_chars", pa.int64())])
+CUTS = StructType([StructField("n", LongType()), StructField("prefix_bytes", IntegerType()),
+                   StructField("middle_bytes", IntegerType()), StructField("prefix_chars", LongType()),
+                   StructField("middle_chars", LongType())])
+_CUTS = pa.struct([(f.name, pa.int32() if f.name.endswith("bytes") else pa.int64()) for f in CUTS])
 
 ONES = np.uint64(0x0101010101010101)
 LOW, HIGH = ONES * np.uint64(0x7F), ONES * np.uint64(0x80)

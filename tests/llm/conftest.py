@@ -35,6 +35,8 @@ def write_tables(spark, folder, rows, labels, vectors):
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int, w string, b int").write.parquet(
         f"{folder}/embeddings.parquet")
+    benchmark = [(1, PASSAGE, "clash"), (2, "", "clash"), (3, None, None), (None, "Zoë waters 9 Tall sunflowers\nbehind", "x")]
+    spark.createDataFrame(benchmark if rows else [], "item_id long, text string, score string").write.parquet(f"{folder}/benchmark.parquet")
     return str(folder)
 
 

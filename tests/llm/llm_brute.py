@@ -92,3 +92,70 @@ def host_measures(text):
     covered = {j for i, w in enumerate(windows) if windows.count(w) > 1 for j in range(i, i + 3)}
     lines = [x for x in text.split("\n") if WORD.search(x)]
     return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered))
+
+
+def tokens(text):
+    return re.findall(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+", text or "")
+
+
+def fill_in_middle(doc_id, text, rate=50, spm=80, seed=42):
+    """n, form, prefix_chars, middle_chars, output."""
+    text, units = text or "", tokens(text)
+    digest = hashlib.sha256(f"{seed}:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(digest[8 * i:8 * i + 8], 16) for i in range(4))
+    n = len(units)
+    a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
+    prefix, middle, suffix = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    if not text or any(s in text for s in ("<P>", "<S>", "<M>")) or h3 % 100 >= rate:
+        return n, "plain", None, None, text
+    if h4 % 100 < spm:
+        return n, "spm", len(prefix), len(middle), f"<S>{suffix}<P>{prefix}<M>{middle}"
+    return n, "psm", len(prefix), len(middle), f"<P>{prefix}<S>{suffix}<M>{middle}"
+
+
+def ascii_lower(text):
+    return re.sub("[A-Z]+", lambda m: m.group().lower(), text)
+
+
+def line_dedup(rows, min_chars=40, min_docs=5):
+    """[(doc_id, text)] -> [(doc_id, n_lines, n_dropped, kept)] in the same order."""
+    def key(line):
+        return ascii_lower(line.strip(" \t\n\v\f\r"))
+
+    low, held = -(1 << 63), {}
+    for i, t in rows:
+        for line in (t or "").split("\n"):
+            if len(key(line)) >= min_chars:
+                held.setdefault(key(line), set()).add(low if i is None else i)
+    out = []
+    for i, t in rows:
+        lines = (t or "").split("\n")
+        stays = [x for x in lines if len(held.get(key(x), ())) < min_docs or max(held[key(x)]) == (low if i is None else i)]
+        out.append((i, len(lines), len(lines) - len(stays), "\n".join(stays)))
+    return out
+
+
+def resample(rows, target, longest=1, buckets=10_000, percent=10, min_words=20, seed=2024):
+    """[(doc_id, n_features, weight, score, rank)] in the order of rows."""
+    import math
+    import zlib
+    from collections import Counter
+
+    def features(text):
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", ascii_lower(text or ""))
+        runs = [" ".join(w[i:i + k]) for k in range(1, longest + 1) for i in range(len(w) - k + 1)]
+        return len(w), [zlib.crc32(r.encode()) % buckets for r in runs]
+
+    measured = [features(t) for _, t in rows]
+    s, t = Counter(b for _, f in measured for b in f), Counter(b for x in target for b in features(x)[1])
+    big_s, big_t = sum(s.values()) + buckets, sum(t.values()) + buckets
+    gain = {b: math.floor(1000 * math.log((t[b] + 1.0) * big_s / ((s[b] + 1.0) * big_t))) for b in s}
+    out = []
+    for (i, _), (n_words, f) in zip(rows, measured):
+        weight = sum(gain[b] for b in f) // len(f) if f else 0
+        h = int(hashlib.sha256(f"{seed}:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        out.append([i, len(f), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296.0))), None, n_words])
+    able = sorted((r for r in out if r[5] >= min_words), key=lambda r: (-r[3], -(1 << 63) if r[0] is None else r[0], r[2], r[1]))
+    for k, r in enumerate(able[:percent * len(able) // 100]):
+        r[4] = k + 1
+    return [tuple(r[:5]) for r in out]

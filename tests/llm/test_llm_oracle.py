@@ -22,7 +22,7 @@ def _canon(df):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "labels"):
+    for t in ("documents", "embeddings", "labels", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     assert _canon(QUERIES[name](spark, SF).toPandas()) == _canon(con.execute(ORACLE[name]).df())
 
