@@ -18,65 +18,80 @@ columns named here, so others cannot clash.
 from __future__ import annotations
 
 import math
-
-from pyspark.sql import Column, DataFrame, Window
+import re
+import zlib
+from collections.abc import Iterator
+from itertools import chain
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, table, whole_text
+from .common import materialize, parts, ship, table, whole_text
 
-WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Words of lower-cased UTF-8: digits, a-z and everything that is not ASCII (fixed by the features' definition).
+WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 LONGEST, BUCKETS, PERCENT, MIN_WORDS, SEED = 1, 10_000, 10, 20, 2024
+#: Words whose bucket a worker remembers.
+CACHE = 1 << 18
 
 
-def words(text: Column) -> Column:
-    """Words of a text, A-Z lowered (and nothing else)."""
-    ascii_only = F.octet_length(text) == F.char_length(text)
-    low = F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
-    return F.regexp_extract_all(low, F.lit(WORDS), 0)
-
+class Buckets(dict):
+    """Feature -> bucket, remembered for a bounded number of features."""
 
-def _let(value: Column, body) -> Column:
-    """``body`` of a value computed once per row (a lambda variable is never inlined again)."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    def __init__(self, buckets: int):
+        super().__init__()
+        self.buckets = buckets
 
+    def __missing__(self, feature: bytes) -> int:
+        if len(self) >= CACHE:
+            self.clear()
+        self[feature] = found = zlib.crc32(feature) % self.buckets
+        return found
 
-def _runs(w: Column, longest: int) -> Column:
-    """All runs of 1 to ``longest`` consecutive words, joined by a space."""
-    def of(k: int) -> Column:
-        starts = F.when(F.size(w) >= k, F.sequence(F.lit(1), F.size(w) - (k - 1))).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.array_join(F.slice(w, i, k), " "))
-    return w if longest == 1 else F.flatten(F.array(w, *[of(k) for k in range(2, longest + 1)]))
+    def of(self, words: list[bytes], longest: int) -> list[int]:
+        """Buckets of all runs of 1 to ``longest`` consecutive words."""
+        out = list(map(self.__getitem__, words))
+        for k in range(2, longest + 1):
+            out += [self[b" ".join(words[i:i + k])] for i in range(len(words) - k + 1)]
+        return out
 
+    def crossing(self, data: bytes, longest: int) -> list[int]:
+        """Buckets of the runs whose first and last word stand in different lines."""
+        lines = [WORD.findall(x) for x in data.lower().split(b"\n")]
+        words, line = [w for x in lines for w in x], [i for i, x in enumerate(lines) for _ in x]
+        return [self[b" ".join(words[i:i + k])] for k in range(2, longest + 1) for i in range(len(words) - k + 1)
+                if line[i] != line[i + k - 1]]
 
-def _crossing(text: Column, longest: int) -> Column:
-    """Runs of words of which the first and the last stand in different lines."""
-    tagged = F.flatten(F.transform(F.split(text, "\n"), lambda x, i: F.transform(
-        words(x), lambda w: F.struct(w.alias("w"), i.alias("line")))))
 
-    def of(s: Column, k: int) -> Column:
-        starts = F.when(F.size(s) >= k, F.sequence(F.lit(1), F.size(s) - (k - 1))).otherwise(F.array().cast("array<int>"))
-        over = F.filter(starts, lambda i: F.get(s, i - 1)["line"] != F.get(s, i + (k - 2))["line"])
-        return F.transform(over, lambda i: F.array_join(F.transform(F.slice(s, i, k), lambda x: x["w"]), " "))
-    return _let(tagged, lambda s: F.flatten(F.array(*[of(s, k) for k in range(2, longest + 1)])))
+def _texts(part: pa.RecordBatch) -> list[bytes]:
+    return part.column("text").cast(pa.binary()).to_pylist()
 
 
-def _bucket(feature: Column, buckets: int) -> Column:
-    return (F.crc32(feature.cast("binary")) % buckets).cast("int")
+def _count(texts: DataFrame, longest: int, buckets: int, crossing: bool) -> DataFrame:
+    """bucket, n of rows (text, times): one partial count per task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, total = Buckets(buckets), np.zeros(buckets, np.int64)
+        for part in parts(batches, "text"):
+            found = [known.crossing(t, longest) if crossing else known.of(WORD.findall(t.lower()), longest) for t in _texts(part)]
+            times = np.repeat(part.column("times").to_numpy(), [len(f) for f in found])
+            total += np.bincount(np.fromiter(chain.from_iterable(found), np.int64), times, buckets).astype(np.int64)
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array(total[held])], ["bucket", "n"])
+    return texts.mapInArrow(run, "bucket int, n long")
 
 
 def bucket_counts(texts: DataFrame, text: str = "text", longest: int = LONGEST, buckets: int = BUCKETS) -> DataFrame:
     """bucket, n: features of all texts by bucket; every distinct line is taken apart once."""
+    ship(texts.sparkSession)
     t = whole_text(text)
-    lines = texts.select(F.explode(F.split(t, "\n")).alias("line")).where("line <> ''").groupBy("line").agg(
+    lines = texts.select(F.explode(F.split(t, "\n")).alias("text")).where("text <> ''").groupBy("text").agg(
         F.count("*").alias("times"))
-    counted = lines.select("times", F.explode(_let(words(F.col("line")), lambda w: _runs(w, longest))).alias("feature"))
-    counted = counted.groupBy(_bucket(F.col("feature"), buckets).alias("bucket")).agg(F.sum("times").alias("n"))
+    counted = _count(lines, longest, buckets, crossing=False)
     if longest > 1:
-        over = texts.select(F.explode(_crossing(t, longest)).alias("feature"))
-        over = over.groupBy(_bucket(F.col("feature"), buckets).alias("bucket")).agg(F.count("*").alias("n"))
-        counted = counted.union(over).groupBy("bucket").agg(F.sum("n").alias("n"))
-    return counted
+        counted = counted.union(_count(texts.select(t.alias("text"), F.lit(1).cast("long").alias("times")), longest, buckets, crossing=True))
+    return counted.groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
 def gains(source: dict[int, int], target: dict[int, int], buckets: int = BUCKETS) -> list[int]:
@@ -90,21 +105,25 @@ def score(docs: DataFrame, target: DataFrame, key: str = "doc_id", longest: int
           seed: int = SEED) -> DataFrame:
     """key, n_words, n_features, weight and score (weight plus noise) of every document."""
     side = [{r["bucket"]: r["n"] for r in bucket_counts(x, "text", longest, buckets).collect()} for x in (docs, target)]
-    # one constant array: text that the optimizer folds, not thousands of expressions
-    gain = F.split(F.lit(",".join(map(str, gains(*side, buckets)))), ",").cast("array<bigint>")
-
-    def measured(w: Column) -> Column:
-        return _let(_runs(w, longest), lambda f: F.struct(
-            F.size(w).cast("long").alias("words"), F.size(f).cast("long").alias("n"),
-            F.aggregate(f, F.lit(0).cast("long"), lambda s, x: s + F.get(gain, _bucket(x, buckets))).alias("s")))
-
-    rows = docs.select(F.col(key), _let(words(whole_text()), measured).alias("m"))
-    weight = F.expr("if(m.n = 0, 0L, (m.s - pmod(m.s, m.n)) div m.n)")
+    gain = np.array(gains(*side, buckets), np.int64)       # one number per bucket, whatever the corpus holds
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Buckets(buckets)
+        for part in parts(batches, "text"):
+            words = [WORD.findall(t.lower()) for t in _texts(part)]
+            found = [known.of(w, longest) for w in words]
+            upto = np.cumsum([0, *map(len, found)])
+            sums = np.concatenate([[0], np.cumsum(gain[np.fromiter(chain.from_iterable(found), np.int64, upto[-1])])])[upto]
+            yield pa.RecordBatch.from_arrays([part.column(key), pa.array(list(map(len, words)), pa.int64()),
+                                              pa.array(np.diff(upto)), pa.array(np.diff(sums))], [key, "n_words", "n_features", "s"])
+
+    rows = docs.select(F.col(key).cast("long").alias(key), whole_text().alias("text")).mapInArrow(
+        run, f"`{key}` long, n_words long, n_features long, s long")
+    weight = F.expr("if(n_features = 0, 0L, (s - pmod(s, n_features)) div n_features)")
     digest = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))), 256)
     h = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
     noise = F.floor(-1000 * F.log(-F.log((h + 0.5) / F.lit(4294967296.0))))
-    return rows.select(key, F.col("m.words").alias("n_words"), F.col("m.n").alias("n_features"), weight.alias("weight"),
-                       (weight + noise).alias("score"))
+    return rows.select(key, "n_words", "n_features", weight.alias("weight"), (weight + noise).alias("score"))
 
 
 def resample(docs: DataFrame, target: DataFrame, key: str = "doc_id", percent: int = PERCENT, min_words: int = MIN_WORDS,
@@ -135,7 +154,7 @@ def op13(spark, sf_dir: str) -> DataFrame:
 
 def _oracle() -> str:
     texts = r"list_filter(string_split_regex(translate(coalesce(text, ''), '{}', '{}'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
-    texts = texts.format(UPPER, LOWER)
+    texts = texts.format("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     return rf"""
 with recursive bits as (select cast(v as bigint) as v, cast(v as bigint) as c, 0 as k from range(256) t(v)
   union all select v, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, k + 1 from bits where k < 8),

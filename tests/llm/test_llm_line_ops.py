@@ -148,4 +148,4 @@ def test_repeated_lines_are_taken_apart_once(spark):
     counts = resampling.bucket_counts(docs)
     assert counts.agg(F.sum("n")).first()[0] == 40 * 50 * 3
     plan = counts._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.index("crc32") < plan.index("Aggregate [line")       # features are made above the fold
+    assert plan.index("MapInArrow") < plan.index("Aggregate [text")  # features are made above the fold
