@@ -9,9 +9,11 @@ that takes one merge per tree and round); matches over 64 bytes have a tree of t
 a long unbroken run costs n log n.
 
 Pre-tokens are found and deduplicated per slice of about a million characters; merged results are
-kept per worker in a table of at most ``CACHE`` entries (a cost bound only: it is emptied when
-full).  Null text counts as empty; repeated rows and any doc_id, null included, are encoded row
-by row; other columns are not touched.  Memory is bounded by a slice or the longest text.
+kept per worker with their bytes in a table of at most ``CACHE`` entries and about ``CACHE_BYTES`` (cost
+bounds only: it is emptied when full).  A digest finds an entry; the bytes then decide, and matches that
+share another's digest go by their bytes.  Null text counts as empty; repeated rows and any doc_id, null included, are encoded row
+by row; other columns are not touched.  Memory is bounded by a slice or the longest text (about 60 bytes a
+character of it; a worker keeps the power tables of the longest it has seen, 16 bytes a character).
 """
 
 from __future__ import annotations
@@ -29,7 +31,9 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 from .common import parts, ship, whole_text
 
 RANKS = "byte_bpe_50k.tiktoken"
-CACHE = 400_000
+CACHE, CACHE_BYTES = 400_000, 32 << 20
+#: Matches of more bytes are compared one by one.
+LONG = 512
 SLICE = 1_000_000
 FOREST = 64
 #: Tree leaves that one array of trees holds.
@@ -82,6 +86,42 @@ def pretoken_starts(cps: np.ndarray, kinds: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
+def _room(array: np.ndarray, n: int) -> np.ndarray:
+    """The array with room for ``n`` items."""
+    while n > len(array):
+        array = np.concatenate([array, np.zeros_like(array)])
+    return array
+
+
+def _words(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every position on, as one number (the last eight positions have none)."""
+    return np.ndarray((max(0, len(data) - 7),), "<u8", data, 0, (1,))
+
+
+def differ(a: np.ndarray, at_a: np.ndarray, sizes: np.ndarray, b: np.ndarray, at_b: np.ndarray, sizes_b: np.ndarray) -> np.ndarray:
+    """Which of the byte strings a[at_a: + sizes] and b[at_b: + sizes_b] are not equal; eight bytes at a time
+    for all strings at once, the few over ``LONG`` bytes each as a whole."""
+    if len(a) < 8:
+        a = np.concatenate([a, np.zeros(8, np.uint8)])
+    bad = sizes != sizes_b
+    for i in np.flatnonzero(~bad & (sizes > LONG)).tolist():
+        x, y, n = int(at_a[i]), int(at_b[i]), int(sizes[i])
+        bad[i] = not np.array_equal(a[x: x + n], b[y: y + n])
+    live, done = np.flatnonzero(~bad & (sizes <= LONG)), 0
+    at_end, a8, b8 = len(a) - 8, _words(a), _words(b)
+    while len(live):
+        left = np.minimum(sizes[live] - done, 8)
+        x = at_a[live] + done
+        back = np.maximum(x - at_end, 0)          # the slice has no eight bytes there: read from before
+        low = a8[x - back] >> (back.astype(np.uint64) << np.uint64(3))
+        mask = ~np.uint64(0) >> ((np.uint64(8) - left.astype(np.uint64)) << np.uint64(3))
+        wrong = (low ^ b8[at_b[live] + done]) & mask != 0
+        bad[live[wrong]] = True
+        done += 8
+        live = live[~wrong & (sizes[live] > done)]
+    return bad
+
+
 class Bpe:
     """Encoder and decoder for one file of ranks."""
 
@@ -99,15 +139,18 @@ class Bpe:
         rng = np.random.default_rng(20)
         self.byte_mix = rng.integers(1, 2**63, 256, dtype=np.uint64)
         self.powers = self.inverses = np.empty(0, np.uint64)
+        #: Slot of each digest, and of the words whose digest another word has.
         self.known: dict[int, int] = {}
+        self.odd: dict[bytes, int] = {}
         self._clear()
 
     def _clear(self) -> None:
         self.known.clear()
+        self.odd.clear()
+        self.slots = self.used = self.kept = 0
         self.ids = np.empty(1 << 16, np.uint32)
-        self.used = 0
-        self.begin = np.empty(1 << 14, np.int64)
-        self.count = np.empty(1 << 14, np.int64)
+        self.store = np.zeros(1 << 16, np.uint8)
+        self.begin, self.count, self.at, self.size = (np.empty(1 << 14, np.int64) for _ in range(4))
 
     def _find_pairs(self) -> None:
         """The pairs of ids that make a token, and an open-addressing table of them."""
@@ -246,9 +289,9 @@ class Bpe:
                 put(o, inf if rank is None else rank << bits | o)
         return [t for t in token if t >= 0]
 
-    def _learn(self, keys: list[int], data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Merge distinct new matches and file their ids under their keys; their slots."""
-        new_ids, counts = [], np.zeros(len(keys), np.int64)
+    def _learn(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Merge distinct new matches and file their ids and bytes; their slots."""
+        new_ids, counts = [], np.zeros(len(sizes), np.int64)
         order, lower = [], 0
         for width in (1, 2, 4, 8, 16, 32, FOREST):
             rows = np.flatnonzero((sizes > lower) & (sizes <= width))
@@ -265,22 +308,33 @@ class Bpe:
             counts[row] = len(ids)
             order.append(np.array([row]))
         ids, order = np.concatenate(new_ids), np.concatenate(order)
-        slots = len(self.known) + np.arange(len(order))
-        while self.used + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-        while len(self.known) + len(order) > len(self.begin):
-            self.begin = np.concatenate([self.begin, np.empty_like(self.begin)])
-            self.count = np.concatenate([self.count, np.empty_like(self.count)])
+        slots = self.slots + np.arange(len(order))
+        self.slots += len(order)
+        self.ids, self.store = _room(self.ids, self.used + len(ids)), _room(self.store, self.kept + int(sizes.sum()) + 8)
+        self.begin, self.count, self.at, self.size = (_room(x, self.slots) for x in (self.begin, self.count, self.at, self.size))
         c = counts[order]
         self.begin[slots] = self.used + np.cumsum(c) - c
         self.count[slots] = c
         self.ids[self.used: self.used + len(ids)] = ids
         self.used += len(ids)
-        out = np.empty(len(keys), np.int64)
+        n = sizes[order]
+        self.at[slots] = at = self.kept + np.cumsum(n) - n
+        self.size[slots] = n
+        self.store[self.kept: self.kept + int(n.sum())] = data[np.repeat(starts[order] - at, n) + np.arange(self.kept, self.kept + int(n.sum()))]
+        self.kept += int(n.sum())
+        out = np.empty(len(sizes), np.int64)
         out[order] = slots
-        self.known.update(zip(keys, out.tolist()))
         return out
 
+    def _learn_odd(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Slots of matches that a digest does not tell apart: these go by their bytes."""
+        words = [data[a: a + n].tobytes() for a, n in zip(starts.tolist(), sizes.tolist())]
+        new = {w: i for i, w in enumerate(words) if w not in self.odd}
+        if new:
+            rows = np.array(list(new.values()))
+            self.odd.update(zip(new, self._learn(data, starts[rows], sizes[rows]).tolist()))
+        return np.array([self.odd[w] for w in words], np.int64)
+
     def _grow_powers(self, n: int) -> None:
         def powers(of: int) -> np.ndarray:
             steps = np.full(1 << n.bit_length(), of, np.uint64)
@@ -314,7 +368,7 @@ class Bpe:
         slot = np.zeros(len(words), np.int64)
         if len(words):
             uniq, first, inverse = np.unique(h[words], return_index=True, return_inverse=True)
-            if len(self.known) + len(uniq) > CACHE:
+            if self.slots + len(uniq) > CACHE or self.kept > CACHE_BYTES:
                 self._clear()
             keys = uniq.tolist()
             find = self.known.get
@@ -322,8 +376,14 @@ class Bpe:
             fresh = np.flatnonzero(slots < 0)
             if len(fresh):
                 rows = words[first[fresh]]
-                slots[fresh] = self._learn([keys[i] for i in fresh.tolist()], data, b0[rows], sizes[rows])
+                slots[fresh] = self._learn(data, b0[rows], sizes[rows])
+                self.known.update(zip((keys[i] for i in fresh.tolist()), slots[fresh].tolist()))
             slot = slots[inverse]
+            # equal digests are no proof: every match is compared with the bytes that its slot stands for
+            at, n = b0[words], sizes[words]
+            odd = np.flatnonzero(differ(data, at, n, self.store, self.at[slot], self.size[slot]))
+            if len(odd):
+                slot[odd] = self._learn_odd(data, at[odd], n[odd])
         c = self.count[slot]
         out_counts[words] = c
         upto = np.cumsum(c)

@@ -275,3 +275,43 @@ def test_trigram_queries():
     assert frozenset({"aki", "kia"}) in q["access"]
     assert any({"tok", "oke", "ken"} <= c for c in q["assign"]) and any({"api", "pik"} <= c for c in q["assign"])
     assert all({"pri", "key", "beg"} <= c for c in q["private_key"])
+
+
+def thue_morse(n):
+    """Two different words of one polynomial digest modulo 2**64 (from about a thousand letters on)."""
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word[:n], word[:n].translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 4096])
+def test_words_of_one_digest_are_told_by_their_bytes(spark, tmp_path, n):
+    """In one text, in two rows of one slice, and across slices of one worker."""
+    import public_tokenizers as P
+    import tiktoken
+
+    a, b = thue_morse(n)
+    library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.load().ranks, special_tokens={})
+    texts = [a, b, f"{a} {b} {a}", "x", f" {b} and {a}", "y " * 600_000 + b, a]
+    own = bpe.Bpe(P.path(bpe.RANKS))
+    for part in ([texts[0]], [texts[1]], texts, texts[::-1]):
+        assert [x.tolist() for x in own.encode(part)] == [library.encode_ordinary(t) for t in part]
+    assert len(own.odd) >= 1
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.ids_sha256, r.decoded_sha256) for r in QUERIES["op1_bpe_round_trip"](spark, str(tmp_path)).collect()}
+    assert got == {i: (hashlib.sha256(np.array(library.encode_ordinary(t), "<u4").tobytes()).hexdigest(),
+                       hashlib.sha256(t.encode()).hexdigest()) for i, t in enumerate(texts)}
+    pieces = QUERIES["op10_packing"](spark, str(tmp_path)).groupBy("doc_id").agg({"length": "sum"}).collect()
+    assert {r[0]: r[1] for r in pieces} == {i: len(library.encode_ordinary(t)) + 1 for i, t in enumerate(texts)}
+
+
+def test_comparison_of_bytes_at_the_edges():
+    data = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz", np.uint8)
+    store = np.concatenate([data, np.zeros(8, np.uint8)])
+    at, sizes = np.array([0, 25, 18, 3, 20]), np.array([26, 1, 8, 9, 6])
+    assert not bpe.differ(data, at, sizes, store, at, sizes).any()
+    other = store.copy()
+    other[25] += 1
+    assert bpe.differ(data, at, sizes, other, at, sizes).tolist() == [True, True, True, False, True]
+    assert bpe.differ(data[:3], np.array([0, 2]), np.array([3, 1]), store, np.array([0, 1]), np.array([3, 1])).tolist() == [False, True]
