@@ -2,9 +2,13 @@
 
 Every document is measured inside its own row (words, symbols, repeated lines, repeated three-word
 windows).  Rule failures are counted by host with map-side sums, so a host holding a third of the
-rows costs one partial row per task.  Per rule the host rates give an empirical beta prior by
-moments; a host's shrunk rate is ``(failures + a) / (documents + a + b)``.  A host whose shrunk rate
-exceeds ``HOST_LIMIT`` for any rule is rejected and the verdict is joined back to its documents.
+rows costs one partial row per task.  Per rule the rates of the *other* hosts give a host its empirical
+beta prior by moments: their spread less what binomial noise alone would give (hosts weigh
+``n / (n + WEIGHT)``, so neither a crowd of tiny hosts nor one huge host settles the prior).  Its shrunk
+rate is ``(failures + a) / (documents + a + b)``.  A host is rejected when for some rule its shrunk rate lies
+more than ``OUTLIER`` standard deviations of the prior above the prior's mean and is over ``LEAST_RATE``, or
+is over ``HOST_LIMIT`` whatever the others do.  The verdict is joined back to its documents.  Hosts that
+are all alike leave no spread, so all of them are kept; a host that is alone is judged by its own rate.
 
 Null text counts as empty (no words, fails the length rule); a document without a host is judged by
 the base rules alone; repeated rows are judged row by row and count as often as they occur.  An
@@ -28,9 +32,14 @@ RULES = {
     "lines": "n_dup_lines > 30",
     "word_size": "word_chars > 12 * n_words",
 }
-HOST_LIMIT = 0.7
+#: A host far out in the prior is rejected from LEAST_RATE on, any host beyond HOST_LIMIT.
+OUTLIER, LEAST_RATE, HOST_LIMIT = 3.0, 0.2, 0.7
+#: Documents from which on a host counts for more than half in the prior.
+WEIGHT = 100.0
 #: Bounds of the prior's strength (a + b), used when host rates barely or wildly vary.
 WEAKEST, STRONGEST = 2.0, 1e6
+#: What is left of a sum of other hosts when there is none but rounding.
+TINY = 1e-9
 
 
 def _let(value: Column, body) -> Column:
@@ -76,24 +85,58 @@ def measure(docs: DataFrame, host: str = "source") -> DataFrame:
                            "n_dup_lines", F.col("w.r").cast("long").alias("n_repeat_words"))
 
 
+def _moments(counts: str) -> dict[str, str]:
+    """Sums over all hosts, as SQL (doubles ``n`` and one failure count per rule)."""
+    w = f"(n / (n + {WEIGHT}))"
+    sums = {"w": w, "wn": f"{w} / n", "ww": f"{w} * {w}", "wwn": f"{w} * {w} / n"}
+    for x in RULES:
+        sums |= {f"m_{x}": f"{w} * f_{x} / n", f"q_{x}": f"{w} * f_{x} / n * f_{x} / n"}
+    return {f"{counts}_{k}": f"sum({v})" for k, v in sums.items()}
+
+
+def _priors() -> tuple[dict[str, str], dict[str, str], dict[str, str]]:
+    """SQL steps from the sums (all_*) and a host's own counts to its verdict; Spark and other engines read it alike."""
+    w = f"(n / (n + {WEIGHT}))"
+    own = {"w": w, "wn": f"{w} / n", "ww": f"{w} * {w}", "wwn": f"{w} * {w} / n"}
+    others = {f"o_{k}": f"all_{k} - {v}" for k, v in own.items()}
+    for x in RULES:
+        others |= {f"o_m_{x}": f"all_m_{x} - {w} * f_{x} / n", f"o_q_{x}": f"all_q_{x} - {w} * f_{x} / n * f_{x} / n"}
+    fitted = {}
+    for x in RULES:
+        m = f"(o_m_{x} / o_w)"
+        noise, share = "(o_wn - o_wwn / o_w)", "(o_w - o_ww / o_w - o_wn + o_wwn / o_w)"
+        variance = f"((o_q_{x} - o_m_{x} * o_m_{x} / o_w - {m} * (1 - {m}) * {noise}) / {share})"
+        fitted[f"p_{x}"] = f"case when lonely then 0 else {m} end"
+        fitted[f"s_{x}"] = (f"case when lonely then 0 when {share} > {TINY} and {variance} > {TINY} then "
+                            f"least(greatest({m} * (1 - {m}) / {variance} - 1, {WEAKEST}), {STRONGEST}) else {STRONGEST} end")
+    verdict = {}
+    for x in RULES:
+        verdict[f"rate_{x}"] = f"(f_{x} + p_{x} * s_{x}) / (n + s_{x})"
+        verdict[f"bad_{x}"] = (f"(f_{x} + p_{x} * s_{x}) / (n + s_{x}) > case when lonely then {HOST_LIMIT} else least(greatest("
+                               f"p_{x} + {OUTLIER} * sqrt(greatest(p_{x} * (1 - p_{x}), 0) / (s_{x} + 1)), {LEAST_RATE}), {HOST_LIMIT}) end")
+    return others, fitted, verdict
+
+
+def _listed(columns: dict[str, str]) -> list[str]:
+    return [f"{v} as {k}" for k, v in columns.items()]
+
+
+#: Fewer other hosts than this weight, in sum: the host is alone.
+LONELY = f"o_w < {TINY} as lonely"
+
+
 def host_verdicts(measured: DataFrame) -> DataFrame:
     """host, documents, one shrunk failure rate per rule and ``host_kept``."""
     hosts = materialize(measured.where("host is not null").groupBy("host").agg(
-        F.count("*").alias("documents"),
-        *[F.sum(F.expr(f"cast({rule} as long)")).alias(f"f_{name}") for name, rule in RULES.items()]))
-    stats = hosts.agg(F.sum("documents").alias("n"), *[c for name in RULES for c in (
-        F.sum(f"f_{name}").alias(f"f_{name}"),
-        F.var_pop(F.col(f"f_{name}") / F.col("documents")).alias(f"v_{name}"))]).first()
-    rates = []
-    for name in RULES:
-        mean = (stats[f"f_{name}"] or 0) / (stats["n"] or 1)
-        variance = stats[f"v_{name}"] or 0.0
-        strength = mean * (1 - mean) / variance - 1 if variance > 0 else STRONGEST
-        strength = min(max(strength, WEAKEST), STRONGEST)
-        rates.append(((F.col(f"f_{name}") + F.lit(mean * strength)) / (F.col("documents") + F.lit(strength)))
-                     .alias(f"rate_{name}"))
-    judged = hosts.select("host", "documents", *rates)
-    return judged.withColumn("host_kept", F.greatest(*[F.col(f"rate_{n}") for n in RULES]) <= HOST_LIMIT)
+        F.count("*").cast("double").alias("n"),
+        *[F.sum(F.expr(f"cast({rule} as int)")).cast("double").alias(f"f_{name}") for name, rule in RULES.items()]))
+    total = hosts.agg(*[F.expr(v).alias(k) for k, v in _moments("all").items()]).first().asDict()
+    others, fitted, verdict = _priors()
+    judged = (hosts.select("*", *[F.lit(v).cast("double").alias(k) for k, v in total.items()])
+              .selectExpr("*", *_listed(others)).selectExpr("*", LONELY).selectExpr("*", *_listed(fitted))
+              .selectExpr("host", "cast(n as long) as documents", *_listed(verdict)))
+    return judged.select("host", "documents", *[f"rate_{x}" for x in RULES],
+                         (~F.expr(" or ".join(f"bad_{x}" for x in RULES))).alias("host_kept"))
 
 
 def judge(docs: DataFrame, host: str = "source") -> DataFrame:
@@ -112,13 +155,7 @@ def op3(spark, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
-    def prior(name: str) -> str:
-        mean = f"(sum(f_{name}) / sum(documents))"
-        strength = (f"case when var_pop(f_{name} / documents) > 0 then least(greatest({mean} * (1 - {mean}) / "
-                    f"var_pop(f_{name} / documents) - 1, {WEAKEST}), {STRONGEST}) else {STRONGEST} end")
-        return f"{mean} as m_{name}, {strength} as s_{name}"
-
-    rates = ", ".join(f"(f_{n} + m_{n} * s_{n}) / (documents + s_{n})" for n in RULES)
+    others, fitted, verdict = (", ".join(_listed(c)) for c in _priors())
     return rf"""
 with d as (select doc_id, source as host, coalesce(text, '') as t from documents),
 w as (select doc_id, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from d),
@@ -135,11 +172,14 @@ m as (select d.doc_id, d.host, cast(len(w.w) as bigint) as n_words,
         cast(len(l) - len(list_distinct(l)) as bigint) as n_dup_lines,
         cast(coalesce(r, 0) as bigint) as n_repeat_words
       from d join w using (doc_id) join ln using (doc_id) left join covered using (doc_id)),
-h as (select host, count(*) as documents,
+h as (select host, cast(count(*) as double) as n,
         {", ".join(f"cast(sum(cast(({rule}) as int)) as double) as f_{n}" for n, rule in RULES.items())}
       from m where host is not null group by host),
-p as (select {", ".join(prior(n) for n in RULES)} from h),
-v as (select host, greatest({rates}) <= {HOST_LIMIT} as host_kept from h, p)
+t as (select {", ".join(_listed(_moments("all")))} from h),
+o as (select *, {others} from h, t),
+q as (select *, {LONELY} from o),
+p as (select *, {fitted} from q),
+v as (select host, not ({" or ".join(f"bad_{x}" for x in RULES)}) as host_kept from (select host, {verdict} from p))
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   ({RULES['short']} or {RULES['repeats']}) as base_failed,
   not ({RULES['short']} or {RULES['repeats']}) and coalesce(host_kept, true) as kept

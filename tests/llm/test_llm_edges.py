@@ -315,3 +315,33 @@ def test_comparison_of_bytes_at_the_edges():
     other[25] += 1
     assert bpe.differ(data, at, sizes, other, at, sizes).tolist() == [True, True, True, False, True]
     assert bpe.differ(data[:3], np.array([0, 2]), np.array([3, 1]), store, np.array([0, 1]), np.array([3, 1])).tolist() == [False, True]
+
+
+def host_rows(bad_hosts, hosts=24, each=60):
+    """Documents of about 8 % failures a host; the ``bad_hosts`` (host -> documents) fail in 60 %."""
+    import random
+    rng, rows = random.Random(4), []
+    for h in range(hosts):
+        for _ in range(bad_hosts.get(h, each)):
+            fails = rng.random() < (0.6 if h in bad_hosts else 0.08)
+            words = [f"w{rng.randrange(5000)}" for _ in range(90)] + (["#"] * 20 if fails else [])
+            rows.append((len(rows), " ".join(words), f"host{h}" if h else None))
+    return rows + [(10_000 + i, "tiny host " + " ".join(f"x{i}{k}" for k in range(60)) + " # # # # # # # # #", f"lone{i}") for i in range(6)]
+
+
+@pytest.mark.parametrize("bad", [{}, {3: 60}, {3: 900}, {3: 60, 7: 40}])
+def test_bad_hosts_take_their_documents_along(spark, tmp_path, bad):
+    """A host far out in the fitted prior is rejected, also when it holds a third of all rows; hosts that are alike, hosts of
+    one document and documents without a host stay.  The SQL twin says the same."""
+    import duckdb
+
+    rows = host_rows(bad)
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in QUERIES["op3_host_rules"](spark, str(tmp_path)).collect()}
+    lost = {h for i, _, h in rows if not got[i].kept and not got[i].base_failed}
+    assert lost == {f"host{h}" for h in bad}
+    assert {i for i, _, h in rows if h in lost} == {i for i, r in got.items() if not r.kept}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    from marketlake.llm.queries import ORACLE
+    assert {r[0]: r[1] for r in con.execute(f"select doc_id, kept from ({ORACLE['op3_host_rules']})").fetchall()} == {i: r.kept for i, r in got.items()}
