@@ -34,7 +34,10 @@ from .common import materialize, parts, ship, table, text_digest
 
 #: The default key; a deployment passes its own secret.
 KEY = os.environ.get("MARKETLAKE_PII_KEY", "marketlake-surrogates")
-ROUNDS, MOST_ATTEMPTS, PIECE = 6, 64, 96
+ROUNDS, PIECE = 6, 96
+#: Rounds with one attempt for each entity; after them the attempts of a round double, up to AT_ONCE, and an entity
+#: without a surrogate after MOST_ATTEMPTS has none left in its shape.
+SINGLE_ROUNDS, AT_ONCE, MOST_ATTEMPTS = 8, 4_096, 1 << 17
 
 # Titles by gender.
 MALE = ["Mr", "Mister", "Sir", "Herr", "Señor", "Sr", "Monsieur", "Господин", "господин", "г-н"]
@@ -339,24 +342,32 @@ def moved(entities: DataFrame, key: str = KEY) -> DataFrame:
     """kind, value, attempt of the entities whose first surrogate collides.
 
     A surrogate belongs to the smallest value that asks for it first and may not be an entity of the
-    input; each round moves the others on and checks only them against all."""
+    input; each round moves the others on and checks only them against all.  In a shape that is nearly
+    used up few attempts succeed, so late rounds try many at a time; an entity keeps its earliest."""
     entities = materialize(entities.select("kind", "value").distinct())
     originals = entities.select("kind", F.col("value").alias("surrogate"))
-    settled = None
-    asking = materialize(_named(entities.withColumn("attempt", F.lit(0)), key))
-    for _ in range(MOST_ATTEMPTS):
+    settled, round_, tried, at_once = None, 0, 0, 1
+    left = entities
+    while tried < MOST_ATTEMPTS:
+        attempts = F.explode(F.sequence(F.lit(tried), F.lit(tried + at_once - 1)))
+        asking = materialize(_named(left.select("kind", "value", attempts.alias("attempt")), key))
         winners = asking.join(originals, ["kind", "surrogate"], "left_anti")
         if settled is not None:
             winners = winners.join(settled.select("kind", "surrogate"), ["kind", "surrogate"], "left_anti")
         first = winners.groupBy("kind", "surrogate").agg(F.min("value").alias("value"))
-        won = materialize(winners.join(first, ["kind", "surrogate", "value"]).select("kind", "value", "attempt", "surrogate"))
+        won = winners.join(first, ["kind", "surrogate", "value"]).groupBy("kind", "value").agg(
+            F.min(F.struct("attempt", "surrogate")).alias("w"))
+        won = materialize(won.select("kind", "value", "w.attempt", "w.surrogate"))
         settled = won if settled is None else settled.unionByName(won)
-        lost = asking.join(won.select("kind", "value"), ["kind", "value"], "left_anti")
-        asking = materialize(_named(lost.withColumn("attempt", F.col("attempt") + 1), key))
-        if asking.isEmpty():
+        left = materialize(left.join(won.select("kind", "value"), ["kind", "value"], "left_anti"))
+        if left.isEmpty():
             return settled.where("attempt > 0").select("kind", "value", "attempt")
+        round_, tried = round_ + 1, tried + at_once
+        if round_ >= SINGLE_ROUNDS:
+            at_once = min(2 * at_once, AT_ONCE)
+            settled = materialize(settled)
     # addresses, names and phone numbers have grown by then; the other shapes have 10 ** 9 values or more
-    raise ValueError("over half of all values of a fixed shape are in use; no distinct surrogates are left")
+    raise ValueError(f"no value of a fixed shape is left after {MOST_ATTEMPTS} attempts for each entity")
 
 
 def pseudonymize(docs: DataFrame, key: str = KEY, count: str | None = None) -> DataFrame:

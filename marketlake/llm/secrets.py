@@ -24,7 +24,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, text_digest, whole_text
+from .common import materialize, table, text_digest, whole_text
 
 
 def _either(word: str) -> str:
@@ -57,6 +57,9 @@ MORE = [
 RULES = BASE + MORE
 #: Strings tracked at once while a pattern is read; more end the run (a weaker query, never a wrong one).
 MOST_STRINGS = 64
+#: Values summed at once by a fold that appends; bits of the candidates' sieve and of one of its rows.
+RUN = 64
+SIEVE, SIEVE_ROW = 1 << 23, 32_768
 
 
 def _grams(strings: set[str]) -> list[frozenset[str]] | None:
@@ -140,6 +143,32 @@ def candidates(index: DataFrame, queries: dict[str, list[frozenset[str]]]) -> Da
     return hits.groupBy("doc_id", "digest").agg(F.collect_set("u.kind").alias("kinds"))
 
 
+def _upto(values: Column) -> Column:
+    """Running sums before each value of an array.
+
+    Appending to an array copies it, so the sums are made in runs of ``RUN`` values, the runs' totals in runs
+    again: ``n`` values cost about ``n * RUN`` copies, not ``n * n``."""
+    def flat(v: Column) -> Column:
+        none = F.array().cast("array<long>")
+        return F.aggregate(v, F.struct(F.lit(0).cast("long").alias("at"), none.alias("out")), lambda s, x: F.struct(
+            (s["at"] + x).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")), lambda s: s["out"])
+
+    def runs(v: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.ceil(F.size(v) / RUN).cast("int") - 1), lambda r: F.slice(v, r * RUN + 1, F.lit(RUN)))
+
+    def added(totals_of, pieces: Column) -> Column:
+        totals = F.transform(pieces, lambda r: F.aggregate(r, F.lit(0).cast("long"), lambda s, x: s + x))
+        return _let(totals_of(totals), lambda before: F.flatten(F.transform(
+            pieces, lambda r, i: _let(F.get(before, i), lambda base: F.transform(flat(r), lambda x: x + base)))))
+
+    def once(v: Column) -> Column:
+        return F.when(F.size(v) <= RUN, flat(v)).otherwise(_let(runs(v), lambda p: added(flat, p)))
+
+    def twice(v: Column) -> Column:
+        return F.when(F.size(v) <= RUN, flat(v)).otherwise(_let(runs(v), lambda p: added(once, p)))
+    return _let(values, twice)
+
+
 def _spans(rule: Rule, order: int, text: Column) -> Column:
     """Spans of one rule in a text: the leftmost non-overlapping matches that are long enough.
 
@@ -147,30 +176,51 @@ def _spans(rule: Rule, order: int, text: Column) -> Column:
     pattern = F.lit(rule.pattern)
     match = F.regexp_extract_all(text, pattern, F.lit(0))
     sized = match if rule.group == 0 else F.regexp_extract_all(text, pattern, F.lit(rule.group))
-    steps = F.transform(
+    steps = F.filter(F.transform(
         F.arrays_zip(match.alias("m"), sized.alias("s"), F.split(text, rule.pattern).alias("p")),
-        lambda x: F.struct(F.char_length(x["p"]).alias("gap"), F.char_length(x["m"]).alias("size"),
-                           (F.char_length(x["s"]) >= rule.least).alias("ok")))
-    none = F.array().cast("array<struct<start:int,ord:int,end:int>>")
-    return F.aggregate(
-        F.filter(steps, lambda x: x["size"].isNotNull()), F.struct(F.lit(0).alias("pos"), none.alias("out")),
-        lambda a, x: F.struct(
-            (a["pos"] + x["gap"] + x["size"]).alias("pos"),
-            F.when(x["ok"], F.concat(a["out"], F.array(F.struct(
-                (a["pos"] + x["gap"]).alias("start"), F.lit(order).alias("ord"),
-                (a["pos"] + x["gap"] + x["size"]).alias("end"))))).otherwise(a["out"]).alias("out")),
-        lambda a: a["out"])
+        lambda x: F.struct(F.char_length(x["p"]).cast("long").alias("gap"), F.char_length(x["m"]).cast("long").alias("size"),
+                           (F.char_length(x["s"]) >= rule.least).alias("ok"))), lambda x: x["size"].isNotNull())
+
+    def placed(steps: Column) -> Column:
+        before = _upto(F.transform(steps, lambda x: x["gap"] + x["size"]))
+        spans = F.transform(F.arrays_zip(steps.alias("x"), before.alias("at")), lambda z: F.when(z["x"]["ok"], F.struct(
+            (z["at"] + z["x"]["gap"]).cast("int").alias("start"), F.lit(order).alias("ord"),
+            (z["at"] + z["x"]["gap"] + z["x"]["size"]).cast("int").alias("end"))))
+        return F.filter(spans, lambda x: x.isNotNull())
+    return _let(steps, placed)
+
+
+NONE = "array<struct<start:int,ord:int,end:int>>"
+
+
+def _sieve(hits: DataFrame) -> DataFrame:
+    """``SIEVE`` bits of the candidates' keys, as rows (slice, bits) of 4,096 bytes: a fixed size."""
+    bit = F.pmod(F.xxhash64("c_id", "c_digest"), F.lit(SIEVE))
+    rows = hits.select((bit / SIEVE_ROW).cast("int").alias("slice"), (bit % SIEVE_ROW).alias("bit"))
+    return rows.groupBy("slice").agg(F.bitmap_construct_agg("bit").alias("bits"))
 
 
 def scan(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
-    """doc_id and ``found``: array of (start, ord, end) by start, then rule order; code points."""
+    """doc_id and ``found``: array of (start, ord, end) by start, then rule order; code points.
+
+    Only candidates' texts travel: a sieve of fixed size over the candidates' keys goes to every task and drops,
+    in place, the texts of rows that cannot be one (and match no rule that scans); the join then decides."""
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     indexed = {k: q for k, q in queries.items() if q is not None}
     grams = sorted({g for q in indexed.values() for c in q for g in c})
-    hits = candidates(build_index(docs, grams), indexed).withColumnsRenamed({"doc_id": "c_id", "digest": "c_digest"})
+    hits = materialize(candidates(build_index(docs, grams), indexed).withColumnsRenamed({"doc_id": "c_id", "digest": "c_digest"}))
     texts = docs.select("doc_id", whole_text().alias("t"), text_digest().alias("digest"))
-    joined = texts.join(hits, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("digest") == F.col("c_digest")), "left")
-    none = F.array().cast("array<struct<start:int,ord:int,end:int>>")
+    bit = F.pmod(F.xxhash64("doc_id", "digest"), F.lit(SIEVE))
+    sieved = texts.withColumn("slice", (bit / SIEVE_ROW).cast("int")).withColumn("bit", bit % SIEVE_ROW).join(
+        F.broadcast(_sieve(hits)), "slice", "left")
+    byte = F.conv(F.hex(F.substring(F.col("bits"), (F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    passed = F.coalesce(F.get(F.array(*[F.shiftright(byte, i) for i in range(8)]), (F.col("bit") % 8).cast("int")).bitwiseAND(1) == 1, F.lit(False))
+    for r in rules:
+        if r.kind not in indexed:
+            passed |= F.col("t").rlike(r.pattern)
+    sieved = sieved.select("doc_id", "digest", F.when(passed, F.col("t")).alias("t"))
+    joined = sieved.join(hits, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("digest") == F.col("c_digest")), "left")
+    none = F.array().cast(NONE)
     per_rule = [F.when(F.array_contains("kinds", r.kind) if r.kind in indexed else F.col("t").rlike(r.pattern),
                        _spans(r, i, F.col("t"))).otherwise(none) for i, r in enumerate(rules)]
     return joined.select("doc_id", F.array_sort(reduce(F.concat, per_rule)).alias("found"))

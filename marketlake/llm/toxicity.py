@@ -6,9 +6,9 @@ the word it distorts.  A window's vector is the mean of its words' and the softm
 document's score is that of its worst window, so one insult is not diluted by a long text.
 
 Embeddings and softmax are trained jointly in numpy: first on whole-document means, then on each
-document's worst window under the current model.  Fitting takes at most ``SAMPLE`` labelled rows
-(a documented bound, spread by a hash of doc_id, with each class allowed half of it); a part of them
-calibrates the score.  Scoring reads every whole text once.
+document's worst window under the current model.  Fitting takes at most ``SAMPLE`` labelled rows and
+``SAMPLE_BYTES`` bytes of their texts (documented bounds; rows spread by a hash of doc_id, with each class
+allowed half of them); a part of them calibrates the score.  Scoring reads every whole text once.
 
 Null text, and text without letters, has no window and gets the score of an empty bag.  Null
 labels are not learned from.  Without rows of both classes every score is the share of label 1 (0
@@ -31,7 +31,8 @@ from .common import parts, ship, table, whole_text
 THRESHOLD = 0.7
 #: Held out of learning: crc32(doc_id as text) mod FOLDS = HELD.
 FOLDS, HELD = 3, 1
-SAMPLE = 6_000
+#: Most labelled rows to learn from, and most bytes of their texts.
+SAMPLE, SAMPLE_BYTES = 6_000, 24 << 20
 BUCKETS, SIZE, GRAMS = 1 << 17, 8, 6
 WINDOW = 3
 START, WINDOW_STEPS, RATE, FLOOR, DECAY = 0.1, 40, 0.05, 0.05, 1e-3
@@ -134,14 +135,36 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.raw(texts) + self.bias, -500, 500)))
 
 
+class Bags:
+    """Labelled texts as word numbers: a text is dropped as soon as it is read."""
+
+    def __init__(self):
+        self.vocabulary: dict[str, int] = {}
+        self.docs: list[np.ndarray] = []
+        self.labels: list[int] = []
+
+    def add(self, text: str, label: int) -> None:
+        known = self.vocabulary
+        self.docs.append(np.array([known.setdefault(w, len(known)) for w in words(text)], np.int32))
+        self.labels.append(label)
+
+    def train(self, seed: int = 4) -> Model:
+        return _train(self.vocabulary, self.docs, np.array(self.labels, np.int64), seed)
+
+
 def train(texts: list[str], y: np.ndarray, seed: int = 4) -> Model:
     """Joint training of embeddings and softmax on labelled texts."""
+    bags = Bags()
+    for t, label in zip(texts, y.tolist()):
+        bags.add(t, label)
+    return bags.train(seed)
+
+
+def _train(vocabulary: dict[str, int], docs: list[np.ndarray], y: np.ndarray, seed: int) -> Model:
     if not len(y) or y.min() == y.max():
         share = float(y.mean()) if len(y) else 0.0
         return Model(np.zeros(BUCKETS), 0.0, float(np.log((share + 1e-9) / (1 - share + 1e-9))))
     rng = np.random.default_rng(seed)
-    vocabulary: dict[str, int] = {}
-    docs = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words(t)], np.int64) for t in texts]
     flat, owner, n_words = grams(" ".join(vocabulary))
     order = np.argsort(owner, kind="stable")
     flat, owner = flat[order], owner[order]
@@ -238,12 +261,23 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     spread = F.xxhash64("doc_id", "y")
     chosen = marked.where("y = 1").orderBy(spread).limit(SAMPLE // 2).unionAll(
         marked.where("y = 0").orderBy(spread).limit(SAMPLE // 2))
-    rows = docs.select("doc_id", whole_text().alias("t")).join(F.broadcast(chosen), "doc_id").select(
-        "doc_id", "t", "y").orderBy(F.xxhash64("doc_id", "t"), "y").limit(SAMPLE).collect()
+    texts = docs.select("doc_id", whole_text().alias("t")).join(F.broadcast(chosen), "doc_id").select(
+        "t", "y", F.octet_length("t").alias("size"), F.xxhash64("doc_id", "t").alias("at"))
+    sized = texts.select("at", "y", "size").distinct().orderBy("at", "y").limit(SAMPLE).collect()
+    taken, room = [], SAMPLE_BYTES
+    for r in sized:                  # in the order of a hash; a text that no longer fits is left out whole
+        if r["size"] <= room:
+            taken.append((r["at"], r["y"]))
+            room -= r["size"]
+    bag = Bags()
+    if taken:
+        few = F.broadcast(docs.sparkSession.createDataFrame(taken, "at long, y int"))
+        for r in texts.dropDuplicates(["at", "y"]).join(few, ["at", "y"]).orderBy("at", "y").toLocalIterator():
+            bag.add(r["t"], r["y"])
     total = marked.agg(F.avg("y")).first()[0]
-    model = train([r.t for r in rows], np.array([r.y for r in rows], np.int64))
-    if rows and 0 < total < 1:   # the sample may hold more of the rare class: put its prior back
-        share = sum(r.y for r in rows) / len(rows)
+    model = bag.train()
+    if taken and 0 < total < 1:   # the sample may hold more of the rare class: put its prior back
+        share = sum(y for _, y in taken) / len(taken)
         if 0 < share < 1 and model.slope:
             model.bias += float(np.log(total / (1 - total)) - np.log(share / (1 - share)))
     return model

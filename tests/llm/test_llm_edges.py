@@ -345,3 +345,49 @@ def test_bad_hosts_take_their_documents_along(spark, tmp_path, bad):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
     from marketlake.llm.queries import ORACLE
     assert {r[0]: r[1] for r in con.execute(f"select doc_id, kept from ({ORACLE['op3_host_rules']})").fetchall()} == {i: r.kept for i, r in got.items()}
+
+
+def test_many_spans_in_one_text(spark, monkeypatch):
+    """Starts are right through both levels of running sums; 60,000 spans take seconds."""
+    import time
+
+    monkeypatch.setattr(secrets, "RUN", 8)
+    text = " ".join(f"é token={i:08d}" for i in range(1500)) + " token=short"
+    rows = [(1, text), (2, "token=12345678"), (2, "no secret"), (None, "x" * 50), (3, None)]
+    got = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    spans = {(r.doc_id, len(r.found)): [(s.start, s.ord, s.end) for s in r.found] for r in got}
+    assert spans[(1, 1500)] == brute.secrets(text) and spans[(2, 1)] == [(0, 0, 14)] and (2, 0) in spans and (None, 0) in spans
+    monkeypatch.undo()
+    many = spark.createDataFrame([(1, " ".join(f"token={i:08d}" for i in range(60_000)))], "doc_id long, text string")
+    began = time.time()
+    assert len(secrets.scan(many).first().found) == 60_000
+    assert time.time() - began < 60
+
+
+def test_a_full_sieve_changes_nothing(spark, monkeypatch):
+    """With a sieve of few bits every text passes; with the usual one only candidates do.  The spans are the same."""
+    rows = [(i, f"word {i} " + ("token=abcdefgh%d" % i if i % 7 == 0 else "plain") + (" " + "0a" * 20 if i % 11 == 0 else "")) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    usual = {r.doc_id: [tuple(s) for s in r.found] for r in secrets.scan(docs).collect()}
+    monkeypatch.setattr(secrets, "SIEVE", 8)
+    assert {r.doc_id: [tuple(s) for s in r.found] for r in secrets.scan(docs).collect()} == usual
+    assert sum(map(bool, usual.values())) == len([i for i in range(300) if i % 7 == 0 or i % 11 == 0])
+
+
+def test_surrogates_of_a_nearly_full_shape(spark, monkeypatch):
+    """Entities that hold 80 of 200 values of their shape all get values of the rest, one each."""
+    monkeypatch.setattr(pii, "_named", small_shape)
+    entities = spark.createDataFrame([("k", f"{i:03d}") for i in range(99)], "kind string, value string")
+    moved = {r.value: r.attempt for r in pii.moved(entities).collect()}
+    out = {v: small_value(v, moved.get(v, 0)) for v in (f"{i:03d}" for i in range(99))}
+    assert len(set(out.values())) == 99 and not set(out.values()) & set(out)
+
+
+def small_value(value, attempt):
+    return f"{int(hashlib.sha256(f'{value}|{attempt}'.encode()).hexdigest()[:8], 16) % 200:03d}"
+
+
+def small_shape(entities, key):
+    from pyspark.sql import functions as F
+    digest = F.conv(F.substring(F.sha2(F.concat_ws("|", "value", "attempt"), 256), 1, 8), 16, 10).cast("long")
+    return entities.withColumn("surrogate", F.lpad((digest % 200).cast("string"), 3, "0"))
