@@ -11,8 +11,12 @@ with a small population of packings:
 * mutation dissolves some badly filled bins the same way;
 * after every round the islands of a shard pass their best packing on round the ring.
 
-Fitness is the mean of (fill / capacity) squared.  Sequences that stay below ``FULL`` give their pieces to
-the next, coarser level of shards, until one shard is left or a level does not help.  Every task holds
+Fitness is the mean of (fill / capacity) squared; an island that reaches the least number of bins that its
+tokens allow rests.  Sequences that stay below ``FULL`` give their pieces to the next level, which deals them
+anew by another key into fewer shards, until one shard is left, the least number is reached, or ``STALLS``
+levels in a row finish less than a share ``HELPS`` of their pieces (sizes that do not fill a sequence).  Every
+level but the last two of a stall shrinks its input by that share, so all levels together cost a constant
+number of first ones.  Every task holds
 one island (bounded), all draws are seeded by shard, island and round, so a lost task is repeated exactly.
 
 Null text is an empty document (just ``END``).  Repeated rows are packed as often as they occur; null
@@ -33,8 +37,10 @@ from .bpe import load
 from .common import materialize, parts, ship, table
 
 CAPACITY, END = 1024, 2
-SHARD, ISLANDS, POPULATION, ROUNDS, CHILDREN = 4_096, 2, 4, 2, 10
-FULL = 0.97
+SHARD, ISLANDS, POPULATION, ROUNDS, CHILDREN = 4_096, 4, 4, 4, 24
+#: A sequence is done when it is this full; a level helps when it finishes this share of its pieces; levels in a
+#: row that do not help end the search.
+FULL, HELPS, STALLS = 0.97, 0.1, 2
 
 
 def pieces(docs: DataFrame, with_ids: bool = False, path: str | None = None) -> DataFrame:
@@ -234,7 +240,7 @@ def place(items: DataFrame) -> DataFrame:
     full = items.where(F.col("length") == CAPACITY).select("uid", F.col("uid").alias("sequence_id"),
                                                           F.lit(0).cast("long").alias("offset"))
     rest, level, done = items.where(F.col("length") < CAPACITY).select("uid", "length"), 0, [full]
-    n = rest.count()
+    n, stalls = rest.count(), 0
     while n:
         packed, shards = _level(rest, n, level)
         packed = materialize(packed)
@@ -243,7 +249,11 @@ def place(items: DataFrame) -> DataFrame:
         packed = packed.join(name, ["shard", "bin"])
         loose = packed.where(F.col("fill") < FULL * CAPACITY)
         left = loose.count() if shards > 1 else 0
-        if left == 0 or left > n // 2:
+        if left:   # as few sequences as their bytes allow: nothing to gain
+            held = packed.agg(F.countDistinct("shard", "bin").alias("bins"), F.sum("length").alias("tokens")).first()
+            left = 0 if held["bins"] <= -(-held["tokens"] // CAPACITY) else left
+        stalls = stalls + 1 if left > (1 - HELPS) * n else 0
+        if left == 0 or stalls == STALLS:
             done.append(packed.select("uid", "sequence_id", "offset"))
             break
         done.append(packed.where(F.col("fill") >= FULL * CAPACITY).select("uid", "sequence_id", "offset"))

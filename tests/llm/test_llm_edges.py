@@ -391,3 +391,44 @@ def small_shape(entities, key):
     from pyspark.sql import functions as F
     digest = F.conv(F.substring(F.sha2(F.concat_ws("|", "value", "attempt"), 256), 1, 8), 16, 10).cast("long")
     return entities.withColumn("surrogate", F.lpad((digest % 200).cast("string"), 3, "0"))
+
+
+@pytest.mark.parametrize("low, high, gain", [(260, 421, 0.02), (200, 700, 0.002), (600, 640, 0.0)])
+def test_islands_do_better_than_best_fit(low, high, gain):
+    """Sizes that best fit packs badly: the islands need fewer sequences; where nothing can be gained they are equal."""
+    from marketlake.llm import packing
+
+    sizes = np.random.default_rng(low).integers(low, high, packing.SHARD).astype(np.int64)
+    plain = int(packing.refill(sizes, np.full(len(sizes), -1, np.int32), np.argsort(-sizes, kind="stable")).max()) + 1
+    islands = [[] for _ in range(packing.ISLANDS)]
+    for k in range(packing.ROUNDS):
+        islands = [packing.evolve(sizes, p, np.random.default_rng([1, i, k])) for i, p in enumerate(islands)]
+        islands = [[islands[i - 1][0], *p[:packing.POPULATION - 1]] for i, p in enumerate(islands)]
+    best = min(int(p[0].max()) + 1 for p in islands)
+    assert best <= plain - int(gain * plain) and best >= -(-sizes.sum() // packing.CAPACITY)
+    for p in islands:
+        assert (packing.fills(sizes, p[0]) <= packing.CAPACITY).all()
+
+
+@pytest.mark.parametrize("low, high", [(260, 421), (600, 640), (1, 1024)])
+def test_levels_place_every_piece_once(spark, monkeypatch, low, high):
+    """Many shards, over half of the pieces in badly filled sequences: no overlap, no gap, no piece lost, and
+    never more sequences than one best fit over everything needs plus a few."""
+    from marketlake.llm import packing
+
+    monkeypatch.setattr(packing, "SHARD", 256)
+    sizes = np.random.default_rng(9).integers(low, high, 1500)
+    items = spark.createDataFrame([(i, int(n)) for i, n in enumerate(sizes)], "uid long, length long")
+    got = packing.place(items).join(items, "uid").collect()
+    assert sorted(r.uid for r in got) == list(range(1500))
+    bins = {}
+    for r in got:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for held in bins.values():
+        upto = 0
+        for offset, length in sorted(held):
+            assert offset == upto
+            upto += length
+        assert upto <= packing.CAPACITY
+    plain = int(packing.refill(sizes, np.full(1500, -1, np.int32), np.argsort(-sizes, kind="stable")).max()) + 1
+    assert len(bins) <= plain * 1.03 + 1
