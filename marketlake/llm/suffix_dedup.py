@@ -6,7 +6,8 @@ is its anchor, a choice that depends on the string's bytes alone, so equal strin
 at equal offsets, and only suffixes at anchors need ordering.
 
 1. ``anchors`` finds each text's anchors, the strings that each one stands for and a
-   digest of the bytes they cover; within a batch all but the first of equal ones are marked at once.
+   digest of the bytes they cover; within a part of some megabytes all but the first of equal ones are marked at
+   once.  The packed anchors are written, so texts go through this step once.
 2. ``_classes`` sorts a bucket of anchors by (gram, digest, place): all but the first of a class are
    marked; a gram with several classes asks for its first occurrences' bytes.
 3. ``_suffixes`` orders those bytes: to the right of the anchor as suffixes and, reversed, to its left,
@@ -15,9 +16,9 @@ at equal offsets, and only suffixes at anchors need ordering.
    all but the earliest are marked.
 4. Marks are merged per document and the texts are cut.
 
-A passage that fills a third of all documents is one anchor class with one row per batch, but the
+A passage that fills a third of all documents is one anchor class with one row per part, but the
 anchors near its ends cover other bytes in every document.  A gram with ``CROWD`` classes or more is
-found by a count beforehand and dealt out: its classes by their digests in step 2, its bytes by place in
+found by an exact count beforehand (of gram prefixes, then of the grams in heavy ones) and dealt out: its classes by their digests in step 2, its bytes by place in
 step 3, where each part marks all but its own earliest of equal strings; ``_strings`` then joins the
 parts by (gram, shift, string digest), where a string has at most one row per part.
 
@@ -48,9 +49,11 @@ SHALLOW, SMALL = 64, 48
 SLICE = 1 << 20
 #: Text bytes whose anchors make up one bucket.
 BUCKET_BYTES, LEAST_BUCKETS = 32 << 20, 24
-#: Classes of a gram from which on it is dealt out (classes of batches that hold under CROWD / 2048
-#: of them are not counted), and anchors whose bytes make up one bucket of step 3.
-CROWD, FETCHED = 16_384, 32_768
+#: Classes of a gram from which on it is dealt out, the most grams that are (those of most classes), and anchors
+#: whose bytes make up one bucket of step 3.
+CROWD, MOST_CROWDS, FETCHED = 16_384, 1 << 20, 32_768
+#: Most counters of gram prefixes in a task; text whose anchors, and anchors whose bytes, are in hand at a time.
+PREFIXES, HAND_BYTES, HAND_ANCHORS = 1 << 20, 2 << 20, 8_192
 _POS = np.uint64((1 << 24) - 1)
 _PRIME = 0x9E3779B97F4A7C15
 
@@ -221,23 +224,10 @@ def _later(order: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return by, change, order[by] > order[by][head]
 
 
-def _crowds(least: int):
-    """Texts -> (gram, classes) of the grams with ``least`` classes or more in a batch."""
+def _find_anchors(buckets: int):
+    """Texts -> packed anchors (side 0, not dealt yet) and marks of those that a part repeats (side 1)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a = anchors([t or b"" for t in batch.column("data").to_pylist()])
-            by, first, _ = _later(np.zeros(len(a["row"]), np.int64), a["cover"], a["gram"])
-            gram, classes = np.unique(a["gram"][by[first]], return_counts=True)
-            often = classes >= least
-            yield pa.RecordBatch.from_arrays([pa.array(gram[often].view(np.int64)), pa.array(classes[often].astype(np.int64))],
-                                             ["gram", "classes"])
-    return run
-
-
-def _find_anchors(buckets: int, crowds: np.ndarray):
-    """Texts -> packed anchors (side 0) and marks of those that a batch repeats (side 1)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, "data", most=HAND_BYTES):
             docs = np.stack([batch.column(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in _DOC], axis=1)
             a = anchors([t or b"" for t in batch.column("data").to_pylist()])
             if not len(a["row"]):
@@ -247,9 +237,8 @@ def _find_anchors(buckets: int, crowds: np.ndarray):
             place = a["place"]
             by, first, later = _later(doc << 32 | place, a["cover"], a["gram"])
             keep, again = by[first], by[later]
-            rows = [r | {"side": 0} for r in _pack(
-                _dealt(a["gram"][keep], a["cover"][keep], crowds, buckets), ranked, doc[keep],
-                {k: a[k][keep].astype(t) for k, t in ANCHOR.items()})]
+            rows = [r | {"side": 0} for r in _pack(np.zeros(len(keep), np.int64), ranked, doc[keep],
+                                                   {k: a[k][keep].astype(t) for k, t in ANCHOR.items()})]
             start = place[again] - a["back"][again]
             zero = np.zeros(len(again), np.int64)
             rows += [r | {"side": 1} for r in _marks(ranked, doc[again], zero, start, a["more"][again] + LENGTH, zero, zero, buckets)]
@@ -257,6 +246,57 @@ def _find_anchors(buckets: int, crowds: np.ndarray):
     return run
 
 
+def _count_grams(shift: int, heavy: np.ndarray | None):
+    """Packed grams -> (gram, classes): by their top bits (one count per task), or whole where those are heavy."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << (64 - shift), np.int64)
+        for batch in batches:
+            for packed in batch.column("gram"):
+                gram = np.frombuffer(packed.as_buffer(), "<u8")
+                top = (gram >> np.uint64(shift)).astype(np.int64)
+                if heavy is None:
+                    total += np.bincount(top, minlength=len(total))
+                else:
+                    which, n = np.unique(gram[heavy[top]], return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(which.view(np.int64)), pa.array(n)], ["gram", "classes"])
+        if heavy is None:
+            held = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], ["gram", "classes"])
+    return run
+
+
+def crowded_grams(packed: DataFrame) -> list[tuple[int, int]]:
+    """(gram, classes) of the grams with ``CROWD`` classes or more, counted exactly: first by prefix, so that only the
+    grams of heavy prefixes are counted one by one.  ``packed``: a column gram, once for each class of a part."""
+    n = (packed.agg(F.sum(F.octet_length("gram"))).first()[0] or 0) // 8
+    bits = int(np.clip((4 * n // max(1, CROWD)).bit_length(), 8, PREFIXES.bit_length() - 1))
+    counts = [F.col("gram"), F.col("classes")]
+    often = (packed.mapInArrow(_count_grams(64 - bits, None), "gram long, classes long").groupBy("gram")
+             .agg(F.sum("classes").alias("classes")).where(F.col("classes") >= CROWD).collect())   # PREFIXES at most
+    if not often:
+        return []
+    heavy = np.zeros(1 << bits, bool)
+    heavy[[r.gram for r in often]] = True
+    found = (packed.mapInArrow(_count_grams(64 - bits, heavy), "gram long, classes long").groupBy("gram")
+             .agg(F.sum("classes").alias("classes")).where(F.col("classes") >= CROWD))
+    return [tuple(r) for r in found.orderBy(F.desc("classes"), "gram").limit(MOST_CROWDS).select(*counts).collect()]
+
+
+def _deal(buckets: int, crowds: np.ndarray):
+    """Packed anchors of a part (side 0) -> the same by bucket; marks (side 1) pass."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1)
+                if row.column("side")[0].as_py() == 1:
+                    yield row
+                    continue
+                docs, doc, a = _unpack(pa.Table.from_batches([row]), ANCHOR)
+                dealt = _pack(_dealt(a["gram"], a["cover"], crowds, buckets), docs, doc, a)
+                yield from _sides([r | {"side": 0} for r in dealt], ANCHOR).to_batches()
+    return run
+
+
 def _sides(rows: list[dict], kinds: dict[str, str]) -> pa.Table:
     """Packed rows of ``kinds`` (side 0) and of marks (side 1)."""
     names = ["side", "bucket", "docs", "doc", *dict.fromkeys([*kinds, *MARK])]
@@ -323,34 +363,39 @@ def _per_document(tbl: pa.Table) -> pa.Table:
 
 
 def _fetch(buckets: int, crowds: np.ndarray):
-    """Documents with requests -> packed bytes around their anchors, by gram."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = WIDTH - 1 + LENGTH
+    """Documents with requests -> packed bytes around their anchors, by gram; some thousand anchors at a time."""
+    size = WIDTH - 1 + LENGTH
+
+    def packed(docs: np.ndarray, held: list[tuple[int, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         up, down, mix = _powers()
-        for batch in batches:
+        doc = np.concatenate([np.full(len(asks), i) for i, asks, _ in held])
+        asks, data = (np.concatenate([h[k] for h in held]) for k in (1, 2))
+        gram = data[:, WIDTH - 1: WIDTH - 1 + GRAM].astype(np.int64)
+        h = (mix[gram] * up[:GRAM]).sum(axis=1, dtype=np.uint64)
+        where = _mix(_document(docs)[doc] + asks[:, 0].astype(np.uint64))
+        rows = _pack(_dealt(_mix(h), where, crowds, buckets), docs, doc, {
+            "place": asks[:, 0].astype("<u4"), "back": asks[:, 1].astype("<u1"), "more": asks[:, 2].astype("<u1"), "data": data})
+        yield from _batch(rows, SUFFIX).to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts(batches, "data", most=HAND_BYTES):
             docs = np.stack([batch.column(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in _DOC], axis=1)
-            doc, place, back, more, data = [], [], [], [], []
-            for i, (text, asks) in enumerate(zip(batch.column("data").to_pylist(), batch.column("asks").to_pylist())):
-                own = np.frombuffer(text, np.uint8)
-                asks = np.frombuffer(asks, "<i8").reshape(-1, 3)
-                # columns: WIDTH - 1 bytes before the anchor, LENGTH from it on; outside its strings zero
-                at = asks[:, 0:1] + np.arange(size)[None, :] - (WIDTH - 1)
-                lo = asks[:, 0:1] - asks[:, 1:2]
-                inside = (at >= lo) & (at < lo + asks[:, 2:3] + LENGTH)
-                data.append(np.where(inside, own[np.clip(at, 0, len(own) - 1)], 0).astype(np.uint8))
-                doc.append(np.full(len(asks), i))
-                place.append(asks[:, 0])
-                back.append(asks[:, 1])
-                more.append(asks[:, 2])
-            if not doc:
-                continue
-            doc, place, back, more, data = (np.concatenate(x) for x in (doc, place, back, more, data))
-            gram = data[:, WIDTH - 1: WIDTH - 1 + GRAM].astype(np.int64)
-            h = (mix[gram] * up[:GRAM]).sum(axis=1, dtype=np.uint64)
-            where = _mix(_document(docs)[doc] + place.astype(np.uint64))
-            rows = _pack(_dealt(_mix(h), where, crowds, buckets), docs, doc, {
-                "place": place.astype("<u4"), "back": back.astype("<u1"), "more": more.astype("<u1"), "data": data})
-            yield from _batch(rows, SUFFIX).to_batches()
+            held, n = [], 0
+            for i, (text, wants) in enumerate(zip(batch.column("data").to_pylist(), batch.column("asks").to_pylist())):
+                own, wants = np.frombuffer(text, np.uint8), np.frombuffer(wants, "<i8").reshape(-1, 3)
+                for lo in range(0, len(wants), HAND_ANCHORS):
+                    asks = wants[lo: lo + HAND_ANCHORS]
+                    # columns: WIDTH - 1 bytes before the anchor, LENGTH from it on; outside its strings zero
+                    at = asks[:, 0:1] + np.arange(size)[None, :] - (WIDTH - 1)
+                    first = asks[:, 0:1] - asks[:, 1:2]
+                    inside = (at >= first) & (at < first + asks[:, 2:3] + LENGTH)
+                    held.append((i, asks, np.where(inside, own[np.clip(at, 0, len(own) - 1)], 0).astype(np.uint8)))
+                    n += len(asks)
+                    if n >= HAND_ANCHORS:
+                        yield from packed(docs, held)
+                        held, n = [], 0
+            if held:
+                yield from packed(docs, held)
     return run
 
 
@@ -558,24 +603,28 @@ def _removed(docs: DataFrame, carry: bool) -> DataFrame:
 
     both, strings_too = dict.fromkeys([*ANCHOR, *MARK]), dict.fromkeys([*STRING, *MARK])
     per = "null long, id long, digest long, spans binary, asks binary"
-    crowded = (texts.mapInArrow(_crowds(max(1, CROWD >> 11)), "gram long, classes long").groupBy("gram")
-               .agg(F.sum("classes").alias("classes")).where(F.col("classes") >= CROWD).collect())
-    crowds = np.sort(np.array([r.gram for r in crowded], np.int64).view(np.uint64))
-    found = texts.mapInArrow(_find_anchors(buckets, crowds), "side long, " + _schema(both))
-    # side 0: anchors in their gram's bucket; side 1: marks that a batch already knew, passed on
-    marks = materialize(found.groupBy("bucket").applyInArrow(_classes(buckets), _schema(MARK))
-                        .groupBy("bucket").applyInArrow(_per_document, per))
+
+    def by_bucket(df: DataFrame, n: int):
+        """Groups of a bucket; as many partitions as buckets, so a task's share does not grow with the input."""
+        return df.repartition(n, "bucket").groupBy("bucket")
+
+    # side 0: anchors, later in their gram's bucket; side 1: marks that a part already knew, passed on
+    found = materialize(texts.mapInArrow(_find_anchors(buckets), "side long, " + _schema(both)))
+    crowded = crowded_grams(found.where("side = 0").select("gram"))
+    crowds = np.sort(np.array([g for g, _ in crowded], np.int64).view(np.uint64))
+    more = sum(n for _, n in crowded) // CROWD
+    dealt = found.mapInArrow(_deal(buckets, crowds), "side long, " + _schema(both))
+    marks = by_bucket(dealt, buckets + more).applyInArrow(_classes(buckets), _schema(MARK))
+    marks = materialize(by_bucket(marks, buckets).applyInArrow(_per_document, per))
     wanted = (marks.agg(F.sum(F.octet_length("asks"))).first()[0] or 0) // 24
     fetched = max(buckets, -(-wanted // FETCHED))
-    strings = max(buckets, -(-sum(r.classes for r in crowded) // CROWD))
-    known = (texts.join(marks.where("asks is not null").select(*_DOC, "asks"), list(_DOC))
-             .mapInArrow(_fetch(fetched, crowds), _schema(SUFFIX))
-             .groupBy("bucket").applyInArrow(_suffixes(buckets, fetched, strings), "side long, " + _schema(strings_too)))
+    strings = max(buckets, more)
+    known = texts.join(marks.where("asks is not null").select(*_DOC, "asks"), list(_DOC)).mapInArrow(_fetch(fetched, crowds), _schema(SUFFIX))
+    known = by_bucket(known, fetched).applyInArrow(_suffixes(buckets, fetched, strings), "side long, " + _schema(strings_too))
     if len(crowds):
-        known = known.groupBy("bucket").applyInArrow(_strings(buckets), _schema(MARK))
-    asked = (known.select("bucket", "docs", "doc", *MARK)
-             .groupBy("bucket").applyInArrow(_per_document, per)
-             .select(*_DOC, F.col("spans").alias("more_spans")))
+        known = by_bucket(known, strings).applyInArrow(_strings(buckets), _schema(MARK))
+    asked = by_bucket(known.select("bucket", "docs", "doc", *MARK), buckets).applyInArrow(_per_document, per).select(
+        *_DOC, F.col("spans").alias("more_spans"))
     row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []
     joined = (docs.select(*keys, data, *row).join(marks.select(*_DOC, "spans"), list(_DOC), "left")
               .join(asked, list(_DOC), "left").select(*_DOC, *(["row"] if carry else []), "data", "spans", "more_spans"))

@@ -80,9 +80,19 @@ def test_suffix_dedup_edges(results):
     assert next(removed for i, _, removed, *_ in got if i == 15) == len(solo[15])   # seen in document 1
 
 
-def test_a_crowded_gram_is_dealt_out(spark, tmp_path, monkeypatch):
-    """A passage between other bytes in every document: no call gets all anchors of its grams, and
-    the result is the brute force's, for strings that cross its ends too."""
+@pytest.mark.parametrize("batch", [10_000, 3])
+def test_a_crowded_gram_is_dealt_out(spark, tmp_path, monkeypatch, batch):
+    """A passage between other bytes in every document: no call gets all anchors of its grams, and the result is
+    the brute force's, for strings that cross its ends too; also when no batch holds more than three of them."""
+    usual = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        crowded_case(spark, tmp_path, monkeypatch)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", usual)
+
+
+def crowded_case(spark, tmp_path, monkeypatch):
     noise = np.random.default_rng(3)
     words = [bytes(noise.integers(97, 123, 70, np.uint8)).decode() for _ in range(900)]
     # ends of words that some documents share: repeats that begin or end outside the passage
