@@ -7,7 +7,7 @@ at equal offsets, and only suffixes at anchors need ordering.
 
 1. ``anchors`` finds each text's anchors, the strings that each one stands for and a
    digest of the bytes they cover; within a part of some megabytes all but the first of equal ones are marked at
-   once.  The packed anchors are written, so texts go through this step once.
+   once.
 2. ``_classes`` sorts a bucket of anchors by (gram, digest, place): all but the first of a class are
    marked; a gram with several classes asks for its first occurrences' bytes.
 3. ``_suffixes`` orders those bytes: to the right of the anchor as suffixes and, reversed, to its left,
@@ -16,11 +16,12 @@ at equal offsets, and only suffixes at anchors need ordering.
    all but the earliest are marked.
 4. Marks are merged per document and the texts are cut.
 
-A passage that fills a third of all documents is one anchor class with one row per part, but the
-anchors near its ends cover other bytes in every document.  A gram with ``CROWD`` classes or more is
-found by an exact count beforehand (of gram prefixes, then of the grams in heavy ones) and dealt out: its classes by their digests in step 2, its bytes by place in
-step 3, where each part marks all but its own earliest of equal strings; ``_strings`` then joins the
-parts by (gram, shift, string digest), where a string has at most one row per part.
+A passage that fills a third of all documents is one anchor class with one row per part, folded as they come,
+but the anchors near its ends cover other bytes in every document.  When a bucket of step 2 sees ``CROWD``
+classes of a gram it hands the gram on, and all that comes of it later: its classes are dealt by their digests
+and folded there, its bytes are dealt by place in step 3, where each part marks all but its own earliest of
+equal strings; ``_strings`` then joins the parts by (gram, shift, string digest), where a string has at most one
+row per part.  No list of such grams is kept anywhere; a request carries the mark.
 
 Anchors travel packed, about one per 33 bytes of text; texts are shuffled once, for bytes
 and cut alike.  Order: doc_id (null last), then start; rows that repeat an id with another
@@ -49,11 +50,11 @@ SHALLOW, SMALL = 64, 48
 SLICE = 1 << 20
 #: Text bytes whose anchors make up one bucket.
 BUCKET_BYTES, LEAST_BUCKETS = 32 << 20, 24
-#: Classes of a gram from which on it is dealt out, the most grams that are (those of most classes), and anchors
-#: whose bytes make up one bucket of step 3.
-CROWD, MOST_CROWDS, FETCHED = 16_384, 1 << 20, 32_768
-#: Most counters of gram prefixes in a task; text whose anchors, and anchors whose bytes, are in hand at a time.
-PREFIXES, HAND_BYTES, HAND_ANCHORS = 1 << 20, 2 << 20, 8_192
+#: Classes of a gram from which on it is dealt out, and anchors whose bytes make up one bucket of step 3.
+CROWD, FETCHED = 16_384, 32_768
+#: Text whose anchors, and anchors whose bytes, are in hand at a time; anchors that a bucket of step 2 takes in
+#: before it folds them.
+HAND_BYTES, HAND_ANCHORS, FOLD = 4 << 20, 8_192, 1 << 20
 _POS = np.uint64((1 << 24) - 1)
 _PRIME = 0x9E3779B97F4A7C15
 
@@ -158,9 +159,9 @@ def _pack(bucket: np.ndarray, docs: np.ndarray, doc: np.ndarray, fields: dict[st
     return rows
 
 
-def _unpack(tbl: pa.Table, kinds: dict[str, str]) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
+def _unpack(rows: pa.Table | list[dict], kinds: dict[str, str]) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
     docs, doc, fields, base = [], [], {k: [] for k in kinds}, 0
-    for row in tbl.to_pylist():
+    for row in rows.to_pylist() if isinstance(rows, pa.Table) else rows:
         own = np.frombuffer(row["docs"], "<i8").reshape(-1, 3)
         docs.append(own)
         doc.append(np.frombuffer(row["doc"], "<u4").astype(np.int64) + base)
@@ -183,7 +184,8 @@ def _batch(rows: list[dict], kinds: dict[str, str]) -> pa.Table:
 
 
 ANCHOR = {"gram": "<u8", "cover": "<u8", "place": "<u4", "back": "<u1", "more": "<u1"}
-#: kind 0: bytes [start, start + size) are marked; kind 1: the anchor at start wants its bytes.
+#: kind 0: bytes [start, start + size) are marked; kind 1: the anchor at start wants its bytes; kind 2: so does
+#: this one, of a crowded gram.
 MARK = {"kind": "<u1", "start": "<u4", "size": "<u4", "back": "<u1", "more": "<u1"}
 #: The string that begins ``shift`` bytes before the anchor at place.
 STRING = {"gram": "<u8", "digest": "<u8", "place": "<u4", "shift": "<u1"}
@@ -199,9 +201,9 @@ def _spread(docs: np.ndarray, buckets: int) -> np.ndarray:
     return (_document(docs) % np.uint64(buckets)).astype(np.int64)
 
 
-def _dealt(gram: np.ndarray, other: np.ndarray, crowds: np.ndarray, buckets: int) -> np.ndarray:
-    """The bucket of each anchor: by gram; a crowded gram by ``other`` too, from ``buckets`` on."""
-    crowd, mixed = np.isin(gram, crowds), _mix(gram + np.uint64(1))
+def _dealt(gram: np.ndarray, other: np.ndarray, crowd: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each anchor: by gram; where ``crowd``, by ``other`` too, from ``buckets`` on."""
+    mixed = _mix(gram + np.uint64(1))
     mixed = np.where(crowd, _mix(mixed ^ other), mixed)
     return (mixed % np.uint64(buckets)).astype(np.int64) + crowd * buckets
 
@@ -225,7 +227,7 @@ def _later(order: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _find_anchors(buckets: int):
-    """Texts -> packed anchors (side 0, not dealt yet) and marks of those that a part repeats (side 1)."""
+    """Texts -> packed anchors by gram (side 0) and marks of those that a part repeats (side 1)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches, "data", most=HAND_BYTES):
             docs = np.stack([batch.column(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in _DOC], axis=1)
@@ -237,8 +239,8 @@ def _find_anchors(buckets: int):
             place = a["place"]
             by, first, later = _later(doc << 32 | place, a["cover"], a["gram"])
             keep, again = by[first], by[later]
-            rows = [r | {"side": 0} for r in _pack(np.zeros(len(keep), np.int64), ranked, doc[keep],
-                                                   {k: a[k][keep].astype(t) for k, t in ANCHOR.items()})]
+            rows = [r | {"side": 0} for r in _pack(_dealt(a["gram"][keep], a["cover"][keep], np.zeros(len(keep), bool), buckets),
+                                                   ranked, doc[keep], {k: a[k][keep].astype(t) for k, t in ANCHOR.items()})]
             start = place[again] - a["back"][again]
             zero = np.zeros(len(again), np.int64)
             rows += [r | {"side": 1} for r in _marks(ranked, doc[again], zero, start, a["more"][again] + LENGTH, zero, zero, buckets)]
@@ -246,57 +248,6 @@ def _find_anchors(buckets: int):
     return run
 
 
-def _count_grams(shift: int, heavy: np.ndarray | None):
-    """Packed grams -> (gram, classes): by their top bits (one count per task), or whole where those are heavy."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << (64 - shift), np.int64)
-        for batch in batches:
-            for packed in batch.column("gram"):
-                gram = np.frombuffer(packed.as_buffer(), "<u8")
-                top = (gram >> np.uint64(shift)).astype(np.int64)
-                if heavy is None:
-                    total += np.bincount(top, minlength=len(total))
-                else:
-                    which, n = np.unique(gram[heavy[top]], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(which.view(np.int64)), pa.array(n)], ["gram", "classes"])
-        if heavy is None:
-            held = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], ["gram", "classes"])
-    return run
-
-
-def crowded_grams(packed: DataFrame) -> list[tuple[int, int]]:
-    """(gram, classes) of the grams with ``CROWD`` classes or more, counted exactly: first by prefix, so that only the
-    grams of heavy prefixes are counted one by one.  ``packed``: a column gram, once for each class of a part."""
-    n = (packed.agg(F.sum(F.octet_length("gram"))).first()[0] or 0) // 8
-    bits = int(np.clip((4 * n // max(1, CROWD)).bit_length(), 8, PREFIXES.bit_length() - 1))
-    counts = [F.col("gram"), F.col("classes")]
-    often = (packed.mapInArrow(_count_grams(64 - bits, None), "gram long, classes long").groupBy("gram")
-             .agg(F.sum("classes").alias("classes")).where(F.col("classes") >= CROWD).collect())   # PREFIXES at most
-    if not often:
-        return []
-    heavy = np.zeros(1 << bits, bool)
-    heavy[[r.gram for r in often]] = True
-    found = (packed.mapInArrow(_count_grams(64 - bits, heavy), "gram long, classes long").groupBy("gram")
-             .agg(F.sum("classes").alias("classes")).where(F.col("classes") >= CROWD))
-    return [tuple(r) for r in found.orderBy(F.desc("classes"), "gram").limit(MOST_CROWDS).select(*counts).collect()]
-
-
-def _deal(buckets: int, crowds: np.ndarray):
-    """Packed anchors of a part (side 0) -> the same by bucket; marks (side 1) pass."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1)
-                if row.column("side")[0].as_py() == 1:
-                    yield row
-                    continue
-                docs, doc, a = _unpack(pa.Table.from_batches([row]), ANCHOR)
-                dealt = _pack(_dealt(a["gram"], a["cover"], crowds, buckets), docs, doc, a)
-                yield from _sides([r | {"side": 0} for r in dealt], ANCHOR).to_batches()
-    return run
-
-
 def _sides(rows: list[dict], kinds: dict[str, str]) -> pa.Table:
     """Packed rows of ``kinds`` (side 0) and of marks (side 1)."""
     names = ["side", "bucket", "docs", "doc", *dict.fromkeys([*kinds, *MARK])]
@@ -304,29 +255,76 @@ def _sides(rows: list[dict], kinds: dict[str, str]) -> pa.Table:
     return pa.Table.from_arrays(arrays, names)
 
 
-def _classes(buckets: int):
-    """A bucket of anchors -> marks of repeated classes and requests for bytes; marks pass through."""
-    def run(tbl: pa.Table) -> pa.Table:
-        side = np.array(tbl.column("side").to_pylist())
-        passed = tbl.filter(pa.array(side == 1)).select(["bucket", "docs", "doc", *MARK])
-        if (side == 1).all():
-            return passed
-        docs, doc, a = _unpack(tbl.filter(pa.array(side == 0)), ANCHOR)
+class Fold:
+    """The anchors of one bucket as they come: of equal (gram, cover) only the earliest stays, and a gram that
+    reaches ``crowd`` classes (None: never) is handed on, what comes of it later too.  Holds about ``FOLD`` anchors
+    or twice the classes of the grams that are not crowded."""
+
+    def __init__(self, buckets: int, crowd: int | None):
+        self.buckets, self.crowd, self.limit = buckets, crowd, FOLD
+        self.rows: list[dict] = []
+        self.n, self.crowds = 0, np.empty(0, np.uint64)
+
+    def add(self, row: dict) -> list[dict]:
+        self.rows.append(row)
+        self.n += len(row["doc"]) // 4
+        return self.fold()[0] if self.n >= self.limit else []
+
+    def fold(self):
+        """(rows that are done with, what is held: documents, document of each, fields, by gram)."""
+        docs, doc, a = _unpack(self.rows, ANCHOR)
         place, back, more = (a[k].astype(np.int64) for k in ("place", "back", "more"))
         by, first, later = _later(doc << 32 | place, a["cover"], a["gram"])
-        gram = a["gram"][by]
-        heads = np.flatnonzero(first)
-        g = gram[heads]
-        same = np.zeros(len(heads), bool)
-        same[1:] |= g[1:] == g[:-1]
-        same[:-1] |= g[1:] == g[:-1]
-        same |= tbl.column("bucket")[0].as_py() >= buckets   # a crowded gram has others elsewhere
-        wanted, again = by[heads[same]], by[later]
-        items = np.concatenate([again, wanted])
-        kind = np.concatenate([np.zeros(len(again), np.int64), np.ones(len(wanted), np.int64)])
-        start = np.where(kind == 0, place[items] - back[items], place[items])
-        found = _batch(_marks(docs, doc[items], kind, start, more[items] + LENGTH, back[items], more[items], buckets), MARK)
-        return pa.concat_tables([found, passed.cast(found.schema)])
+        again, keep = by[later], by[first]
+        zero = np.zeros(len(again), np.int64)
+        out = [r | {"side": 1} for r in _marks(docs, doc[again], zero, place[again] - back[again], more[again] + LENGTH,
+                                               zero, zero, self.buckets)]
+        if self.crowd is not None:
+            names, classes = np.unique(a["gram"][keep], return_counts=True)
+            self.crowds = np.union1d(self.crowds, names[classes >= self.crowd])
+            crowd = np.isin(a["gram"][keep], self.crowds)
+            gone, keep = keep[crowd], keep[~crowd]
+            out += [r | {"side": 0} for r in _pack(_dealt(a["gram"][gone], a["cover"][gone], np.ones(len(gone), bool), self.buckets),
+                                                   docs, doc[gone], {k: v[gone] for k, v in a.items()})]
+        a, doc = {k: v[keep] for k, v in a.items()}, doc[keep]
+        self.rows = _pack(np.zeros(len(keep), np.int64), docs, doc, a)
+        self.n = len(keep)
+        self.limit = max(self.limit, 2 * self.n)
+        return out, docs, doc, a
+
+    def finish(self) -> list[dict]:
+        """What is left: a gram with several classes, and any dealt one, asks for its first occurrences' bytes."""
+        if not self.rows:
+            return []
+        out, docs, doc, a = self.fold()
+        g = a["gram"]
+        several = np.full(len(g), self.crowd is None)
+        several[1:] |= g[1:] == g[:-1]
+        several[:-1] |= g[1:] == g[:-1]
+        back, more = (a[k][several].astype(np.int64) for k in ("back", "more"))
+        kind = np.full(len(more), 2 if self.crowd is None else 1)
+        return out + [r | {"side": 1} for r in _marks(docs, doc[several], kind, a["place"][several], more + LENGTH, back, more,
+                                                      self.buckets)]
+
+
+def _classes(buckets: int, crowd: int | None):
+    """Rows by bucket -> marks of repeated classes and requests for bytes (side 1), anchors of crowded grams dealt by
+    their digests (side 0); marks pass through."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, held = None, Fold(buckets, crowd)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                side, name = batch.column("side")[i].as_py(), batch.column("bucket")[i].as_py()
+                if side == 1:
+                    yield batch.slice(i, 1)
+                    continue
+                if name != bucket:
+                    yield from _sides(held.finish(), ANCHOR).to_batches()
+                    bucket, held = name, Fold(buckets, crowd)
+                done = held.add(batch.slice(i, 1).to_pylist()[0])
+                if done:
+                    yield from _sides(done, ANCHOR).to_batches()
+        yield from _sides(held.finish(), ANCHOR).to_batches()
     return run
 
 
@@ -353,16 +351,18 @@ def _per_document(tbl: pa.Table) -> pa.Table:
     spans = np.stack([lo, hi], axis=1).astype("<i8")
     by = np.lexsort((start[~cut], doc[~cut]))
     ask_doc = doc[~cut][by]
-    asks = np.stack([start[~cut], m["back"][~cut], m["more"][~cut]], axis=1).astype("<i8")[by]
+    asks = np.stack([start[~cut], m["back"][~cut], m["more"][~cut], m["kind"][~cut] == 2], axis=1).astype("<i8")[by]
+    crowded = np.bincount(ask_doc, asks[:, 3], len(docs)).astype(np.int64)
     every = np.arange(len(docs))
     a, b = np.searchsorted(d, every), np.searchsorted(d, every, "right")
     e, f = np.searchsorted(ask_doc, every), np.searchsorted(ask_doc, every, "right")
     return pa.table({"null": docs[:, 0], "id": docs[:, 1], "digest": docs[:, 2],
                      "spans": pa.array([spans[x:y].tobytes() for x, y in zip(a, b)], pa.binary()),
-                     "asks": pa.array([asks[x:y].tobytes() if y > x else None for x, y in zip(e, f)], pa.binary())})
+                     "asks": pa.array([asks[x:y].tobytes() if y > x else None for x, y in zip(e, f)], pa.binary()),
+                     "crowded": pa.array(crowded)})
 
 
-def _fetch(buckets: int, crowds: np.ndarray):
+def _fetch(buckets: int):
     """Documents with requests -> packed bytes around their anchors, by gram; some thousand anchors at a time."""
     size = WIDTH - 1 + LENGTH
 
@@ -373,7 +373,7 @@ def _fetch(buckets: int, crowds: np.ndarray):
         gram = data[:, WIDTH - 1: WIDTH - 1 + GRAM].astype(np.int64)
         h = (mix[gram] * up[:GRAM]).sum(axis=1, dtype=np.uint64)
         where = _mix(_document(docs)[doc] + asks[:, 0].astype(np.uint64))
-        rows = _pack(_dealt(_mix(h), where, crowds, buckets), docs, doc, {
+        rows = _pack(_dealt(_mix(h), where, asks[:, 3] == 1, buckets), docs, doc, {
             "place": asks[:, 0].astype("<u4"), "back": asks[:, 1].astype("<u1"), "more": asks[:, 2].astype("<u1"), "data": data})
         yield from _batch(rows, SUFFIX).to_batches()
 
@@ -382,7 +382,7 @@ def _fetch(buckets: int, crowds: np.ndarray):
             docs = np.stack([batch.column(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in _DOC], axis=1)
             held, n = [], 0
             for i, (text, wants) in enumerate(zip(batch.column("data").to_pylist(), batch.column("asks").to_pylist())):
-                own, wants = np.frombuffer(text, np.uint8), np.frombuffer(wants, "<i8").reshape(-1, 3)
+                own, wants = np.frombuffer(text, np.uint8), np.frombuffer(wants, "<i8").reshape(-1, 4)
                 for lo in range(0, len(wants), HAND_ANCHORS):
                     asks = wants[lo: lo + HAND_ANCHORS]
                     # columns: WIDTH - 1 bytes before the anchor, LENGTH from it on; outside its strings zero
@@ -602,26 +602,28 @@ def _removed(docs: DataFrame, carry: bool) -> DataFrame:
     buckets = max(LEAST_BUCKETS, -(-total // BUCKET_BYTES))
 
     both, strings_too = dict.fromkeys([*ANCHOR, *MARK]), dict.fromkeys([*STRING, *MARK])
-    per = "null long, id long, digest long, spans binary, asks binary"
+    per = "null long, id long, digest long, spans binary, asks binary, crowded long"
 
     def by_bucket(df: DataFrame, n: int):
         """Groups of a bucket; as many partitions as buckets, so a task's share does not grow with the input."""
         return df.repartition(n, "bucket").groupBy("bucket")
 
-    # side 0: anchors, later in their gram's bucket; side 1: marks that a part already knew, passed on
-    found = materialize(texts.mapInArrow(_find_anchors(buckets), "side long, " + _schema(both)))
-    crowded = crowded_grams(found.where("side = 0").select("gram"))
-    crowds = np.sort(np.array([g for g, _ in crowded], np.int64).view(np.uint64))
-    more = sum(n for _, n in crowded) // CROWD
-    dealt = found.mapInArrow(_deal(buckets, crowds), "side long, " + _schema(both))
-    marks = by_bucket(dealt, buckets + more).applyInArrow(_classes(buckets), _schema(MARK))
-    marks = materialize(by_bucket(marks, buckets).applyInArrow(_per_document, per))
-    wanted = (marks.agg(F.sum(F.octet_length("asks"))).first()[0] or 0) // 24
-    fetched = max(buckets, -(-wanted // FETCHED))
-    strings = max(buckets, more)
-    known = texts.join(marks.where("asks is not null").select(*_DOC, "asks"), list(_DOC)).mapInArrow(_fetch(fetched, crowds), _schema(SUFFIX))
-    known = by_bucket(known, fetched).applyInArrow(_suffixes(buckets, fetched, strings), "side long, " + _schema(strings_too))
-    if len(crowds):
+    def folded(df: DataFrame, n: int, crowd: int | None) -> DataFrame:
+        """Step 2 as a stream: rows come bucket after bucket and are folded as they come."""
+        return df.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(_classes(buckets, crowd), "side long, " + _schema(both))
+
+    # side 0: anchors in their gram's bucket; side 1: marks that are known already, passed on
+    marks = materialize(folded(texts.mapInArrow(_find_anchors(buckets), "side long, " + _schema(both)), buckets, CROWD))
+    if not marks.where("side = 0").isEmpty():
+        marks = folded(marks, 2 * buckets, None)
+    marks = materialize(by_bucket(marks.select("bucket", "docs", "doc", *MARK), buckets).applyInArrow(_per_document, per))
+    wanted, crowded = marks.agg(F.sum(F.octet_length("asks")), F.sum("crowded")).first()
+    fetched = max(buckets, -(-(wanted or 0) // (32 * FETCHED)))
+    strings = max(buckets, -(-(crowded or 0) // CROWD))
+    known = texts.join(marks.where("asks is not null").select(*_DOC, "asks"), list(_DOC)).mapInArrow(_fetch(fetched), _schema(SUFFIX))
+    known = by_bucket(known, 2 * fetched if crowded else fetched).applyInArrow(
+        _suffixes(buckets, fetched, strings), "side long, " + _schema(strings_too))
+    if crowded:
         known = by_bucket(known, strings).applyInArrow(_strings(buckets), _schema(MARK))
     asked = by_bucket(known.select("bucket", "docs", "doc", *MARK), buckets).applyInArrow(_per_document, per).select(
         *_DOC, F.col("spans").alias("more_spans"))
