@@ -49,7 +49,7 @@ WIDTH = LENGTH - GRAM + 1
 SHALLOW, SMALL = 64, 48
 SLICE = 1 << 20
 #: Text bytes whose anchors make up one bucket.
-BUCKET_BYTES, LEAST_BUCKETS = 32 << 20, 24
+BUCKET_BYTES, LEAST_BUCKETS = 16 << 20, 24
 #: Classes of a gram from which on it is dealt out, and anchors whose bytes make up one bucket of step 3.
 CROWD, FETCHED = 16_384, 32_768
 #: Text whose anchors, and anchors whose bytes, are in hand at a time; anchors that a bucket of step 2 takes in
