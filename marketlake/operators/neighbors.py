@@ -12,6 +12,10 @@ order-range buckets:
    ``(key, bucket)`` that reuses step 1's partitioning).
 
 The result equals the plain window for any bucket width.
+
+With ``most`` the buckets themselves are kept small: the rows of every ``(key, bucket)`` are counted (a map-side
+combined aggregate), and a bucket of more than ``most`` rows is cut at quantiles of the order column, read from a
+sample of that bucket whose size follows its rows.  One visitor's hour of any size is then many small windows.
 """
 
 from __future__ import annotations
@@ -19,14 +23,45 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
+
+#: Sampled order keys for every piece that a bucket is cut into.
+SAMPLED = 32
+
+
+def cut_heavy(b: DataFrame, keys: list[str], order: list[str], most: int) -> DataFrame:
+    """``b`` with ``_nb_b`` = (bucket, piece): buckets over ``most`` rows are cut into pieces of about half of that.
+
+    The heavy buckets and their cuts are broadcast: there are at most rows / most of the former, and twice that many
+    cuts."""
+    names = [*keys, "_nb_b"]
+    at, ordkey = F.xxhash64(*order), F.struct(*[F.col(c) for c in order])
+
+    def matched(left: DataFrame, small: DataFrame) -> DataFrame:
+        small = small.select(*[F.col(c).alias(f"_nb_h{i}") for i, c in enumerate(names)], *[c for c in small.columns if c not in names])
+        on = [F.col(c).eqNullSafe(F.col(f"_nb_h{i}")) for i, c in enumerate(names)]
+        return left.join(F.broadcast(small), on, "left").drop(*[f"_nb_h{i}" for i in range(len(names))])
+
+    heavy = cut_lineage(b.groupBy(*names).agg(F.count(F.lit(1)).alias("_nb_n")).where(F.col("_nb_n") > most))
+    if heavy.isEmpty():
+        return b
+    heavy = heavy.withColumn("_nb_p", F.ceil(2 * F.col("_nb_n") / most))
+    sample = matched(b, heavy).where(F.col("_nb_n").isNotNull() & (F.pmod(at, F.col("_nb_n")) < F.col("_nb_p") * SAMPLED))
+    cuts = sample.groupBy(*names).agg(F.sort_array(F.collect_list(ordkey)).alias("s"), F.max("_nb_p").alias("p"))
+    cuts = cut_lineage(cuts.select(*names, F.transform(
+        F.sequence(F.lit(1), F.col("p") - 1), lambda i: F.get("s", F.floor(i * F.size("s") / F.col("p")).cast("int"))).alias("_nb_cuts")))
+    piece = F.coalesce(F.size(F.filter("_nb_cuts", lambda c: c <= ordkey)), F.lit(0))
+    return matched(b, cuts).withColumn("_nb_b", F.struct(F.col("_nb_b").alias("b"), piece.alias("p"))).drop("_nb_cuts")
+
 
 def neighbor(df: DataFrame, keys: list[str], order: list[str], take: list[str], *, direction: str,
-             bucket: Column, name: str) -> DataFrame:
+             bucket: Column, name: str, most: int | None = None) -> DataFrame:
     """Add struct column ``name`` holding ``take`` of the previous (``direction='prev'``) or next
     (``'next'``) row of the same ``keys`` in ``order``; NULL when there is none.
 
     ``order`` must be a total order within a key; ``bucket`` must be non-decreasing in ``order``
-    (e.g. ``floor(order[0] / width)``).
+    (e.g. ``floor(order[0] / width)``).  ``most`` bounds the rows of a bucket (see above).
     """
     prev = direction == "prev"
     if direction not in ("prev", "next"):
@@ -34,6 +69,8 @@ def neighbor(df: DataFrame, keys: list[str], order: list[str], take: list[str],
     val = F.struct(*[F.col(c) for c in take])
     ordkey = F.struct(*[F.col(c) for c in order])
     b = df.withColumn("_nb_b", bucket)
+    if most is not None:
+        b = cut_heavy(b, keys, order, most)
     w_in = Window.partitionBy(*keys, "_nb_b").orderBy(*order)
     b = b.withColumn("_nb_in", F.lag(val).over(w_in) if prev else F.lead(val).over(w_in))
     edge = (F.max_by(val, ordkey) if prev else F.min_by(val, ordkey)).alias("_nb_edge")

@@ -21,10 +21,12 @@ from ..functions.timefmt import ymd_from_millis
 from .joins import _ms
 from .logs import is_entry, split_page
 from .neighbors import bucket_of, neighbor
+from .order import bucket, is_composite
 
 # Bucket widths of the neighbour search: rows of one visitor inside one bucket go to one task.
 SEQ_BUCKET = 1 << 22           # arrival positions
 TS_BUCKET_MS = 3_600_000       # one hour of event time
+MOST_ROWS = 1_000_000          # rows of one visitor in one window; a bucket that holds more is cut
 
 
 def _mid(df: DataFrame) -> DataFrame:
@@ -45,19 +47,21 @@ def repair_new_flag(log: DataFrame) -> DataFrame:
     return j.withColumn("common", F.col("common").withField("is_new", fixed)).select(*cols)
 
 
-def unique_visits(page_log: DataFrame, *, seq_bucket: int = SEQ_BUCKET) -> DataFrame:
-    """Daily unique visits (rows of ``page_log``)."""
+def unique_visits(page_log: DataFrame, *, seq_bucket: int = SEQ_BUCKET, most: int | None = None) -> DataFrame:
+    """Daily unique visits (rows of ``page_log``).  Buckets of a number are bounded by their width; those of a
+    composite key are cut from ``most`` (or ``MOST_ROWS``) rows on."""
     if page_log.isStreaming:
         raise ValueError("streaming input: use marketlake.streaming.processors.unique_visits_stream")
     cols = page_log.columns
     e = _mid(page_log.filter(is_entry())).withColumn("_dt", ymd_from_millis(F.col("ts")))
-    e = neighbor(e, ["_mid"], ["seq"], ["_dt"], direction="prev", bucket=bucket_of("seq", seq_bucket), name="_prev")
+    e = neighbor(e, ["_mid"], ["seq"], ["_dt"], direction="prev", bucket=bucket(e, "seq", seq_bucket), name="_prev",
+                 most=most or (MOST_ROWS if is_composite(e) else None))
     keep = F.col("_prev").isNull() | (F.col("_prev._dt") != F.col("_dt"))
     return e.filter(keep).select(*cols)
 
 
 def bounces(page_log: DataFrame, within: str = "10 seconds", mode: str = "as_written", *,
-            ts_bucket_ms: int = TS_BUCKET_MS) -> DataFrame:
+            ts_bucket_ms: int = TS_BUCKET_MS, most: int | None = MOST_ROWS) -> DataFrame:
     """Bounce rows (entry pages of ``page_log``) under the rules in the module docstring."""
     if page_log.isStreaming:
         raise ValueError("streaming input: use marketlake.streaming.processors.bounces_stream")
@@ -66,7 +70,7 @@ def bounces(page_log: DataFrame, within: str = "10 seconds", mode: str = "as_wri
     cols = page_log.columns
     d = _mid(page_log).withColumn("_entry", is_entry())
     d = neighbor(d, ["_mid"], ["ts", "seq"], ["ts", "_entry"], direction="next",
-                 bucket=bucket_of("ts", ts_bucket_ms), name="_next")
+                 bucket=bucket_of("ts", ts_bucket_ms), name="_next", most=most)
     gap_ok = (F.col("_next.ts") - F.col("ts")) >= F.lit(_ms(within))
     cond = F.col("_next").isNull() | gap_ok
     if mode == "as_documented":

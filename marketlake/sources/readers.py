@@ -10,14 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-KINDS = ("kafka", "text", "json-files", "parquet")
-
+from ..operators import order
 
-def arrival(millis, partition, offset) -> F.Column:
-    """One number that orders records by time, then by their place: 42 bits of milliseconds, then 21 bits
-    of the record's place (its partition and offset, folded)."""
-    place = F.pmod(offset.cast("bigint") * 64 + partition.cast("bigint"), F.lit(1 << 21))
-    return millis * F.lit(1 << 21) + place
+KINDS = ("kafka", "text", "json-files", "parquet")
 
 
 def source(spark: SparkSession, kind: str, where: str, *, streaming: bool = False,
@@ -26,10 +21,12 @@ def source(spark: SparkSession, kind: str, where: str, *, streaming: bool = Fals
     """Open a source.
 
     * ``kafka``: ``where`` = topic (``kafka.bootstrap.servers`` in ``options``); returns ``value STRING``
-      plus ``seq`` in arrival order: record timestamp (ms), then partition and offset within a
-      millisecond (keyless producers spread one visitor over partitions).  ``starting_offsets`` maps to
+      plus ``seq``, the composite arrival key (``operators.order``): record timestamp (ms), partition, offset
+      (keyless producers spread one visitor over partitions).  ``starting_offsets`` maps to
       ``startingOffsets`` (``latest`` for the SQL-table flavour, committed offsets otherwise).
-    * ``text``: landed raw log files (one JSON object per line) -> ``value STRING`` and ``seq``.
+    * ``text``: landed raw log files (one JSON object per line) -> ``value STRING`` and ``seq``
+      (modification time, file, line number).  A stream gives ``split_lines``; ``jobs.start_landing`` numbers them
+      batch by batch (a streaming plan cannot count a file before it reads it).
     * ``json-files``: newline-delimited JSON parsed with ``schema`` (required).
     * ``parquet``: typed snapshot (``schema`` required when streaming).
     """
@@ -41,12 +38,10 @@ def source(spark: SparkSession, kind: str, where: str, *, streaming: bool = Fals
             opts["startingOffsets"] = starting_offsets
         df = reader.format("kafka").options(**opts).load()
         return df.select(F.col("value").cast("string").alias("value"),
-                         arrival(F.unix_millis("timestamp"), F.col("partition"), F.col("offset")).alias("seq"))
+                         order.key(F.unix_millis("timestamp"), order.partition_text(F.col("partition")), F.col("offset")).alias("seq"))
     if kind == "text":
-        # arrival order of landed lines: the file's modification time, then the place in the file
         lines = reader.options(**opts).text(where)
-        return lines.select("value", arrival(F.unix_millis("_metadata.file_modification_time"), F.lit(0),
-                                             F.monotonically_increasing_id()).alias("seq"))
+        return order.split_lines(lines) if streaming else order.numbered_lines(order.split_lines(lines))
     if kind == "json-files":
         if schema is None:
             raise ValueError("json-files needs a declared schema")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators import joins, logs, routing, stats
+from ..operators import joins, logs, order, routing, stats
 from ..schemas import SINK_HBASE
 from ..session import new_location
 from ..sinks import writers
@@ -152,6 +152,13 @@ def _rewrite(df: DataFrame, folder: str) -> None:
     df.write.mode("overwrite").parquet(folder)
 
 
+def start_landing(lines: DataFrame, root: str, *, trigger: dict | None = None):
+    """Landed text (``source(kind="text", streaming=True)``) -> ``root/landed`` rows (value, seq): every line with its
+    number in its file, one folder per batch.  Jobs that need arrival order read this folder as their stream."""
+    return start(lines, "landed", root, trigger=trigger,
+                 write=lambda b, i, out: _rewrite(order.numbered_lines(b), f"{out}/batch={i}"))
+
+
 def write_log_outputs(batch: DataFrame, batch_id: int, root: str) -> None:
     """One micro-batch of the repaired flat log -> start / page / display outputs with all their fields."""
     b = batch.select("seq", "is_new", F.col("payload").alias("value")).persist()

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketlake.functions import sql
+from marketlake.operators import order
 from marketlake.operators import facts, logs, lookup, reports, routing, visitors
 from marketlake.operators.joins import merge_first_non_null
 from marketlake.session import new_location, shared_root
@@ -122,8 +123,8 @@ def test_text_source_has_an_arrival_order(spark, tmp_path):
     got = readers.source(spark, "text", str(tmp_path)).orderBy("seq").collect()
     assert [r.value for r in got] == ["one", "two"] and got[0].seq < got[1].seq
     df = spark.createDataFrame([(5, 1, 0), (4, 0, 9), (5, 0, 1)], "ms long, p int, o long")
-    order = df.orderBy(readers.arrival(F.col("ms"), F.col("p"), F.col("o"))).collect()
-    assert [(r.ms, r.p, r.o) for r in order] == [(4, 0, 9), (5, 1, 0), (5, 0, 1)]
+    ordered = df.orderBy(order.key(F.col("ms"), order.partition_text(F.col("p")), F.col("o"))).collect()
+    assert [(r.ms, r.p, r.o) for r in ordered] == [(4, 0, 9), (5, 0, 1), (5, 1, 0)]
 
 
 def test_sql_functions(spark):
