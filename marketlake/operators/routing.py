@@ -14,7 +14,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import CHANGE, SINK_HBASE, SINK_KAFKA
@@ -41,13 +43,13 @@ def _type(normalize_bootstrap: bool):
 
 
 CONFIG_KEY = ["source_table", "operate_type"]
-CONFIG_COLUMNS = ["sink_type", "sink_table", "sink_columns", "sink_pk"]
+CONFIG_COLUMNS = ["sink_type", "sink_table", "sink_columns", "sink_pk", "sink_extend"]
 
 
 def current_config(config: DataFrame) -> DataFrame:
     """One row per (source_table, operate_type): the latest by ``seq`` where the config has one, else
     the greatest."""
-    row = F.struct(*CONFIG_COLUMNS)
+    row = F.struct(*[c for c in CONFIG_COLUMNS if c in config.columns])
     pick = F.max_by(row, "seq") if "seq" in config.columns else F.max(row)
     return config.groupBy(*CONFIG_KEY).agg(pick.alias("_c")).select(*CONFIG_KEY, "_c.*")
 
@@ -103,23 +105,37 @@ def latest_config(config_changes: DataFrame) -> DataFrame:
     return last.select("source_table", "operate_type", *[F.col("_l.data")[c].alias(c) for c in cols])
 
 
-def merge_dimension(snapshot: DataFrame, changes: DataFrame, key: str = "id",
-                    apply_types: tuple[str, ...] = ("insert", "update", "bootstrap-insert")) -> DataFrame:
+#: Change types that write dimension columns (deletes are not applied).
+APPLIED = ("insert", "update", "bootstrap-insert")
+
+
+def key_text(key: str | list[str], data: str = "data") -> Column:
+    """Canonical text of a row's key: the value of one key column, a JSON array of several; NULL if one is missing."""
+    names = [key] if isinstance(key, str) else list(key)
+    values = [F.col(data)[n] for n in names]
+    if len(values) == 1:
+        return values[0]
+    known = reduce(lambda x, y: x & y, [v.isNotNull() for v in values])
+    return F.when(known, F.to_json(F.array(*values)))
+
+
+def merge_dimension(snapshot: DataFrame, changes: DataFrame, key: str | list[str] = "id",
+                    apply_types: tuple[str, ...] = APPLIED) -> DataFrame:
     """New snapshot ``(id, data MAP<STRING,STRING>)`` from ``snapshot (id, data)`` and change rows
-    ``(seq, type, data)`` of one dimension.
+    ``(seq, type, data)`` of one dimension; ``id`` is ``key_text`` of the key columns.
 
     Every column takes its latest written value (by ``seq``), so two updates of different columns
     in one batch both land; a column absent from all changes keeps the snapshot value; deletes are
-    not applied.  Work is one aggregate by ``(id, column)`` and one by ``id`` (map-side combined)
-    plus a full outer join on ``id``.
+    not applied; a change without its key has no row.  Work is one aggregate by ``(id, column)`` and one by
+    ``id`` (map-side combined) plus a full outer join on ``id``.
     """
-    ch = changes.filter(F.col("type").isin(*apply_types))
-    cells = ch.select(F.col("data")[key].alias("_id"), "seq", F.explode("data").alias("k", "v"))
+    ch = changes.filter(F.col("type").isin(*apply_types)).withColumn("_id", key_text(key)).where("_id is not null")
+    cells = ch.select("_id", "seq", F.explode("data").alias("k", "v"))
     latest = cells.groupBy("_id", "k").agg(F.max_by("v", "seq").alias("v"))
     upd = latest.groupBy("_id").agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("_new"))
-    old = snapshot.select(F.col(key).cast("string").alias("_id"), F.col("data").alias("_old"))
+    old = snapshot.select(F.col("id").cast("string").alias("_id"), F.col("data").alias("_old"))
     j = old.join(upd, "_id", "full_outer")
     merged = F.map_zip_with(F.coalesce("_old", F.create_map().cast("map<string,string>")),
                             F.coalesce("_new", F.create_map().cast("map<string,string>")),
                             lambda k, v1, v2: F.when(F.map_contains_key(F.col("_new"), k), v2).otherwise(v1))
-    return j.select(F.col("_id").alias(key), merged.alias("data"))
+    return j.select(F.col("_id").alias("id"), merged.alias("data"))

@@ -15,6 +15,8 @@ from ..functions.codes import ORDER_STATUS, decode
 from ..functions.text import words
 from ..functions.timefmt import age_years, ymd_from_millis
 from ..operators import joins, logs, reports, routing, stats
+from ..session import new_location
+from ..sinks.dimensions import Dimension
 from ..sources import tables as T
 from .warehouse import Warehouse
 
@@ -499,8 +501,22 @@ def cdc_route_fact_stream(spark, d):
     return out.select("seq", "table", "type", "sink_table", "n_cols", "id")
 
 
+def dim_upsert_merge_stream(spark, d):
+    """The change feed through the change layer, in several micro-batches: all configured dimensions, by their own
+    keys (one column, two columns), as (dimension, key, column, value) of their newest published version."""
+    j = _jobs()
+    root = new_location(spark, "dim-stream")
+    raw = _stream(spark, T.cdc_raw(spark, d), "cdc_dims", "seq")
+    j.start_change_layer(raw, root, T.dimension_config).awaitTermination()
+    out = f"{root}/changes"
+    names = sorted({r[3] for r in T.ROUTING_CONFIG if r[2] == "hbase"})
+    rows = [Dimension(spark, f"{out}/dims/{n}").read().select(F.lit(n).alias("dimension"), F.col("id").alias("key"),
+                                                             F.explode("data").alias("column", "value")) for n in names]
+    return stats.union_all(rows)
+
+
 QUERIES.update({f.__name__: f for f in [
-    unique_visit_stream, bounce_as_written_stream, bounce_as_documented_stream, new_visitor_repair_stream, order_interval_join_stream,
+    dim_upsert_merge_stream, unique_visit_stream, bounce_as_written_stream, bounce_as_documented_stream, new_visitor_repair_stream, order_interval_join_stream,
     order_wide_stream, payment_wide_stream, visitor_stats_stream, keyword_search_stream, product_stats_stream,
     province_stats_stream, cdc_route_fact_stream,
 ]})

@@ -362,6 +362,11 @@ ORACLE: dict[str, str] = {
                     WHERE sink_type = 'hbase' AND sink_table = 'dim_user_info' AND type IN ('insert', 'update'))
               GROUP BY id, e.key)
         GROUP BY id""", "rt"),
+    "dim_upsert_merge_stream": q("""SELECT dimension, key, k AS "column", arg_max(v, seq) AS value FROM (
+        SELECT seq, sink_table AS dimension, CASE sink_table WHEN 'dim_base_province' THEN data['name']
+            WHEN 'dim_sku_info' THEN '["' || data['tm_id'] || '","' || data['id'] || '"]' ELSE data['id'] END AS key,
+          unnest(map_keys(data)) AS k, unnest(map_values(data)) AS v
+        FROM rt WHERE sink_type = 'hbase' AND type IN ('insert', 'update')) GROUP BY dimension, key, k""", "rt"),
     "log_split_start": q("SELECT seq, mid, is_new, ts, 'icon' AS entry, CAST(k * 10 AS BIGINT) AS loading_time "
                          "FROM rl WHERE is_start", "rl"),
     "log_split_page": q("SELECT seq, mid, is_new, ch, ts, page_id, last_page_id, item, item_type, during_time, "

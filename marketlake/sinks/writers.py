@@ -1,4 +1,4 @@
-"""Sinks: topics, topic-routed records, dimension snapshots, day-partitioned report tables, console.
+"""Sinks: topics, topic-routed records, day-partitioned report tables, console (dimensions: ``dimensions``).
 
 Streaming writes go through ``foreachBatch`` where a batch must land in several places or be
 merged; every streaming query gets a ``checkpointLocation`` under the shared root.  File sinks are
@@ -9,11 +9,10 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.reports import with_day
-from ..operators.routing import merge_dimension
 
 
 def as_json_value(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -41,42 +40,6 @@ def write_routed_files(batch: DataFrame, root: str, batch_id: int) -> None:
     out.write.mode("overwrite").partitionBy("sink_table").json(os.path.join(root, f"_batch={batch_id}"))
 
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    """Versions that were written to the end (their marker file is there), by listing folders."""
-    if not _exists(spark, root):
-        return []
-    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = path_of(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = [s.getPath().getName() for s in fs.listStatus(path_of(root)) if s.isDirectory()]
-    return sorted(int(n[2:]) for n in names if n.startswith("v=") and fs.exists(path_of(f"{root}/{n}/_SUCCESS")))
-
-
-def latest_snapshot(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
-    """Newest complete version ``root/v=<n>`` of a dimension snapshot (of those ``before`` a version), or
-    an empty snapshot."""
-    versions = [v for v in _versions(spark, root) if before is None or v < before]
-    if not versions:
-        return spark.createDataFrame([], "id string, data map<string,string>")
-    return spark.read.parquet(os.path.join(root, f"v={versions[-1]}")).select("id", "data")
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
-def merge_into_snapshot(spark: SparkSession, root: str, changes: DataFrame, version: int) -> DataFrame:
-    """Write ``root/v=<version>`` = latest snapshot merged with ``changes`` (seq, type, data).
-
-    The base is the newest complete version below this one, so a replayed micro-batch, also one
-    whose first attempt broke off half way, rewrites the same folder from the same base."""
-    base = latest_snapshot(spark, root, before=version)
-    merged = merge_dimension(base, changes)
-    merged.write.mode("overwrite").parquet(os.path.join(root, f"v={version}"))
-    return merged
-
-
 def append_report(df: DataFrame, path: str, columns: list[str], batch_id: int | None = None) -> None:
     """Aggregate rows in sink column order, partitioned by day.  With ``batch_id`` (foreachBatch) the rows
     go to a folder of that batch, rewritten on a replay, so nothing is counted twice."""
@@ -100,30 +63,3 @@ def append_report_jdbc(df: DataFrame, url: str, table: str, columns: list[str],
 def console(df: DataFrame, name: str = "debug"):
     """Opt-in debug sink."""
     return df.writeStream.format("console").option("truncate", "false").queryName(name).start()
-
-
-def dimension_schema(sink_columns: str | None, sink_pk: str | None = None):
-    """Schema of a dimension created from its routing config: every column STRING, primary key
-    ``sink_pk`` (default ``id``) first, column names split exactly on ``,``."""
-    from pyspark.sql.types import StringType, StructField, StructType
-    pk = sink_pk or "id"
-    cols = [c for c in (sink_columns or "").split(",") if c != ""]
-    ordered = [pk] + [c for c in cols if c != pk]
-    return StructType([StructField(c, StringType(), True) for c in ordered])
-
-
-def create_dimension_if_missing(spark: SparkSession, root: str, sink_columns: str | None,
-                                sink_pk: str | None = None) -> bool:
-    """Create an empty version-0 snapshot of a configured dimension; False if it already exists."""
-    if _exists(spark, root):
-        return False
-    dimension_schema(sink_columns, sink_pk)  # validates the column list
-    empty = spark.createDataFrame([], "id string, data map<string,string>")
-    empty.write.parquet(os.path.join(root, "v=0"))
-    return True
-
-
-def snapshot_columns(snapshot: DataFrame, sink_columns: str | None, sink_pk: str | None = None) -> DataFrame:
-    """A ``(id, data map)`` snapshot as one STRING column per configured dimension column."""
-    schema = dimension_schema(sink_columns, sink_pk)
-    return snapshot.select(*[F.col("data")[f.name].alias(f.name) for f in schema.fields])

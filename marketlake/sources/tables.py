@@ -268,11 +268,22 @@ ROUTING_CONFIG = [
 ]
 
 
+#: Key and extension of the dimension tables that do not go by ``id``: one key column, two key columns.
+DIMENSION_KEYS = {"dim_base_province": ("name", "SALT_BUCKETS=4"), "dim_sku_info": ("tm_id,id", "SALT_BUCKETS=32")}
+
+
 def routing_config(spark: SparkSession) -> DataFrame:
     from ..schemas import TABLE_PROCESS
     return spark.createDataFrame(ROUTING_CONFIG, TABLE_PROCESS)
 
 
+def dimension_config(spark: SparkSession) -> DataFrame:
+    """The dimension rows of the routing config, keyed by ``DIMENSION_KEYS``."""
+    from ..schemas import SINK_HBASE, TABLE_PROCESS
+    rows = [(*r[:5], *DIMENSION_KEYS.get(r[3], r[5:])) for r in ROUTING_CONFIG if r[2] == SINK_HBASE]
+    return spark.createDataFrame(rows, TABLE_PROCESS)
+
+
 def _m(*pairs) -> F.Column:
     args = []
     for k, v in pairs:

@@ -13,68 +13,64 @@ pushes the watermark past every real row; the sentinel's own output is dropped a
 from __future__ import annotations
 
 import json
+import threading
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.streaming.listener import StreamingQueryListener
+from pyspark.sql.types import StringType, StructType
 
 from ..operators import joins, logs, order, routing, stats
 from ..schemas import SINK_HBASE
 from ..session import new_location
-from ..sinks import writers
+from ..sinks import files, writers
+from ..sinks.dimensions import Dimension, pinned
 
 SENTINEL = "__end_of_input__"
 SENTINEL_SHIFT_MS = 400 * 86_400_000
 
 
-MIN_BATCHES, ROWS_PER_FILE = 4, 500_000
+#: Fewest micro-batches of a staged input, and rows of one: a larger input runs in more batches, not in larger ones.
+MIN_BATCHES, ROWS_PER_BATCH = 4, 1_000_000
 
 
 @dataclass(frozen=True)
 class Staged:
-    """Files that a stream reads in event-time order, ``per_batch`` at a time."""
+    """Files that a stream reads in event-time order, one for each micro-batch."""
     path: str
     schema: StructType
-    per_batch: int
 
 
 def stage(df: DataFrame, name: str, order: str, sentinel: DataFrame | None = None) -> Staged:
     """Write ``df`` as the file input of a stream, in ``order``: file after file, the sentinel alone in
-    the last one.  The number of files follows the rows; a stream reads them in at least
-    ``MIN_BATCHES`` micro-batches."""
+    the last one.  A file is a micro-batch of about ``ROWS_PER_BATCH`` rows; their number follows the rows."""
     spark = df.sparkSession
     path = new_location(spark, f"stream-in/{name}")
-    per_batch = max(1, -(-df.count() // (ROWS_PER_FILE * MIN_BATCHES)))
-    df.repartitionByRange(MIN_BATCHES * per_batch, order).sortWithinPartitions(order).write.parquet(path)
-    files = _data_files(spark, path)
+    df.repartitionByRange(max(MIN_BATCHES, -(-df.count() // ROWS_PER_BATCH)), order).sortWithinPartitions(order).write.parquet(path)
+    found = _data_files(spark, path)
     if sentinel is not None:
         sentinel.select(*df.columns).coalesce(1).write.mode("append").parquet(path)
-        files += [f for f in _data_files(spark, path) if f not in files]
+        found += [f for f in _data_files(spark, path) if f not in found]
     # the file source takes files by modification time: make that their order
-    fs, path_of = _file_system(spark, path)
-    first = int(time.time()) - len(files)
-    for i, f in enumerate(files):
+    fs, path_of = files.file_system(spark, path)
+    first = int(time.time()) - len(found)
+    for i, f in enumerate(found):
         fs.setTimes(path_of(f), (first + i) * 1000, -1)
-    return Staged(path, df.schema, per_batch)
-
-
-def _file_system(spark: SparkSession, path: str):
-    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    return path_of(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path_of
+    return Staged(path, df.schema)
 
 
 def _data_files(spark: SparkSession, path: str) -> list[str]:
     """The folder's data files by name (their names carry the partition number)."""
-    fs, path_of = _file_system(spark, path)
+    fs, path_of = files.file_system(spark, path)
     found = [s.getPath().toString() for s in fs.listStatus(path_of(path))]
     return sorted(f for f in found if f.endswith(".parquet"))
 
 
 def read_staged(spark: SparkSession, staged: Staged) -> DataFrame:
-    return (spark.readStream.schema(staged.schema).option("maxFilesPerTrigger", staged.per_batch)
+    return (spark.readStream.schema(staged.schema).option("maxFilesPerTrigger", 1)
             .parquet(staged.path))
 
 
@@ -95,7 +91,7 @@ def run_available_now(df: DataFrame, name: str, output_mode: str = "append",
 
 
 def _has_files(spark: SparkSession, path: str) -> bool:
-    fs, path_of = _file_system(spark, path)
+    fs, path_of = files.file_system(spark, path)
     return fs.exists(path_of(path))
 
 
@@ -143,9 +139,50 @@ def start(df: DataFrame, name: str, root: str, *, trigger: dict | None = None,
     return w.foreachBatch(lambda b, i: write(b, i, out)).start()
 
 
-def late_rows(query) -> int:
-    """Rows that the watermark has dropped as late in the query's recent micro-batches."""
-    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in json.loads(p.json)["stateOperators"])
+class LateRows(StreamingQueryListener):
+    """Writes, for every micro-batch of the job ``name`` that lost rows to the watermark, how many: one small file per
+    batch beside the job's output, so the count covers the whole run, restarts included.  Rows are counted where the
+    stateful operator takes them in (after the partial aggregate, where there is one)."""
+
+    def __init__(self, spark: SparkSession, name: str, root: str):
+        self.spark, self.name, self.folder = spark, name, f"{root}/{name}/_late"
+        self.ended = threading.Event()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = json.loads(event.progress.json)
+        if p["name"] == self.name:
+            late = sum(op["numRowsDroppedByWatermark"] for op in p["stateOperators"])
+            if late:
+                files.write_json(self.spark, f"{self.folder}/batch={p['batchId']}.json", late)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.set()
+
+
+def run_counted(df: DataFrame, name: str, root: str, **how) -> int:
+    """Run the job ``name`` to its end with a ``LateRows`` listener; the late rows of all its batches so far."""
+    spark = df.sparkSession
+    listener = LateRows(spark, name, root)
+    spark.streams.addListener(listener)
+    try:
+        query = start(df, name, root, **how)
+        query.awaitTermination()
+        listener.ended.wait(60)       # progress comes before the end on the same bus
+    finally:
+        spark.streams.removeListener(listener)
+    return late_rows(spark, name, root)
+
+
+def late_rows(spark: SparkSession, name: str, root: str) -> int:
+    """Rows that the watermark has dropped as late in all batches of the job ``name``."""
+    folder = f"{root}/{name}/_late"
+    return sum(files.read_json(spark, f"{folder}/batch={i}.json") for i in files.numbered(spark, folder, "batch="))
 
 
 def _rewrite(df: DataFrame, folder: str) -> None:
@@ -161,7 +198,8 @@ def start_landing(lines: DataFrame, root: str, *, trigger: dict | None = None):
 
 def write_log_outputs(batch: DataFrame, batch_id: int, root: str) -> None:
     """One micro-batch of the repaired flat log -> start / page / display outputs with all their fields."""
-    b = batch.select("seq", "is_new", F.col("payload").alias("value")).persist()
+    seq = F.col("seq") if batch.schema["seq"].dataType != StringType() else order.from_text(F.col("seq"))
+    b = batch.select(seq.alias("seq"), "is_new", F.col("payload").alias("value")).persist()
     try:
         log = logs.parse_log(b).withColumn("common", F.col("common").withField("is_new", F.col("is_new")))
         part = f"batch={batch_id}"
@@ -185,45 +223,83 @@ def start_dead_letters(raw: DataFrame, root: str, *, trigger: dict | None = None
 
 
 def write_changes(read_config: Callable[[SparkSession], DataFrame]) -> Callable[[DataFrame, int, str], None]:
-    """One micro-batch of change records -> routed facts, dimension snapshots, dead letters.
+    """One micro-batch of change records -> routed facts, dimension versions, dead letters, published together.
 
-    The config is read anew for every batch, so a change of routing takes effect with the next one.  A
-    dimension table is created when its config first names it; its snapshot takes the batch's
-    changes as version ``batch id + 1``.  Every output belongs to the batch and is rewritten on a replay."""
+    The config is read anew for every batch, so a change of routing takes effect with the next one.  A dimension
+    table is created, by its configured key, columns and extension, when its config first names it; the batch's
+    changes make its version ``batch id + 1``.  Dimension changes without their key are dead letters.  Every output
+    belongs to the batch and is rewritten on a replay; a last manifest names all of them, and ``read_changes``
+    shows a batch only once it is there."""
     def write(batch: DataFrame, batch_id: int, out: str) -> None:
         spark = batch.sparkSession
         b = batch.persist()
         try:
             config = routing.current_config(read_config(spark))
             routed = routing.route(routing.clean_changes(routing.parse_changes(b)), config)
+            part = f"batch={batch_id}"
             writers.write_routed_files(routing.facts(routed), f"{out}/facts", batch_id)
             _rewrite(routing.dirty_changes(b).select(*[c for c in b.columns if c != "value"], F.col(logs.CORRUPT).alias("value")),
-                     f"{out}/dead/batch={batch_id}")
+                     f"{out}/dead/{part}")
+            extend = F.max("sink_extend") if "sink_extend" in config.columns else F.lit(None).cast("string")
             tables = config.where(F.col("sink_type") == SINK_HBASE).groupBy("sink_table").agg(
-                F.max("sink_columns").alias("sink_columns"), F.max("sink_pk").alias("sink_pk")).collect()   # one row per dimension
-            dims = routing.dims(routed)
+                F.max("sink_columns").alias("sink_columns"), F.max("sink_pk").alias("sink_pk"), extend.alias("sink_extend")).collect()   # one row per dimension
+            dims, versions, keyless = routing.dims(routed), {}, []
             for t in tables:
-                root = f"{out}/dims/{t.sink_table}"
-                writers.create_dimension_if_missing(spark, root, t.sink_columns, t.sink_pk)
-                writers.merge_into_snapshot(spark, root, dims.where(F.col("sink_table") == t.sink_table), batch_id + 1)
+                store = Dimension(spark, f"{out}/dims/{t.sink_table}")
+                store.create(t.sink_columns, t.sink_pk, t.sink_extend)
+                mine = dims.where(F.col("sink_table") == t.sink_table)
+                store.merge(mine, batch_id + 1)
+                versions[t.sink_table] = batch_id + 1
+                keyless.append(mine.where(routing.key_text(store.definition["key"]).isNull()))
+            lost = [d.select(*[c for c in b.columns if c != "value"], "sink_table", F.to_json("data").alias("value")) for d in keyless]
+            if lost:
+                _rewrite(stats.union_all(lost), f"{out}/keyless/{part}")
+            files.publish(spark, out, batch_id, {"facts": f"facts/_{part}", "dead": f"dead/{part}", "dims": versions,
+                                                 "keyless": f"keyless/{part}" if lost else None})
         finally:
             b.unpersist()
     return write
 
 
+def read_changes(spark: SparkSession, out: str, output: str) -> DataFrame:
+    """``facts`` (sink_table, value), ``dead`` or ``keyless`` of the published batches of a change layer."""
+    folders = [f"{out}/{b[output]}" for b in files.published(spark, out).values() if b[output]]
+    if output == "facts":
+        return stats.union_all([spark.read.schema("value string, sink_table string").json(f) for f in folders])
+    return spark.read.parquet(*folders)
+
+
+def read_dimension(spark: SparkSession, out: str, table: str) -> DataFrame:
+    """A dimension of a change layer as of its newest published batch."""
+    newest = max(b["dims"].get(table, 0) for b in files.published(spark, out).values())
+    return Dimension(spark, f"{out}/dims/{table}").table(newest)
+
+
 def start_change_layer(raw: DataFrame, root: str, read_config: Callable[[SparkSession], DataFrame], *,
                        trigger: dict | None = None):
     """Change-record text stream (seq, value) -> ``root/changes/{facts,dims,dead}``."""
     return start(raw, "changes", root, trigger=trigger, write=write_changes(read_config))
 
 
-def start_order_wide(orders: DataFrame, details: DataFrame, root: str, read_dims: Callable[[SparkSession], dict], *,
-                     within: str = "5 milliseconds", as_of_ms: int | None = None, trigger: dict | None = None):
-    """Order and detail fact streams -> ``root/order_wide``; dimensions are read anew for every batch."""
+def write_order_wide(read_dims: Callable[..., dict], dims: Callable[[SparkSession], dict[str, Dimension]] | None,
+                     as_of_ms: int | None) -> Callable[[DataFrame, int, str], None]:
+    """One micro-batch of order lines -> its folder, enriched.  With ``dims`` the batch's dimension versions are pinned
+    before they are read, and ``read_dims(spark, versions)`` reads those, on a replay too."""
     def write(batch: DataFrame, batch_id: int, out: str) -> None:
+        spark = batch.sparkSession
         now = as_of_ms if as_of_ms is not None else int(time.time() * 1000)
-        _rewrite(joins.enrich_order_wide(batch, read_dims(batch.sparkSession), now), f"{out}/batch={batch_id}")
-    return start(order_lines_stream(orders, details, within), "order_wide", root, trigger=trigger, write=write)
+        found = read_dims(spark) if dims is None else read_dims(spark, pinned(spark, out, batch_id, dims(spark)))
+        _rewrite(joins.enrich_order_wide(batch, found, now), f"{out}/batch={batch_id}")
+    return write
+
+
+def start_order_wide(orders: DataFrame, details: DataFrame, root: str, read_dims: Callable[..., dict], *,
+                     dims: Callable[[SparkSession], dict[str, Dimension]] | None = None,
+                     within: str = "5 milliseconds", as_of_ms: int | None = None, trigger: dict | None = None):
+    """Order and detail fact streams -> ``root/order_wide``; every batch reads the dimensions anew, by pinned versions
+    where they are kept as ``Dimension`` tables."""
+    return start(order_lines_stream(orders, details, within), "order_wide", root, trigger=trigger,
+                 write=write_order_wide(read_dims, dims, as_of_ms))
 
 
 def start_payment_wide(payments: DataFrame, wide: DataFrame, root: str, *, within: str = "1800 seconds", trigger: dict | None = None):

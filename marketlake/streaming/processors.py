@@ -1,15 +1,19 @@
 """Streaming forms of the three order-dependent visitor operators (arbitrary state API v2).
 
-They work on the *flat* log row (``flatten_log``), keyed by visitor ``mid``.  Within one call the
-rows of a key are ordered by ``seq`` (arrival) or ``(ts, seq)``; the work per call is a
-vectorised pandas step over that key's rows of one micro-batch, not a per-row loop.
-
-* ``NewVisitorRepair``  -- value state: the visitor's first new-visitor day.
-* ``DailyUniqueVisit``  -- value state: the day of the previous entry page; an event-time timer
-  clears it one day after the last write (the source's one-day state TTL).
-* ``BounceDetector``    -- list state: page rows whose fate is still open.  An entry row is
-  decided once its successor can no longer change (the successor is older than the watermark,
-  or the watermark passed ``ts + within``); rows older than the watermark are late and dropped.
+They work on the *flat* log row (``flatten_log``), keyed by visitor ``mid``.  A visitor's rows of one
+micro-batch come as an iterator of frames and are never put together: what a worker holds is one frame, or two
+numbers a row, or one slice of the visitor's time, however many rows the visitor has.
+
+* ``NewVisitorRepair``  -- value state: the visitor's first new-visitor day.  Once it is known, frames pass
+  through; in the batch that settles it, frames wait in a list state.
+* ``DailyUniqueVisit``  -- value state: the day of the previous entry page; an event-time timer clears it one
+  day after the last write (the source's one-day state TTL).  With more than one frame, order and day of each
+  row are held, the rows themselves wait in a list state.
+* ``BounceDetector``    -- map state: page rows whose fate is still open, in slices of ``within`` of event time, packed
+  frame by frame under (slice, number).  New rows are appended; a call reads the slices that the watermark has
+  reached and the first row after them, and rewrites only those.  An entry row is decided once its successor can no
+  longer change (the successor is older than the watermark, or the watermark passed ``ts + within``); rows
+  older than the watermark are late and dropped.
 
 Results equal the batch forms for rows whose outcome is closed by the watermark.
 """
@@ -19,7 +23,9 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +33,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
 from ..functions.timefmt import ymd_from_millis
+from ..operators import order
 
 # The processors are the only Python that runs on executors.  Pickle this module by value so a
 # worker needs pandas and pyspark, not this package on its path.
@@ -44,11 +51,13 @@ FLAT_COLUMNS = [f.name for f in FLAT_LOG.fields]
 def flatten_log(log: DataFrame) -> DataFrame:
     """Typed log rows -> the flat row the stateful processors and the summary jobs read.
 
-    A ``payload`` column on the input (the raw JSON line) is carried; otherwise it is NULL."""
+    A composite ``seq`` becomes text of the same order.  A ``payload`` column on the input (the raw JSON line) is
+    carried; otherwise it is NULL."""
     c, p = "common", "page"
     start = F.coalesce(F.size(F.col("start")), F.lit(-1)) > 0
+    seq = order.as_text(F.col("seq")) if order.is_composite(log) else F.col("seq")
     return log.select(
-        "seq", F.col(f"{c}.mid").alias("mid"), "ts", ymd_from_millis(F.col("ts")).alias("dt"),
+        seq.alias("seq"), F.col(f"{c}.mid").alias("mid"), "ts", ymd_from_millis(F.col("ts")).alias("dt"),
         F.col(f"{c}.is_new").alias("is_new"), F.col(f"{c}.vc").alias("vc"), F.col(f"{c}.ch").alias("ch"),
         F.col(f"{c}.ar").alias("ar"), F.col(f"{p}.page_id").alias("page_id"),
         F.col(f"{p}.last_page_id").alias("last_page_id"), F.col(f"{p}.item").alias("item"),
@@ -57,39 +66,78 @@ def flatten_log(log: DataFrame) -> DataFrame:
         (F.col("payload") if "payload" in log.columns else F.lit(None).cast("string")).alias("payload"))
 
 
-def _frame(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    frames = [r for r in rows if len(r)]
-    return pd.concat(frames, ignore_index=True) if frames else pd.DataFrame(columns=FLAT_COLUMNS)
+def _schema(flat: DataFrame) -> StructType:
+    """The flat row with the input's kind of ``seq``."""
+    return StructType([flat.schema["seq"] if f.name == "seq" else f for f in FLAT_LOG.fields])
 
 
-def _native(v):
-    if v is None or (not isinstance(v, str) and pd.isna(v)):
-        return None
-    return v.item() if hasattr(v, "item") else v
+def pack(pdf: pd.DataFrame) -> bytes:
+    """A frame as one value of a state."""
+    table = pa.Table.from_pandas(pdf[FLAT_COLUMNS], preserve_index=False)
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, table.schema) as w:
+        w.write_table(table)
+    return out.getvalue().to_pybytes()
 
 
-def _tuples(pdf: pd.DataFrame) -> list[tuple]:
-    return [tuple(_native(v) for v in r) for r in pdf[FLAT_COLUMNS].itertuples(index=False, name=None)]
+def unpack(data: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(data).read_all().to_pandas()
 
 
 def _is_entry(pdf: pd.DataFrame) -> pd.Series:
     return pdf["last_page_id"].isna() | (pdf["last_page_id"] == "")
 
 
+class Waiting:
+    """Frames that are needed again after the last one: a single frame stays in hand, more go to a list state."""
+
+    def __init__(self, state):
+        self.state, self.only, self.n = state, None, 0
+
+    def add(self, pdf: pd.DataFrame) -> None:
+        if self.n == 1:
+            self.state.appendValue((pack(self.only),))
+            self.only = None
+        if self.n:
+            self.state.appendValue((pack(pdf),))
+        else:
+            self.only = pdf
+        self.n += 1
+
+    def again(self) -> Iterator[pd.DataFrame]:
+        if self.n == 1:
+            yield self.only
+        elif self.n:
+            for (data,) in self.state.get():
+                yield unpack(bytes(data))
+            self.state.clear()
+
+
 class NewVisitorRepair(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.first = handle.getValueState("first_day", "day string")
+        self.held = handle.getListState("waiting", "rows binary")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _frame(rows).sort_values("seq", kind="stable")
-        ones = pdf["is_new"] == "1"
         first = self.first.get()[0] if self.first.exists() else None
-        if first is None and ones.any():
-            first = pdf.loc[ones, "dt"].iloc[0]
-            self.first.update((first,))
-        if first is not None:
-            pdf.loc[ones & (pdf["dt"] != first), "is_new"] = "0"
-        yield pdf[FLAT_COLUMNS]
+        frames = (f for f in rows if len(f))
+        if first is None:
+            waiting, earliest = Waiting(self.held), None
+            for pdf in frames:
+                new = pdf[pdf["is_new"] == "1"]
+                if len(new):
+                    at = new["seq"].min()
+                    if earliest is None or at < earliest[0]:
+                        earliest = (at, new.loc[new["seq"] == at, "dt"].iloc[0])
+                waiting.add(pdf)
+            if earliest is not None:
+                first = earliest[1]
+                self.first.update((first,))
+            frames = waiting.again()
+        for pdf in frames:
+            if first is not None:
+                pdf.loc[(pdf["is_new"] == "1") & (pdf["dt"] != first), "is_new"] = "0"
+            yield pdf[FLAT_COLUMNS]
 
     def close(self) -> None:
         pass
@@ -104,19 +152,36 @@ class DailyUniqueVisit(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.last = handle.getValueState("last_day", "day string, expires long")
+        self.held = handle.getListState("waiting", "rows binary")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _frame(rows).sort_values("seq", kind="stable").reset_index(drop=True)
-        prev = pdf["dt"].shift(1)
-        if self.last.exists():
-            prev.iloc[0] = self.last.get()[0]
-        keep = prev.isna() | (prev != pdf["dt"])
-        expires = int(pdf["ts"].max()) + DAY_MS
-        if self.last.exists():
-            self.handle.deleteTimer(self.last.get()[1])
-        self.last.update((pdf["dt"].iloc[-1], expires))
+        waiting, seqs, days, latest = Waiting(self.held), [], [], None
+        for pdf in rows:
+            if len(pdf):
+                seqs.append(pdf["seq"].to_numpy())
+                days.append(pdf["dt"].to_numpy())
+                latest = max(int(pdf["ts"].max()), latest if latest is not None else int(pdf["ts"].max()))
+                waiting.add(pdf)
+        if latest is None:
+            return
+        sizes = [len(s) for s in seqs]
+        in_order = np.argsort(np.concatenate(seqs), kind="stable")
+        day = np.concatenate(days)[in_order]
+        known = self.last.get() if self.last.exists() else None
+        first_of_day = np.ones(len(day), bool)
+        first_of_day[1:] = day[1:] != day[:-1]
+        if known is not None:
+            first_of_day[0] = day[0] != known[0]
+            self.handle.deleteTimer(known[1])
+        keep = np.empty(len(day), bool)
+        keep[in_order] = first_of_day
+        expires = latest + DAY_MS
+        self.last.update((day[-1], expires))
         self.handle.registerTimer(expires)
-        yield pdf.loc[keep, FLAT_COLUMNS]
+        lo = 0
+        for pdf, n in zip(waiting.again(), sizes):
+            yield pdf.loc[keep[lo: lo + n], FLAT_COLUMNS]
+            lo += n
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if self.last.exists() and self.last.get()[1] <= expiredTimerInfo.getExpiryTimeInMs():
@@ -157,34 +222,63 @@ class BounceDetector(StatefulProcessor):
     def __init__(self, within_ms: int, documented: bool = False):
         self.within_ms = within_ms
         self.documented = documented
+        self.width = max(1, within_ms)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.buf = handle.getListState("open_rows", FLAT_LOG)
-
-    def _run(self, new: pd.DataFrame, wm: int) -> Iterator[pd.DataFrame]:
-        old = pd.DataFrame(list(self.buf.get()), columns=FLAT_COLUMNS) if self.buf.exists() else None
-        if len(new):
-            new = new[new["ts"] >= wm]  # late rows are dropped
-        parts = [x for x in (old, new) if x is not None and len(x)]
-        buf = pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=FLAT_COLUMNS)
-        buf = buf.astype({"ts": "int64", "seq": "int64"})
-        emitted, keep, timer = bounce_step(buf, wm, self.within_ms, self.documented)
+        self.open = handle.getMapState("open_rows", "slice long, number long", "rows binary")
+        self.next = handle.getValueState("next_number", "number long")
+
+    def _put(self, slice_: int, pdf: pd.DataFrame) -> None:
+        self.open.updateValue((slice_, self.number), (pack(pdf),))
+        self.number += 1
+
+    def _read(self, slice_: int, numbers: list[int]) -> pd.DataFrame:
+        frames = [unpack(bytes(self.open.getValue((slice_, n))[0])) for n in numbers]
+        return (frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)).sort_values(["ts", "seq"], kind="stable")
+
+    def _run(self, rows: Iterator[pd.DataFrame], wm: int) -> Iterator[pd.DataFrame]:
+        self.number = before = self.next.get()[0] if self.next.exists() else 0
+        for pdf in rows:
+            pdf = pdf[pdf["ts"] >= wm]  # late rows are dropped
+            for slice_, part in pdf.groupby(pdf["ts"] // self.width):
+                self._put(int(slice_), part)
+        slices: dict[int, list[int]] = {}
+        for slice_, number in self.open.keys():
+            slices.setdefault(slice_, []).append(number)
+        names, held, timer = sorted(slices), None, None
+        for i, name in enumerate(names):
+            if name * self.width >= wm:       # the watermark has not come to it: look at it when it has
+                due = name * self.width + 1
+                timer = due if timer is None else min(timer, due)
+                break
+            mine = held if held is not None else self._read(name, slices[name])
+            held = self._read(names[i + 1], slices[names[i + 1]]) if i + 1 < len(names) else None
+            both = mine if held is None else pd.concat([mine, held.head(1)], ignore_index=True)
+            emitted, keep, due = bounce_step(both, wm, self.within_ms, self.documented)
+            own = mine[["ts", "seq"]].iloc[-1]   # rows after the last of the slice only tell its successor
+            emitted, keep = (x[(x["ts"] < own["ts"]) | (x["ts"] == own["ts"]) & (x["seq"] <= own["seq"])] for x in (emitted, keep))
+            if due is not None:
+                timer = due if timer is None else min(timer, due)
+            if len(keep) < len(mine) or len(slices[name]) > 1:
+                for n in slices[name]:
+                    self.open.removeKey((name, n))
+                if len(keep):
+                    self._put(name, keep)
+            if len(emitted):
+                yield emitted[FLAT_COLUMNS]
+        if self.number != before:
+            self.next.update((self.number,))
         for t in list(self.handle.listTimers()):
             self.handle.deleteTimer(t)
-        if len(keep):
-            self.buf.put(_tuples(keep))
-        else:
-            self.buf.clear()
         if timer is not None:
             self.handle.registerTimer(max(timer, wm + 1))
-        yield emitted[FLAT_COLUMNS]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        yield from self._run(_frame(rows), timerValues.getCurrentWatermarkInMs())
+        yield from self._run(rows, timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._run(pd.DataFrame(columns=FLAT_COLUMNS), timerValues.getCurrentWatermarkInMs())
+        yield from self._run(iter(()), timerValues.getCurrentWatermarkInMs())
 
     def close(self) -> None:
         pass
@@ -209,14 +303,14 @@ def _with_event_time(flat: DataFrame, watermark: str) -> DataFrame:
 def repair_new_flag_stream(flat: DataFrame) -> DataFrame:
     ensure_state_store(flat)
     return flat.groupBy("mid").transformWithStateInPandas(
-        statefulProcessor=NewVisitorRepair(), outputStructType=FLAT_LOG, outputMode="Append", timeMode="None")
+        statefulProcessor=NewVisitorRepair(), outputStructType=_schema(flat), outputMode="Append", timeMode="None")
 
 
 def unique_visits_stream(flat_pages: DataFrame, watermark: str = "3 seconds") -> DataFrame:
     ensure_state_store(flat_pages)
     entries = flat_pages.filter(F.coalesce(F.col("last_page_id"), F.lit("")) == "")
     return _with_event_time(entries, watermark).groupBy("mid").transformWithStateInPandas(
-        statefulProcessor=DailyUniqueVisit(), outputStructType=FLAT_LOG, outputMode="Append", timeMode="EventTime")
+        statefulProcessor=DailyUniqueVisit(), outputStructType=_schema(flat_pages), outputMode="Append", timeMode="EventTime")
 
 
 def bounces_stream(flat_pages: DataFrame, within: str = "10 seconds", mode: str = "as_written",
@@ -225,4 +319,4 @@ def bounces_stream(flat_pages: DataFrame, within: str = "10 seconds", mode: str
     ensure_state_store(flat_pages)
     proc = BounceDetector(_ms(within), mode == "as_documented")
     return _with_event_time(flat_pages, watermark).groupBy("mid").transformWithStateInPandas(
-        statefulProcessor=proc, outputStructType=FLAT_LOG, outputMode="Append", timeMode="EventTime")
+        statefulProcessor=proc, outputStructType=_schema(flat_pages), outputMode="Append", timeMode="EventTime")

@@ -91,18 +91,6 @@ def test_repeated_dimension_and_config_keys_do_not_fan_out(spark):
     assert [r.sink_table for r in routing.route(ch, cfg).collect()] == ["new"]
 
 
-def test_snapshot_replay_starts_from_the_version_below(spark):
-    root = new_location(spark, "snap")
-    one = spark.createDataFrame([(1, "insert", {"id": "1", "n": "a"})], "seq long, type string, data map<string,string>")
-    two = spark.createDataFrame([(2, "update", {"id": "1", "n": "b"})], "seq long, type string, data map<string,string>")
-    writers.merge_into_snapshot(spark, root, one, 1)
-    writers.merge_into_snapshot(spark, root, two, 2)
-    os.remove(os.path.join(root, "v=2", "_SUCCESS"))     # as if the write of version 2 had broken off
-    assert writers.latest_snapshot(spark, root).first().data == {"id": "1", "n": "a"}
-    writers.merge_into_snapshot(spark, root, two, 2)     # the replay
-    assert writers.latest_snapshot(spark, root).first().data == {"id": "1", "n": "b"}
-
-
 def test_report_batches_are_rewritten_on_replay(spark):
     path = new_location(spark, "report")
     df = spark.createDataFrame([("2024-01-01 00:00:00", 1)], "stt string, n long")

@@ -127,20 +127,6 @@ def test_merge_first_non_null(spark):
     assert got == [(1, "q", "x"), (2, "p", "z")]
 
 
-def test_dimension_from_config(spark):
-    from marketlake.session import new_location
-    from marketlake.sinks import writers
-    s = writers.dimension_schema("tm_name,id,logo", None)
-    assert [f.name for f in s.fields] == ["id", "tm_name", "logo"]
-    root = new_location(spark, "dims/test")
-    assert writers.create_dimension_if_missing(spark, root, "id,tm_name") is True
-    assert writers.create_dimension_if_missing(spark, root, "id,tm_name") is False
-    ch = spark.createDataFrame([(1, "insert", {"id": "5", "tm_name": "x"})], "seq long, type string, data map<string,string>")
-    writers.merge_into_snapshot(spark, root, ch, 1)
-    snap = writers.snapshot_columns(writers.latest_snapshot(spark, root), "id,tm_name")
-    assert [tuple(r) for r in snap.collect()] == [("5", "x")]
-
-
 def test_report_date():
     from marketlake.operators.reports import report_date
     assert report_date(0, 1735689600000) == "20250101"
