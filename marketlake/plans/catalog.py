@@ -65,7 +65,7 @@ def new_visitor_repair(spark, d):
 
 
 def session_entry(spark, d):
-    return _flat_log(logs.session_entries(Warehouse(spark, d).page_log))
+    return _flat_log(logs.session_entries(Warehouse(spark, d).plain_page_log))
 
 
 def unique_visit(spark, d):
@@ -383,7 +383,7 @@ def _stream(spark, df, name, order, sentinel=None):
 
 def _staged_pages(spark, d):
     from ..streaming.processors import flatten_log
-    flat = flatten_log(Warehouse(spark, d).page_log)
+    flat = flatten_log(Warehouse(spark, d).plain_page_log)
     return _stream(spark, flat, "pages", "ts", _jobs().sentinel(flat, "ts", "mid"))
 
 

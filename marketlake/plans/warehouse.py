@@ -67,13 +67,20 @@ class Warehouse:
     def page_log(self) -> DataFrame:
         return logs.split_page(visitors.repair_new_flag(self.log))
 
+    # Readers of the page log that need no searched text, or no repaired flag, read it without the join that gives
+    # them: the rows are the same.
+    @cached_property
+    def plain_page_log(self) -> DataFrame:
+        """The repaired page log without searched texts."""
+        return logs.split_page(visitors.repair_new_flag(T.log_events(self.spark, self.sf_dir, names=False)))
+
     # ---- middle layer -------------------------------------------------------------------------
     @cached_property
     def unique_visits(self) -> DataFrame:
-        return visitors.unique_visits(self.page_log)
+        return visitors.unique_visits(self.plain_page_log)
 
     def bounces(self, mode: str = "as_written") -> DataFrame:
-        return visitors.bounces(self.page_log, self.params.bounce_within, mode)
+        return visitors.bounces(self.plain_page_log, self.params.bounce_within, mode)
 
     @cached_property
     def order_lines(self) -> DataFrame:
@@ -94,7 +101,7 @@ class Warehouse:
     # ---- summary layer ------------------------------------------------------------------------
     @cached_property
     def visitor_measures(self) -> DataFrame:
-        return stats.visitor_measures(self.page_log, self.unique_visits, self.bounces())
+        return stats.visitor_measures(self.plain_page_log, self.unique_visits, self.bounces())
 
     @cached_property
     def visitor_stats(self) -> DataFrame:
@@ -107,7 +114,8 @@ class Warehouse:
         the dimensions up after aggregating)."""
         s, d = self.spark, self.sf_dir
         paid = joins.payment_wide(T.payment_info(s, d), self.order_lines, within=self.params.payment_within)
-        return stats.product_measures(self.page_log, T.favor_info(s, d), T.cart_info(s, d), self.order_lines,
+        pages = logs.split_page(T.log_events(s, d, names=False))
+        return stats.product_measures(pages, T.favor_info(s, d), T.cart_info(s, d), self.order_lines,
                                       paid, T.order_refund_info(s, d), T.comment_info(s, d))
 
     @cached_property
@@ -121,7 +129,7 @@ class Warehouse:
 
     @cached_property
     def keyword_search_stats(self) -> DataFrame:
-        return stats.keyword_search_stats(self.page_log, self.params.window, as_of_ms=self.params.as_of_ms)
+        return stats.keyword_search_stats(logs.split_page(self.log), self.params.window, as_of_ms=self.params.as_of_ms)
 
     @cached_property
     def keyword_product_stats(self) -> DataFrame:

@@ -55,18 +55,22 @@ def _item_of(event_id, parts) -> F.Column:
     return (event_id * 7) % parts
 
 
-def log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def log_events(spark: SparkSession, sf_dir: str, names: bool = True) -> DataFrame:
     """Parsed behaviour log: ``seq, common, start, page, displays, ts`` (ts = epoch millis).
 
     Search pages (``good_list``) carry the searched text in ``page.item``: the name of the part
-    the event points at.
+    the event points at.  ``names=False`` leaves it NULL and spares the join with ``part``: for readers of
+    anything else.
     """
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
-    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("_pk"), F.col("p_name").alias("_pname"))
     k = F.get_json_object("props", "$.k").cast("int")
     parts = part_count(spark, sf_dir)
     e = e.withColumn("k", k).withColumn("_n", parts).withColumn("_item", _item_of(F.col("event_id"), F.col("_n")))
-    e = e.join(part, (F.col("event_type") == "click") & (F.col("_item") == F.col("_pk")), "left")
+    if names:
+        part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("_pk"), F.col("p_name").alias("_pname"))
+        e = e.join(part, (F.col("event_type") == "click") & (F.col("_item") == F.col("_pk")), "left")
+    else:
+        e = e.withColumn("_pname", F.lit(None).cast("string"))
     mid = F.col("user_id").cast("string")
     is_page = F.col("event_type") != "signup"
     page_id = (F.when(F.col("event_type") == "view", "good_detail")
