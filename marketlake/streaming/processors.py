@@ -9,9 +9,9 @@ numbers a row, or one slice of the visitor's time, however many rows the visitor
 * ``DailyUniqueVisit``  -- value state: the day of the previous entry page; an event-time timer clears it one
   day after the last write (the source's one-day state TTL).  With more than one frame, order and day of each
   row are held, the rows themselves wait in a list state.
-* ``BounceDetector``    -- map state: page rows whose fate is still open, in slices of ``within`` of event time, packed
-  frame by frame under (slice, number).  New rows are appended; a call reads the slices that the watermark has
-  reached and the first row after them, and rewrites only those.  An entry row is decided once its successor can no
+* ``BounceDetector``    -- map state: page rows whose fate is still open, packed frame by frame under (slice of
+  ``within`` of event time, number).  New rows are appended; a call reads the slices that the watermark has
+  reached, one after the other, and the first row after them, and files again what stays open of those.  An entry row is decided once its successor can no
   longer change (the successor is older than the watermark, or the watermark passed ``ts + within``); rows
   older than the watermark are late and dropped.
 
@@ -20,12 +20,12 @@ Results equal the batch forms for rows whose outcome is closed by the watermark.
 
 from __future__ import annotations
 
+import pickle
 import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -72,16 +72,12 @@ def _schema(flat: DataFrame) -> StructType:
 
 
 def pack(pdf: pd.DataFrame) -> bytes:
-    """A frame as one value of a state."""
-    table = pa.Table.from_pandas(pdf[FLAT_COLUMNS], preserve_index=False)
-    out = pa.BufferOutputStream()
-    with pa.ipc.new_stream(out, table.schema) as w:
-        w.write_table(table)
-    return out.getvalue().to_pybytes()
+    """A frame as one value of a state (read back by the same version of this job only)."""
+    return pickle.dumps(pdf[FLAT_COLUMNS], pickle.HIGHEST_PROTOCOL)
 
 
 def unpack(data: bytes) -> pd.DataFrame:
-    return pa.ipc.open_stream(data).read_all().to_pandas()
+    return pickle.loads(data)
 
 
 def _is_entry(pdf: pd.DataFrame) -> pd.Series:
@@ -218,6 +214,10 @@ def bounce_step(buf: pd.DataFrame, wm: int, within_ms: int, documented: bool):
     return emitted, keep, timer
 
 
+#: Rows that are packed together whatever slices they lie in.
+SMALL = 256
+
+
 class BounceDetector(StatefulProcessor):
     def __init__(self, within_ms: int, documented: bool = False):
         self.within_ms = within_ms
@@ -227,52 +227,67 @@ class BounceDetector(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.open = handle.getMapState("open_rows", "slice long, number long", "rows binary")
-        self.next = handle.getValueState("next_number", "number long")
 
-    def _put(self, slice_: int, pdf: pd.DataFrame) -> None:
-        self.open.updateValue((slice_, self.number), (pack(pdf),))
-        self.number += 1
-
-    def _read(self, slice_: int, numbers: list[int]) -> pd.DataFrame:
-        frames = [unpack(bytes(self.open.getValue((slice_, n))[0])) for n in numbers]
+    def _put(self, pdf: pd.DataFrame) -> list[tuple]:
+        """File rows under the slice of the first of them; many rows slice by slice.  Their keys."""
+        parts, keys = [pdf] if len(pdf) <= SMALL else [part for _, part in pdf.groupby(pdf["ts"] // self.width)], []
+        for part in parts:
+            keys.append((int(part["ts"].min()) // self.width, self.number))
+            self.open.updateValue(keys[-1], (pack(part),))
+            self.number += 1
+        return keys
+
+    def _read(self, pool: list[pd.DataFrame], keys: list[tuple]) -> pd.DataFrame:
+        frames = [f for f in pool if len(f)] + [unpack(bytes(self.open.getValue(k)[0])) for k in keys]
         return (frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)).sort_values(["ts", "seq"], kind="stable")
 
     def _run(self, rows: Iterator[pd.DataFrame], wm: int) -> Iterator[pd.DataFrame]:
-        self.number = before = self.next.get()[0] if self.next.exists() else 0
+        filed: dict[int, list[tuple]] = {}
+        for k in self.open.keys():
+            filed.setdefault(k[0], []).append(k)
+        self.number = max((k[1] for ks in filed.values() for k in ks), default=-1) + 1
         for pdf in rows:
-            pdf = pdf[pdf["ts"] >= wm]  # late rows are dropped
-            for slice_, part in pdf.groupby(pdf["ts"] // self.width):
-                self._put(int(slice_), part)
-        slices: dict[int, list[int]] = {}
-        for slice_, number in self.open.keys():
-            slices.setdefault(slice_, []).append(number)
-        names, held, timer = sorted(slices), None, None
-        for i, name in enumerate(names):
-            if name * self.width >= wm:       # the watermark has not come to it: look at it when it has
-                due = name * self.width + 1
-                timer = due if timer is None else min(timer, due)
+            pdf = pdf[pdf["ts"] >= wm]  # late rows are dropped; the others lie at the watermark or after it
+            for k in self._put(pdf) if len(pdf) else ():
+                filed.setdefault(k[0], []).append(k)
+        names, pool, loaded, kept, timer = sorted(filed), None, [], [], None
+        due_of = lambda slice_: slice_ * self.width + 1
+        while names or pool is not None:
+            here = min(([names[0]] if names else []) + ([int(pool["ts"].iloc[0]) // self.width] if pool is not None else []))
+            if here * self.width >= wm:       # the watermark has not come to it: look at it when it has
+                timer = due_of(here) if timer is None else min(timer, due_of(here))
                 break
-            mine = held if held is not None else self._read(name, slices[name])
-            held = self._read(names[i + 1], slices[names[i + 1]]) if i + 1 < len(names) else None
-            both = mine if held is None else pd.concat([mine, held.head(1)], ignore_index=True)
+            if names and names[0] == here:
+                loaded += (keys := filed[names.pop(0)])
+                pool = self._read([] if pool is None else [pool], keys)
+            while names and names[0] * self.width < wm and len(pool) <= SMALL:      # few rows: slices together
+                loaded += (keys := filed[names.pop(0)])
+                pool = self._read([pool], keys)
+            end = (here + 1 if len(pool) > SMALL else (wm - 1) // self.width + 1) * self.width
+            mine, rest = pool[pool["ts"] < end], pool[pool["ts"] >= end]
+            pool = rest if len(rest) else None
+            if names and (pool is None or names[0] * self.width <= int(pool["ts"].iloc[0])):
+                loaded += (keys := filed[names.pop(0)])      # it may hold the first row after this slice
+                pool = self._read([] if pool is None else [pool], keys)
+            both = mine if pool is None else pd.concat([mine, pool.head(1)], ignore_index=True)
             emitted, keep, due = bounce_step(both, wm, self.within_ms, self.documented)
-            own = mine[["ts", "seq"]].iloc[-1]   # rows after the last of the slice only tell its successor
-            emitted, keep = (x[(x["ts"] < own["ts"]) | (x["ts"] == own["ts"]) & (x["seq"] <= own["seq"])] for x in (emitted, keep))
+            emitted, keep = (x[x["ts"] < end] for x in (emitted, keep))
             if due is not None:
                 timer = due if timer is None else min(timer, due)
-            if len(keep) < len(mine) or len(slices[name]) > 1:
-                for n in slices[name]:
-                    self.open.removeKey((name, n))
-                if len(keep):
-                    self._put(name, keep)
+            if len(keep):
+                kept.append(keep)
             if len(emitted):
                 yield emitted[FLAT_COLUMNS]
-        if self.number != before:
-            self.next.update((self.number,))
-        for t in list(self.handle.listTimers()):
+        for k in loaded:
+            self.open.removeKey(k)
+        left = kept + ([pool] if pool is not None else [])
+        if left:
+            self._put(pd.concat(left, ignore_index=True) if len(left) > 1 else left[0])
+        set_already, wanted = set(self.handle.listTimers()), None if timer is None else max(timer, wm + 1)
+        for t in set_already - {wanted}:
             self.handle.deleteTimer(t)
-        if timer is not None:
-            self.handle.registerTimer(max(timer, wm + 1))
+        if wanted is not None and wanted not in set_already:
+            self.handle.registerTimer(wanted)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         yield from self._run(rows, timerValues.getCurrentWatermarkInMs())
