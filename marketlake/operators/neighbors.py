@@ -88,3 +88,30 @@ def neighbor(df: DataFrame, keys: list[str], order: list[str], take: list[str],
 
 def bucket_of(col: str, width: int) -> Column:
     return F.floor(F.col(col) / F.lit(width)).cast("bigint")
+
+
+def asof(left: DataFrame, right: DataFrame, keys: list[str], order: str, take: list[str], *, bucket: Column, name: str,
+         most: int | None = None) -> DataFrame:
+    """Add struct column ``name`` holding ``take`` of the latest ``right`` row of the same ``keys`` at or before each
+    ``left`` row in ``order``; NULL when there is none.
+
+    The neighbour search for two tables: both are put into order-range buckets of their key; inside a bucket the last
+    right row so far, across buckets the last right row of the earlier ones (a window over one row per key and
+    bucket).  So a key that holds a third of the left rows is many small windows.  Right rows of one key must differ
+    in ``order``; ``bucket`` must be non-decreasing in it."""
+    mine, theirs = F.struct(*[F.col(f"`{c}`") for c in left.columns]), F.struct(*[F.col(c) for c in take])
+    kinds = (left.select(mine.alias("x")).schema["x"].dataType, right.select(theirs.alias("x")).schema["x"].dataType)
+    both = left.select(*keys, order, bucket.alias("_nb_b"), F.lit(1).alias("_side"), mine.alias("_l"), F.lit(None).cast(kinds[1]).alias("_r"))
+    both = both.unionByName(right.select(*keys, order, bucket.alias("_nb_b"), F.lit(0).alias("_side"), F.lit(None).cast(kinds[0]).alias("_l"),
+                                         theirs.alias("_r")))
+    if most is not None:
+        both = cut_heavy(both, keys, [order, "_side"], most)
+    inside = Window.partitionBy(*keys, "_nb_b").orderBy(order, "_side").rowsBetween(Window.unboundedPreceding, 0)
+    both = both.withColumn("_in", F.last("_r", ignorenulls=True).over(inside))
+    edges = both.groupBy(*keys, "_nb_b").agg(F.max_by(F.col("_r"), F.when(F.col("_r").isNotNull(), F.col(order))).alias("_edge"))
+    before = Window.partitionBy(*keys).orderBy("_nb_b").rowsBetween(Window.unboundedPreceding, -1)
+    names = [*keys, "_nb_b"]
+    edges = edges.select(*[F.col(c).alias(f"_nb_k{i}") for i, c in enumerate(names)], F.last("_edge", ignorenulls=True).over(before).alias("_before"))
+    on = [F.col(c).eqNullSafe(F.col(f"_nb_k{i}")) for i, c in enumerate(names)]
+    out = both.where("_side = 1").join(edges, on, "left")
+    return out.select("_l.*", F.coalesce("_in", "_before").alias(name))

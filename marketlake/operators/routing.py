@@ -5,6 +5,7 @@
   (one config row per key; the planner broadcasts it by its size); ``facts`` /
   ``dims`` are its ``kafka`` / ``hbase`` rows, other sink types go nowhere, ``unmatched`` is the
   anti-join.  ``bootstrap-insert`` counts as ``insert`` when ``normalize_bootstrap``.
+* ``route_asof``: the same under the config history, as it stood when each record arrived.
 * ``filter_columns``: keep only the keys listed in ``sink_columns`` (exact, comma-separated, no
   trimming).
 * ``latest_config``: current config from a config change feed (latest row per key; deletes drop
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 
 from ..schemas import CHANGE, SINK_HBASE, SINK_KAFKA
 from .logs import CORRUPT, parse_once
+from .neighbors import asof
+from .order import bucket
 
 
 def parse_changes(raw: DataFrame, value: str = "value") -> DataFrame:
@@ -62,6 +65,27 @@ def route(changes: DataFrame, config: DataFrame, normalize_bootstrap: bool = Fal
     return c.join(cfg, (F.col("table") == F.col("source_table")) & (F.col("type") == F.col("operate_type")), "inner")
 
 
+#: Change positions of one (table, type) that a bucket of the as-of search spans, and rows of one window.
+CONFIG_BUCKET, MOST_ROWS = 1 << 20, 1_000_000
+
+
+def route_asof(changes: DataFrame, config_feed: DataFrame, normalize_bootstrap: bool = False) -> DataFrame:
+    """Matched records under the config as it stood when they arrived: for each record the latest row of the config
+    feed ``(seq, type, data)`` for its ``(table, type)`` at or before it; none, or a ``delete``, routes it nowhere.
+
+    ``route`` takes the current config for all records; here a later change leaves earlier records where they went."""
+    row = F.col("data")
+    history = config_feed.select("seq", row["source_table"].alias("table"), row["operate_type"].alias("type"),
+                                 F.col("type").alias("_change"), *[row[c].alias(c) for c in CONFIG_COLUMNS])
+    c = changes.withColumn("type", _type(normalize_bootstrap))
+    found = asof(c, history, ["table", "type"], "seq", ["_change", *CONFIG_COLUMNS], name="_c", most=MOST_ROWS,
+                 bucket=bucket(changes, "seq", CONFIG_BUCKET))
+    found = found.where("_c is not null and _c._change <> 'delete'")
+    out = found.select(*c.columns, F.col("table").alias("source_table"), F.col("type").alias("operate_type"),
+                       *[F.col(f"_c.{x}").alias(x) for x in CONFIG_COLUMNS])
+    return out.withColumn("_keep", F.split("sink_columns", ","))
+
+
 def unmatched(changes: DataFrame, config: DataFrame, normalize_bootstrap: bool = False) -> DataFrame:
     cfg = config.select(*CONFIG_KEY)
     c = changes.withColumn("type", _type(normalize_bootstrap))

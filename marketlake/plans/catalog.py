@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codes import ORDER_STATUS, decode
+from ..functions.segment import segmented
 from ..functions.text import words
 from ..functions.timefmt import age_years, ymd_from_millis
 from ..operators import joins, logs, reports, routing, stats
@@ -164,6 +165,12 @@ def keyword_explode(spark, d):
     return docs.groupBy("keyword").agg(F.count(F.lit(1)).alias("ct"))
 
 
+def keyword_segment(spark, d):
+    """Part names without separators, cut by a dictionary table: how often each word comes."""
+    w = segmented(T.joined_names(spark, d), T.user_dictionary(spark, d))
+    return w.groupBy("keyword").agg(F.count(F.lit(1)).alias("ct"))
+
+
 # ---- report layer -------------------------------------------------------------------------------
 
 def gmv(spark, d):
@@ -277,6 +284,11 @@ def cdc_column_filter(spark, d):
     return routing.kept(_routed(spark, d)).select("seq", "table", "type", "sink_table", F.explode("data").alias("key", "value"))
 
 
+def cdc_route_asof(spark, d):
+    """Records under the config as it stood when they arrived (updates, deletes and re-inserts of routes)."""
+    return _record_view(routing.filter_columns(routing.route_asof(_clean(spark, d), T.config_feed(spark))))
+
+
 def dim_upsert_merge(spark, d):
     """Routed user-dimension changes applied to an empty snapshot in one merge (every column takes its
     latest value by arrival); the result is flattened."""
@@ -350,11 +362,11 @@ def keyword_search_sql(spark, d):
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in [
-    cdc_clean, cdc_route_fact, cdc_route_dim, cdc_unmatched, cdc_column_filter, dim_upsert_merge,
+    cdc_clean, cdc_route_fact, cdc_route_dim, cdc_unmatched, cdc_column_filter, cdc_route_asof, dim_upsert_merge,
     log_split_start, log_split_page, display_explode, new_visitor_repair, session_entry, unique_visit,
     bounce_as_written, bounce_as_documented, order_interval_join, order_interval_join_30d, order_wide, user_age,
     payment_wide, visitor_union, visitor_stats, product_union, product_stats, product_stats_enriched,
-    province_stats, keyword_search, keyword_product, keyword_explode, gmv, by_trademark, by_category3, by_spu,
+    province_stats, keyword_search, keyword_product, keyword_explode, keyword_segment, gmv, by_trademark, by_category3, by_spu,
     by_province, visitor_by_new_flag, visitor_by_hour, hour_densify, visitor_transpose, keyword_topn,
     name_value_list, table_rows, series_arrays, hour_series, scalar_envelope, code_decode,
     gmv_day, by_trademark_day, by_province_day, keyword_topn_day, hour_densify_day, hour_densify_empty_day,

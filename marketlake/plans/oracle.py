@@ -8,7 +8,7 @@ does not depend on floating-point division.
 
 from __future__ import annotations
 
-from ..sources.tables import AS_OF_MS, ROUTING_CONFIG
+from ..sources.tables import AS_OF_MS, CONFIG_CHANGES, ROUTING_CONFIG
 
 FMT = "'%Y-%m-%d %H:%M:%S'"
 WORD = r"'([\p{L}\p{N}]+)'"
@@ -247,6 +247,30 @@ cte("rt", ("cln", "cfg"), """
   SELECT cln.seq, cln.tbl, cln.type, cfg.sink_type, cfg.sink_table,
          map_from_entries(list_filter(map_entries(cln.data), lambda e: list_contains(string_split(cfg.sink_columns, ','), e.key))) AS data
   FROM cln JOIN cfg ON cln.tbl = cfg.source_table AND cln.type = cfg.operate_type""")
+cte("names", (), r"SELECT lower(regexp_replace(p_name, '[^\p{L}\p{N}]+', '', 'g')) AS run, count(*) AS n FROM part GROUP BY 1")
+cte("dict", (), r"""SELECT DISTINCT lower(w) AS w FROM (SELECT unnest(string_split_regex(p_name || ' ' || p_type, '[^\p{L}\p{N}]+')) AS w FROM part)
+  WHERE length(w) BETWEEN 3 AND 7""")
+cte("hits", ("names", "dict"), """SELECT run, p, max(len) AS len FROM (
+    SELECT run, p, unnest(range(3, 8)) AS len FROM (SELECT run, unnest(range(1, length(run) + 1)) AS p FROM names WHERE run <> ''))
+  SEMI JOIN dict ON substr(run, p, len) = w AND p + len - 1 <= length(run) GROUP BY run, p""")
+cte("steps", ("names", "hits"), """SELECT run, list_reduce(list_prepend({'next': CAST(1 AS BIGINT), 'out': CAST([] AS STRUCT(p BIGINT, len BIGINT)[])},
+    list_transform(list_sort(list({'p': p, 'len': len})), lambda h: {'next': h.p, 'out': [{'p': h.p, 'len': h.len}]})),
+    lambda s, h: CASE WHEN h.next < s.next THEN s ELSE {'next': h.next + h.out[1].len, 'out': list_concat(s.out, h.out)} END).out AS taken
+  FROM hits GROUP BY run""")
+cte("segs", ("names", "steps"), """SELECT run, unnest(list_concat(
+    list_transform(taken, lambda t: substr(run, t.p, t.len)),
+    list_filter(list_transform(range(0, len(taken) + 1), lambda i: substr(run,
+      CASE WHEN i = 0 THEN 1 ELSE taken[i].p + taken[i].len END,
+      CASE WHEN i = len(taken) THEN length(run) + 1 ELSE taken[i + 1].p END - CASE WHEN i = 0 THEN 1 ELSE taken[i].p + taken[i].len END)),
+      lambda x: x <> ''))) AS keyword, n
+  FROM (SELECT run, n, coalesce(taken, []) AS taken FROM names LEFT JOIN steps USING (run) WHERE run <> '')""")
+cte("feed", (), " UNION ALL ".join(
+    f"SELECT {seq} AS fseq, '{change}' AS change, '{r[0]}' AS src, '{r[1]}' AS op, '{sink or r[3]}' AS sink_table, '{r[4]}' AS sink_columns"
+    for seq, change, r, sink in ((seq, change, ROUTING_CONFIG[i], sink) for seq, change, i, sink in CONFIG_CHANGES)))
+cte("rta", ("cln", "feed"), """
+  SELECT cln.seq, cln.tbl, cln.type, feed.sink_table,
+         map_from_entries(list_filter(map_entries(cln.data), lambda e: list_contains(string_split(feed.sink_columns, ','), e.key))) AS data
+  FROM cln ASOF JOIN feed ON cln.tbl = feed.src AND cln.type = feed.op AND cln.seq >= feed.fseq WHERE change <> 'delete'""")
 cte("um", ("cln", "cfg"), """
   SELECT seq, tbl, type FROM cln WHERE NOT EXISTS
     (SELECT 1 FROM cfg WHERE cfg.source_table = cln.tbl AND cfg.operate_type = cln.type)""")
@@ -353,6 +377,8 @@ ORACLE: dict[str, str] = {
     "cdc_route_fact": q(RECORD + "WHERE sink_type = 'kafka'", "rt"),
     "cdc_route_dim": q(RECORD + "WHERE sink_type = 'hbase'", "rt"),
     "cdc_unmatched": q("SELECT seq, tbl AS \"table\", type FROM um", "um"),
+    "keyword_segment": q("SELECT keyword, CAST(sum(n) AS BIGINT) AS ct FROM segs GROUP BY keyword", "segs"),
+    "cdc_route_asof": q("""SELECT seq, tbl AS "table", type, sink_table, CAST(cardinality(data) AS BIGINT) AS n_cols, data['id'] AS id FROM rta""", "rta"),
     "cdc_column_filter": q("""SELECT seq, tbl AS "table", type, sink_table, e.key AS key, e.value AS value
         FROM (SELECT *, unnest(map_entries(data)) AS e FROM rt WHERE sink_type IN ('kafka', 'hbase'))""", "rt"),
     "dim_upsert_merge": q("""SELECT id, max(CASE WHEN k = 'name' THEN v END) AS name, max(CASE WHEN k = 'birthday' THEN v END) AS birthday,

@@ -256,6 +256,19 @@ def dim_category3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(_category3_id(F.col("p_type")).cast("bigint").alias("id"), F.col("p_type").alias("name"))
 
 
+def joined_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part names written without separators: ``id, text``."""
+    p = table(spark, sf_dir, "part")
+    return p.select(F.col("p_partkey").alias("id"), F.regexp_replace("p_name", r"[^\p{L}\p{N}]+", "").alias("text"))
+
+
+def user_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dictionary table: the words of three to seven characters of the part names and types."""
+    p = table(spark, sf_dir, "part")
+    both = p.select(F.explode(F.split(F.concat_ws(" ", "p_name", "p_type"), r"[^\p{L}\p{N}]+")).alias("word"))
+    return both.where(F.char_length("word").between(3, 7)).distinct()
+
+
 # ---- change records and routing config --------------------------------------------------------
 
 # Fixed routing configuration of the driver profile: (source_table, operate_type, sink_type,
@@ -288,6 +301,22 @@ def dimension_config(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, TABLE_PROCESS)
 
 
+#: Changes of the routing config during the run: (arrival position, change, row of ROUTING_CONFIG, other sink table).
+CONFIG_CHANGES = ([(-1, "insert", i, None) for i in range(len(ROUTING_CONFIG))]
+                  + [(400, "update", 6, "dwd_order_detail_v2"), (700, "delete", 4, None), (900, "insert", 4, "dwd_order_info_again"),
+                     (950, "delete", 6, None), (1200, "insert", 6, "dwd_order_detail_v3"), (100, "delete", 0, None), (250, "insert", 0, None)])
+
+
+def config_feed(spark: SparkSession) -> DataFrame:
+    """The routing config as a change feed ``(seq, type, data)`` with updates, deletes and re-inserts."""
+    names = ["source_table", "operate_type", "sink_type", "sink_table", "sink_columns", "sink_pk", "sink_extend"]
+    rows = []
+    for seq, change, i, sink in CONFIG_CHANGES:
+        row = dict(zip(names, ROUTING_CONFIG[i]))
+        rows.append((seq, change, row | ({"sink_table": sink} if sink else {})))
+    return spark.createDataFrame(rows, "seq long, type string, data map<string,string>")
+
+
 def _m(*pairs) -> F.Column:
     args = []
     for k, v in pairs:
