@@ -11,11 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.codes import ORDER_STATUS, decode
+from ..functions.codes import CODE_LISTS, decode
 from ..functions.segment import segmented
 from ..functions.text import words
 from ..functions.timefmt import age_years, ymd_from_millis
 from ..operators import joins, logs, reports, routing, stats
+from ..schemas import PRODUCT_TOPIC
 from ..session import new_location
 from ..sinks.dimensions import Dimension
 from ..sources import tables as T
@@ -242,10 +243,17 @@ def scalar_envelope(spark, d):
     return reports.scalar_envelope(reports.gmv(Warehouse(spark, d).product_stats))
 
 
+def spu_document(spark, d):
+    w = Warehouse(spark, d)
+    return reports.spu_table(reports.by_spu(w.product_stats, w.params.top_n))
+
+
 def code_decode(spark, d):
-    oi = T.order_info(spark, d)
-    g = oi.groupBy("order_status").agg(F.count(F.lit(1)).alias("order_count"))
-    return g.select("order_status", decode(F.col("order_status"), ORDER_STATUS).alias("status_name"), "order_count")
+    """Every code list that the tables hold a column for, decoded and counted."""
+    columns = [("order_status", T.order_info(spark, d), "order_status"), ("payment_type", T.payment_info(spark, d), "payment_type"),
+               ("appraise", T.comment_info(spark, d), "appraise")]
+    return stats.union_all([df.groupBy(F.col(c).alias("code")).agg(F.count(F.lit(1)).alias("ct")).select(
+        F.lit(name).alias("code_list"), "code", decode(F.col("code"), CODE_LISTS[name]).alias("meaning"), "ct") for name, df, c in columns])
 
 
 # ---- change-record layer -------------------------------------------------------------------------
@@ -368,7 +376,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     payment_wide, visitor_union, visitor_stats, product_union, product_stats, product_stats_enriched,
     province_stats, keyword_search, keyword_product, keyword_explode, keyword_segment, gmv, by_trademark, by_category3, by_spu,
     by_province, visitor_by_new_flag, visitor_by_hour, hour_densify, visitor_transpose, keyword_topn,
-    name_value_list, table_rows, series_arrays, hour_series, scalar_envelope, code_decode,
+    name_value_list, table_rows, series_arrays, hour_series, scalar_envelope, spu_document, code_decode,
     gmv_day, by_trademark_day, by_province_day, keyword_topn_day, hour_densify_day, hour_densify_empty_day,
     visitor_transpose_day, province_map, category3_list, config_latest, keyword_search_sql,
 ]}
@@ -448,6 +456,34 @@ def order_wide_stream(spark, d):
     return _amounts(_jobs().run_available_now(lines, "order_wide", foreach=write).select(*WIDE_OUT))
 
 
+def order_wide_json_stream(spark, d):
+    """The same from JSON topics: facts come as text, are typed in the stream, then joined and enriched."""
+    from ..operators.facts import typed_facts
+    j, w = _jobs(), Warehouse(spark, d)
+
+    def topic(df, kind, key):
+        raw = df.select("create_ts", F.to_json(F.struct(*[c for c in df.columns if c != "create_ts"])).alias("value"))
+        return typed_facts(_stream(spark, raw, kind, "create_ts").select("value"), kind, key=key)
+
+    lines = j.order_lines_stream(topic(T.order_info(spark, d), "order_info", "id"),
+                                 topic(T.order_detail(spark, d, time="order"), "order_detail", "order_id"), w.params.order_within)
+
+    def write(batch, batch_id, out):
+        wide = joins.enrich_order_wide(batch, Warehouse(batch.sparkSession, d).dims, w.params.as_of_ms, unique_dims=True)
+        wide.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+    return _amounts(j.run_available_now(lines, "order_wide_json", foreach=write).select(*WIDE_OUT))
+
+
+def keyword_product_stream(spark, d):
+    """The keyword job fed by the re-published product statistics: their JSON topic, read back as a stream."""
+    from ..sinks.writers import as_json_value
+    w = Warehouse(spark, d)
+    topic = as_json_value(w.product_stats).select(F.get_json_object("value", "$.stt").alias("stt"), "value")
+    rows = logs.parse_once(_stream(spark, topic, "product_stats", "stt").select("value"), "value", PRODUCT_TOPIC)
+    s = stats.keyword_product_stats(rows.where(F.col(logs.CORRUPT).isNull()), as_of_ms=w.params.as_of_ms)
+    return _jobs().run_available_now(s, "keyword_product")
+
+
 def payment_wide_stream(spark, d):
     """Payments joined to the stream of order-wide rows."""
     w = Warehouse(spark, d)
@@ -529,6 +565,6 @@ def dim_upsert_merge_stream(spark, d):
 
 QUERIES.update({f.__name__: f for f in [
     dim_upsert_merge_stream, unique_visit_stream, bounce_as_written_stream, bounce_as_documented_stream, new_visitor_repair_stream, order_interval_join_stream,
-    order_wide_stream, payment_wide_stream, visitor_stats_stream, keyword_search_stream, product_stats_stream,
+    order_wide_stream, order_wide_json_stream, keyword_product_stream, payment_wide_stream, visitor_stats_stream, keyword_search_stream, product_stats_stream,
     province_stats_stream, cdc_route_fact_stream,
 ]})

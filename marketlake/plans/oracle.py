@@ -8,6 +8,8 @@ does not depend on floating-point division.
 
 from __future__ import annotations
 
+from ..functions.codes import CODE_LISTS
+from ..operators.reports import SPU_COLUMNS
 from ..sources.tables import AS_OF_MS, CONFIG_CHANGES, ROUTING_CONFIG
 
 FMT = "'%Y-%m-%d %H:%M:%S'"
@@ -463,9 +465,16 @@ ORACLE: dict[str, str] = {
         'series': [{'name': 'uv', 'data': list(uv_ct ORDER BY hr)}, {'name': 'pv', 'data': list(pv_ct ORDER BY hr)},
                    {'name': '新用户', 'data': list(new_uv ORDER BY hr)}]}}) AS json FROM hd GROUP BY dt""", "hd"),
     "scalar_envelope": q("SELECT dt, to_json({'status': 0, 'data': gmv}) AS json FROM gm", "gm"),
-    "code_decode": q("""SELECT order_status, CASE order_status WHEN '1001' THEN 'unpaid' WHEN '1002' THEN 'paid'
-        WHEN '1003' THEN 'cancelled' WHEN '1004' THEN 'finished' WHEN '1005' THEN 'refunding' WHEN '1006' THEN 'refunded'
-        END AS status_name, CAST(count(*) AS BIGINT) AS order_count FROM oi GROUP BY order_status""", "oi"),
+    "spu_document": q("""SELECT dt, to_json({'status': 0, 'data': {'columns': [""" + ", ".join(
+        f"{{'name': '{label}', 'id': '{c}'}}" for label, c in SPU_COLUMNS) + "], 'rows': list({" + ", ".join(
+        f"'{c}': {c}" for _, c in SPU_COLUMNS) + "} ORDER BY rank)}}) AS json FROM bspu GROUP BY dt", "bspu"),
+    "code_decode": q(" UNION ALL ".join(
+        f"SELECT '{name}' AS code_list, {c} AS code, CASE {c} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in CODE_LISTS[name].items())
+        + f" END AS meaning, CAST(count(*) AS BIGINT) AS ct FROM {source} GROUP BY {c}" for name, source, c in (
+            ("order_status", "oi", "order_status"), ("payment_type", "(SELECT CAST(1101 + o_orderkey % 3 AS VARCHAR) AS payment_type "
+             "FROM orders WHERE o_orderstatus IN ('F', 'P'))", "payment_type"),
+            ("appraise", "(SELECT CASE WHEN l_linenumber % 3 = 0 THEN '1201' ELSE '1202' END AS appraise FROM lineitem WHERE l_returnflag = 'A')",
+             "appraise"))), "oi"),
 }
 
 # one day of a report is its every-day answer on that day
@@ -489,3 +498,5 @@ ORACLE["keyword_search_sql"] = ORACLE["keyword_search"]
 for _name in ("unique_visit", "bounce_as_written", "bounce_as_documented", "new_visitor_repair", "order_interval_join", "visitor_stats",
               "keyword_search", "product_stats", "province_stats", "order_wide", "payment_wide", "cdc_route_fact"):
     ORACLE[f"{_name}_stream"] = ORACLE[_name]
+ORACLE["order_wide_json_stream"] = ORACLE["order_wide"]
+ORACLE["keyword_product_stream"] = ORACLE["keyword_product"]

@@ -78,3 +78,6 @@ PRODUCT_STATS_COLUMNS = [
 PROVINCE_STATS_COLUMNS = ["stt", "edt", "province_id", "province_name", "area_code", "iso_code",
                           "iso_3166_2", "order_amount", "order_count", "ts"]
 KEYWORD_STATS_COLUMNS = ["keyword", "ct", "source", "stt", "edt", "ts"]
+
+# what readers of the re-published product statistics take from them
+PRODUCT_TOPIC = _st(("stt", S), ("edt", S), ("sku_id", L), ("sku_name", S), ("click_ct", L), ("cart_ct", L), ("order_ct", L))
