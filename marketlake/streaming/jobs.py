@@ -26,7 +26,7 @@ from pyspark.sql.types import StringType, StructType
 from ..operators import joins, logs, order, routing, stats
 from ..schemas import SINK_HBASE
 from ..session import new_location
-from ..sinks import files, writers
+from ..sinks import files, report_tables, writers
 from ..sinks.dimensions import Dimension, pinned
 
 SENTINEL = "__end_of_input__"
@@ -316,7 +316,12 @@ def start_bounces(flat_pages: DataFrame, root: str, *, within: str = "10 seconds
     return start(bounces_stream(flat_pages, within, mode), f"bounce_{mode}", root, trigger=trigger)
 
 
-def start_report(df: DataFrame, name: str, columns: list[str], root: str, *, trigger: dict | None = None):
-    """A window aggregate (visitor, product, province, keyword) -> its day-partitioned report table."""
-    return start(df, name, root, trigger=trigger,
-                 write=lambda b, i, out: writers.append_report(b, out, columns, batch_id=i))
+def start_report(df: DataFrame, name: str, columns: list[str], root: str, *, merge_every: int | None = None,
+                 trigger: dict | None = None):
+    """A window aggregate (visitor, product, province, keyword) -> its day-partitioned report table
+    (``report_tables.read``).  With ``merge_every`` the folders of that many batches are merged into their days."""
+    def write(batch: DataFrame, batch_id: int, out: str) -> None:
+        report_tables.add_batch(batch, out, columns, batch_id)
+        if merge_every and (batch_id + 1) % merge_every == 0:
+            report_tables.compact(batch.sparkSession, out)
+    return start(df, name, root, trigger=trigger, write=write)
