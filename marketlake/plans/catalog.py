@@ -538,17 +538,17 @@ def province_stats_stream(spark, d):
     return _amounts(j.run_available_now(g, "province_stats").filter(F.col("province_id") != -1))
 
 
-def province_report_stream(spark, d):
-    """The same through the report job: a table of published batches, merged into day folders after every second
-    batch, read by its manifests."""
+def visitor_report_stream(spark, d):
+    """Visitor statistics through the report job: a table of published batches, merged into day folders after every
+    second batch, read by its manifests."""
     from ..sinks import report_tables
     j = _jobs()
-    w = Warehouse(spark, d)
-    wide, root = w.order_wide, new_location(spark, "province-report")
-    g = stats.province_stats(_stream(spark, wide, "province_report", "create_ts", j.sentinel(wide, "create_ts", "province_id", -1)),
-                             w.params.window, as_of_ms=w.params.as_of_ms)
-    j.start_report(g, "province_stats", g.columns, root, merge_every=2).awaitTermination()
-    return _amounts(report_tables.read(spark, f"{root}/province_stats").drop("dt").filter(F.col("province_id") != -1))
+    w, root = Warehouse(spark, d), new_location(spark, "visitor-report")
+    m = w.visitor_measures
+    s = j.visitor_stats_stream(_stream(spark, m, "visitor_report", "ts", j.sentinel(m, "ts", "vc")),
+                               w.params.visitor_window, w.params.as_of_ms)
+    j.start_report(s, "visitor_stats", s.columns, root, merge_every=2).awaitTermination()
+    return report_tables.read(spark, f"{root}/visitor_stats").drop("dt").filter(F.col("vc") != j.SENTINEL)
 
 
 def cdc_route_fact_stream(spark, d):
@@ -579,5 +579,5 @@ def dim_upsert_merge_stream(spark, d):
 QUERIES.update({f.__name__: f for f in [
     dim_upsert_merge_stream, unique_visit_stream, bounce_as_written_stream, bounce_as_documented_stream, new_visitor_repair_stream, order_interval_join_stream,
     order_wide_stream, order_wide_json_stream, keyword_product_stream, payment_wide_stream, visitor_stats_stream, keyword_search_stream, product_stats_stream,
-    province_stats_stream, province_report_stream, cdc_route_fact_stream,
+    province_stats_stream, visitor_report_stream, cdc_route_fact_stream,
 ]})

@@ -500,4 +500,4 @@ for _name in ("unique_visit", "bounce_as_written", "bounce_as_documented", "new_
     ORACLE[f"{_name}_stream"] = ORACLE[_name]
 ORACLE["order_wide_json_stream"] = ORACLE["order_wide"]
 ORACLE["keyword_product_stream"] = ORACLE["keyword_product"]
-ORACLE["province_report_stream"] = ORACLE["province_stats"]
+ORACLE["visitor_report_stream"] = ORACLE["visitor_stats"]

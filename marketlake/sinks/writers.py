@@ -42,8 +42,9 @@ def write_routed_files(batch: DataFrame, root: str, batch_id: int) -> None:
 
 def append_report(df: DataFrame, path: str, columns: list[str], batch_id: int | None = None) -> None:
     """Aggregate rows in sink column order, partitioned by day.  With ``batch_id`` (foreachBatch) the rows
-    go to a folder of that batch, rewritten on a replay, so nothing is counted twice."""
-    out = with_day(df).select(*columns, "dt").write.partitionBy("dt")
+    go to a folder of that batch, rewritten on a replay, so nothing is counted twice.  Rows of a day come together
+    first, or every task would write a file for every day (the planner splits a large day where it runs adaptively)."""
+    out = with_day(df).select(*columns, "dt").hint("rebalance", "dt").write.partitionBy("dt")
     if batch_id is None:
         out.mode("append").parquet(path)
     else:
