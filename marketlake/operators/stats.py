@@ -13,6 +13,7 @@ moves more than one partial row per task.  Distinct order counts:
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -77,24 +78,32 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 VISITOR_KEYS = ["vc", "ch", "ar", "is_new"]
 
 
-def _visitor_rows(df: DataFrame, uv=None, pv=None, sv=None, uj=None, dur=None) -> DataFrame:
-    uv, pv, sv, uj, dur = (c if c is not None else _l0() for c in (uv, pv, sv, uj, dur))
-    return df.select(*[F.col(f"common.{k}").alias(k) for k in VISITOR_KEYS], uv.alias("uv_ct"),
-                     pv.alias("pv_ct"), sv.alias("sv_ct"), uj.alias("uj_ct"), dur.alias("dur_sum"), "ts")
+VISITOR_SUMS = ["uv_ct", "pv_ct", "sv_ct", "uj_ct", "dur_sum"]
 
 
-def visitor_measures(page_log: DataFrame, uv_rows: DataFrame, bounce_rows: DataFrame) -> DataFrame:
+def _visitor_keys() -> list[Column]:
+    return [F.col(f"common.{k}").alias(k) for k in VISITOR_KEYS]
+
+
+def _visitor_rows(df: DataFrame, uv=None, pv=None, sv=None, uj=None, dur=None, keys: list | None = None) -> DataFrame:
+    counts = [(c if c is not None else _l0()).alias(n) for n, c in zip(VISITOR_SUMS, (uv, pv, sv, uj, dur))]
+    return df.select(*(keys or _visitor_keys()), *counts, "ts")
+
+
+def visitor_measures(page_log: DataFrame, uv_rows: DataFrame, bounce_rows: DataFrame,
+                     repair: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Four measure streams in one shape, unioned: page views (with duration), unique visits,
-    sessions (entry pages) and bounces."""
+    sessions (entry pages) and bounces.  No measure depends on the new-visitor flag: rows of an unrepaired
+    log are repaired once, by ``repair``, after the union."""
     one = F.lit(1).cast("bigint")
     # a page view and, on entry pages, a session: two rows of one pass over the page log
     view = F.struct(one.alias("pv_ct"), _l0().alias("sv_ct"), F.coalesce(F.col("page.during_time"), _l0()).alias("dur_sum"))
     entry = F.struct(_l0().alias("pv_ct"), one.alias("sv_ct"), _l0().alias("dur_sum"))
     both = page_log.select("common", "ts", F.explode(F.when(is_entry(), F.array(view, entry)).otherwise(F.array(view))).alias("_m"))
-    pages = _visitor_rows(both, pv=F.col("_m.pv_ct"), sv=F.col("_m.sv_ct"), dur=F.col("_m.dur_sum"))
-    uv = _visitor_rows(uv_rows, uv=one)
-    uj = _visitor_rows(bounce_rows, uj=one)
-    return union_all([pages, uv, uj])
+    keys = None if repair is None else ["common"]
+    rows = union_all([_visitor_rows(both, pv=F.col("_m.pv_ct"), sv=F.col("_m.sv_ct"), dur=F.col("_m.dur_sum"), keys=keys),
+                      _visitor_rows(uv_rows, uv=one, keys=keys), _visitor_rows(bounce_rows, uj=one, keys=keys)])
+    return rows if repair is None else repair(rows).select(*_visitor_keys(), *VISITOR_SUMS, "ts")
 
 
 def visitor_stats(measures: DataFrame, size: str = "10 seconds", *, as_of_ms: Column | int,
@@ -102,9 +111,9 @@ def visitor_stats(measures: DataFrame, size: str = "10 seconds", *, as_of_ms: Co
     """Window sums by (vc, ch, ar, is_new); bounces are summed too."""
     d = tumble(measures, "ts", size, watermark)
     g = d.groupBy(F.window("_et", size).alias("_w"), *VISITOR_KEYS).agg(
-        *[F.sum(c).cast("bigint").alias(c) for c in ("uv_ct", "pv_ct", "sv_ct", "uj_ct", "dur_sum")])
+        *[F.sum(c).cast("bigint").alias(c) for c in VISITOR_SUMS])
     ts = as_of_ms if isinstance(as_of_ms, Column) else F.lit(as_of_ms).cast("bigint")
-    return g.select(*window_bounds(instant=measures.isStreaming), *VISITOR_KEYS, "uv_ct", "pv_ct", "sv_ct", "uj_ct", "dur_sum",
+    return g.select(*window_bounds(instant=measures.isStreaming), *VISITOR_KEYS, *VISITOR_SUMS,
                     ts.alias("ts")).select(*VISITOR_STATS_COLUMNS)
 
 

@@ -33,13 +33,15 @@ def _mid(df: DataFrame) -> DataFrame:
     return df.withColumn("_mid", F.col("common.mid"))
 
 
-def repair_new_flag(log: DataFrame) -> DataFrame:
-    """Return ``log`` with ``common.is_new`` repaired (rows and columns otherwise unchanged)."""
+def repair_new_flag(log: DataFrame, of: DataFrame | None = None) -> DataFrame:
+    """Return ``log`` with ``common.is_new`` repaired (rows and columns otherwise unchanged).  ``of`` is the whole log
+    that tells the first days, where ``log`` holds only some of its rows, or what was made of them."""
     if log.isStreaming:
         raise ValueError("streaming input: use marketlake.streaming.processors.repair_new_flag_stream")
     cols = log.columns
     d = _mid(log).withColumn("_dt", ymd_from_millis(F.col("ts")))
-    first = (d.filter(F.col("common.is_new") == "1").groupBy("_mid")
+    whole = d if of is None else _mid(of).withColumn("_dt", ymd_from_millis(F.col("ts")))
+    first = (whole.filter(F.col("common.is_new") == "1").groupBy("_mid")
              .agg(F.min_by("_dt", "seq").alias("_first_dt")).withColumnRenamed("_mid", "_first_mid"))
     j = d.join(first, F.col("_mid").eqNullSafe(F.col("_first_mid")), "left")
     fixed = F.when((F.col("common.is_new") == "1") & (F.col("_dt") != F.col("_first_dt")), F.lit("0")) \

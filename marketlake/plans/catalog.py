@@ -67,7 +67,8 @@ def new_visitor_repair(spark, d):
 
 
 def session_entry(spark, d):
-    return _flat_log(logs.session_entries(Warehouse(spark, d).plain_page_log))
+    w = Warehouse(spark, d)
+    return _flat_log(w.repaired(logs.session_entries(logs.split_page(w.plain_log))))
 
 
 def unique_visit(spark, d):
@@ -403,7 +404,8 @@ def _stream(spark, df, name, order, sentinel=None):
 
 def _staged_pages(spark, d):
     from ..streaming.processors import flatten_log
-    flat = flatten_log(Warehouse(spark, d).plain_page_log)
+    w = Warehouse(spark, d)
+    flat = flatten_log(w.repaired(logs.split_page(w.plain_log)))
     return _stream(spark, flat, "pages", "ts", _jobs().sentinel(flat, "ts", "mid"))
 
 

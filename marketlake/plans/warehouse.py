@@ -70,17 +70,21 @@ class Warehouse:
     # Readers of the page log that need no searched text, or no repaired flag, read it without the join that gives
     # them: the rows are the same.
     @cached_property
-    def plain_page_log(self) -> DataFrame:
-        """The repaired page log without searched texts."""
-        return logs.split_page(visitors.repair_new_flag(T.log_events(self.spark, self.sf_dir, names=False)))
+    def plain_log(self) -> DataFrame:
+        """The log without searched texts, not repaired.  Visits and bounces do not depend on the new-visitor flag, so
+        what is found in this log is repaired afterwards, once."""
+        return T.log_events(self.spark, self.sf_dir, names=False)
+
+    def repaired(self, rows: DataFrame) -> DataFrame:
+        return visitors.repair_new_flag(rows, of=self.plain_log)
 
     # ---- middle layer -------------------------------------------------------------------------
     @cached_property
     def unique_visits(self) -> DataFrame:
-        return visitors.unique_visits(self.plain_page_log)
+        return self.repaired(visitors.unique_visits(logs.split_page(self.plain_log)))
 
     def bounces(self, mode: str = "as_written") -> DataFrame:
-        return visitors.bounces(self.plain_page_log, self.params.bounce_within, mode)
+        return self.repaired(visitors.bounces(logs.split_page(self.plain_log), self.params.bounce_within, mode))
 
     @cached_property
     def order_lines(self) -> DataFrame:
@@ -101,7 +105,9 @@ class Warehouse:
     # ---- summary layer ------------------------------------------------------------------------
     @cached_property
     def visitor_measures(self) -> DataFrame:
-        return stats.visitor_measures(self.plain_page_log, self.unique_visits, self.bounces())
+        pages = logs.split_page(self.plain_log)
+        return stats.visitor_measures(pages, visitors.unique_visits(pages), visitors.bounces(pages, self.params.bounce_within),
+                                      self.repaired)
 
     @cached_property
     def visitor_stats(self) -> DataFrame:
