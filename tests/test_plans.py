@@ -57,3 +57,9 @@ def test_per_day_top_n_limits_before_the_shuffle(spark):
     w = Warehouse(spark, SF)
     plan = _plan(reports.by_trademark(w.product_stats, 10))
     assert "WindowGroupLimit" in plan
+
+
+def test_visitor_measures_repair_once(spark):
+    """One scan for the pages, two for each neighbour rule, one for the first days."""
+    plan = _plan(Warehouse(spark, SF).visitor_measures)
+    assert len(re.findall(r"events\.parquet", plan)) <= 6
