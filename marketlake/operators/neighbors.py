@@ -20,6 +20,8 @@ sample of that bucket whose size follows its rows.  One visitor's hour of any si
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -90,15 +92,37 @@ def bucket_of(col: str, width: int) -> Column:
     return F.floor(F.col(col) / F.lit(width)).cast("bigint")
 
 
+#: Right rows in all, and of one key, up to which ``asof`` broadcasts them.
+FEW, FEW_OF_KEY = 100_000, 1_000
+
+
+def _asof_few(left: DataFrame, right: DataFrame, keys: list[str], order: str, take: list[str], name: str) -> DataFrame:
+    """``asof`` by the span of each right row, from its own place up to the next of its key: the spans are broadcast,
+    and no left row is moved or read twice."""
+    after = F.lead(order).over(Window.partitionBy(*keys).orderBy(order))
+    spans = right.where(F.col(order).isNotNull()).select(*[F.col(c).alias(f"_nb_k{i}") for i, c in enumerate(keys)], F.col(order).alias("_nb_from"),
+                                                         after.alias("_nb_to"), F.struct(*take).alias("_nb_r"))
+    on = [F.col(c).eqNullSafe(F.col(f"_nb_k{i}")) for i, c in enumerate(keys)]
+    on += [F.col(order) >= F.col("_nb_from"), F.col("_nb_to").isNull() | (F.col(order) < F.col("_nb_to"))]
+    found = left.join(F.broadcast(spans), reduce(lambda x, y: x & y, on), "left")
+    return found.select(*[F.col(f"`{c}`") for c in left.columns], F.col("_nb_r").alias(name))
+
+
 def asof(left: DataFrame, right: DataFrame, keys: list[str], order: str, take: list[str], *, bucket: Column, name: str,
-         most: int | None = None) -> DataFrame:
+         most: int | None = None, few: int = FEW) -> DataFrame:
     """Add struct column ``name`` holding ``take`` of the latest ``right`` row of the same ``keys`` at or before each
     ``left`` row in ``order``; NULL when there is none.
 
     The neighbour search for two tables: both are put into order-range buckets of their key; inside a bucket the last
     right row so far, across buckets the last right row of the earlier ones (a window over one row per key and
     bucket).  So a key that holds a third of the left rows is many small windows.  Right rows of one key must differ
-    in ``order``; ``bucket`` must be non-decreasing in it."""
+    in ``order``; ``bucket`` must be non-decreasing in it.
+
+    Up to ``few`` right rows, at most ``FEW_OF_KEY`` of one key, are broadcast instead (``_asof_few``)."""
+    if few:
+        held = right.groupBy(*keys).count().agg(F.sum("count").alias("all"), F.max("count").alias("of_key")).first()
+        if (held["all"] or 0) <= few and (held["of_key"] or 0) <= FEW_OF_KEY:
+            return _asof_few(left, right, keys, order, take, name)
     mine, theirs = F.struct(*[F.col(f"`{c}`") for c in left.columns]), F.struct(*[F.col(c) for c in take])
     kinds = (left.select(mine.alias("x")).schema["x"].dataType, right.select(theirs.alias("x")).schema["x"].dataType)
     both = left.select(*keys, order, bucket.alias("_nb_b"), F.lit(1).alias("_side"), mine.alias("_l"), F.lit(None).cast(kinds[1]).alias("_r"))
