@@ -2,8 +2,8 @@
 
 * ``clean_changes``: keep records with a table and a non-empty ``data`` object.
 * ``route``: inner join with the routing config on ``(table, type) = (source_table, operate_type)``
-  (one config row per key; the planner broadcasts it by its size); ``facts`` /
-  ``dims`` are its ``kafka`` / ``hbase`` rows, other sink types go nowhere, ``unmatched`` is the
+  (one config row per key, broadcast: there are about as many keys as tables, and a shuffle by them would send all
+  records of a table to one task); ``facts`` / ``dims`` are its ``kafka`` / ``hbase`` rows, other sink types go nowhere, ``unmatched`` is the
   anti-join.  ``bootstrap-insert`` counts as ``insert`` when ``normalize_bootstrap``.
 * ``route_asof``: the same under the config history, as it stood when each record arrived.
 * ``filter_columns``: keep only the keys listed in ``sink_columns`` (exact, comma-separated, no
@@ -62,7 +62,7 @@ def route(changes: DataFrame, config: DataFrame, normalize_bootstrap: bool = Fal
     # the column list is split once per config row, not once per record and key
     cfg = current_config(config).withColumn("_keep", F.split("sink_columns", ","))
     c = changes.withColumn("type", _type(normalize_bootstrap))
-    return c.join(cfg, (F.col("table") == F.col("source_table")) & (F.col("type") == F.col("operate_type")), "inner")
+    return c.join(F.broadcast(cfg), (F.col("table") == F.col("source_table")) & (F.col("type") == F.col("operate_type")), "inner")
 
 
 #: Change positions of one (table, type) that a bucket of the as-of search spans, and rows of one window.
@@ -87,9 +87,9 @@ def route_asof(changes: DataFrame, config_feed: DataFrame, normalize_bootstrap:
 
 
 def unmatched(changes: DataFrame, config: DataFrame, normalize_bootstrap: bool = False) -> DataFrame:
-    cfg = config.select(*CONFIG_KEY)
+    cfg = config.select(*CONFIG_KEY).distinct()
     c = changes.withColumn("type", _type(normalize_bootstrap))
-    return c.join(cfg, (F.col("table") == F.col("source_table")) & (F.col("type") == F.col("operate_type")), "left_anti")
+    return c.join(F.broadcast(cfg), (F.col("table") == F.col("source_table")) & (F.col("type") == F.col("operate_type")), "left_anti")
 
 
 def filter_columns(routed: DataFrame) -> DataFrame:
