@@ -1,6 +1,6 @@
 """Streaming forms of the three order-dependent visitor operators (arbitrary state API v2).
 
-They work on the *flat* log row (``flatten_log``), keyed by visitor ``mid``.  A visitor's rows of one
+They work on the *flat* log row (``flatten_log``), keyed by visitor ``mid`` or by a group of visitors.  A visitor's rows of one
 micro-batch come as an iterator of frames and are never put together: what a worker holds is one frame, or two
 numbers a row, or one slice of the visitor's time, however many rows the visitor has.
 
@@ -9,11 +9,13 @@ numbers a row, or one slice of the visitor's time, however many rows the visitor
 * ``DailyUniqueVisit``  -- value state: the day of the previous entry page; an event-time timer clears it one
   day after the last write (the source's one-day state TTL).  With more than one frame, order and day of each
   row are held, the rows themselves wait in a list state.
-* ``BounceDetector``    -- map state: page rows whose fate is still open, packed frame by frame under (slice of
+* ``BounceDetector``    -- keyed by a group of visitors (a hash of ``mid``), so that a call costs one vectorised step
+  for all of them and not one for each.  Map state: page rows whose fate is still open, packed under (slice of
   ``within`` of event time, number).  New rows are appended; a call reads the slices that the watermark has
-  reached, one after the other, and the first row after them, and files again what stays open of those.  An entry row is decided once its successor can no
-  longer change (the successor is older than the watermark, or the watermark passed ``ts + within``); rows
-  older than the watermark are late and dropped.
+  reached and the slice after them, and files again what stays open of those.  An entry row is decided once its
+  successor can no longer change (the successor is older than the watermark, or the watermark passed
+  ``ts + within``); a successor two slices on is more than ``within`` away and decides nothing.  Rows older than
+  the watermark are late and dropped.
 
 Results equal the batch forms for rows whose outcome is closed by the watermark.
 """
@@ -188,34 +190,38 @@ class DailyUniqueVisit(StatefulProcessor):
         pass
 
 
-def bounce_step(buf: pd.DataFrame, wm: int, within_ms: int, documented: bool):
-    """One evaluation of the bounce rule over a key's open rows at watermark ``wm``.
+def bounce_step(buf: pd.DataFrame, wm: int, within_ms: int, documented: bool, end: int | None = None):
+    """One evaluation of the bounce rule over the open rows of some visitors at watermark ``wm``; rows from ``end`` on
+    are only looked at as successors.
 
     Returns ``(emitted rows, rows to keep open, next timer or None)``.
     """
     if buf.empty:
         return buf, buf, None
-    b = buf.sort_values(["ts", "seq"], kind="stable").reset_index(drop=True)
-    entry = _is_entry(b)
-    nts = b["ts"].shift(-1)
-    nentry = entry.shift(-1, fill_value=False).astype(bool)
-    has_next = nts.notna()
-    decided = entry & ((has_next & (nts < wm)) | (b["ts"] + within_ms <= wm))
-    bounce = (~has_next) | ((nts - b["ts"]) >= within_ms)
+    b = buf.assign(_v=pd.factorize(buf["mid"], use_na_sentinel=False)[0])
+    b = b.sort_values(["_v", "ts", "seq"], kind="stable").reset_index(drop=True)
+    entry, ts, visitor = _is_entry(b).to_numpy(bool), b["ts"].to_numpy("int64"), b.pop("_v").to_numpy()
+    has_next = np.append(visitor[1:] == visitor[:-1], False)
+    nts, nentry = np.append(ts[1:], 0), np.append(entry[1:], False) & has_next
+    decided = entry & ((has_next & (nts < wm)) | (ts + within_ms <= wm))
+    bounce = ~has_next | (nts - ts >= within_ms)
     if documented:
         bounce = bounce | nentry
-    emitted = b[decided & bounce]
-    open_entry = entry & ~decided
-    keep = b[open_entry | (b["ts"] >= wm)]
-    timer = None
-    if open_entry.any():
-        due = (b["ts"] + within_ms).where(~has_next, pd.concat([b["ts"] + within_ms, nts + 1], axis=1).min(axis=1))
-        timer = int(due[open_entry].min())
-    return emitted, keep, timer
+    mine = np.ones(len(b), bool) if end is None else ts < end
+    open_entry = entry & ~decided & mine
+    emitted, keep = b[decided & bounce & mine], b[open_entry | ((ts >= wm) & mine)]
+    if not open_entry.any():
+        return emitted, keep, None
+    due = np.where(has_next, np.minimum(ts + within_ms, nts + 1), ts + within_ms)
+    return emitted, keep, int(due[open_entry].min())
 
 
-#: Rows that are packed together whatever slices they lie in.
-SMALL = 256
+#: Rows that are packed together, and worked on together, whatever slices they lie in.
+SMALL = 20_000
+
+
+def _together(frames: list[pd.DataFrame]) -> pd.DataFrame | None:
+    return pd.concat(frames, ignore_index=True) if len(frames) > 1 else frames[0] if frames else None
 
 
 class BounceDetector(StatefulProcessor):
@@ -237,41 +243,51 @@ class BounceDetector(StatefulProcessor):
             self.number += 1
         return keys
 
-    def _read(self, pool: list[pd.DataFrame], keys: list[tuple]) -> pd.DataFrame:
-        frames = [f for f in pool if len(f)] + [unpack(bytes(self.open.getValue(k)[0])) for k in keys]
-        return (frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)).sort_values(["ts", "seq"], kind="stable")
+    def _read(self, pool: pd.DataFrame | None, keys: list[tuple]) -> pd.DataFrame | None:
+        frames = ([pool] if pool is not None else []) + [unpack(bytes(self.open.getValue(k)[0])) for k in keys]
+        return _together(frames)
 
     def _run(self, rows: Iterator[pd.DataFrame], wm: int) -> Iterator[pd.DataFrame]:
         filed: dict[int, list[tuple]] = {}
         for k in self.open.keys():
             filed.setdefault(k[0], []).append(k)
         self.number = max((k[1] for ks in filed.values() for k in ks), default=-1) + 1
+        new, n = [], 0
         for pdf in rows:
-            pdf = pdf[pdf["ts"] >= wm]  # late rows are dropped; the others lie at the watermark or after it
-            for k in self._put(pdf) if len(pdf) else ():
-                filed.setdefault(k[0], []).append(k)
-        names, pool, loaded, kept, timer = sorted(filed), None, [], [], None
-        due_of = lambda slice_: slice_ * self.width + 1
+            pdf = pdf.loc[pdf["ts"] >= wm, FLAT_COLUMNS]  # late rows are dropped; the others lie at the watermark or after it
+            if len(pdf):
+                new.append(pdf)
+                n += len(pdf)
+            if n > SMALL:       # many: they go to the state and come back slice by slice; few stay in hand
+                for k in self._put(_together(new)):
+                    filed.setdefault(k[0], []).append(k)
+                new, n = [], 0
+        names, pool, loaded, kept, timer = sorted(filed), _together(new), [], [], None
+
+        def load(up_to: int) -> None:
+            nonlocal pool
+            keys = []
+            while names and names[0] <= up_to:
+                keys += filed[names.pop(0)]
+            loaded.extend(keys)
+            pool = self._read(pool, keys)
+
+        reached = (wm - 1) // self.width      # the last slice that the watermark has come to
         while names or pool is not None:
-            here = min(([names[0]] if names else []) + ([int(pool["ts"].iloc[0]) // self.width] if pool is not None else []))
-            if here * self.width >= wm:       # the watermark has not come to it: look at it when it has
-                timer = due_of(here) if timer is None else min(timer, due_of(here))
+            here = min(names[:1] + ([int(pool["ts"].min()) // self.width] if pool is not None else []))
+            if here > reached:                # look at it when the watermark has come to it
+                timer = min(x for x in (timer, here * self.width + 1) if x is not None)
                 break
-            if names and names[0] == here:
-                loaded += (keys := filed[names.pop(0)])
-                pool = self._read([] if pool is None else [pool], keys)
-            while names and names[0] * self.width < wm and len(pool) <= SMALL:      # few rows: slices together
-                loaded += (keys := filed[names.pop(0)])
-                pool = self._read([pool], keys)
-            end = (here + 1 if len(pool) > SMALL else (wm - 1) // self.width + 1) * self.width
-            mine, rest = pool[pool["ts"] < end], pool[pool["ts"] >= end]
+            load(here)
+            while names and names[0] <= reached and len(pool) <= SMALL:      # few rows: slices together
+                load(names[0])
+            last = max(here, min(reached, names[0] - 2 if names else reached))
+            load(last + 1)                    # successors of the last slice's rows
+            end = (last + 1) * self.width
+            ts = pool["ts"]
+            emitted, keep, due = bounce_step(pool[ts < end + self.width], wm, self.within_ms, self.documented, end)
+            rest = pool[ts >= end]
             pool = rest if len(rest) else None
-            if names and (pool is None or names[0] * self.width <= int(pool["ts"].iloc[0])):
-                loaded += (keys := filed[names.pop(0)])      # it may hold the first row after this slice
-                pool = self._read([] if pool is None else [pool], keys)
-            both = mine if pool is None else pd.concat([mine, pool.head(1)], ignore_index=True)
-            emitted, keep, due = bounce_step(both, wm, self.within_ms, self.documented)
-            emitted, keep = (x[x["ts"] < end] for x in (emitted, keep))
             if due is not None:
                 timer = due if timer is None else min(timer, due)
             if len(keep):
@@ -280,9 +296,9 @@ class BounceDetector(StatefulProcessor):
                 yield emitted[FLAT_COLUMNS]
         for k in loaded:
             self.open.removeKey(k)
-        left = kept + ([pool] if pool is not None else [])
-        if left:
-            self._put(pd.concat(left, ignore_index=True) if len(left) > 1 else left[0])
+        left = _together(kept + ([pool] if pool is not None else []))
+        if left is not None:
+            self._put(left)
         set_already, wanted = set(self.handle.listTimers()), None if timer is None else max(timer, wm + 1)
         for t in set_already - {wanted}:
             self.handle.deleteTimer(t)
@@ -299,16 +315,25 @@ class BounceDetector(StatefulProcessor):
         pass
 
 
+#: Groups of visitors (part of a checkpoint: a running job keeps its number).
+VISITOR_GROUPS = 256
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def ensure_state_store(df: DataFrame) -> None:
-    """The state API v2 runs on the RocksDB state store; select it for new streaming queries of
-    this session when another provider is configured (existing checkpoints keep theirs)."""
+    """The state API v2 runs on the RocksDB state store, and the state of joins and windows belongs there too, not in the
+    executors' heaps; select it for new streaming queries of this session when another provider is configured
+    (existing checkpoints keep theirs).  All stores of an executor share one bounded cache, and a commit writes what
+    changed, not the whole store, unless the session says otherwise."""
     conf = df.sparkSession.conf
     key = "spark.sql.streaming.stateStore.providerClass"
     if conf.get(key, None) != ROCKSDB:
         conf.set(key, ROCKSDB)
+    for name in ("boundedMemoryUsage", "changelogCheckpointing.enabled"):
+        key = f"spark.sql.streaming.stateStore.rocksdb.{name}"
+        if conf.get(key, None) is None:
+            conf.set(key, "true")
 
 
 def _with_event_time(flat: DataFrame, watermark: str) -> DataFrame:
@@ -333,5 +358,6 @@ def bounces_stream(flat_pages: DataFrame, within: str = "10 seconds", mode: str
     from ..operators.joins import _ms
     ensure_state_store(flat_pages)
     proc = BounceDetector(_ms(within), mode == "as_documented")
-    return _with_event_time(flat_pages, watermark).groupBy("mid").transformWithStateInPandas(
+    grouped = flat_pages.withColumn("_group", F.pmod(F.xxhash64("mid"), F.lit(VISITOR_GROUPS)))
+    return _with_event_time(grouped, watermark).groupBy("_group").transformWithStateInPandas(
         statefulProcessor=proc, outputStructType=_schema(flat_pages), outputMode="Append", timeMode="EventTime")

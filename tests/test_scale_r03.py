@@ -1,13 +1,19 @@
 """What a larger input costs: bytes that meet in one task, passes over the input, rows that a state holds."""
 
+import os
 import random
 
+import pandas as pd
+import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from marketlake.operators import routing
 from marketlake.operators.neighbors import asof, bucket_of
 from marketlake.schemas import TABLE_PROCESS
 from marketlake.sources import tables as T
+from marketlake.streaming import jobs
+from test_streaming import FakeState
 
 
 def _plan(df):
@@ -40,3 +46,84 @@ def test_asof_by_buckets_and_by_spans_agree(spark):
              for m, few in ((None, 10**5), (None, 0), (300, 0), (None, 10))]
     assert found[0] == found[1] == found[2] == found[3] and len(found[0]) == 2000
     assert any(v for _, v in found[0])
+
+
+def _frame(rows):
+    from marketlake.streaming.processors import FLAT_COLUMNS
+    return pd.DataFrame([{**{c: None for c in FLAT_COLUMNS}, "seq": s, "mid": m, "ts": t, "last_page_id": p} for s, m, t, p in rows])
+
+
+def _bounces(rows, within, documented):
+    """A plain loop over each visitor's rows."""
+    out, by = [], {}
+    for r in rows:
+        by.setdefault(r[1], []).append(r)
+    for mine in by.values():
+        mine.sort(key=lambda r: (r[2], r[0]))
+        for a, b in zip(mine, mine[1:] + [None]):
+            if not a[3] and (b is None or b[2] - a[2] >= within or (documented and not b[3])):
+                out.append(a[0])
+    return sorted(out)
+
+
+@pytest.mark.parametrize("small", [1, 10, 20_000])
+def test_bounces_of_a_group_of_visitors_equal_a_loop(monkeypatch, small):
+    """Several visitors in one state, in any number of rows at a time, with gaps of many slices."""
+    from marketlake.streaming import processors
+    monkeypatch.setattr(processors, "SMALL", small)
+    for seed in range(40):
+        rnd, t, rows = random.Random(seed), 0, []
+        within, documented = rnd.choice([1, 7, 50]), seed % 2 == 1
+        for k in range(rnd.randrange(1, 100)):
+            t += rnd.choice([0, 0, 1, 3, 10, 60, 300])
+            rows.append((k, rnd.choice(["a", "b", "c", None]), t, rnd.choice([None, "", "home"])))
+        state, job, got, wm = FakeState(), processors.BounceDetector(within, documented), [], 0
+        job.init(state)
+        at = 0
+        while at < len(rows):
+            batch, at = rows[at: at + 17], at + 17
+            rnd.shuffle(batch)
+            got += [s for f in job._run(iter([_frame(batch[:9])] + ([_frame(batch[9:])] if batch[9:] else [])), wm) for s in f.seq]
+            wm = max(wm, max(r[2] for r in batch) - 5)
+            if any(x <= wm for x in state.timers):
+                got += [s for f in job._run(iter(()), wm) for s in f.seq]
+        got += [s for f in job._run(iter(()), 10**9) for s in f.seq]
+        assert sorted(got) == _bounces(rows, within, documented) and not state.d
+
+
+def _times(staged):
+    """The files of a staged input in the order a stream takes them -> (first, last) time of each."""
+    found = sorted(os.listdir(staged.path.replace("file:", "")), key=lambda f: os.path.getmtime(f"{staged.path.replace('file:', '')}/{f}"))
+    return [(min(t), max(t)) for f in found if f.endswith(".parquet")
+            if (t := pq.read_table(f"{staged.path.replace('file:', '')}/{f}", columns=["at"])["at"].to_pylist())]
+
+
+def test_inputs_of_a_join_are_staged_by_one_clock(spark, monkeypatch):
+    """The short input must not run ahead of the long one: batch i of both lies before batch i + 1 of either."""
+    monkeypatch.setattr(jobs, "ROWS_PER_FILE", 500)
+    orders = spark.range(2_000).select("id", (F.col("id") * 10).alias("at"))
+    details = spark.range(8_000).select("id", (F.col("id") * 5 % 40_000 / 2).cast("long").alias("at"))     # all by half time
+    staged = jobs.stage_together([(orders, "o", F.col("at")), (details, "d", F.col("at"))])
+    ends = []
+    for s, df in zip(staged, (orders, details)):
+        t, w = _times(s), s.files_per_batch
+        assert len(t) % w == 0
+        ends.append([(min(x[0] for x in t[i: i + w]), max(x[1] for x in t[i: i + w])) for i in range(0, len(t), w)])
+        back = spark.read.parquet(s.path)
+        assert sorted(back.collect()) == sorted(df.collect())
+    assert staged[1].files_per_batch > 1 and len(ends[0]) >= len(ends[1]) >= 4
+    for i in range(len(ends[1]) - 1):
+        assert max(ends[0][i][1], ends[1][i][1]) < min(ends[0][i + 1][0], ends[1][i + 1][0])
+
+
+def test_a_large_batch_is_a_file_for_every_core(spark, monkeypatch):
+    monkeypatch.setattr(jobs, "ROWS_PER_FILE", 100)
+    cores = spark.sparkContext.defaultParallelism
+    df = spark.range(100 * cores * 6).select("id", (F.col("id") * 7).alias("at"))
+    staged = jobs.stage(df, "wide", "at", jobs.sentinel(df, "at", "id", -1))
+    t = _times(staged)
+    assert staged.files_per_batch == cores and len(t) == 6 * cores + 1
+    assert t == sorted(t) and all(a[1] < b[0] for a, b in zip(t, t[1:]))       # the end row is alone in the last
+    out = jobs.run_available_now(jobs.read_staged(spark, staged), "wide")
+    assert out.count() == 600 * cores + 1
+    assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage") == "true"
