@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timefmt import TEXT_OFFSET_HOURS, age_years, event_time, text_to_millis
+from ..functions.timefmt import TEXT_OFFSET_HOURS, age_years, event_time, with_millis
 from ..schemas import ORDER_WIDE_COLUMNS, PAYMENT_WIDE_COLUMNS
 from .lookup import enrich
 
@@ -31,14 +31,18 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     ``right time BETWEEN left time + lower AND left time + upper`` (both ends inclusive).
 
     ``lower``/``upper`` are signed durations such as ``'-5 milliseconds'``.  Times are epoch-millis
-    columns; event-time columns ``_lt``/``_rt`` are derived (and watermarked when streaming) and
-    dropped from the output.
+    columns.  Batch compares them as they are; when streaming, event-time columns ``_lt``/``_rt`` are
+    derived, watermarked and dropped from the output.
     """
     streaming = left.isStreaming or right.isStreaming
     lo, hi = _ms(lower.lstrip("-")) * (-1 if lower.startswith("-") else 1), _ms(upper.lstrip("-")) * (-1 if upper.startswith("-") else 1)
+    if not streaming:
+        lt, rt = left.withColumn("_lt", F.col(left_ms)), right.withColumn("_rt", F.col(right_ms))
+        cond = (lt[left_key] == rt[right_key]) & rt["_rt"].between(lt["_lt"] + F.lit(lo), lt["_lt"] + F.lit(hi))
+        return lt.join(rt, cond, "inner").drop("_lt", "_rt")
     lt = left.withColumn("_lt", event_time(F.col(left_ms), streaming))
     rt = right.withColumn("_rt", event_time(F.col(right_ms), streaming))
-    if streaming and watermark:
+    if watermark:
         lt = lt.withWatermark("_lt", watermark)
         rt = rt.withWatermark("_rt", watermark)
     cond = ((lt[left_key] == rt[right_key])
@@ -99,24 +103,28 @@ def order_wide(order_info: DataFrame, order_detail: DataFrame, dims: dict[str, D
 
 
 def payment_wide(payment_info: DataFrame, wide: DataFrame, *, within: str = "1800 seconds",
-                 watermark: str | None = "3 seconds", offset_hours: int = TEXT_OFFSET_HOURS) -> DataFrame:
+                 watermark: str | None = "3 seconds", offset_hours: int = TEXT_OFFSET_HOURS,
+                 create_ts: bool = False) -> DataFrame:
     """Payment x order-wide: same order, order time in ``[callback - within, callback]``.
 
     Every wide column is copied, then the payment's own values win on shared names
     (``order_id``, ``user_id``, ``total_amount``); ``create_time`` is renamed on both sides.
     ``wide`` may also be the un-enriched order lines: absent wide columns are simply not output.
+    ``create_ts`` adds ``payment_create_ts`` (epoch millis), read once per payment and not once per line.
     """
-    p = payment_info.select(F.col("id").alias("payment_id"), "subject", "payment_type",
+    also = ["payment_create_ts"] if create_ts else []
+    times = {"p_ts": "callback_time", **{c: "create_time" for c in also}}
+    p = with_millis(payment_info, times, offset_hours).select(F.col("id").alias("payment_id"), "subject", "payment_type",
                             F.col("create_time").alias("payment_create_time"), "callback_time",
                             F.col("order_id").alias("p_order_id"), F.col("user_id").alias("p_user_id"),
                             F.col("total_amount").alias("p_total_amount"),
-                            text_to_millis(F.col("callback_time"), offset_hours).alias("p_ts"))
+                            "p_ts", *also)
     w = wide.withColumnRenamed("create_time", "order_create_time")
     j = interval_join(p, w, "p_order_id", "order_id", "p_ts", "create_ts", "-" + within, "0 seconds",
                       watermark=watermark)
     j = j.drop("order_id", "user_id", "total_amount").withColumnsRenamed(
         {"p_order_id": "order_id", "p_user_id": "user_id", "p_total_amount": "total_amount"})
-    return j.select(*[c for c in PAYMENT_WIDE_COLUMNS if c in j.columns], "p_ts")
+    return j.select(*[c for c in PAYMENT_WIDE_COLUMNS if c in j.columns], "p_ts", *also)
 
 
 # The order/detail fields that two partial wide rows can both carry.

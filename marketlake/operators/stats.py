@@ -5,7 +5,8 @@ moves more than one partial row per task.  Distinct order counts:
 
 * product stats: a two-level aggregate -- first by ``(window, sku, kind, order id)``, then
   by ``(window, sku)`` counting the order-id groups -- which avoids the ``Expand`` that three
-  ``count(distinct)`` would add;
+  ``count(distinct)`` would add; in batch the first level is one narrow aggregate per order stream, in the
+  partitioning of the join by order that the stream comes from;
 * province stats: the same by (window, province, order id);
 * streaming: the same two levels as chained append-mode aggregates; a state row holds one order, never
   the set of a window's orders.
@@ -14,6 +15,7 @@ moves more than one partial row per task.  Distinct order counts:
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -21,9 +23,10 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import APPRAISE_GOOD, KEYWORD_SEARCH
 from ..functions.text import keyword_sources, words
-from ..functions.timefmt import DATETIME_FMT, TEXT_OFFSET_HOURS, event_time, millis_to_ntz, text_to_millis
+from ..functions.timefmt import DATETIME_FMT, TEXT_OFFSET_HOURS, event_time, millis_to_ntz, with_millis
 from ..schemas import (AMOUNT, AMOUNT_SUM, KEYWORD_STATS_COLUMNS, PRODUCT_STATS_COLUMNS,
                        PROVINCE_STATS_COLUMNS, VISITOR_STATS_COLUMNS)
+from .joins import _ms
 from .lookup import enrich
 from .logs import is_entry, is_start
 
@@ -45,7 +48,7 @@ def cents(c) -> Column:
 
 
 def from_cents(c) -> Column:
-    return ((F.col(c) if isinstance(c, str) else c).cast("decimal(38,0)") / F.lit(100)).cast(AMOUNT_SUM)
+    return ((F.col(c) if isinstance(c, str) else c).cast("decimal(19,0)") * F.lit(Decimal("0.01"))).cast(AMOUNT_SUM)
 
 
 def tumble(df: DataFrame, ts_ms: str, size: str, watermark: str | None) -> DataFrame:
@@ -125,26 +128,24 @@ PRODUCT_AMOUNTS = ["order_amount", "payment_amount", "refund_amount"]
 ORDER_KINDS = {"order": "order_ct", "paid": "paid_order_ct", "refund": "refund_order_ct"}
 
 
-def _product_rows(df: DataFrame, sku: Column, ts: Column, kind: str | None = None,
-                  oid: Column | None = None, **measures: Column) -> DataFrame:
+def _product_rows(df: DataFrame, sku: Column, ts: Column, oid: Column | None = None, **measures: Column) -> DataFrame:
     cols = [sku.cast("bigint").alias("sku_id")]
-    cols += [measures.get(c, _l0()).cast("bigint").alias(c) for c in PRODUCT_COUNTS]
-    cols += [measures.get(c, _a0()).cast(AMOUNT).alias(c) for c in PRODUCT_AMOUNTS]
-    cols += [F.lit(kind).cast("string").alias("kind"),
-             (oid if oid is not None else F.lit(None)).cast("bigint").alias("oid"), ts.cast("bigint").alias("ts")]
-    return df.select(*cols)
+    cols += [measures[c].cast("bigint").alias(c) for c in PRODUCT_COUNTS if c in measures]
+    cols += [measures[c].cast(AMOUNT).alias(c) for c in PRODUCT_AMOUNTS if c in measures]
+    cols += [oid.cast("bigint").alias("oid")] if oid is not None else []
+    return df.select(*cols, ts.cast("bigint").alias("ts"))
 
 
-def product_measures(page_log: DataFrame, favor: DataFrame, cart: DataFrame, order_wide: DataFrame,
-                     payment_wide: DataFrame, refund: DataFrame, comment: DataFrame, *,
-                     offset_hours: int = TEXT_OFFSET_HOURS) -> DataFrame:
+def product_streams(page_log: DataFrame, favor: DataFrame, cart: DataFrame, order_wide: DataFrame,
+                    payment_wide: DataFrame, refund: DataFrame, comment: DataFrame, *,
+                    offset_hours: int = TEXT_OFFSET_HOURS) -> list[tuple[str | None, DataFrame]]:
     """Seven measure streams (page clicks + displays, favor, cart, order, payment, refund,
-    comment) in one shape, unioned.  ``kind``/``oid`` carry the order id of order, payment and
-    refund rows for the distinct counts."""
+    comment), each a kind and rows of ``sku_id, ts`` and its own measures.  Order, payment and refund rows have a
+    kind and carry the order id ``oid`` for the distinct counts."""
     one = F.lit(1)
 
-    def text_ms(c: str) -> Column:
-        return text_to_millis(F.col(c), offset_hours)
+    def timed(df: DataFrame, c: str = "create_time") -> DataFrame:
+        return with_millis(df, {"_ms": c}, offset_hours)
 
     # clicks and displays: rows of one pass over the page log
     none = F.array().cast("array<struct<item:string,click:int,display:int>>")
@@ -155,23 +156,61 @@ def product_measures(page_log: DataFrame, favor: DataFrame, cart: DataFrame, ord
         F.when(F.col("page.page_id") == "good_detail", click).otherwise(none),
         F.when(~is_start(), F.coalesce(shown, none)).otherwise(none))).alias("_m"))
     seen = _product_rows(seen, F.col("_m.item").try_cast("bigint"), F.col("ts"), click_ct=F.col("_m.click"), display_ct=F.col("_m.display"))
-    fav = _product_rows(favor, F.col("sku_id"), text_ms("create_time"), favor_ct=one)
-    crt = _product_rows(cart, F.col("sku_id"), text_ms("create_time"), cart_ct=one)
-    odr = _product_rows(order_wide, F.col("sku_id"), F.col("create_ts"), "order", F.col("order_id"),
+    fav = _product_rows(timed(favor), F.col("sku_id"), F.col("_ms"), favor_ct=one)
+    crt = _product_rows(timed(cart), F.col("sku_id"), F.col("_ms"), cart_ct=one)
+    odr = _product_rows(order_wide, F.col("sku_id"), F.col("create_ts"), F.col("order_id"),
                         order_sku_num=F.col("sku_num"), order_amount=F.col("split_total_amount"))
-    pay = _product_rows(payment_wide, F.col("sku_id"), text_ms("payment_create_time"),
-                        "paid", F.col("order_id"), payment_amount=F.col("split_total_amount"))
-    rfd = _product_rows(refund, F.col("sku_id"), text_ms("create_time"), "refund",
-                        F.col("order_id"), refund_amount=F.col("refund_amount"))
-    cmt = _product_rows(comment, F.col("sku_id"), text_ms("create_time"),
+    read = "payment_create_ts" in payment_wide.columns
+    paid = payment_wide.withColumn("_ms", F.col("payment_create_ts")) if read else timed(payment_wide, "payment_create_time")
+    pay = _product_rows(paid, F.col("sku_id"), F.col("_ms"), F.col("order_id"), payment_amount=F.col("split_total_amount"))
+    rfd = _product_rows(timed(refund), F.col("sku_id"), F.col("_ms"), F.col("order_id"), refund_amount=F.col("refund_amount"))
+    cmt = _product_rows(timed(comment), F.col("sku_id"), F.col("_ms"),
                         comment_ct=one, good_comment_ct=F.when(F.col("appraise") == APPRAISE_GOOD, 1).otherwise(0))
-    return union_all([seen, fav, crt, odr, pay, rfd, cmt])
+    return [(None, seen), (None, fav), (None, crt), ("order", odr), ("paid", pay), ("refund", rfd), (None, cmt)]
+
+
+def product_union(streams: list[tuple[str | None, DataFrame]]) -> DataFrame:
+    """Measure streams in one shape, unioned: what a stream does not measure is zero, ``kind``/``oid`` tell its orders."""
+    def rows(kind: str | None, df: DataFrame) -> DataFrame:
+        return df.select("sku_id", *[(F.col(c) if c in df.columns else _l0()).alias(c) for c in PRODUCT_COUNTS],
+                         *[(F.col(c) if c in df.columns else _a0()).alias(c) for c in PRODUCT_AMOUNTS], F.lit(kind).cast("string").alias("kind"),
+                         (F.col("oid") if kind else F.lit(None).cast("bigint")).alias("oid"), "ts")
 
+    return union_all([rows(kind, df) for kind, df in streams])
 
-def product_window_sums(measures: DataFrame, size: str = "10 seconds",
+
+def product_measures(page_log: DataFrame, favor: DataFrame, cart: DataFrame, order_wide: DataFrame,
+                     payment_wide: DataFrame, refund: DataFrame, comment: DataFrame, *,
+                     offset_hours: int = TEXT_OFFSET_HOURS) -> DataFrame:
+    """The seven measure streams (see ``product_streams``) in one shape, unioned."""
+    return product_union(product_streams(page_log, favor, cart, order_wide, payment_wide, refund, comment, offset_hours=offset_hours))
+
+
+def _stream_sums(kind: str | None, rows: DataFrame, size: str) -> DataFrame:
+    """Level 1 of one stream in the shape of all: by (window start in millis, sku, order id) for a stream of orders, with 1 in
+    its order count; a stream without order ids has nothing to tell apart and is left to level 2."""
+    own = [c for c in PRODUCT_COUNTS + PRODUCT_AMOUNTS if c in rows.columns]
+    start = F.col("ts") - F.pmod("ts", F.lit(_ms(size)))
+    d = rows.where(F.col("ts").isNotNull()).withColumns({"_start": start, **{c: cents(c) for c in own if c in PRODUCT_AMOUNTS}})
+    if kind:
+        d = d.groupBy("_start", "sku_id", "oid").agg(*[F.sum(c).alias(c) for c in own])
+        counts = {ORDER_KINDS[kind]: F.col("oid").isNotNull().cast("bigint")}
+    else:
+        counts = {}
+    return d.select("_start", "sku_id", *[(F.col(c) if c in own else _l0()).alias(c) for c in PRODUCT_COUNTS + PRODUCT_AMOUNTS],
+                    *[counts.get(c, _l0()).alias(c) for c in ORDER_KINDS.values()])
+
+
+def product_window_sums(measures: DataFrame | list[tuple[str | None, DataFrame]], size: str = "10 seconds",
                         watermark: str | None = "0 seconds") -> DataFrame:
     """Window aggregate by sku: 10 sums + 3 exact distinct order counts; dimension columns not yet
-    filled.  Output: ``_w, sku_id`` + measures."""
+    filled.  Output: ``_w, sku_id`` + measures.  Batch ``product_streams`` are summed stream by stream on their way into
+    the union: no wide row of one measure is exchanged, and what a join by order left together is not dealt anew."""
+    if isinstance(measures, list):
+        g = union_all([_stream_sums(kind, rows, size) for kind, rows in measures]).groupBy("_start", "sku_id").agg(
+            *[F.sum(c).alias(c) for c in PRODUCT_COUNTS + PRODUCT_AMOUNTS], *[F.sum(c).alias(c) for c in ORDER_KINDS.values()])
+        w = F.struct(millis_to_ntz("_start").alias("start"), millis_to_ntz(F.col("_start") + F.lit(_ms(size))).alias("end"))
+        return g.select(w.alias("_w"), "sku_id", *PRODUCT_COUNTS, *[from_cents(c).alias(c) for c in PRODUCT_AMOUNTS], *ORDER_KINDS.values())
     d = tumble(measures, "ts", size, watermark)
     d = d.withColumns({c: cents(c) for c in PRODUCT_AMOUNTS})
     w = F.window("_et", size).alias("_w")
@@ -186,9 +225,10 @@ def product_window_sums(measures: DataFrame, size: str = "10 seconds",
     return lvl2.withColumns(back)
 
 
-def product_stats(measures: DataFrame, dims: dict[str, DataFrame], size: str = "10 seconds", *,
+def product_stats(measures: DataFrame | list[tuple[str | None, DataFrame]], dims: dict[str, DataFrame], size: str = "10 seconds", *,
                   as_of_ms: Column | int, watermark: str | None = "0 seconds", unique_dims: bool = False) -> DataFrame:
     """Window aggregate, then the dimension lookups on the (much smaller) aggregate."""
+    instant = not isinstance(measures, list) and measures.isStreaming
     g = product_window_sums(measures, size, watermark)
     g = enrich(g, dims["sku"], "sku_id", {"sku_name": "sku_name", "sku_price": "price", "spu_id": "spu_id",
                                            "tm_id": "tm_id", "category3_id": "category3_id"}, unique=unique_dims)
@@ -199,7 +239,7 @@ def product_stats(measures: DataFrame, dims: dict[str, DataFrame], size: str = "
     # one projection (every DataFrame step re-analyses the whole plan, so no withColumn loops)
     typed = {c: F.col(c).cast("bigint") for c in PRODUCT_COUNTS + list(ORDER_KINDS.values())}
     typed.update({c: F.col(c).cast(AMOUNT_SUM) for c in PRODUCT_AMOUNTS})
-    bounds = dict(zip(("stt", "edt"), window_bounds(instant=measures.isStreaming)))
+    bounds = dict(zip(("stt", "edt"), window_bounds(instant=instant)))
     out = [bounds[c] if c in bounds else ts.alias("ts") if c == "ts" else
            typed[c].alias(c) if c in typed else F.col(c) for c in PRODUCT_STATS_COLUMNS]
     return g.select(*out)

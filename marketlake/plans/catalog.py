@@ -140,7 +140,7 @@ def product_union(spark, d):
 
 def product_stats(spark, d):
     w = Warehouse(spark, d)
-    g = stats.product_window_sums(w.product_measures, w.params.window)
+    g = stats.product_window_sums(w.product_streams, w.params.window)
     g = g.select(*stats.window_bounds(), "sku_id", *[c for c in g.columns if c not in ("_w", "sku_id")])
     return _amounts(g)
 

@@ -148,10 +148,10 @@ def order_detail(spark: SparkSession, sf_dir: str, time: str = "ship") -> DataFr
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity",
                                                  "l_extendedprice", "l_shipdate")
     if time == "order":
-        o = table(spark, sf_dir, "orders").select(F.col("o_orderkey"), F.col("o_orderdate").alias("_t"))
+        o = table(spark, sf_dir, "orders").select(F.col("o_orderkey"), F.col("o_orderdate").alias("_t"), _ms_of_text_time("o_orderdate"))
         li = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
     elif time == "ship":
-        li = li.withColumn("_t", F.col("l_shipdate"))
+        li = li.withColumn("_t", F.col("l_shipdate")).withColumn("create_ts", _ms_of_text_time("l_shipdate"))
     else:
         raise ValueError(time)
     ct = datetime_str("_t")
@@ -161,7 +161,7 @@ def order_detail(spark: SparkSession, sf_dir: str, time: str = "ship") -> DataFr
         _dec("l_extendedprice").alias("order_price"), F.col("l_quantity").cast("bigint").alias("sku_num"),
         F.lit(None).cast("string").alias("sku_name"), ct.alias("create_time"),
         _dec("l_extendedprice").alias("split_total_amount"), _zero().alias("split_activity_amount"),
-        _zero().alias("split_coupon_amount"), _ms_of_text_time("_t"))
+        _zero().alias("split_coupon_amount"), "create_ts")
 
 
 PAYMENT_TYPES = ["1101", "1102", "1103"]
