@@ -167,6 +167,16 @@ def test_order_lines_are_summed_where_their_join_left_them(spark):
     assert not [x for x in plan.splitlines() if "Filter" in x and "gettimestamp" in x]
 
 
+def test_words_are_cut_for_counted_products_only_and_without_a_lambda(spark):
+    plan = _plan(Warehouse(spark, SF).keyword_product_stats)
+    assert "lambda" not in plan.lower().split("regexp_extract_all")[0]
+    assert re.search(r"Filter \(\(\(click_ct#\S+ > 0\) OR \(cart_ct#\S+ > 0\)\) OR \(order_ct#\S+ > 0\)\)", plan)
+    ps = spark.createDataFrame([("a b", 0, 0, 0, "x", "y"), ("a b", None, 2, None, "x", "y"), (None, 1, 1, 1, "x", "y"), ("-", 1, 1, 1, "x", "y"),
+                                ("C", 1, None, 3, "x", "y")], "sku_name string, click_ct long, cart_ct long, order_ct long, stt string, edt string")
+    got = [(r.keyword, r.ct, r.source) for r in stats.keyword_product_stats(ps, as_of_ms=0).collect()]
+    assert got == [("a", 2, "CART"), ("b", 2, "CART"), ("c", 1, "CLICK"), ("c", 3, "ORDER")]
+
+
 
 def test_text_times_are_read_as_by_the_pattern(spark):
     good = ["2024-02-29 23:59:59", "0000-01-01 00:00:00", "9999-12-31 00:00:01", None]
