@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketlake.functions import timefmt
-from marketlake.operators import routing, stats
+from marketlake.operators import reports, routing, stats
 from marketlake.operators.neighbors import asof, bucket_of
 from marketlake.schemas import TABLE_PROCESS
 from marketlake.plans.warehouse import Warehouse
@@ -177,6 +177,11 @@ def test_words_are_cut_for_counted_products_only_and_without_a_lambda(spark):
     assert got == [("a", 2, "CART"), ("b", 2, "CART"), ("c", 1, "CLICK"), ("c", 3, "ORDER")]
 
 
+def test_report_days_need_no_pattern(spark):
+    assert "regexp_replace" not in _plan(reports.by_spu(Warehouse(spark, SF).product_stats))
+    df = spark.createDataFrame([("2024-01-02 00:00:00",), ("+10000-01-01 00:00:00",), ("",), (None,)], "stt string")
+    assert [r.dt for r in reports.with_day(df).collect()] == ["20240102", "+1000001", "", None]
+
 
 def test_text_times_are_read_as_by_the_pattern(spark):
     good = ["2024-02-29 23:59:59", "0000-01-01 00:00:00", "9999-12-31 00:00:01", None]
