@@ -14,6 +14,7 @@ from marketlake.functions import timefmt
 from marketlake.operators import reports, routing, stats
 from marketlake.operators.neighbors import asof, bucket_of
 from marketlake.schemas import TABLE_PROCESS
+from marketlake.plans.catalog import QUERIES
 from marketlake.plans.warehouse import Warehouse
 from marketlake.sources import tables as T
 from marketlake.streaming import jobs
@@ -195,3 +196,14 @@ def test_text_times_are_read_as_by_the_pattern(spark):
         for c in (timefmt.parse_datetime("s"), F.to_timestamp_ntz("s", F.lit(timefmt.DATETIME_FMT))):
             with pytest.raises(Exception, match="CANNOT_PARSE_TIMESTAMP"):
                 spark.createDataFrame([(bad,)], "s string").select(c).collect()
+
+
+@pytest.mark.parametrize("name", ["keyword_topn"])
+def test_reports_share_the_sums_by_stream(spark, name):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(QUERIES[name](spark, SF))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")
+    assert len(re.findall(r"Exchange hashpartitioning\([^)]*oid#", plan)) == 1 and "regexp_replace" not in plan
+    assert not [x for x in plan.splitlines() if "Filter" in x and "gettimestamp" in x]
