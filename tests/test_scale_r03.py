@@ -198,7 +198,7 @@ def test_text_times_are_read_as_by_the_pattern(spark):
                 spark.createDataFrame([(bad,)], "s string").select(c).collect()
 
 
-@pytest.mark.parametrize("name", ["keyword_topn", "name_value_list"])
+@pytest.mark.parametrize("name", ["keyword_topn", "name_value_list", "spu_document"])
 def test_reports_share_the_sums_by_stream(spark, name):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
