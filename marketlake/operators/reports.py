@@ -15,6 +15,7 @@ from ..functions.codes import keyword_weight
 from ..functions.ratios import bounce_rate, pages_per_session, seconds_per_session
 from ..functions.timefmt import hour_label
 from ..schemas import AMOUNT_SUM
+from .stats import cents, from_cents
 
 # ---- fixed values: row labels of the new/old visitor table, in display order -------------------
 VISITOR_ROW_LABELS = [
@@ -74,12 +75,17 @@ def gmv(product_stats: DataFrame, date: str | None = None) -> DataFrame:
 
 def _by(product_stats: DataFrame, id_col: str, name_col: str, n: int, date: str | None,
         with_orders: bool = False) -> DataFrame:
+    """Amounts are summed and ordered as exact cents (see ``stats.cents``).  A product row that adds nothing to a sum cannot
+    bring a group over zero: it is left out before the lookups."""
     d = _scope(product_stats, date)
-    aggs = [F.sum("order_amount").cast(AMOUNT_SUM).alias("order_amount")]
+    adds = F.col("order_amount") != 0
+    aggs = [F.sum(cents("order_amount")).alias("_cents")]
     if with_orders:
+        adds = (F.col("order_ct") != 0) | adds
         aggs.append(F.sum("order_ct").cast("bigint").alias("order_ct"))
-    g = d.groupBy("dt", id_col, name_col).agg(*aggs).filter(F.col("order_amount") > 0)
-    return _top(g, n, [F.desc("order_amount"), F.asc(id_col)], date)
+    g = d.where(adds).groupBy("dt", id_col, name_col).agg(*aggs).filter(F.col("_cents") > 0)
+    top = _top(g, n, [F.desc("_cents"), F.asc(id_col)], date)
+    return top.select("dt", id_col, name_col, from_cents("_cents").alias("order_amount"), *top.columns[4:])
 
 
 def by_trademark(product_stats: DataFrame, n: int = 10, date: str | None = None) -> DataFrame:

@@ -225,16 +225,23 @@ def product_window_sums(measures: DataFrame | list[tuple[str | None, DataFrame]]
     return lvl2.withColumns(back)
 
 
+def product_dimension(dims: dict[str, DataFrame], unique: bool = False) -> DataFrame:
+    """The sku dimension with the names of its spu, trademark and category3, one row per row of ``dims["sku"]``."""
+    s = enrich(dims["sku"], dims["spu"], "spu_id", {"spu_name": "spu_name"}, unique=unique)
+    s = enrich(s, dims["trademark"], "tm_id", {"tm_name": "tm_name"}, unique=unique)
+    return enrich(s, dims["category3"], "category3_id", {"category3_name": "name"})
+
+
 def product_stats(measures: DataFrame | list[tuple[str | None, DataFrame]], dims: dict[str, DataFrame], size: str = "10 seconds", *,
                   as_of_ms: Column | int, watermark: str | None = "0 seconds", unique_dims: bool = False) -> DataFrame:
-    """Window aggregate, then the dimension lookups on the (much smaller) aggregate."""
+    """Window aggregate, then one dimension lookup by sku: spu, trademark and category3 depend on the sku alone and are
+    looked up once per sku, not once per sku and window."""
     instant = not isinstance(measures, list) and measures.isStreaming
     g = product_window_sums(measures, size, watermark)
-    g = enrich(g, dims["sku"], "sku_id", {"sku_name": "sku_name", "sku_price": "price", "spu_id": "spu_id",
-                                           "tm_id": "tm_id", "category3_id": "category3_id"}, unique=unique_dims)
-    g = enrich(g, dims["spu"], "spu_id", {"spu_name": "spu_name"}, unique=unique_dims)
-    g = enrich(g, dims["trademark"], "tm_id", {"tm_name": "tm_name"}, unique=unique_dims)
-    g = enrich(g, dims["category3"], "category3_id", {"category3_name": "name"})
+    # of a repeated sku the greatest row counts: the ids before the names that follow from them
+    g = enrich(g, product_dimension(dims, unique_dims), "sku_id",
+               {"sku_name": "sku_name", "sku_price": "price", "spu_id": "spu_id", "tm_id": "tm_id", "category3_id": "category3_id",
+                "spu_name": "spu_name", "tm_name": "tm_name", "category3_name": "category3_name"}, unique=unique_dims)
     ts = as_of_ms if isinstance(as_of_ms, Column) else F.lit(as_of_ms).cast("bigint")
     # one projection (every DataFrame step re-analyses the whole plan, so no withColumn loops)
     typed = {c: F.col(c).cast("bigint") for c in PRODUCT_COUNTS + list(ORDER_KINDS.values())}
