@@ -7,7 +7,7 @@ evicted by the watermarks).  A hot join key is split by AQE's skew-join handling
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timefmt import TEXT_OFFSET_HOURS, age_years, event_time, with_millis
@@ -102,6 +102,16 @@ def order_wide(order_info: DataFrame, order_detail: DataFrame, dims: dict[str, D
                              offset_hours, unique_dims)
 
 
+def _payments(payment_info: DataFrame, offset_hours: int, also: list[str]) -> DataFrame:
+    """The payment side of a join with order lines: its own columns told apart, its text times read once."""
+    times = {"p_ts": "callback_time", **{c: "create_time" for c in also}}
+    return with_millis(payment_info, times, offset_hours).select(F.col("id").alias("payment_id"), "subject", "payment_type",
+                            F.col("create_time").alias("payment_create_time"), "callback_time",
+                            F.col("order_id").alias("p_order_id"), F.col("user_id").alias("p_user_id"),
+                            F.col("total_amount").alias("p_total_amount"),
+                            "p_ts", *also)
+
+
 def payment_wide(payment_info: DataFrame, wide: DataFrame, *, within: str = "1800 seconds",
                  watermark: str | None = "3 seconds", offset_hours: int = TEXT_OFFSET_HOURS,
                  create_ts: bool = False) -> DataFrame:
@@ -113,12 +123,7 @@ def payment_wide(payment_info: DataFrame, wide: DataFrame, *, within: str = "180
     ``create_ts`` adds ``payment_create_ts`` (epoch millis), read once per payment and not once per line.
     """
     also = ["payment_create_ts"] if create_ts else []
-    times = {"p_ts": "callback_time", **{c: "create_time" for c in also}}
-    p = with_millis(payment_info, times, offset_hours).select(F.col("id").alias("payment_id"), "subject", "payment_type",
-                            F.col("create_time").alias("payment_create_time"), "callback_time",
-                            F.col("order_id").alias("p_order_id"), F.col("user_id").alias("p_user_id"),
-                            F.col("total_amount").alias("p_total_amount"),
-                            "p_ts", *also)
+    p = _payments(payment_info, offset_hours, also)
     w = wide.withColumnRenamed("create_time", "order_create_time")
     j = interval_join(p, w, "p_order_id", "order_id", "p_ts", "create_ts", "-" + within, "0 seconds",
                       watermark=watermark)
@@ -127,6 +132,24 @@ def payment_wide(payment_info: DataFrame, wide: DataFrame, *, within: str = "180
     return j.select(*[c for c in PAYMENT_WIDE_COLUMNS if c in j.columns], "p_ts", *also)
 
 
+def lines_with_payments(payment_info: DataFrame, lines: DataFrame, *, within: str = "1800 seconds",
+                        offset_hours: int = TEXT_OFFSET_HOURS) -> DataFrame:
+    """Batch ``payment_wide`` and the order lines themselves from one pass over the lines: every line once per payment of
+    its order, at least once.
+
+    ``line_first`` marks one row of each line (these rows are the order lines), ``line_paid`` the rows whose order time is
+    in ``[callback - within, callback]`` (these are the rows of ``payment_wide``), ``payment_create_ts`` is the payment's.
+    The pairs are those that the interval join looks at; a payment is numbered in the partitioning of that join.
+    """
+    nth = F.row_number().over(Window.partitionBy("p_order_id").orderBy("p_ts"))
+    p = _payments(payment_info, offset_hours, ["payment_create_ts"]).where(F.col("p_order_id").isNotNull()).select(
+        "p_order_id", "p_ts", "payment_create_ts", nth.alias("_nth"))
+    paid = F.col("create_ts").between(F.col("p_ts") - F.lit(_ms(within)), F.col("p_ts"))
+    return lines.join(p, F.col("order_id") == F.col("p_order_id"), "left").select(
+        *lines.columns, (F.coalesce(F.col("_nth"), F.lit(1)) == 1).alias("line_first"),
+        F.coalesce(paid, F.lit(False)).alias("line_paid"), "payment_create_ts")
+
+
 # The order/detail fields that two partial wide rows can both carry.
 MERGEABLE = ["order_status", "create_time", "create_date", "user_id", "total_amount",
              "activity_reduce_amount", "coupon_reduce_amount", "original_total_amount", "feight_fee",

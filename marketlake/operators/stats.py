@@ -5,8 +5,8 @@ moves more than one partial row per task.  Distinct order counts:
 
 * product stats: a two-level aggregate -- first by ``(window, sku, kind, order id)``, then
   by ``(window, sku)`` counting the order-id groups -- which avoids the ``Expand`` that three
-  ``count(distinct)`` would add; in batch the first level is one narrow aggregate per order stream, in the
-  partitioning of the join by order that the stream comes from;
+  ``count(distinct)`` would add; in batch the first level is one narrow aggregate per order stream (one for order and
+  paid lines that come from one pass), in the partitioning of the join by order that the stream comes from;
 * province stats: the same by (window, province, order id);
 * streaming: the same two levels as chained append-mode aggregates; a state row holds one order, never
   the set of a window's orders.
@@ -128,52 +128,74 @@ PRODUCT_AMOUNTS = ["order_amount", "payment_amount", "refund_amount"]
 ORDER_KINDS = {"order": "order_ct", "paid": "paid_order_ct", "refund": "refund_order_ct"}
 
 
-def _product_rows(df: DataFrame, sku: Column, ts: Column, oid: Column | None = None, **measures: Column) -> DataFrame:
+def _product_rows(df: DataFrame, sku: Column, ts: Column, oid: Column | None = None, kind: Column | None = None, **measures: Column) -> DataFrame:
     cols = [sku.cast("bigint").alias("sku_id")]
     cols += [measures[c].cast("bigint").alias(c) for c in PRODUCT_COUNTS if c in measures]
     cols += [measures[c].cast(AMOUNT).alias(c) for c in PRODUCT_AMOUNTS if c in measures]
     cols += [oid.cast("bigint").alias("oid")] if oid is not None else []
+    cols += [kind.alias("kind")] if kind is not None else []
     return df.select(*cols, ts.cast("bigint").alias("ts"))
 
 
+def _seen_rows(page_log: DataFrame) -> DataFrame:
+    """Clicks and displays, rows of one pass over the page log: the page's own item comes first, its displays after it."""
+    shown = page_log.schema["displays"].dataType
+    own = F.struct(*[(F.col("page.item") if f.name == "item" else F.lit(None)).cast(f.dataType).alias(f.name) for f in shown.elementType.fields])
+    none = F.array().cast(shown.simpleString())
+    items = F.concat(F.array(own), F.when(~is_start(), F.coalesce("displays", none)).otherwise(none))
+    seen = page_log.select("ts", F.col("page.page_id").alias("_page"), F.posexplode(items).alias("_pos", "_m"))
+    seen = seen.where(F.when(F.col("_pos") == 0, F.col("_page") == "good_detail").otherwise(F.col("_m.item_type") == "sku_id"))
+    click = (F.col("_pos") == 0).cast("int")
+    return _product_rows(seen, F.col("_m.item").try_cast("bigint"), F.col("ts"), click_ct=click, display_ct=1 - click)
+
+
+def _line_rows(lines: DataFrame) -> DataFrame:
+    """Order and paid rows of ``lines_with_payments``, each with its ``kind``; the measure of the other kind is zero."""
+    order, paid = (F.struct(F.lit(k).alias("kind"), F.col(c).alias("ts")) for k, c in (("order", "create_ts"), ("paid", "payment_create_ts")))
+    rows = (F.when(F.col("line_first") & F.col("line_paid"), F.array(order, paid)).when(F.col("line_first"), F.array(order))
+            .when(F.col("line_paid"), F.array(paid)))
+    d = lines.select("sku_id", "order_id", "sku_num", "split_total_amount", F.explode(rows).alias("_k"))
+
+    def only(kind: str, c: str) -> Column:
+        return F.when(F.col("_k.kind") == kind, F.col(c)).otherwise(F.lit(0))
+
+    return _product_rows(d, F.col("sku_id"), F.col("_k.ts"), F.col("order_id"), order_sku_num=only("order", "sku_num"),
+                         order_amount=only("order", "split_total_amount"), payment_amount=only("paid", "split_total_amount"), kind=F.col("_k.kind"))
+
+
 def product_streams(page_log: DataFrame, favor: DataFrame, cart: DataFrame, order_wide: DataFrame,
-                    payment_wide: DataFrame, refund: DataFrame, comment: DataFrame, *,
-                    offset_hours: int = TEXT_OFFSET_HOURS) -> list[tuple[str | None, DataFrame]]:
+                    payment_wide: DataFrame | None, refund: DataFrame, comment: DataFrame, *,
+                    offset_hours: int = TEXT_OFFSET_HOURS) -> list[tuple[str | tuple[str, ...] | None, DataFrame]]:
     """Seven measure streams (page clicks + displays, favor, cart, order, payment, refund,
     comment), each a kind and rows of ``sku_id, ts`` and its own measures.  Order, payment and refund rows have a
-    kind and carry the order id ``oid`` for the distinct counts."""
+    kind and carry the order id ``oid`` for the distinct counts.  Without ``payment_wide`` the order lines are those of
+    ``lines_with_payments``: order and payment rows are one stream of two kinds and tell theirs in a column."""
     one = F.lit(1)
 
     def timed(df: DataFrame, c: str = "create_time") -> DataFrame:
         return with_millis(df, {"_ms": c}, offset_hours)
 
-    # clicks and displays: rows of one pass over the page log
-    none = F.array().cast("array<struct<item:string,click:int,display:int>>")
-    click = F.array(F.struct(F.col("page.item").alias("item"), F.lit(1).alias("click"), F.lit(0).alias("display")))
-    shown = F.transform(F.filter("displays", lambda d: d["item_type"] == "sku_id"),
-                        lambda d: F.struct(d["item"].alias("item"), F.lit(0).alias("click"), F.lit(1).alias("display")))
-    seen = page_log.select("ts", F.explode(F.concat(
-        F.when(F.col("page.page_id") == "good_detail", click).otherwise(none),
-        F.when(~is_start(), F.coalesce(shown, none)).otherwise(none))).alias("_m"))
-    seen = _product_rows(seen, F.col("_m.item").try_cast("bigint"), F.col("ts"), click_ct=F.col("_m.click"), display_ct=F.col("_m.display"))
+    seen = _seen_rows(page_log)
     fav = _product_rows(timed(favor), F.col("sku_id"), F.col("_ms"), favor_ct=one)
     crt = _product_rows(timed(cart), F.col("sku_id"), F.col("_ms"), cart_ct=one)
+    rfd = _product_rows(timed(refund), F.col("sku_id"), F.col("_ms"), F.col("order_id"), refund_amount=F.col("refund_amount"))
+    cmt = _product_rows(timed(comment), F.col("sku_id"), F.col("_ms"),
+                        comment_ct=one, good_comment_ct=F.when(F.col("appraise") == APPRAISE_GOOD, 1).otherwise(0))
+    if payment_wide is None:
+        return [(None, seen), (None, fav), (None, crt), (("order", "paid"), _line_rows(order_wide)), ("refund", rfd), (None, cmt)]
     odr = _product_rows(order_wide, F.col("sku_id"), F.col("create_ts"), F.col("order_id"),
                         order_sku_num=F.col("sku_num"), order_amount=F.col("split_total_amount"))
     read = "payment_create_ts" in payment_wide.columns
     paid = payment_wide.withColumn("_ms", F.col("payment_create_ts")) if read else timed(payment_wide, "payment_create_time")
     pay = _product_rows(paid, F.col("sku_id"), F.col("_ms"), F.col("order_id"), payment_amount=F.col("split_total_amount"))
-    rfd = _product_rows(timed(refund), F.col("sku_id"), F.col("_ms"), F.col("order_id"), refund_amount=F.col("refund_amount"))
-    cmt = _product_rows(timed(comment), F.col("sku_id"), F.col("_ms"),
-                        comment_ct=one, good_comment_ct=F.when(F.col("appraise") == APPRAISE_GOOD, 1).otherwise(0))
     return [(None, seen), (None, fav), (None, crt), ("order", odr), ("paid", pay), ("refund", rfd), (None, cmt)]
 
 
-def product_union(streams: list[tuple[str | None, DataFrame]]) -> DataFrame:
+def product_union(streams: list[tuple[str | tuple[str, ...] | None, DataFrame]]) -> DataFrame:
     """Measure streams in one shape, unioned: what a stream does not measure is zero, ``kind``/``oid`` tell its orders."""
-    def rows(kind: str | None, df: DataFrame) -> DataFrame:
+    def rows(kind: str | tuple[str, ...] | None, df: DataFrame) -> DataFrame:
         return df.select("sku_id", *[(F.col(c) if c in df.columns else _l0()).alias(c) for c in PRODUCT_COUNTS],
-                         *[(F.col(c) if c in df.columns else _a0()).alias(c) for c in PRODUCT_AMOUNTS], F.lit(kind).cast("string").alias("kind"),
+                         *[(F.col(c) if c in df.columns else _a0()).alias(c) for c in PRODUCT_AMOUNTS], (F.col("kind") if isinstance(kind, tuple) else F.lit(kind).cast("string")).alias("kind"),
                          (F.col("oid") if kind else F.lit(None).cast("bigint")).alias("oid"), "ts")
 
     return union_all([rows(kind, df) for kind, df in streams])
@@ -186,22 +208,25 @@ def product_measures(page_log: DataFrame, favor: DataFrame, cart: DataFrame, ord
     return product_union(product_streams(page_log, favor, cart, order_wide, payment_wide, refund, comment, offset_hours=offset_hours))
 
 
-def _stream_sums(kind: str | None, rows: DataFrame, size: str) -> DataFrame:
+def _stream_sums(kind: str | tuple[str, ...] | None, rows: DataFrame, size: str) -> DataFrame:
     """Level 1 of one stream in the shape of all: by (window start in millis, sku, order id) for a stream of orders, with 1 in
-    its order count; a stream without order ids has nothing to tell apart and is left to level 2."""
+    its order count (of each kind that the order has there); a stream without order ids has nothing to tell apart and is left to level 2."""
     own = [c for c in PRODUCT_COUNTS + PRODUCT_AMOUNTS if c in rows.columns]
     start = F.col("ts") - F.pmod("ts", F.lit(_ms(size)))
     d = rows.where(F.col("ts").isNotNull()).withColumns({"_start": start, **{c: cents(c) for c in own if c in PRODUCT_AMOUNTS}})
     if kind:
-        d = d.groupBy("_start", "sku_id", "oid").agg(*[F.sum(c).alias(c) for c in own])
-        counts = {ORDER_KINDS[kind]: F.col("oid").isNotNull().cast("bigint")}
+        several = kind if isinstance(kind, tuple) else ()
+        d = d.groupBy("_start", "sku_id", "oid").agg(*[F.sum(c).alias(c) for c in own],
+                                                     *[F.max(F.col("kind") == k).alias(f"_{k}") for k in several])
+        counts = {ORDER_KINDS[k]: (F.col("oid").isNotNull() & (F.col(f"_{k}") if several else F.lit(True))).cast("bigint")
+                  for k in several or (kind,)}
     else:
         counts = {}
     return d.select("_start", "sku_id", *[(F.col(c) if c in own else _l0()).alias(c) for c in PRODUCT_COUNTS + PRODUCT_AMOUNTS],
                     *[counts.get(c, _l0()).alias(c) for c in ORDER_KINDS.values()])
 
 
-def product_window_sums(measures: DataFrame | list[tuple[str | None, DataFrame]], size: str = "10 seconds",
+def product_window_sums(measures: DataFrame | list[tuple[str | tuple[str, ...] | None, DataFrame]], size: str = "10 seconds",
                         watermark: str | None = "0 seconds") -> DataFrame:
     """Window aggregate by sku: 10 sums + 3 exact distinct order counts; dimension columns not yet
     filled.  Output: ``_w, sku_id`` + measures.  Batch ``product_streams`` are summed stream by stream on their way into
@@ -232,7 +257,7 @@ def product_dimension(dims: dict[str, DataFrame], unique: bool = False) -> DataF
     return enrich(s, dims["category3"], "category3_id", {"category3_name": "name"})
 
 
-def product_stats(measures: DataFrame | list[tuple[str | None, DataFrame]], dims: dict[str, DataFrame], size: str = "10 seconds", *,
+def product_stats(measures: DataFrame | list[tuple[str | tuple[str, ...] | None, DataFrame]], dims: dict[str, DataFrame], size: str = "10 seconds", *,
                   as_of_ms: Column | int, watermark: str | None = "0 seconds", unique_dims: bool = False) -> DataFrame:
     """Window aggregate, then one dimension lookup by sku: spu, trademark and category3 depend on the sku alone and are
     looked up once per sku, not once per sku and window."""

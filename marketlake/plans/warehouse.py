@@ -114,15 +114,15 @@ class Warehouse:
         return stats.visitor_stats(self.visitor_measures, self.params.visitor_window, as_of_ms=self.params.as_of_ms)
 
     @cached_property
-    def product_streams(self) -> list[tuple[str | None, DataFrame]]:
+    def product_streams(self) -> list[tuple[str | tuple[str, ...] | None, DataFrame]]:
         """Product measures read the order lines before enrichment: the lookups are left joins on
         unique keys, so the rows are the same and no dimension is joined twice (product stats look
         the dimensions up after aggregating)."""
         s, d = self.spark, self.sf_dir
-        paid = joins.payment_wide(T.payment_info(s, d), self.order_lines, within=self.params.payment_within, create_ts=True)
+        lines = joins.lines_with_payments(T.payment_info(s, d), self.order_lines, within=self.params.payment_within)
         pages = logs.split_page(T.log_events(s, d, names=False))
-        return stats.product_streams(pages, T.favor_info(s, d), T.cart_info(s, d), self.order_lines,
-                                     paid, T.order_refund_info(s, d), T.comment_info(s, d))
+        return stats.product_streams(pages, T.favor_info(s, d), T.cart_info(s, d), lines, None,
+                                     T.order_refund_info(s, d), T.comment_info(s, d))
 
     @cached_property
     def product_measures(self) -> DataFrame:
