@@ -250,30 +250,36 @@ def product_window_sums(measures: DataFrame | list[tuple[str | tuple[str, ...] |
     return lvl2.withColumns(back)
 
 
-def product_dimension(dims: dict[str, DataFrame], unique: bool = False) -> DataFrame:
-    """The sku dimension with the names of its spu, trademark and category3, one row per row of ``dims["sku"]``."""
-    s = enrich(dims["sku"], dims["spu"], "spu_id", {"spu_name": "spu_name"}, unique=unique)
+def product_dimension(dims: dict[str, DataFrame], unique: bool = False, tokenizer: Callable[[Column], Column] | None = None) -> DataFrame:
+    """The sku dimension with the names of its spu, trademark and category3, one row per row of ``dims["sku"]``; with a
+    ``tokenizer`` also the words of its name, ``sku_words``."""
+    sku = dims["sku"] if tokenizer is None else dims["sku"].withColumn("sku_words", tokenizer(F.col("sku_name")))
+    s = enrich(sku, dims["spu"], "spu_id", {"spu_name": "spu_name"}, unique=unique)
     s = enrich(s, dims["trademark"], "tm_id", {"tm_name": "tm_name"}, unique=unique)
     return enrich(s, dims["category3"], "category3_id", {"category3_name": "name"})
 
 
 def product_stats(measures: DataFrame | list[tuple[str | tuple[str, ...] | None, DataFrame]], dims: dict[str, DataFrame], size: str = "10 seconds", *,
-                  as_of_ms: Column | int, watermark: str | None = "0 seconds", unique_dims: bool = False) -> DataFrame:
+                  as_of_ms: Column | int, watermark: str | None = "0 seconds", unique_dims: bool = False,
+                  tokenizer: Callable[[Column], Column] | None = None) -> DataFrame:
     """Window aggregate, then one dimension lookup by sku: spu, trademark and category3 depend on the sku alone and are
-    looked up once per sku, not once per sku and window."""
+    looked up once per sku, not once per sku and window.  So are the words of its name, which a ``tokenizer`` adds as
+    ``sku_words``."""
+    also = ["sku_words"] if tokenizer is not None else []
     instant = not isinstance(measures, list) and measures.isStreaming
     g = product_window_sums(measures, size, watermark)
     # of a repeated sku the greatest row counts: the ids before the names that follow from them
-    g = enrich(g, product_dimension(dims, unique_dims), "sku_id",
+    g = enrich(g, product_dimension(dims, unique_dims, tokenizer), "sku_id",
                {"sku_name": "sku_name", "sku_price": "price", "spu_id": "spu_id", "tm_id": "tm_id", "category3_id": "category3_id",
-                "spu_name": "spu_name", "tm_name": "tm_name", "category3_name": "category3_name"}, unique=unique_dims)
+                "spu_name": "spu_name", "tm_name": "tm_name", "category3_name": "category3_name",
+                **{c: c for c in also}}, unique=unique_dims)
     ts = as_of_ms if isinstance(as_of_ms, Column) else F.lit(as_of_ms).cast("bigint")
     # one projection (every DataFrame step re-analyses the whole plan, so no withColumn loops)
     typed = {c: F.col(c).cast("bigint") for c in PRODUCT_COUNTS + list(ORDER_KINDS.values())}
     typed.update({c: F.col(c).cast(AMOUNT_SUM) for c in PRODUCT_AMOUNTS})
     bounds = dict(zip(("stt", "edt"), window_bounds(instant=instant)))
     out = [bounds[c] if c in bounds else ts.alias("ts") if c == "ts" else
-           typed[c].alias(c) if c in typed else F.col(c) for c in PRODUCT_STATS_COLUMNS]
+           typed[c].alias(c) if c in typed else F.col(c) for c in PRODUCT_STATS_COLUMNS + also]
     return g.select(*out)
 
 
@@ -318,11 +324,13 @@ def keyword_search_stats(page_log: DataFrame, size: str = "10 seconds", *, as_of
 
 def keyword_product_stats(product_stats_df: DataFrame, *, as_of_ms: Column | int, tokenizer=words) -> DataFrame:
     """Product stats rows -> (keyword of the sku name) x (count, source) rows; no aggregation.
-    A product with no word or no positive count gives no row (inner laterals)."""
+    A product with no word or no positive count gives no row (inner laterals).  Words that the lookup cut once per sku
+    (``sku_words``) are not cut again, and a ``dt`` of the rows is kept."""
     ts = as_of_ms if isinstance(as_of_ms, Column) else F.lit(as_of_ms).cast("bigint")
     some = (F.col("click_ct") > 0) | (F.col("cart_ct") > 0) | (F.col("order_ct") > 0)   # no word is cut for the others
-    p = product_stats_df.where(some).select(F.explode(tokenizer(F.col("sku_name"))).alias("keyword"),
-                                "click_ct", "cart_ct", "order_ct", "stt", "edt")
-    p = p.select("keyword", F.explode(keyword_sources("click_ct", "cart_ct", "order_ct")).alias("_cs"), "stt", "edt")
-    return p.select("keyword", F.col("_cs.ct").alias("ct"), F.col("_cs.source").alias("source"), "stt", "edt",
-                    ts.alias("ts"))
+    of = [c for c in ("stt", "edt", "dt") if c in product_stats_df.columns]
+    cut = F.col("sku_words") if "sku_words" in product_stats_df.columns else tokenizer(F.col("sku_name"))
+    # the counts first: their rows are built once per product, not once per word
+    p = product_stats_df.where(some).select(cut.alias("_words"), F.explode(keyword_sources("click_ct", "cart_ct", "order_ct")).alias("_cs"), *of)
+    p = p.select(F.explode("_words").alias("keyword"), F.col("_cs.ct").alias("ct"), F.col("_cs.source").alias("source"), *of)
+    return p.select(*KEYWORD_STATS_COLUMNS[:-1], ts.alias("ts"), *[c for c in of if c == "dt"])

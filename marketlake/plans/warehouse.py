@@ -16,7 +16,10 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import words
 from ..operators import joins, logs, stats, visitors
+from ..operators.reports import with_day
+from ..schemas import KEYWORD_STATS_COLUMNS
 from ..session import shared_root
 from ..sources import tables as T
 from ..sources.readers import report_table
@@ -141,18 +144,24 @@ class Warehouse:
     def keyword_search_stats(self) -> DataFrame:
         return stats.keyword_search_stats(logs.split_page(self.log), self.params.window, as_of_ms=self.params.as_of_ms)
 
+    @cached_property
+    def keyword_product_days(self) -> DataFrame:
+        """Keywords of the products with the day of their window, which is read once per product and window."""
+        p = stats.product_stats(self.product_streams, self.dims, self.params.window, as_of_ms=self.params.as_of_ms,
+                                unique_dims=True, tokenizer=words)
+        return stats.keyword_product_stats(with_day(p), as_of_ms=self.params.as_of_ms)
+
     @cached_property
     def keyword_product_stats(self) -> DataFrame:
-        return stats.keyword_product_stats(self.product_stats, as_of_ms=self.params.as_of_ms)
+        return self.keyword_product_days.select(*KEYWORD_STATS_COLUMNS)
 
     @cached_property
     def keyword_stats(self) -> DataFrame:
-        return stats.union_all([self.keyword_search_stats, self.keyword_product_stats])
+        return stats.union_all([with_day(self.keyword_search_stats), self.keyword_product_days])
 
     # ---- materialisation ----------------------------------------------------------------------
     def materialize(self, df: DataFrame, name: str, partition_by: str | None = "dt") -> DataFrame:
         """Write ``df`` under the shared root (``dt``-partitioned when it has stt) and read it back."""
-        from ..operators.reports import with_day
         path = f"{shared_root(self.spark)}/tables/{name}"   # one place per table: a new build replaces it
         out = with_day(df) if (partition_by == "dt" and "stt" in df.columns) else df
         if partition_by and partition_by in out.columns:

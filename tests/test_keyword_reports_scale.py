@@ -91,3 +91,20 @@ def test_clicks_and_displays_of_odd_pages(spark):
     log = spark.createDataFrame(rows, f"ts long, start map<string,string>, page struct<page_id:string,item:string>, displays {shown}")
     got = [(r.ts, r.sku_id, r.click_ct, r.display_ct) for r in stats._seen_rows(log).collect()]
     assert sorted(got, key=str) == sorted([(1, 7, 1, 0), (1, 8, 0, 1), (1, None, 0, 1), (1, 8, 0, 1), (2, None, 1, 0), (3, None, 0, 1), (5, 7, 1, 0)], key=str)
+
+
+@pytest.mark.parametrize("name", ["name_value_list", "keyword_topn", "keyword_product"])
+def test_words_are_cut_once_per_product(spark, no_broadcast, name):
+    """No pattern runs over the products' sums: their words come with the lookup, cut on the rows of part."""
+    plan = _plan(QUERIES[name](spark, SF)).splitlines()
+    cuts = [x for x in plan if "regexp_extract_all" in x and "_extract_item#" not in x and "FileScan" not in x]
+    assert cuts and all("p_name#" in x for x in cuts)
+
+
+def test_words_of_the_lookup_are_those_of_the_name(spark):
+    rows = [("Red ring", 1, 0, 2), ("a-a", 0, 3, None), (None, 1, 1, 1), ("--", 1, 1, 1), ("x", 0, None, 0), ("Été 9", None, None, 5)]
+    ps = spark.createDataFrame([(*r, "2024-01-02 00:00:00", "e") for r in rows], "sku_name string, click_ct long, cart_ct long, order_ct long, stt string, edt string")
+    of = [stats.keyword_product_stats(d, as_of_ms=0) for d in (ps, ps.withColumn("sku_words", stats.words("sku_name")).withColumn("sku_name", F.lit("no")))]
+    assert of[0].columns == of[1].columns == stats.KEYWORD_STATS_COLUMNS
+    got = [sorted(map(str, d.collect())) for d in of]
+    assert got[0] == got[1] and len(got[0]) == 4 + 2 + 2
