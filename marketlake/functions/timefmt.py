@@ -58,6 +58,13 @@ def ymd_from_millis(ms) -> Column:
     return ymd(millis_to_ntz(ms))
 
 
+def day_from_millis(ms) -> Column:
+    """The day of ``DATETIME_FMT`` text without its separators, straight from epoch millis."""
+    day = F.lit(86_400_000)
+    date = F.date_from_unix_date(((_c(ms) - F.pmod(_c(ms), day)) / day).cast("int"))
+    return F.replace(F.substring(date.cast("string"), 1, 10), F.lit("-"), F.lit(""))
+
+
 def datetime_str(ts) -> Column:
     return F.date_format(_c(ts), DATETIME_FMT)
 

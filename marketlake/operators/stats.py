@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import APPRAISE_GOOD, KEYWORD_SEARCH
 from ..functions.text import keyword_sources, words
-from ..functions.timefmt import DATETIME_FMT, TEXT_OFFSET_HOURS, event_time, millis_to_ntz, with_millis
+from ..functions.timefmt import DATETIME_FMT, TEXT_OFFSET_HOURS, day_from_millis, event_time, millis_to_ntz, with_millis
 from ..schemas import (AMOUNT, AMOUNT_SUM, KEYWORD_STATS_COLUMNS, PRODUCT_STATS_COLUMNS,
                        PROVINCE_STATS_COLUMNS, VISITOR_STATS_COLUMNS)
 from .joins import _ms
@@ -227,15 +227,17 @@ def _stream_sums(kind: str | tuple[str, ...] | None, rows: DataFrame, size: str)
 
 
 def product_window_sums(measures: DataFrame | list[tuple[str | tuple[str, ...] | None, DataFrame]], size: str = "10 seconds",
-                        watermark: str | None = "0 seconds") -> DataFrame:
+                        watermark: str | None = "0 seconds", day: bool = False) -> DataFrame:
     """Window aggregate by sku: 10 sums + 3 exact distinct order counts; dimension columns not yet
     filled.  Output: ``_w, sku_id`` + measures.  Batch ``product_streams`` are summed stream by stream on their way into
-    the union: no wide row of one measure is exchanged, and what a join by order left together is not dealt anew."""
+    the union: no wide row of one measure is exchanged, and what a join by order left together is not dealt anew.  There
+    ``day`` adds the window's ``dt``, which takes less time from millis than from the formatted window start."""
     if isinstance(measures, list):
         g = union_all([_stream_sums(kind, rows, size) for kind, rows in measures]).groupBy("_start", "sku_id").agg(
             *[F.sum(c).alias(c) for c in PRODUCT_COUNTS + PRODUCT_AMOUNTS], *[F.sum(c).alias(c) for c in ORDER_KINDS.values()])
         w = F.struct(millis_to_ntz("_start").alias("start"), millis_to_ntz(F.col("_start") + F.lit(_ms(size))).alias("end"))
-        return g.select(w.alias("_w"), "sku_id", *PRODUCT_COUNTS, *[from_cents(c).alias(c) for c in PRODUCT_AMOUNTS], *ORDER_KINDS.values())
+        dt = [day_from_millis("_start").alias("dt")] if day else []
+        return g.select(w.alias("_w"), "sku_id", *dt, *PRODUCT_COUNTS, *[from_cents(c).alias(c) for c in PRODUCT_AMOUNTS], *ORDER_KINDS.values())
     d = tumble(measures, "ts", size, watermark)
     d = d.withColumns({c: cents(c) for c in PRODUCT_AMOUNTS})
     w = F.window("_et", size).alias("_w")
@@ -264,10 +266,11 @@ def product_stats(measures: DataFrame | list[tuple[str | tuple[str, ...] | None,
                   tokenizer: Callable[[Column], Column] | None = None) -> DataFrame:
     """Window aggregate, then one dimension lookup by sku: spu, trademark and category3 depend on the sku alone and are
     looked up once per sku, not once per sku and window.  So are the words of its name, which a ``tokenizer`` adds as
-    ``sku_words``."""
+    ``sku_words``; in batch the rows then carry their ``dt``, too."""
     also = ["sku_words"] if tokenizer is not None else []
+    day = ["dt"] if also and isinstance(measures, list) else []
     instant = not isinstance(measures, list) and measures.isStreaming
-    g = product_window_sums(measures, size, watermark)
+    g = product_window_sums(measures, size, watermark, bool(day))
     # of a repeated sku the greatest row counts: the ids before the names that follow from them
     g = enrich(g, product_dimension(dims, unique_dims, tokenizer), "sku_id",
                {"sku_name": "sku_name", "sku_price": "price", "spu_id": "spu_id", "tm_id": "tm_id", "category3_id": "category3_id",
@@ -279,7 +282,7 @@ def product_stats(measures: DataFrame | list[tuple[str | tuple[str, ...] | None,
     typed.update({c: F.col(c).cast(AMOUNT_SUM) for c in PRODUCT_AMOUNTS})
     bounds = dict(zip(("stt", "edt"), window_bounds(instant=instant)))
     out = [bounds[c] if c in bounds else ts.alias("ts") if c == "ts" else
-           typed[c].alias(c) if c in typed else F.col(c) for c in PRODUCT_STATS_COLUMNS + also]
+           typed[c].alias(c) if c in typed else F.col(c) for c in PRODUCT_STATS_COLUMNS + also + day]
     return g.select(*out)
 
 

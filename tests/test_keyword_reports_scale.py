@@ -5,7 +5,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from marketlake.operators import joins, stats
+from marketlake.functions import timefmt
+from marketlake.operators import joins, reports, stats
 from marketlake.plans.catalog import QUERIES
 from marketlake.plans.warehouse import Warehouse
 
@@ -108,3 +109,20 @@ def test_words_of_the_lookup_are_those_of_the_name(spark):
     assert of[0].columns == of[1].columns == stats.KEYWORD_STATS_COLUMNS
     got = [sorted(map(str, d.collect())) for d in of]
     assert got[0] == got[1] and len(got[0]) == 4 + 2 + 2
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Shanghai", "America/New_York"])
+def test_day_of_millis_is_that_of_the_window_text(spark, zone):
+    millis = [0, -1, 1710037800000, 253402300799999, 253402300800000, -62135596800000, -62135596800001 + 1, 86_399_999, 86_400_000, None]
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        d = spark.createDataFrame([(m,) for m in millis], "ms long").withColumn("stt", F.date_format(timefmt.millis_to_ntz("ms"), timefmt.DATETIME_FMT))
+        got = reports.with_day(d.withColumn("day", timefmt.day_from_millis("ms"))).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [r.day for r in got] == [r.dt for r in got] and {r.ms: r.day for r in got}[-1] == "19691231"
+
+
+def test_day_of_a_keyword_needs_no_window_text(spark):
+    plan = _plan(Warehouse(spark, SF).keyword_stats.groupBy("dt").agg(F.sum("ct")))
+    assert "date_from_unix_date" in plan and not re.search(r"date_format\([^)]*_start", plan)
