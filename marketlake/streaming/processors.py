@@ -1,16 +1,16 @@
 """Streaming forms of the three order-dependent visitor operators (arbitrary state API v2).
 
-They work on the *flat* log row (``flatten_log``), keyed by visitor ``mid`` or by a group of visitors.  A visitor's rows of one
-micro-batch come as an iterator of frames and are never put together: what a worker holds is one frame, or two
-numbers a row, or one slice of the visitor's time, however many rows the visitor has.
-
-* ``NewVisitorRepair``  -- value state: the visitor's first new-visitor day.  Once it is known, frames pass
-  through; in the batch that settles it, frames wait in a list state.
-* ``DailyUniqueVisit``  -- value state: the day of the previous entry page; an event-time timer clears it one
-  day after the last write (the source's one-day state TTL).  With more than one frame, order and day of each
-  row are held, the rows themselves wait in a list state.
-* ``BounceDetector``    -- keyed by a group of visitors (a hash of ``mid``), so that a call costs one vectorised step
-  for all of them and not one for each.  Map state: page rows whose fate is still open, packed under (slice of
+They work on the *flat* log row (``flatten_log``), keyed by a group of visitors (a hash of ``mid``), so that a call costs one
+vectorised step for all of them and not one for each.  A group's rows of one micro-batch come as an iterator of frames
+and are never put together: what a worker holds is one frame, or a few values a row, or one slice of the group's time,
+however many rows a visitor has.
+
+* ``NewVisitorRepair``  -- value state: the first new-visitor day of every visitor of the group.  Frames whose visitors
+  are all known pass through; the others wait in a list state until the batch has settled them.
+* ``DailyVisitGroup``   -- value state: the day of the previous entry page of every visitor; an event-time timer clears
+  it one day after the last write (the source's one-day state TTL).  With more than one frame, visitor, order, day and
+  time of each row are held, the rows themselves wait in a list state.  ``DailyUniqueVisit`` is the same for one visitor.
+* ``BounceDetector``    -- map state: page rows whose fate is still open, packed under (slice of
   ``within`` of event time, number).  New rows are appended; a call reads the slices that the watermark has
   reached and the slice after them, and files again what stays open of those.  An entry row is decided once its
   successor can no longer change (the successor is older than the watermark, or the watermark passed
@@ -86,6 +86,20 @@ def _is_entry(pdf: pd.DataFrame) -> pd.Series:
     return pdf["last_page_id"].isna() | (pdf["last_page_id"] == "")
 
 
+def _visitors(pdf: pd.DataFrame) -> list:
+    """The visitor of every row as a key of a dictionary; rows without one are one visitor's."""
+    return [None if none else mid for mid, none in zip(pdf["mid"], pdf["mid"].isna())]
+
+
+def _set_timer(handle: StatefulProcessorHandle, wanted: int | None) -> None:
+    """``wanted`` as the only timer of the key."""
+    set_already = set(handle.listTimers())
+    for t in set_already - {wanted}:
+        handle.deleteTimer(t)
+    if wanted is not None and wanted not in set_already:
+        handle.registerTimer(wanted)
+
+
 class Waiting:
     """Frames that are needed again after the last one: a single frame stays in hand, more go to a list state."""
 
@@ -112,30 +126,38 @@ class Waiting:
 
 
 class NewVisitorRepair(StatefulProcessor):
+    """One group of visitors: a call settles the first new-visitor days of all that are in it."""
+
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.first = handle.getValueState("first_day", "day string")
+        self.first = handle.getValueState("first_days", "days binary")
         self.held = handle.getListState("waiting", "rows binary")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        first = self.first.get()[0] if self.first.exists() else None
-        frames = (f for f in rows if len(f))
-        if first is None:
-            waiting, earliest = Waiting(self.held), None
-            for pdf in frames:
-                new = pdf[pdf["is_new"] == "1"]
-                if len(new):
-                    at = new["seq"].min()
-                    if earliest is None or at < earliest[0]:
-                        earliest = (at, new.loc[new["seq"] == at, "dt"].iloc[0])
+        known = unpack(bytes(self.first.get()[0])) if self.first.exists() else {}
+        waiting, found = Waiting(self.held), {}
+        for pdf in rows:
+            if not len(pdf):
+                continue
+            new = pdf.loc[pdf["is_new"] == "1", ["mid", "seq", "dt"]]
+            new = new[np.array([m not in known for m in _visitors(new)], bool)].sort_values("seq", kind="stable").drop_duplicates("mid")
+            for mid, seq, day in zip(_visitors(new), new["seq"], new["dt"]):
+                if mid not in found or seq < found[mid][0]:
+                    found[mid] = (seq, day)
+            if len(new):
                 waiting.add(pdf)
-            if earliest is not None:
-                first = earliest[1]
-                self.first.update((first,))
-            frames = waiting.again()
-        for pdf in frames:
-            if first is not None:
-                pdf.loc[(pdf["is_new"] == "1") & (pdf["dt"] != first), "is_new"] = "0"
-            yield pdf[FLAT_COLUMNS]
+            else:                       # the days of all its visitors were known before this batch
+                yield self._repaired(pdf, known)
+        settled = {mid: day for mid, (_, day) in found.items() if not pd.isna(day)}
+        if settled:
+            known.update(settled)
+            self.first.update((pickle.dumps(known, pickle.HIGHEST_PROTOCOL),))
+        for pdf in waiting.again():
+            yield self._repaired(pdf, known)
+
+    def _repaired(self, pdf: pd.DataFrame, known: dict) -> pd.DataFrame:
+        first = pd.Series([known.get(m) for m in _visitors(pdf)], index=pdf.index, dtype=object)
+        pdf.loc[(pdf["is_new"] == "1") & first.notna() & (pdf["dt"] != first), "is_new"] = "0"
+        return pdf[FLAT_COLUMNS]
 
     def close(self) -> None:
         pass
@@ -145,7 +167,8 @@ DAY_MS = 86_400_000
 
 
 class DailyUniqueVisit(StatefulProcessor):
-    """Input: entry pages only."""
+    """The rule for one visitor, a call for each of them (``DailyVisitGroup`` is what the stream runs).  Input: entry
+    pages only."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -190,6 +213,64 @@ class DailyUniqueVisit(StatefulProcessor):
         pass
 
 
+class DailyVisitGroup(StatefulProcessor):
+    """``DailyUniqueVisit`` for a group of visitors at once.  Value state: day of the last entry page and expiry of every
+    visitor that had one in the last day; one timer, at the earliest expiry, takes out all that have expired."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last_days", "visitors binary")
+        self.held = handle.getListState("waiting", "rows binary")
+
+    def _known(self) -> dict:
+        return unpack(bytes(self.last.get()[0])) if self.last.exists() else {}
+
+    def _keep(self, known: dict, wm: int) -> None:
+        if known:
+            self.last.update((pickle.dumps(known, pickle.HIGHEST_PROTOCOL),))
+        elif self.last.exists():
+            self.last.clear()
+        _set_timer(self.handle, max(min(expires for _, expires in known.values()), wm + 1) if known else None)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        waiting, frames = Waiting(self.held), []
+        for pdf in rows:
+            if len(pdf):
+                frames.append(pdf[["mid", "seq", "dt", "ts"]])
+                waiting.add(pdf)
+        if not frames:
+            return
+        sizes, rows_of = [len(f) for f in frames], pd.concat(frames, ignore_index=True)
+        visitor, names = pd.factorize(rows_of["mid"], use_na_sentinel=False)
+        names = [None if pd.isna(m) else m for m in names]
+        in_order = rows_of.assign(_v=visitor).sort_values(["_v", "seq"], kind="stable").index.to_numpy()
+        v, day = visitor[in_order], rows_of["dt"].to_numpy()[in_order]
+        begins = np.append(True, v[1:] != v[:-1])
+        first_of_day = begins | np.append(True, day[1:] != day[:-1])
+        known = self._known()
+        for i in np.flatnonzero(begins):
+            before = known.get(names[v[i]])
+            first_of_day[i] = before is None or day[i] != before[0]
+        keep = np.empty(len(day), bool)
+        keep[in_order] = first_of_day
+        latest = rows_of["ts"].groupby(visitor).max()
+        for i in np.flatnonzero(np.append(begins[1:], True)):
+            known[names[v[i]]] = (day[i], int(latest[v[i]]) + DAY_MS)
+        self._keep(known, timerValues.getCurrentWatermarkInMs())
+        lo = 0
+        for pdf, n in zip(waiting.again(), sizes):
+            yield pdf.loc[keep[lo: lo + n], FLAT_COLUMNS]
+            lo += n
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        wm = timerValues.getCurrentWatermarkInMs()
+        self._keep({m: k for m, k in self._known().items() if k[1] > wm}, wm)
+        yield pd.DataFrame(columns=FLAT_COLUMNS)
+
+    def close(self) -> None:
+        pass
+
+
 def bounce_step(buf: pd.DataFrame, wm: int, within_ms: int, documented: bool, end: int | None = None):
     """One evaluation of the bounce rule over the open rows of some visitors at watermark ``wm``; rows from ``end`` on
     are only looked at as successors.
@@ -299,11 +380,7 @@ class BounceDetector(StatefulProcessor):
         left = _together(kept + ([pool] if pool is not None else []))
         if left is not None:
             self._put(left)
-        set_already, wanted = set(self.handle.listTimers()), None if timer is None else max(timer, wm + 1)
-        for t in set_already - {wanted}:
-            self.handle.deleteTimer(t)
-        if wanted is not None and wanted not in set_already:
-            self.handle.registerTimer(wanted)
+        _set_timer(self.handle, None if timer is None else max(timer, wm + 1))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         yield from self._run(rows, timerValues.getCurrentWatermarkInMs())
@@ -330,10 +407,16 @@ def ensure_state_store(df: DataFrame) -> None:
     key = "spark.sql.streaming.stateStore.providerClass"
     if conf.get(key, None) != ROCKSDB:
         conf.set(key, ROCKSDB)
-    for name in ("boundedMemoryUsage", "changelogCheckpointing.enabled"):
+    # no job reads the number of rows in a store: counting them costs a read for every write and removal
+    for name, value in (("boundedMemoryUsage", "true"), ("changelogCheckpointing.enabled", "true"), ("trackTotalNumberOfRows", "false")):
         key = f"spark.sql.streaming.stateStore.rocksdb.{name}"
         if conf.get(key, None) is None:
-            conf.set(key, "true")
+            conf.set(key, value)
+
+
+def _groups(flat: DataFrame) -> DataFrame:
+    """The rows with the group of their visitor: a call for a visitor and micro-batch costs more than its rows do."""
+    return flat.withColumn("_group", F.pmod(F.xxhash64("mid"), F.lit(VISITOR_GROUPS)))
 
 
 def _with_event_time(flat: DataFrame, watermark: str) -> DataFrame:
@@ -342,15 +425,15 @@ def _with_event_time(flat: DataFrame, watermark: str) -> DataFrame:
 
 def repair_new_flag_stream(flat: DataFrame) -> DataFrame:
     ensure_state_store(flat)
-    return flat.groupBy("mid").transformWithStateInPandas(
+    return _groups(flat).groupBy("_group").transformWithStateInPandas(
         statefulProcessor=NewVisitorRepair(), outputStructType=_schema(flat), outputMode="Append", timeMode="None")
 
 
 def unique_visits_stream(flat_pages: DataFrame, watermark: str = "3 seconds") -> DataFrame:
     ensure_state_store(flat_pages)
     entries = flat_pages.filter(F.coalesce(F.col("last_page_id"), F.lit("")) == "")
-    return _with_event_time(entries, watermark).groupBy("mid").transformWithStateInPandas(
-        statefulProcessor=DailyUniqueVisit(), outputStructType=_schema(flat_pages), outputMode="Append", timeMode="EventTime")
+    return _with_event_time(_groups(entries), watermark).groupBy("_group").transformWithStateInPandas(
+        statefulProcessor=DailyVisitGroup(), outputStructType=_schema(flat_pages), outputMode="Append", timeMode="EventTime")
 
 
 def bounces_stream(flat_pages: DataFrame, within: str = "10 seconds", mode: str = "as_written",
@@ -358,6 +441,5 @@ def bounces_stream(flat_pages: DataFrame, within: str = "10 seconds", mode: str
     from ..operators.joins import _ms
     ensure_state_store(flat_pages)
     proc = BounceDetector(_ms(within), mode == "as_documented")
-    grouped = flat_pages.withColumn("_group", F.pmod(F.xxhash64("mid"), F.lit(VISITOR_GROUPS)))
-    return _with_event_time(grouped, watermark).groupBy("_group").transformWithStateInPandas(
+    return _with_event_time(_groups(flat_pages), watermark).groupBy("_group").transformWithStateInPandas(
         statefulProcessor=proc, outputStructType=_schema(flat_pages), outputMode="Append", timeMode="EventTime")
