@@ -3,7 +3,7 @@
 All aggregates are partial/final hash aggregates (map-side combine), so a hot group key never
 moves more than one partial row per task.  Distinct order counts:
 
-* product stats: a two-level aggregate -- first by ``(window, sku, kind, order id)``, then
+* product stats: a two-level aggregate -- first by ``(window, sku, order id)`` with a flag for each kind, then
   by ``(window, sku)`` counting the order-id groups -- which avoids the ``Expand`` that three
   ``count(distinct)`` would add; in batch the first level is one narrow aggregate per order stream (one for order and
   paid lines that come from one pass), in the partitioning of the join by order that the stream comes from;
@@ -243,10 +243,9 @@ def product_window_sums(measures: DataFrame | list[tuple[str | tuple[str, ...] |
     w = F.window("_et", size).alias("_w")
     sums = [F.sum(c).alias(c) for c in PRODUCT_COUNTS + PRODUCT_AMOUNTS]
     back = {c: from_cents(c) for c in PRODUCT_AMOUNTS}
-    # level 1: one row per (window, sku, kind, order id); non-order rows collapse per (window, sku)
-    lvl1 = d.groupBy(w, "sku_id", "kind", "oid").agg(*sums)
-    counts = [F.count_if((F.col("kind") == k) & F.col("oid").isNotNull()).cast("bigint").alias(n)
-              for k, n in ORDER_KINDS.items()]
+    # level 1: one row per (window, sku, order id), whatever kinds the order has there; non-order rows collapse per (window, sku)
+    lvl1 = d.groupBy(w, "sku_id", "oid").agg(*sums, *[F.max(F.col("kind") == k).alias(f"_{k}") for k in ORDER_KINDS])
+    counts = [F.count_if(F.col(f"_{k}") & F.col("oid").isNotNull()).cast("bigint").alias(n) for k, n in ORDER_KINDS.items()]
     again = F.window("_w", size).alias("_w") if measures.isStreaming else F.col("_w")
     lvl2 = lvl1.groupBy(again, "sku_id").agg(*[F.sum(c).alias(c) for c in PRODUCT_COUNTS + PRODUCT_AMOUNTS], *counts)
     return lvl2.withColumns(back)
